@@ -51,3 +51,10 @@ def dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in DIMENSIONS:
         raise KeyError(name)
     return _once(spark, sf_dir, name, lambda: build_dim(bronze(spark, sf_dir), name))
+
+
+def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from monthlake.plans.mart import build_mart
+    return _once(spark, sf_dir, "mart", lambda: build_mart(
+        fact(spark, sf_dir), dim(spark, sf_dir, "dim_terceirizados"),
+        dim(spark, sf_dir, "dim_orgaos_superiores")))

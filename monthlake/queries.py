@@ -70,3 +70,264 @@ for _q, _t in _DIM_QUERIES.items():
 def mart_latest(spark, sf_dir):
     return build_mart(W.fact(spark, sf_dir), W.dim(spark, sf_dir, "dim_terceirizados"),
                       W.dim(spark, sf_dir, "dim_orgaos_superiores"))
+
+
+# --- ingest: text, tokens, formats, period layout ---------------------------------
+
+from monthlake.sources import ingest as I  # noqa: E402
+from monthlake.session import scratch_path, shared_root  # noqa: E402
+
+
+def _t(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _varchar_select(cols):
+    return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+
+
+CUSTOMER_COLS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+SUPPLIER_COLS = ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+ORDERS_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@register("all_string", f"SELECT {_varchar_select(CUSTOMER_COLS)} FROM customer")
+def all_string(spark, sf_dir):
+    return I.all_string(_t(spark, sf_dir, "customer"))
+
+
+@register("null_tokens", O.with_(O.FEED, body="SELECT * EXCLUDE (periodo) FROM feed"))
+def null_tokens(spark, sf_dir):
+    return I.null_tokens(raw_feed(spark, sf_dir))
+
+
+@register("csv_roundtrip", f"SELECT {_varchar_select(SUPPLIER_COLS)} FROM supplier")
+def csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv-supplier")
+    I.write_csv(_t(spark, sf_dir, "supplier"), path)
+    return I.read_raw(spark, path, fmt="csv")
+
+
+@register("parquet_roundtrip", "SELECT * FROM supplier")
+def parquet_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "parquet-supplier")
+    I.write_parquet(_t(spark, sf_dir, "supplier"), path)
+    return spark.read.parquet(path)
+
+
+def _orders_by_period(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").withColumn("periodo", F.date_format("o_orderdate", "yyyy-MM"))
+
+
+ORDERS_PERIOD = "SELECT *, strftime(o_orderdate, '%Y-%m') AS periodo FROM orders"
+SCAN_PERIOD = "1996-03"
+
+
+@register("period_partition_scan",
+          f"SELECT * FROM ({ORDERS_PERIOD}) WHERE periodo = '{SCAN_PERIOD}'")
+def period_partition_scan(spark, sf_dir):
+    path = scratch_path(spark, "orders-by-period")
+    I.write_period(_orders_by_period(spark, sf_dir), path)
+    return I.read_periods(spark, path, period=SCAN_PERIOD)
+
+
+@register("multi_period_union",
+          "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+          "CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority, periodo "
+          f"FROM ({ORDERS_PERIOD})")
+def multi_period_union(spark, sf_dir):
+    # Two drops of period files with different columns (one lacks o_orderpriority).
+    o = _orders_by_period(spark, sf_dir)
+    a, b = scratch_path(spark, "drop-a"), scratch_path(spark, "drop-b")
+    I.write_period(o.where(F.col("o_orderstatus") == "F").drop("o_orderpriority"), a)
+    I.write_period(o.where(F.col("o_orderstatus") != "F"), b)
+    return I.union_files([I.read_periods(spark, a), I.read_periods(spark, b)]).select(*ORDERS_COLS, "periodo")
+
+
+@register("skip_existing_periods", O.with_(O.FEED, body=(
+    "SELECT * FROM feed f WHERE NOT EXISTS (SELECT 1 FROM orders o "
+    "WHERE strftime(o.o_orderdate, '%Y-%m') = f.periodo)")))
+def skip_existing_periods(spark, sf_dir):
+    # Incoming raw rows by ship month; months already present in orders count as loaded.
+    return I.skip_existing(raw_feed(spark, sf_dir, with_period=True), _orders_by_period(spark, sf_dir))
+
+
+@register("ctas_mart", O.with_(*O.WAREHOUSE, body="SELECT * FROM mart"))
+def ctas_mart(spark, sf_dir):
+    W.mart(spark, sf_dir)
+    path = W._written[(spark.sparkContext.applicationId, sf_dir, "mart")]
+    name = "app_terceirizados_" + __import__("hashlib").md5(sf_dir.encode()).hexdigest()[:8]
+    spark.sql(f"DROP TABLE IF EXISTS gold.{name}")
+    return I.register_table(spark, path, name, "gold", db_location=f"{shared_root(spark)}/monthlake/gold.db")
+
+
+# --- scalar functions ---------------------------------------------------------------
+
+from monthlake.functions import casts as C  # noqa: E402
+from monthlake.functions import keys as K  # noqa: E402
+from monthlake.functions import periods as P  # noqa: E402
+
+
+@register("int_cast_tolerant",
+          "SELECT p_partkey, CAST(CAST(p_retailprice AS VARCHAR) AS INTEGER) AS retail_int, "
+          "CAST(' ' || CAST(p_size AS VARCHAR) || '.0 ' AS INTEGER) AS size_int FROM part")
+def int_cast_tolerant(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    return p.select("p_partkey", C.to_int(F.col("p_retailprice").cast("string")).alias("retail_int"),
+                    C.to_int(F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(".0 "))).alias("size_int"))
+
+
+@register("category_split",
+          "SELECT p_partkey, CAST(split_part(cat, ' - ', 1) AS INTEGER) AS category_code, "
+          "trim(split_part(cat, ' - ', 2)) AS category_name FROM "
+          "(SELECT p_partkey, CAST(p_size AS VARCHAR) || ' - ' || p_type || ' - ' || p_brand AS cat FROM part)")
+def category_split(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    code, name = C.split_code_name(F.concat_ws(" - ", F.col("p_size").cast("string"), "p_type", "p_brand"))
+    return p.select("p_partkey", code.alias("category_code"), name.alias("category_name"))
+
+
+@register("surrogate_keys",
+          "SELECT s_suppkey, "
+          f"{O.key('s_name')} AS k_name, "
+          f"{O.key('s_name', 'nullif(s_nationkey, 0)')} AS k_name_nation, "
+          f"{O.key('nullif(s_nationkey, 0)', 's_name')} AS k_nation_name, "
+          f"{O.key('s_suppkey', 's_name', 'nullif(s_nationkey, 0)', 'n_name')} AS k_four "
+          "FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def surrogate_keys(spark, sf_dir):
+    s = _t(spark, sf_dir, "supplier").join(_t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    nk = F.nullif(F.col("s_nationkey"), F.lit(0))
+    return s.select("s_suppkey",
+                    K.surrogate_key("s_name").alias("k_name"),
+                    K.surrogate_key("s_name", nk).alias("k_name_nation"),
+                    K.surrogate_key(nk, "s_name").alias("k_nation_name"),
+                    K.surrogate_key("s_suppkey", "s_name", nk, "n_name").alias("k_four"))
+
+
+@register("period_key",
+          "SELECT o_orderkey, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS id_tempo, "
+          "strftime(o_orderdate, '%Y-%m') AS periodo FROM orders")
+def period_key(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    return o.select("o_orderkey", K.period_key(F.year("o_orderdate"), F.month("o_orderdate")).alias("id_tempo"),
+                    P.normalize_period(F.date_format("o_orderdate", "yyyy-MM")).alias("periodo"))
+
+
+_MONTHS_PT = list(P.MONTH_NAMES_PT.items())
+_NAME_CASE = "CASE " + " ".join(
+    f"WHEN contains(lower(t), '{n}') OR contains(lower(t), '{n[:3]}') THEN '{m}'" for m, n in _MONTHS_PT) + " END"
+_PT_CASE = "CASE m " + " ".join(f"WHEN '{m}' THEN '{n}'" for m, n in _MONTHS_PT) + " END"
+PERIOD_TEXTS = """texts AS (
+  SELECT o_orderkey, CAST(month(o_orderdate) AS VARCHAR) || '/' || CAST(year(o_orderdate) AS VARCHAR) AS t FROM orders
+  UNION ALL
+  SELECT o_orderkey, lower(strftime(o_orderdate, '%B')) || ' ' || CAST(year(o_orderdate) AS VARCHAR) AS t FROM orders
+)"""
+
+
+@register("period_parse", (
+    f"WITH {PERIOD_TEXTS}, y AS (SELECT o_orderkey, t, nullif(regexp_extract(t, '(\\d{{4}})', 1), '') AS year FROM texts), "
+    "m AS (SELECT *, coalesce(lpad(nullif(regexp_extract(CASE WHEN year IS NULL THEN t ELSE replace(t, year, '') END, "
+    f"'(\\d{{1,2}})', 1), ''), 2, '0'), {_NAME_CASE}) AS m FROM y) "
+    f"SELECT o_orderkey, t AS period_text, year, m AS month_num, {_PT_CASE} AS month_name FROM m"))
+def period_parse(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    texts = o.select("o_orderkey", F.concat(F.month("o_orderdate").cast("string"), F.lit("/"),
+                                            F.year("o_orderdate").cast("string")).alias("period_text")).unionByName(
+        o.select("o_orderkey", F.concat(F.lower(F.date_format("o_orderdate", "MMMM")), F.lit(" "),
+                                        F.year("o_orderdate").cast("string")).alias("period_text")))
+    parsed = P.parse_period(F.col("period_text"))
+    return texts.select("o_orderkey", "period_text", parsed["year"].alias("year"),
+                        parsed["month_num"].alias("month_num"), parsed["month_name"].alias("month_name"))
+
+
+@register("http_date_parse",
+          "SELECT event_id, strftime(ts, '%a, %d %b %Y %H:%M:%S GMT') AS http_date, "
+          "strptime(strftime(ts, '%a, %d %b %Y %H:%M:%S GMT'), '%a, %d %b %Y %H:%M:%S GMT') AS modified FROM events")
+def http_date_parse(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select("event_id", P.format_http_date("ts").alias("http_date"))
+    return e.select("event_id", "http_date", P.parse_http_date("http_date").alias("modified"))
+
+
+@register("url_rewrite",
+          "SELECT page_id, link, replace(link, '/view', '/@@download/file') AS download_url, "
+          "split(replace(link, '/view', ''), '/')[-1] AS file_name, lower(split(link, '.')[-1]) AS extension "
+          "FROM (SELECT page_id, url || '/view' AS link FROM pages)")
+def url_rewrite(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages").select("page_id", F.concat("url", F.lit("/view")).alias("link"))
+    return p.select("page_id", "link", P.download_url("link").alias("download_url"),
+                    P.file_name("link").alias("file_name"), P.extension("link").alias("extension"))
+
+
+# --- catalog, manifests --------------------------------------------------------------
+
+from monthlake.sources import catalog as CAT  # noqa: E402
+from monthlake.sources import manifest as MAN  # noqa: E402
+
+_HREF_SQL = CAT.HREF_PATTERN.replace("'", "''")
+LINKS_SQL = (f"SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS pos, unnest(arr) AS href "
+             f"FROM (SELECT page_id, regexp_extract_all(html, '{_HREF_SQL}', 1) AS arr FROM pages)")
+
+
+@register("catalog_links", LINKS_SQL)
+def catalog_links(spark, sf_dir):
+    return CAT.extract_links(_t(spark, sf_dir, "pages"))
+
+
+@register("catalog_candidates",
+          f"SELECT DISTINCT href FROM ({LINKS_SQL}) WHERE (contains(lower(href), '.csv') OR contains(lower(href), '.xlsx')) "
+          "AND (contains(lower(href), '202403') OR (contains(lower(href), 'marco') AND contains(lower(href), '2024')))")
+def catalog_candidates(spark, sf_dir):
+    links = CAT.extract_links(_t(spark, sf_dir, "pages"))
+    return CAT.candidates(links, "2024", "03", "marco")
+
+
+VERSIONS_SQL = ("SELECT user_id, event_id, CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS modified FROM events")
+
+
+@register("latest_version",
+          f"SELECT user_id, event_id, modified FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
+          f"ORDER BY modified DESC NULLS LAST, event_id) AS rn FROM ({VERSIONS_SQL})) WHERE rn = 1")
+def latest_version(spark, sf_dir):
+    # Period = user, link = event, Last-Modified = ts; error events are undated.
+    e = _t(spark, sf_dir, "events").select(
+        "user_id", "event_id", F.when(F.col("event_type") != "error", F.col("ts")).alias("modified"))
+    return CAT.latest_version(e, "user_id", "modified", "event_id")
+
+
+REMOTE_SQL = "SELECT event_type || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS path, ts AS updated FROM events"
+LOCAL_SQL = ("SELECT event_type || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS path, "
+             "ts + to_minutes(CAST(floor(value) AS BIGINT) - 50) AS modified FROM events WHERE value >= 20")
+DIFF_SQL = (f"SELECT r.path, r.updated, l.modified AS local_modified, "
+            f"CASE WHEN l.modified IS NULL OR r.updated > l.modified THEN 'download' ELSE 'skip' END AS action, "
+            f"split_part(r.path, '/', 1) AS layer "
+            f"FROM ({REMOTE_SQL}) r LEFT JOIN ({LOCAL_SQL}) l ON r.path = l.path")
+
+
+def _manifests(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    path = F.concat("event_type", F.lit("/"), F.col("event_id").cast("string"), F.lit(".parquet"))
+    remote = e.select(path.alias("path"), F.col("ts").alias("updated"))
+    local = e.where(F.col("value") >= 20).select(
+        path.alias("path"),
+        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.floor("value").cast("int") - 50)).alias("modified"))
+    layers = {t: f"{t}/" for t in ("click", "error", "purchase", "signup", "view")}
+    return MAN.select_layers(remote, "all", layers), local
+
+
+@register("manifest_diff", DIFF_SQL)
+def manifest_diff(spark, sf_dir):
+    remote, local = _manifests(spark, sf_dir)
+    return MAN.diff_manifest(remote, local).select("path", "updated", "local_modified", "action", "layer")
+
+
+@register("manifest_summary",
+          f"SELECT layer, count(*) FILTER (WHERE action = 'download') AS downloaded, "
+          f"count(*) FILTER (WHERE action = 'skip') AS skipped FROM ({DIFF_SQL}) GROUP BY layer")
+def manifest_summary(spark, sf_dir):
+    remote, local = _manifests(spark, sf_dir)
+    return MAN.summarize(MAN.diff_manifest(remote, local))
+
+
+@register("manifest_scan")
+def manifest_scan(spark, sf_dir):
+    return MAN.scan_manifest(spark, sf_dir, glob="*.parquet")
