@@ -98,13 +98,14 @@ FACT = f"""fact_src AS (
 )"""
 
 
-def _dim(name: str, exprs: list[str], cols: list[str], key_col: str, attrs: list[str]) -> str:
+def _dim(name: str, exprs: list[str], cols: list[str], key_col: str, attrs: list[str],
+         source: str = "bronze") -> str:
     order = ", ".join(["ano DESC NULLS LAST", "mes_numero DESC NULLS LAST"]
                       + [f"{a} ASC NULLS LAST" for a in attrs])
     return f"""{name} AS (
   SELECT {', '.join(cols)} FROM (
     SELECT *, row_number() OVER (PARTITION BY {key_col} ORDER BY {order}) AS rn
-    FROM (SELECT {', '.join(exprs)}, ano, mes_numero FROM bronze)) WHERE rn = 1
+    FROM (SELECT {', '.join(exprs)}, ano, mes_numero FROM {source})) WHERE rn = 1
 )"""
 
 
@@ -139,6 +140,10 @@ DIMS = {
         "dim_terceirizados", _WORKER, _WORKER, "id_terceirizado", _WORKER[1:]),
 }
 
+
+def worker_dim(name: str, source: str) -> str:
+    return _dim(name, _WORKER, _WORKER, "id_terceirizado", _WORKER[1:], source)
+
 MART = """mart AS (
   SELECT id_terceirizado, cnpj, cpf, orgao_superior_sigla FROM (
     SELECT f.id_terceirizado, w.cnpj, w.cpf, p.orgao_superior_sigla,
@@ -158,3 +163,35 @@ def with_(*ctes: str, body: str) -> str:
 
 
 WAREHOUSE = (FEED, BRONZE, FACT, DIMS["dim_terceirizados"], DIMS["dim_orgaos_superiores"], MART)
+
+
+DIM_PERIOD_SPAN = """dim_periodo AS (
+  SELECT CAST(year(d) * 100 + month(d) AS INTEGER) AS id_tempo, month(d) AS mes_numero,
+         strftime(d, '%B') AS mes_nome, year(d) AS ano
+  FROM (SELECT unnest(generate_series(make_date(lo // 100, lo % 100, 1), make_date(hi // 100, hi % 100, 1),
+                                       INTERVAL 1 MONTH)) AS d
+        FROM (SELECT min(ano * 100 + mes_numero) AS lo, max(ano * 100 + mes_numero) AS hi FROM bronze))
+)"""
+
+SUITE_CTE = {"brutos_terceirizados": "bronze", "fact_contratos_terceirizados": "fact", "app_terceirizados": "mart"}
+
+
+def suite_sql(checks) -> str:
+    """One SELECT per declared check, UNION ALL (what a test runner compiles them to)."""
+    parts = []
+    for ck in checks:
+        t = SUITE_CTE.get(ck.table, ck.table)
+        head = f"SELECT '{ck.table}' AS table_name, '{ck.kind}' AS check_name, '{','.join(ck.columns)}' AS columns, "
+        cols = ", ".join(ck.columns)
+        if ck.kind == "not_null":
+            parts.append(head + f"count(*) FILTER (WHERE {cols} IS NULL) AS failures FROM {t}")
+        elif ck.kind == "unique":
+            parts.append(head + f"count(*) AS failures FROM (SELECT {cols} FROM {t} WHERE {cols} IS NOT NULL "
+                                f"GROUP BY {cols} HAVING count(*) > 1)")
+        elif ck.kind == "unique_combination":
+            parts.append(head + f"count(*) AS failures FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1)")
+        elif ck.kind == "relationships":
+            pt = SUITE_CTE.get(ck.to_table, ck.to_table)
+            parts.append(head + f"count(*) AS failures FROM {t} c WHERE c.{cols} IS NOT NULL AND NOT EXISTS "
+                                f"(SELECT 1 FROM {pt} p WHERE p.{ck.to_column} = c.{cols})")
+    return "\nUNION ALL\n".join(parts)

@@ -331,3 +331,212 @@ def manifest_summary(spark, sf_dir):
 @register("manifest_scan")
 def manifest_scan(spark, sf_dir):
     return MAN.scan_manifest(spark, sf_dir, glob="*.parquet")
+
+
+# --- upsert, watermark, whole run, stream -------------------------------------------
+
+from monthlake import schemas as S  # noqa: E402
+from monthlake.functions.keys import period_key as _pk  # noqa: E402
+from monthlake.operators.upsert import upsert_table  # noqa: E402
+from monthlake.plans.dims import dim_period_span, dim_source  # noqa: E402
+from monthlake.plans.fact import FACT_KEY, fact_order, fact_rows, incremental_slice  # noqa: E402
+from monthlake.plans.pipeline import MART_TABLE, read_layer, run  # noqa: E402
+from monthlake.streaming.incremental import start_incremental  # noqa: E402
+
+_B2 = "b2 AS (SELECT *, CAST(ano * 100 + mes_numero AS INTEGER) AS pk FROM bronze)"
+_OLD = "b_old AS (SELECT * FROM b2 WHERE pk < (SELECT max(pk) FROM b2))"
+_NEW = "b_new AS (SELECT * FROM b2 WHERE pk = (SELECT max(pk) FROM b2))"
+
+
+@register("upsert_scd1", O.with_(
+    O.FEED, O.BRONZE, _B2, _OLD, _NEW, O.worker_dim("tgt", "b_old"), O.worker_dim("src", "b_new"),
+    body="SELECT * FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.id_terceirizado IS NOT DISTINCT FROM "
+         "t.id_terceirizado) UNION ALL SELECT * FROM src"))
+def upsert_scd1(spark, sf_dir):
+    """Worker dimension loaded from every month but the newest, then the newest month
+    upserted on top (SCD-1, written as table versions)."""
+    b = W.bronze(spark, sf_dir)
+    pk = _pk("ano", "mes_numero")
+    newest = b.select(F.max(pk)).scalar()
+    path = scratch_path(spark, "dim-worker-upsert")
+    for part in (b.where(pk < newest), b.where(pk == newest)):
+        src, key, order = dim_source(part, "dim_terceirizados")
+        out = upsert_table(spark, path, src, [key], order, columns=S.DIM_WORKER)
+    return out
+
+
+_FACT_STEPS = """m1 AS (SELECT max(id_tempo) AS v FROM fact),
+m2 AS (SELECT max(id_tempo) AS v FROM fact WHERE id_tempo < (SELECT v FROM m1)),
+tgt AS (SELECT * FROM fact WHERE id_tempo < (SELECT v FROM m2)),
+loaded AS (SELECT * FROM fact WHERE id_tempo >= (SELECT max(id_tempo) FROM tgt))"""
+
+
+@register("fact_incremental", O.with_(
+    O.FEED, O.BRONZE, O.FACT, _FACT_STEPS,
+    body="SELECT * FROM tgt WHERE id_fato NOT IN (SELECT id_fato FROM loaded) UNION ALL SELECT * FROM loaded"))
+def fact_incremental(spark, sf_dir):
+    """Fact holding all but the two newest months, then the whole source re-offered:
+    the watermark keeps months >= the newest loaded one and upserts them."""
+    src = fact_rows(W.bronze(spark, sf_dir))
+    m1 = src.select(F.max("id_tempo")).scalar()
+    m2 = src.where(F.col("id_tempo") < m1).select(F.max("id_tempo")).scalar()
+    path = scratch_path(spark, "fact-incremental")
+    upsert_table(spark, path, src.where(F.col("id_tempo") < m2), list(FACT_KEY), fact_order(),
+                 columns=S.FACT, partition="id_tempo")
+    target = spark.read.parquet(path)
+    out = upsert_table(spark, path, incremental_slice(src, target), list(FACT_KEY), fact_order(),
+                       columns=S.FACT, partition="id_tempo")
+    return out.select(*FACT_COLS)
+
+
+@register("latest_period_filter",
+          "SELECT * FROM orders WHERE CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) = "
+          "(SELECT max(CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER)) FROM orders)")
+def latest_period_filter(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    pk = _pk(F.year("o_orderdate"), F.month("o_orderdate"))
+    return o.where(pk == o.select(F.max(pk)).scalar())
+
+
+@register("latest_per_key",
+          "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "
+          "ORDER BY o_orderdate DESC NULLS LAST, o_orderkey) AS rn FROM orders) WHERE rn = 1")
+def latest_per_key_q(spark, sf_dir):
+    from monthlake.operators.dedup import latest_per_key
+    return latest_per_key(_t(spark, sf_dir, "orders"), ["o_custkey"],
+                          [F.col("o_orderdate").desc_nulls_last(), "o_orderkey"])
+
+
+def _land_raw(spark, sf_dir) -> str:
+    base = scratch_path(spark, "warehouse")
+    I.write_period(raw_feed(spark, sf_dir, with_period=True), f"{base}/raw")
+    return base
+
+
+@register("pipeline_end_to_end", O.with_(*O.WAREHOUSE, body="SELECT * FROM mart"))
+def pipeline_end_to_end(spark, sf_dir):
+    base = _land_raw(spark, sf_dir)
+    return run(spark, base, "*", run_ts=W.FIXED_RUN_TS)
+
+
+@register("incremental_stream", O.with_(*O.WAREHOUSE, body="SELECT * FROM mart"))
+def incremental_stream(spark, sf_dir):
+    base = _land_raw(spark, sf_dir)
+    q = start_incremental(spark, base, checkpoint=f"{base}/_stream_checkpoint", run_ts=W.FIXED_RUN_TS)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_layer(spark, base, MART_TABLE)
+
+
+@register("dim_period", O.with_(O.FEED, O.BRONZE, O.DIM_PERIOD_SPAN, body="SELECT * FROM dim_periodo"))
+def dim_period_q(spark, sf_dir):
+    """Calendar spanning the months present in the fact (the fixed 2020-2030 calendar of
+    ``dim_period()`` is the library default; see tests)."""
+    return dim_period_span(spark, W.fact(spark, sf_dir).select("id_tempo"))
+
+
+# --- serving --------------------------------------------------------------------------
+
+from monthlake.operators import serve as SV  # noqa: E402
+
+LOOKUP_ID = 1
+BRONZE_NO_TS = [f.name for f in S.BRONZE.fields if f.name != "data_processamento"]
+
+
+def _bronze_rows(spark, sf_dir):
+    return W.bronze(spark, sf_dir).select(*BRONZE_NO_TS)
+
+
+@register("page_list", O.with_(*O.WAREHOUSE, body=(
+    "SELECT * FROM mart ORDER BY id_terceirizado, cnpj, cpf, orgao_superior_sigla LIMIT 20 OFFSET 0")))
+def page_list(spark, sf_dir):
+    return SV.page(W.mart(spark, sf_dir), "id_terceirizado", 0, 20)
+
+
+@register("page_deep", "SELECT * FROM customer ORDER BY " + ", ".join(CUSTOMER_COLS) + " LIMIT 200 OFFSET 1000")
+def page_deep(spark, sf_dir):
+    return SV.page(_t(spark, sf_dir, "customer"), "c_custkey", 1000, 500)
+
+
+@register("page_envelope", "SELECT 1000 AS b_start, 200 AS \"limit\", count(*) AS total, "
+                           "CASE WHEN 1200 < count(*) THEN 1200 END AS next FROM customer")
+def page_envelope(spark, sf_dir):
+    return SV.envelope(_t(spark, sf_dir, "customer"), 1000, 500)
+
+
+@register("page_by_id", O.with_(O.FEED, O.BRONZE, body=(
+    f"SELECT * FROM bronze WHERE id_terceirizado = {LOOKUP_ID} ORDER BY " + ", ".join(BRONZE_NO_TS)
+    + " LIMIT 50 OFFSET 10")))
+def page_by_id(spark, sf_dir):
+    rows, _ = SV.lookup(_bronze_rows(spark, sf_dir), "id_terceirizado", LOOKUP_ID, 10, 50)
+    return rows
+
+
+@register("page_by_id_envelope", O.with_(O.FEED, O.BRONZE, body=(
+    f"SELECT {LOOKUP_ID} AS id_terceirizado, 10 AS b_start, 50 AS \"limit\", count(*) AS total, "
+    f"CASE WHEN 60 < count(*) THEN 60 END AS next FROM bronze WHERE id_terceirizado = {LOOKUP_ID}")))
+def page_by_id_envelope(spark, sf_dir):
+    _, env = SV.lookup(_bronze_rows(spark, sf_dir), "id_terceirizado", LOOKUP_ID, 10, 50)
+    return env
+
+
+@register("row_json", O.with_(*O.WAREHOUSE, body=(
+    "SELECT CAST(to_json({'id_terceirizado': id_terceirizado, 'cnpj': cnpj, 'cpf': cpf, "
+    "'orgao_superior_sigla': orgao_superior_sigla}) AS VARCHAR) AS json FROM mart")))
+def row_json(spark, sf_dir):
+    return SV.row_json(W.mart(spark, sf_dir))
+
+
+# --- data quality -----------------------------------------------------------------------
+
+from monthlake.operators import quality as Q  # noqa: E402
+from monthlake.plans.checks import WAREHOUSE_CHECKS  # noqa: E402
+
+LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@register("dq_not_null", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM lineitem"
+    for c in LINEITEM_COLS))
+def dq_not_null(spark, sf_dir):
+    return Q.check_not_null(_t(spark, sf_dir, "lineitem"), LINEITEM_COLS)
+
+
+@register("dq_unique", "SELECT l_orderkey, count(*) AS n_records FROM lineitem WHERE l_orderkey IS NOT NULL "
+                       "GROUP BY l_orderkey HAVING count(*) > 1")
+def dq_unique(spark, sf_dir):
+    return Q.check_unique(_t(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+@register("dq_unique_combination", "SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem "
+                                   "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+def dq_unique_combination(spark, sf_dir):
+    return Q.check_unique_combination(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("dq_relationships", O.with_(
+    O.FEED, O.BRONZE, O.DIMS["dim_orgaos"], O.DIMS["dim_orgaos_superiores"],
+    body="SELECT * FROM dim_orgaos c WHERE c.id_orgao_superior IS NOT NULL AND NOT EXISTS "
+         "(SELECT 1 FROM dim_orgaos_superiores p WHERE p.id_orgao_superior = c.id_orgao_superior)"))
+def dq_relationships(spark, sf_dir):
+    return Q.check_relationship(W.dim(spark, sf_dir, "dim_orgaos"), W.dim(spark, sf_dir, "dim_orgaos_superiores"),
+                                "id_orgao_superior", "id_orgao_superior")
+
+
+def warehouse_tables(spark, sf_dir) -> dict:
+    t = {name: W.dim(spark, sf_dir, name) for name in
+         ("dim_categoria_profissional", "dim_contratos", "dim_orgaos", "dim_orgaos_superiores", "dim_terceirizados")}
+    t["brutos_terceirizados"] = W.bronze(spark, sf_dir)
+    t["fact_contratos_terceirizados"] = W.fact(spark, sf_dir)
+    t["app_terceirizados"] = W.mart(spark, sf_dir)
+    t["dim_periodo"] = dim_period_span(spark, t["fact_contratos_terceirizados"].select("id_tempo"))
+    return t
+
+
+@register("dq_suite", O.with_(
+    O.FEED, O.BRONZE, O.FACT, *O.DIMS.values(), O.MART, O.DIM_PERIOD_SPAN,
+    body=O.suite_sql(WAREHOUSE_CHECKS)))
+def dq_suite(spark, sf_dir):
+    return Q.run_suite(warehouse_tables(spark, sf_dir), WAREHOUSE_CHECKS)
