@@ -27,8 +27,6 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", max(8, cpus * 2), app="monthlake-bench",
                           extra={"spark.driver.memory": "16g"})
 
-    from pyspark.sql import functions as F
-
     from monthlake import queries as Qs
     from monthlake.operators import quality as QC
     from monthlake.operators import serve as SV
@@ -38,14 +36,12 @@ def main() -> None:
     from monthlake.plans.fact import build_fact
     from monthlake.plans.mart import build_mart
     from monthlake.plans.staging import stage
-    from monthlake.sources.feed import raw_feed
-    from monthlake.sources.ingest import read_periods, write_period
+    from monthlake.sources.ingest import read_periods
     from monthlake import schemas
 
     # Layers written beforehand (not timed): raw period files, bronze, fact, dims.
-    base = scratch_path(spark, "bench-warehouse")
-    write_period(raw_feed(spark, sf_dir, with_period=True), f"{base}/raw")
     W.bronze(spark, sf_dir)
+    raw_dir = W.layer_path(spark, sf_dir, "raw")
     W.fact(spark, sf_dir)
     for d in ("dim_terceirizados", "dim_orgaos_superiores"):
         W.dim(spark, sf_dir, d)
@@ -54,7 +50,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     def q_staging():
-        noop(stage(read_periods(spark, f"{base}/raw", schema=schemas.RAW), run_ts=W.FIXED_RUN_TS))
+        noop(stage(read_periods(spark, raw_dir, schema=schemas.RAW), run_ts=W.FIXED_RUN_TS))
 
     def q_fact():
         noop(build_fact(W.bronze(spark, sf_dir)))
@@ -80,9 +76,7 @@ def main() -> None:
         QC.run_suite(Qs.warehouse_tables(spark, sf_dir), WAREHOUSE_CHECKS).collect()
 
     def q_pipeline():
-        b = scratch_path(spark, "bench-run")
-        write_period(spark.read.parquet(f"{base}/raw"), f"{b}/raw")
-        PL.run(spark, b, "*", run_ts=W.FIXED_RUN_TS).count()
+        PL.run(spark, scratch_path(spark, "bench-run"), "*", run_ts=W.FIXED_RUN_TS, raw=raw_dir).count()
 
     benches = {
         "staging_typed": q_staging,

@@ -66,6 +66,16 @@ def write_version(df: DataFrame, path: str) -> int:
     return version
 
 
+def clustered_for_partitions(df: DataFrame, partition: str, keys: Sequence[str]) -> DataFrame:
+    """Range-partition on (partition column, keys) before a ``partitionBy`` write.
+
+    After a hash shuffle every task holds rows of every month and would write one file
+    per month; range partitioning gives each task a contiguous run of months (a large
+    month spans several tasks), so a backfill writes about size/partition-size files
+    instead of tasks x months. AQE sizes the ranges."""
+    return df.repartitionByRange(F.col(partition), *[F.col(k) for k in keys])
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  order: Sequence, columns: Sequence[str] | None = None,
                  partition: str | None = None) -> DataFrame:
@@ -77,7 +87,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
 
     target = try_read(spark, path)
     if target is None:
-        merged = merge_frames(None, source, keys, order, columns)
+        merged = clustered_for_partitions(merge_frames(None, source, keys, order, columns), partition, keys)
         merged.write.mode("overwrite").partitionBy(partition).parquet(path)
         return spark.read.parquet(path)
     # The set of months a load touches is small (bounded by the calendar), so it is
@@ -87,7 +97,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         return target
     cols = list(columns or target.columns)
     part_target = target.where(F.col(partition).isin(touched))
-    merged = merge_frames(part_target, source, keys, order, cols)
+    merged = clustered_for_partitions(merge_frames(part_target, source, keys, order, cols), partition, keys)
     side = scratch_path(spark, "upsert-side")
     merged.write.mode("overwrite").partitionBy(partition).parquet(side)
     (spark.read.parquet(side).select(*cols).write.mode("overwrite")

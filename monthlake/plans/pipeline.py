@@ -32,8 +32,8 @@ MART_TABLE = "app_terceirizados"
 STEPS = ("bronze", *sorted(DIM_COLUMNS), "dim_periodo", FACT_TABLE, MART_TABLE)
 
 
-def paths(base: str) -> dict[str, str]:
-    p = {"raw": f"{base}/raw", "bronze": f"{base}/bronze/brutos_terceirizados"}
+def paths(base: str, raw: str | None = None) -> dict[str, str]:
+    p = {"raw": raw or f"{base}/raw", "bronze": f"{base}/bronze/brutos_terceirizados"}
     for t in (*DIM_COLUMNS, "dim_periodo", FACT_TABLE):
         p[t] = f"{base}/silver/{t}"
     p[MART_TABLE] = f"{base}/gold/{MART_TABLE}"
@@ -63,12 +63,13 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
 
 
 def run(spark: SparkSession, base: str, period: str = "*", only: str | None = None,
-        run_ts: _dt.datetime | None = None, backfill: bool = False) -> DataFrame:
+        run_ts: _dt.datetime | None = None, backfill: bool = False, raw: str | None = None) -> DataFrame:
     """Run every layer for one period (``'YYYY-MM'``) or all (``'*'``); ``only`` runs one
-    step (``STEPS``) from the layers already written. Returns the gold mart."""
+    step (``STEPS``) from the layers already written; ``raw`` overrides where the raw
+    period files live (default ``<base>/raw``). Returns the gold mart."""
     if only is not None and only not in STEPS:
         raise ValueError(f"unknown step {only!r}; one of {STEPS}")
-    p = paths(base)
+    p = paths(base, raw)
     if only in (None, "bronze"):
         raw = read_periods(spark, p["raw"], schema=schemas.RAW, period=period)
         write_version(stage(raw, run_ts or run_timestamp()), p["bronze"])

@@ -24,6 +24,10 @@ FIXED_RUN_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)
 _written: dict[tuple, str] = {}
 
 
+def layer_path(spark: SparkSession, sf_dir: str, name: str) -> str | None:
+    return _written.get((spark.sparkContext.applicationId, sf_dir, name))
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, build, partition: str | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     path = _written.get(key)
@@ -37,14 +41,21 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build, partition: str | N
     return spark.read.parquet(path)
 
 
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw feed landed as monthly period files (``periodo=YYYY-MM``), all text."""
+    return _once(spark, sf_dir, "raw", lambda: raw_feed(spark, sf_dir, with_period=True), partition="periodo")
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "bronze",
-                 lambda: stage(raw_feed(spark, sf_dir), run_ts=FIXED_RUN_TS))
+    """Bronze typed from the landed raw period files, as the warehouse run does."""
+    return _once(spark, sf_dir, "bronze", lambda: stage(raw(spark, sf_dir), run_ts=FIXED_RUN_TS))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact stored partitioned by month, the layout the mart's pruning relies on."""
-    return _once(spark, sf_dir, "fact", lambda: build_fact(bronze(spark, sf_dir)), partition="id_tempo")
+    from monthlake.operators.upsert import clustered_for_partitions
+    return _once(spark, sf_dir, "fact", lambda: clustered_for_partitions(
+        build_fact(bronze(spark, sf_dir)), "id_tempo", ["id_fato"]), partition="id_tempo")
 
 
 def dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

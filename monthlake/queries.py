@@ -155,7 +155,7 @@ def skip_existing_periods(spark, sf_dir):
 @register("ctas_mart", O.with_(*O.WAREHOUSE, body="SELECT * FROM mart"))
 def ctas_mart(spark, sf_dir):
     W.mart(spark, sf_dir)
-    path = W._written[(spark.sparkContext.applicationId, sf_dir, "mart")]
+    path = W.layer_path(spark, sf_dir, "mart")
     name = "app_terceirizados_" + __import__("hashlib").md5(sf_dir.encode()).hexdigest()[:8]
     spark.sql(f"DROP TABLE IF EXISTS gold.{name}")
     return I.register_table(spark, path, name, "gold", db_location=f"{shared_root(spark)}/monthlake/gold.db")
