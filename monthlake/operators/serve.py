@@ -4,17 +4,24 @@
 ``b_start < 0`` and ``limit < 0`` are errors, ``limit = 0`` is an empty page. Lookups
 also reject ``limit <= 0`` and raise ``LookupError`` when the id has no rows. Rows are
 ordered by the key, NULLs last, then by the remaining columns so pages never overlap.
-A page is planned as ``TakeOrderedAndProject(limit=b_start+limit, offset=b_start)``:
-each task keeps only its top ``b_start+limit`` rows, no full sort is shuffled.
+Shallow pages are planned as ``TakeOrderedAndProject(limit=b_start+limit, offset=b_start)``:
+each task keeps only its top ``b_start+limit`` rows and no full sort is shuffled. That
+costs tasks x (b_start+limit) rows at the driver, so deep pages switch to a positional
+plan instead: range-partition and sort, count rows per range (one small row per
+range), turn counts into starting offsets, and keep only the rows whose global
+position falls in the page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 20
 MAX_LIMIT = 200
+# Top-k ships (input partitions) x (b_start + limit) rows to the driver; past this
+# budget a page uses the positional plan.
+TOPK_DRIVER_ROWS = 4_000_000
 
 
 def clamp(b_start, limit, max_limit: int = MAX_LIMIT, allow_zero: bool = True) -> tuple[int, int]:
@@ -33,10 +40,36 @@ def _ordered(df: DataFrame, key: str) -> list:
     return [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in df.columns if c != key]
 
 
-def page(df: DataFrame, key: str, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX_LIMIT) -> DataFrame:
-    """Rows ``b_start .. b_start+limit-1`` in key order."""
+def page(df: DataFrame, key: str, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX_LIMIT,
+         driver_rows: int = TOPK_DRIVER_ROWS) -> DataFrame:
+    """Rows ``b_start .. b_start+limit-1`` in key order.
+
+    The plan is chosen by the driver-side cost of top-k: ``partitions x (b_start+limit)``
+    rows. Counting partitions plans the input (for a table scan: its file splits)."""
     b, n = clamp(b_start, limit, max_limit)
-    return df.orderBy(*_ordered(df, key)).offset(b).limit(n)
+    order = _ordered(df, key)
+    if b + n <= MAX_LIMIT or (b + n) * df.rdd.getNumPartitions() <= driver_rows:
+        return df.orderBy(*order).offset(b).limit(n)
+    return positional_page(df, order, b, n)
+
+
+def positional_page(df: DataFrame, order: list, b: int, n: int) -> DataFrame:
+    """Rows at global positions ``[b, b+n)`` under ``order`` without a top-k of b+n rows.
+
+    The range exchange is shared by both branches (one shuffle); the per-range counts
+    are at most ``spark.sql.shuffle.partitions`` rows, so broadcasting them is bounded.
+    ``order`` must be a total order over distinct rows for stable pages."""
+    cols = df.columns
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    pid = F.spark_partition_id()
+    pos = ranged.select(*cols, pid.alias("__p"),
+                        (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias("__i"))
+    counts = pos.groupBy("__p").agg(F.count("*").alias("__n"))
+    starts = counts.select("__p", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__s"))
+    g = F.col("__s") + F.col("__i")
+    hit = pos.join(F.broadcast(starts), "__p").where((g >= b) & (g < b + n))
+    return hit.orderBy(g).select(*cols)
 
 
 def envelope(df: DataFrame, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX_LIMIT) -> DataFrame:

@@ -9,6 +9,7 @@ fact is partitioned by ``id_tempo`` and rewritten partition-wise behind its wate
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,10 +45,17 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
                      backfill: bool = False) -> None:
     """Dimensions (SCD-1 upsert), calendar, fact (watermarked upsert) and mart from a bronze batch."""
     p = paths(base)
-    for name in sorted(DIM_COLUMNS):
-        if only in (None, name):
-            src, key, order = dim_source(bronze, name)
-            upsert_table(spark, p[name], src, [key], order, columns=DIM_COLUMNS[name])
+
+    def upsert_dim(name: str) -> None:
+        src, key, order = dim_source(bronze, name)
+        upsert_table(spark, p[name], src, [key], order, columns=DIM_COLUMNS[name])
+
+    # The dimension upserts are independent jobs over the same bronze; submitting them
+    # from threads lets the scheduler run their stages side by side.
+    dims = [n for n in sorted(DIM_COLUMNS) if only in (None, n)]
+    with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
+        for f in [pool.submit(upsert_dim, n) for n in dims]:
+            f.result()
     if only in (None, "dim_periodo"):
         write_version(dim_period(spark), p["dim_periodo"])
     if only in (None, FACT_TABLE):

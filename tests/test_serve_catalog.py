@@ -68,3 +68,14 @@ def test_latest_version(spark):
     ], "period string, link string, modified timestamp_ntz")
     got = {r.period: r.link for r in latest_version(df, "period", "modified", "link").collect()}
     assert got == {"p1": "c", "p2": "a", "p3": "a"}
+
+
+def test_positional_page_matches_top_k(spark):
+    from monthlake.operators.serve import _ordered, positional_page
+    df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    for b, n in ((0, 20), (7_777, 200), (14_950, 200), (20_000, 5)):
+        want = [tuple(r) for r in page(df, "o_custkey", b, n, driver_rows=10 ** 12).collect()]
+        got = [tuple(r) for r in positional_page(df, _ordered(df, "o_custkey"), b, n).collect()]
+        assert got == want, (b, n)
+    deep = page(df, "o_custkey", 12_000, 100, driver_rows=1_000)
+    assert "TakeOrderedAndProject" not in plan_text(deep)
