@@ -35,7 +35,7 @@ def merge_frames(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     src = src.select(*cols)
     if target is None:
         return src
-    k = src.select(*keys).distinct()
+    k = src.select(*keys)  # already one row per key after the dedup
     cond = [target[c].eqNullSafe(k[c]) for c in keys]
     return target.join(k, cond, "left_anti").select(*cols).unionByName(src)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthlake.functions.casts import NULL_TOKENS, nullify_tokens
+from monthlake.operators.dedup import bounded_broadcast
 
 PERIOD_COL = "periodo"
 
@@ -100,10 +101,15 @@ def union_files(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def skip_existing(incoming: DataFrame, existing: DataFrame, key: str | Sequence[str] = PERIOD_COL) -> DataFrame:
-    """Rows of ``incoming`` whose period (key) is not loaded yet (left anti-join)."""
+def skip_existing(incoming: DataFrame, existing: DataFrame, key: str | Sequence[str] = PERIOD_COL,
+                  max_periods: int = 100_000) -> DataFrame:
+    """Rows of ``incoming`` whose period (key) is not loaded yet (left anti-join).
+
+    The loaded periods are few (one per month) and are broadcast once that bound is
+    proven, so a month holding most of the incoming rows never lands in one join task."""
     keys = [key] if isinstance(key, str) else list(key)
-    return incoming.join(existing.select(*keys).distinct(), keys, "left_anti")
+    loaded = bounded_broadcast(existing.select(*keys).distinct(), max_periods)
+    return incoming.join(loaded, keys, "left_anti")
 
 
 def register_table(spark: SparkSession, path: str, name: str, database: str = "gold",
