@@ -4,6 +4,7 @@ from monthlake.functions.casts import NULL_TOKENS, nullify_tokens, split_code_na
 from monthlake.functions.keys import period_key, surrogate_key
 from monthlake.functions.periods import (
     MONTH_NAMES_PT,
+    current_period,
     download_url,
     extension,
     file_name,
@@ -15,6 +16,6 @@ from monthlake.functions.periods import (
 
 __all__ = [
     "NULL_TOKENS", "nullify_tokens", "split_code_name", "to_int", "to_money",
-    "period_key", "surrogate_key", "MONTH_NAMES_PT", "download_url", "extension",
+    "period_key", "surrogate_key", "MONTH_NAMES_PT", "current_period", "download_url", "extension",
     "file_name", "format_http_date", "normalize_period", "parse_http_date", "parse_period",
 ]

@@ -56,6 +56,11 @@ def parse_period(c) -> Column:
                     F.try_element_at(_month_map(), month).alias("month_name"))
 
 
+def current_period() -> Column:
+    """Default period: the current month as ``yyyy-MM`` (session time zone)."""
+    return F.date_format(F.current_date(), "yyyy-MM")
+
+
 def normalize_period(c) -> Column:
     """Validate and normalise ``yyyy-MM`` text (error on anything else under ANSI)."""
     return F.date_format(F.to_date(_col(c), "yyyy-MM"), "yyyy-MM")

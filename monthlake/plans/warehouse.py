@@ -43,7 +43,8 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build, partition: str | N
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed landed as monthly period files (``periodo=YYYY-MM``), all text."""
-    return _once(spark, sf_dir, "raw", lambda: raw_feed(spark, sf_dir, with_period=True), partition="periodo")
+    return _once(spark, sf_dir, "raw", lambda: raw_feed(spark, sf_dir, with_period=True).repartitionByRange(
+        "periodo", "id_terc"), partition="periodo")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
