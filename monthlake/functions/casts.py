@@ -25,8 +25,12 @@ def nullify_tokens(c, tokens=NULL_TOKENS) -> Column:
 def to_int(c) -> Column:
     """Text -> int the way the warehouse's SQL engine casts: surrounding blanks ignored,
     ``'123.0'`` -> 123, halves round away from zero (``'123.5'`` -> 124); empty or
-    non-numeric text is an error under ANSI mode (as in the reference), NULL stays NULL."""
-    return F.round(_col(c).cast("decimal(38,10)"), 0).cast("int")
+    non-numeric text is an error under ANSI mode (as in the reference), NULL stays NULL.
+
+    Plain integers take the direct cast; only text that is not one goes through the
+    exact decimal rounding (whose cast also raises the error for garbage)."""
+    c = _col(c)
+    return F.coalesce(c.try_cast("int"), F.round(c.cast("decimal(38,10)"), 0).cast("int"))
 
 
 def to_money(c, decimal_comma: bool = False) -> Column:

@@ -59,10 +59,13 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_version(df: DataFrame, path: str) -> int:
-    """Append ``df`` as a new complete version of the table at ``path``."""
+    """Write ``df`` as a new complete version ``<path>/version=<n>`` of the table.
+
+    Written straight into its own directory (a ``partitionBy`` on a constant column
+    would make every task sort its rows for nothing). Until the job commits, the new
+    directory holds no visible files, so readers keep seeing the previous version."""
     version = time.time_ns() // 1000
-    (df.withColumn(VERSION_COL, F.lit(version))
-       .write.mode("append").partitionBy(VERSION_COL).parquet(path))
+    df.write.mode("errorifexists").parquet(f"{path}/{VERSION_COL}={version}")
     return version
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from monthlake.plans.dims import DIMENSIONS, build_dim
 from monthlake.plans.fact import build_fact
@@ -43,8 +44,10 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build, partition: str | N
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed landed as monthly period files (``periodo=YYYY-MM``), all text."""
-    return _once(spark, sf_dir, "raw", lambda: raw_feed(spark, sf_dir, with_period=True).repartitionByRange(
-        "periodo", "id_terc"), partition="periodo")
+    def build():
+        feed = raw_feed(spark, sf_dir, with_period=True)
+        return feed.repartitionByRange(F.col("periodo"), F.xxhash64(*[F.col(c) for c in feed.columns]))
+    return _once(spark, sf_dir, "raw", build, partition="periodo")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

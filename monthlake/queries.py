@@ -409,7 +409,7 @@ def latest_per_key_q(spark, sf_dir):
 
 def _land_raw(spark, sf_dir) -> str:
     base = scratch_path(spark, "warehouse")
-    I.write_period(raw_feed(spark, sf_dir, with_period=True), f"{base}/raw", cluster_by=["id_terc"])
+    I.write_period(raw_feed(spark, sf_dir, with_period=True), f"{base}/raw", cluster=True)
     return base
 
 

@@ -71,16 +71,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def write_period(df: DataFrame, path: str, period_col: str = PERIOD_COL,
-                 cluster_by: Sequence[str] | None = None) -> None:
+def write_period(df: DataFrame, path: str, period_col: str = PERIOD_COL, cluster: bool = False) -> None:
     """Write rows under ``<path>/periodo=YYYY-MM``; only the periods present in ``df``
     are replaced (dynamic partition overwrite), other periods stay.
 
-    ``cluster_by`` range-partitions on (period, *cluster_by) first, for writes spanning
-    many months: each task then writes a few months (a large month spans several tasks,
-    split on ``cluster_by``) instead of one file per month per task."""
-    if cluster_by:
-        df = df.repartitionByRange(F.col(period_col), *[F.col(c) for c in cluster_by])
+    ``cluster`` range-partitions on (period, hash of the whole row) first, for writes
+    spanning many months: each task then writes a contiguous run of months instead of
+    one file per month per task, and a large month (or one dominated by a single
+    value) is spread evenly over several tasks."""
+    if cluster:
+        df = df.repartitionByRange(F.col(period_col), F.xxhash64(*[F.col(c) for c in df.columns]))
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("compression", "snappy").partitionBy(period_col).parquet(path))
 
