@@ -48,7 +48,7 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
 
     def upsert_dim(name: str) -> None:
         src, key, order = dim_source(bronze, name)
-        upsert_table(spark, p[name], src, [key], order, columns=DIM_COLUMNS[name])
+        upsert_table(spark, p[name], schemas.describe(src), [key], order, columns=DIM_COLUMNS[name])
 
     # The dimension upserts are independent jobs over the same bronze; submitting them
     # from threads lets the scheduler run their stages side by side.
@@ -57,17 +57,17 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
         for f in [pool.submit(upsert_dim, n) for n in dims]:
             f.result()
     if only in (None, "dim_periodo"):
-        write_version(dim_period(spark), p["dim_periodo"])
+        write_version(schemas.describe(dim_period(spark)), p["dim_periodo"])
     if only in (None, FACT_TABLE):
         target = try_read(spark, p[FACT_TABLE])
-        src = incremental_slice(fact_rows(bronze), target, backfill=backfill)
+        src = schemas.describe(incremental_slice(fact_rows(bronze), target, backfill=backfill))
         upsert_table(spark, p[FACT_TABLE], src, list(FACT_KEY), fact_order(),
                      columns=schemas.FACT, partition="id_tempo")
     if only in (None, MART_TABLE):
         fact = spark.read.parquet(p[FACT_TABLE])
         mart = build_mart(fact, read_current(spark, p["dim_terceirizados"]),
                           read_current(spark, p["dim_orgaos_superiores"]))
-        write_version(mart, p[MART_TABLE])
+        write_version(schemas.describe(mart), p[MART_TABLE])
 
 
 def run(spark: SparkSession, base: str, period: str = "*", only: str | None = None,

@@ -63,3 +63,42 @@ DIM_WORKER = ("id_terceirizado", "cpf", "cnpj", "terceirizado_nome", "razao_soci
 FACT = ("id_terceirizado", "id_tempo", "salario_mensal_valor", "custo_mensal_valor",
         "data_processamento", "id_contrato", "id_orgao", "id_orgao_superior", "id_fato")
 MART = ("id_terceirizado", "cnpj", "cpf", "orgao_superior_sigla")
+
+
+# Column descriptions of the silver and gold tables (carried as column metadata).
+COMMENTS = {
+    "id_categoria_profissional": "job category code",
+    "categoria_profissional_nome": "job category name",
+    "numero_contrato": "contract number",
+    "id_contrato": "contract key (md5 of the contract number)",
+    "orgao_nome": "agency name",
+    "orgao_sigla": "agency acronym",
+    "orgao_codigo_siafi": "agency code (SIAFI)",
+    "orgao_codigo_siape": "agency code (SIAPE)",
+    "id_orgao": "agency key (md5 of name, acronym)",
+    "id_orgao_superior": "parent agency key (md5 of managing unit name, code)",
+    "orgao_superior_sigla": "parent agency acronym",
+    "unidade_gestora_codigo": "managing unit code",
+    "unidade_gestora_nome": "managing unit name",
+    "id_tempo": "period key yyyymm",
+    "mes_numero": "month number",
+    "mes_nome": "month name",
+    "ano": "year",
+    "id_terceirizado": "worker id",
+    "cpf": "worker tax id, pre-masked",
+    "cnpj": "company tax id",
+    "terceirizado_nome": "worker name",
+    "razao_social": "company legal name",
+    "escolaridade": "schooling level",
+    "salario_mensal_valor": "monthly salary",
+    "custo_mensal_valor": "monthly cost",
+    "data_processamento": "processing time, one value per run",
+    "id_fato": "fact key (md5 of worker, contract, agency, period)",
+}
+
+
+def describe(df):
+    """Attach the column descriptions as metadata (kept in the written Parquet schema)."""
+    from pyspark.sql import functions as F
+    return df.select([F.col(c).alias(c, metadata={"comment": COMMENTS[c]}) if c in COMMENTS else F.col(c)
+                      for c in df.columns])

@@ -71,6 +71,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
+def write_if_absent(df: DataFrame, path: str) -> None:
+    """Write the whole table only when nothing exists at ``path`` yet (``mode("ignore")``):
+    a present target is left untouched, like a create-if-absent cache."""
+    df.write.mode("ignore").option("compression", "snappy").parquet(path)
+
+
 def write_period(df: DataFrame, path: str, period_col: str = PERIOD_COL, cluster: bool = False) -> None:
     """Write rows under ``<path>/periodo=YYYY-MM``; only the periods present in ``df``
     are replaced (dynamic partition overwrite), other periods stay.

@@ -55,3 +55,21 @@ def test_manifest_scan_and_diff(spark, tmp_path):
     assert s == {"bronze": (2, 0), "ouro": (0, 1)}
     with pytest.raises(ValueError):
         select_layers(remote, "silver-ish")
+
+
+def test_write_if_absent(spark, tmp_table):
+    from monthlake.sources.ingest import write_if_absent
+    path = tmp_table("cache")
+    write_if_absent(spark.createDataFrame([(1,)], "a int"), path)
+    write_if_absent(spark.createDataFrame([(2,)], "a int"), path)
+    assert [r.a for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_layer_columns_carry_descriptions(spark, tmp_table):
+    from monthlake.plans.pipeline import MART_TABLE, read_layer, run
+    from monthlake.plans import warehouse as W
+    base = tmp_table("described")
+    run(spark, base, "*", raw=W.layer_path(spark, "/root/testdata/sf0.001", "raw") or
+        (W.raw(spark, "/root/testdata/sf0.001") and W.layer_path(spark, "/root/testdata/sf0.001", "raw")))
+    mart = read_layer(spark, base, MART_TABLE)
+    assert mart.schema["cpf"].metadata.get("comment") == "worker tax id, pre-masked"
