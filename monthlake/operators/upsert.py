@@ -3,9 +3,9 @@
 Parquet has no MERGE, so a merge is ``target anti-join source-keys UNION source`` and
 the result is written so that no reader ever sees a half-replaced table:
 
-* unpartitioned tables (dimensions) are versioned: each upsert appends a complete new
-  ``version=<n>`` directory; readers take the newest version (scalar-subquery filter,
-  so older versions are pruned, never scanned). A failed job leaves no new version.
+* unpartitioned tables (dimensions) are versioned: each upsert writes a complete new
+  ``version=<n>`` directory and then appends ``n`` to the table's ``_commits`` log;
+  readers open only the newest committed version. A failed job leaves no new version.
 * partitioned tables (the fact, by ``id_tempo``) are rewritten partition-wise: only the
   partitions the source touches are read, merged, written to a side path and then moved
   into the table with dynamic partition overwrite.
@@ -47,25 +47,39 @@ def try_read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _commits(path: str) -> str:
+    return f"{path}/_commits"
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """Newest committed version number of a versioned table (one value to the driver)."""
+    log = try_read(spark, _commits(path))
+    return None if log is None else log.agg(F.max(VERSION_COL)).first()[0]
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest complete version of a versioned table, without the version column."""
-    t = try_read(spark, path)
-    if t is None:
-        return None
-    if VERSION_COL not in t.columns:
-        return t
-    newest = t.select(F.max(VERSION_COL)).scalar()
-    return t.where(F.col(VERSION_COL) == newest).drop(VERSION_COL)
+    """Newest committed version of a versioned table; only that directory is listed.
+
+    A version counts once its number is in the table's ``_commits`` log, which is
+    appended only after the data job committed, so a write that died half-way (even
+    during its commit) is never read. Tables without a log are read as plain Parquet."""
+    version = current_version(spark, path)
+    if version is None:
+        return try_read(spark, path)
+    return spark.read.parquet(f"{path}/{VERSION_COL}={version}")
 
 
 def write_version(df: DataFrame, path: str) -> int:
-    """Write ``df`` as a new complete version ``<path>/version=<n>`` of the table.
+    """Write ``df`` as a new complete version ``<path>/version=<n>`` and then commit it.
 
-    Written straight into its own directory (a ``partitionBy`` on a constant column
-    would make every task sort its rows for nothing). Until the job commits, the new
-    directory holds no visible files, so readers keep seeing the previous version."""
+    The data goes straight into its own directory (a ``partitionBy`` on a constant
+    column would make every task sort its rows for nothing); the version becomes
+    current when its number is appended to ``<path>/_commits`` afterwards."""
     version = time.time_ns() // 1000
     df.write.mode("errorifexists").parquet(f"{path}/{VERSION_COL}={version}")
+    spark = df.sparkSession
+    (spark.createDataFrame([(version,)], f"{VERSION_COL} long")
+          .coalesce(1).write.mode("append").parquet(_commits(path)))
     return version
 
 

@@ -46,3 +46,11 @@ def test_watermark(spark):
     empty = target.where("false")
     assert rows(incremental_slice(src, empty)) == [(202401,), (202402,), (202403,)]
     assert rows(incremental_slice(src, None)) == [(202401,), (202402,), (202403,)]
+
+
+def test_uncommitted_version_is_not_read(spark, tmp_table):
+    path = tmp_table("dimv")
+    upsert_table(spark, path, spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], ["v"])
+    # a version directory whose job never committed (no entry in the commit log)
+    spark.createDataFrame([(9, "zz")], "k int, v string").write.parquet(f"{path}/version=99999999999999999")
+    assert rows(read_current(spark, path)) == [(1, "a")]
