@@ -12,10 +12,11 @@ from monthlake.functions.periods import (
     normalize_period,
     parse_http_date,
     parse_period,
+    to_period,
 )
 
 __all__ = [
     "NULL_TOKENS", "nullify_tokens", "split_code_name", "to_int", "to_money",
     "period_key", "surrogate_key", "MONTH_NAMES_PT", "current_period", "download_url", "extension",
-    "file_name", "format_http_date", "normalize_period", "parse_http_date", "parse_period",
+    "file_name", "format_http_date", "normalize_period", "parse_http_date", "parse_period", "to_period",
 ]

@@ -56,6 +56,16 @@ def parse_period(c) -> Column:
                     F.try_element_at(_month_map(), month).alias("month_name"))
 
 
+def to_period(c) -> Column:
+    """Free period text -> ``yyyy-MM``: parse first (``parse_period``), then validate.
+    Text without a year or month gives NULL; a month number that is not a month
+    (``'13/2024'``) fails under ANSI, like a wrong ``%Y-%m`` string."""
+    p = parse_period(c)
+    text = F.when(p["year"].isNotNull() & p["month_num"].isNotNull(),
+                  F.concat(p["year"], F.lit("-"), p["month_num"]))
+    return normalize_period(text)
+
+
 def current_period() -> Column:
     """Default period: the current month as ``yyyy-MM`` (session time zone)."""
     return F.date_format(F.current_date(), "yyyy-MM")

@@ -18,6 +18,23 @@ from monthlake.plans.fact import build_fact
 from monthlake.plans.mart import build_mart
 from monthlake.plans.staging import stage
 from monthlake.sources.feed import raw_feed
+from monthlake.sources import ingest as I
+from monthlake.session import scratch_path, shared_root
+from monthlake.functions import casts as C
+from monthlake.functions import keys as K
+from monthlake.functions import periods as P
+from monthlake.sources import catalog as CAT
+from monthlake.sources import manifest as MAN
+from monthlake import schemas as S
+from monthlake.functions.keys import period_key as _pk
+from monthlake.operators.upsert import upsert_table
+from monthlake.plans.dims import dim_period_span, dim_source
+from monthlake.plans.fact import FACT_KEY, fact_order, fact_rows, incremental_slice
+from monthlake.plans.pipeline import MART_TABLE, read_layer, run
+from monthlake.streaming.incremental import start_incremental
+from monthlake.operators import serve as SV
+from monthlake.operators import quality as Q
+from monthlake.plans.checks import WAREHOUSE_CHECKS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,9 +91,6 @@ def mart_latest(spark, sf_dir):
 
 # --- ingest: text, tokens, formats, period layout ---------------------------------
 
-from monthlake.sources import ingest as I  # noqa: E402
-from monthlake.session import scratch_path, shared_root  # noqa: E402
-
 
 def _t(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -163,10 +177,6 @@ def ctas_mart(spark, sf_dir):
 
 # --- scalar functions ---------------------------------------------------------------
 
-from monthlake.functions import casts as C  # noqa: E402
-from monthlake.functions import keys as K  # noqa: E402
-from monthlake.functions import periods as P  # noqa: E402
-
 
 @register("int_cast_tolerant",
           "SELECT p_partkey, CAST(CAST(p_retailprice AS VARCHAR) AS INTEGER) AS retail_int, "
@@ -260,8 +270,6 @@ def url_rewrite(spark, sf_dir):
 
 # --- catalog, manifests --------------------------------------------------------------
 
-from monthlake.sources import catalog as CAT  # noqa: E402
-from monthlake.sources import manifest as MAN  # noqa: E402
 
 _HREF_SQL = CAT.HREF_PATTERN.replace("'", "''")
 LINKS_SQL = (f"SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS pos, unnest(arr) AS href "
@@ -335,13 +343,6 @@ def manifest_scan(spark, sf_dir):
 
 # --- upsert, watermark, whole run, stream -------------------------------------------
 
-from monthlake import schemas as S  # noqa: E402
-from monthlake.functions.keys import period_key as _pk  # noqa: E402
-from monthlake.operators.upsert import upsert_table  # noqa: E402
-from monthlake.plans.dims import dim_period_span, dim_source  # noqa: E402
-from monthlake.plans.fact import FACT_KEY, fact_order, fact_rows, incremental_slice  # noqa: E402
-from monthlake.plans.pipeline import MART_TABLE, read_layer, run  # noqa: E402
-from monthlake.streaming.incremental import start_incremental  # noqa: E402
 
 _B2 = "b2 AS (SELECT *, CAST(ano * 100 + mes_numero AS INTEGER) AS pk FROM bronze)"
 _OLD = "b_old AS (SELECT * FROM b2 WHERE pk < (SELECT max(pk) FROM b2))"
@@ -438,7 +439,6 @@ def dim_period_q(spark, sf_dir):
 
 # --- serving --------------------------------------------------------------------------
 
-from monthlake.operators import serve as SV  # noqa: E402
 
 LOOKUP_ID = 1
 BRONZE_NO_TS = [f.name for f in S.BRONZE.fields if f.name != "data_processamento"]
@@ -490,8 +490,6 @@ def row_json(spark, sf_dir):
 
 # --- data quality -----------------------------------------------------------------------
 
-from monthlake.operators import quality as Q  # noqa: E402
-from monthlake.plans.checks import WAREHOUSE_CHECKS  # noqa: E402
 
 LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")

@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from monthlake import schemas
-from monthlake.operators.upsert import write_version
-from monthlake.operators.upsert import read_current
+from monthlake.operators.upsert import read_current, write_version
 from monthlake.plans.pipeline import load_silver_gold, paths
 from monthlake.plans.staging import run_timestamp, stage
 

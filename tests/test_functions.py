@@ -84,3 +84,11 @@ def test_links(spark):
     r = one_col(spark, [link]).select(download_url("v"), file_name("v"), extension(file_name("v"))).first()
     assert tuple(r) == ("https://x.gov/arquivos/terceirizados_2024-03.CSV/@@download/file",
                         "terceirizados_2024-03.CSV", "csv")
+
+
+def test_to_period(spark):
+    from monthlake.functions import to_period
+    df = one_col(spark, ["março 2024", "03/2024", "2024-9", "nada"])
+    assert [r[0] for r in df.select(to_period("v")).collect()] == ["2024-03", "2024-03", "2024-09", None]
+    with pytest.raises(Exception):
+        one_col(spark, ["13/2024"]).select(to_period("v")).collect()

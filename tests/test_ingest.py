@@ -69,7 +69,7 @@ def test_layer_columns_carry_descriptions(spark, tmp_table):
     from monthlake.plans.pipeline import MART_TABLE, read_layer, run
     from monthlake.plans import warehouse as W
     base = tmp_table("described")
-    run(spark, base, "*", raw=W.layer_path(spark, "/root/testdata/sf0.001", "raw") or
-        (W.raw(spark, "/root/testdata/sf0.001") and W.layer_path(spark, "/root/testdata/sf0.001", "raw")))
+    W.raw(spark, "/root/testdata/sf0.001")
+    run(spark, base, "*", raw=W.layer_path(spark, "/root/testdata/sf0.001", "raw"))
     mart = read_layer(spark, base, MART_TABLE)
     assert mart.schema["cpf"].metadata.get("comment") == "worker tax id, pre-masked"
