@@ -61,9 +61,13 @@ def to_period(c) -> Column:
     Text without a year or month gives NULL; a month number that is not a month
     (``'13/2024'``) fails under ANSI, like a wrong ``%Y-%m`` string."""
     p = parse_period(c)
-    text = F.when(p["year"].isNotNull() & p["month_num"].isNotNull(),
-                  F.concat(p["year"], F.lit("-"), p["month_num"]))
-    return normalize_period(text)
+    return period_from_parts(p["year"], p["month_num"])
+
+
+def period_from_parts(year, month_num) -> Column:
+    """``yyyy-MM`` from parsed year and month texts (NULL if either is missing)."""
+    y, m = _col(year), _col(month_num)
+    return normalize_period(F.when(y.isNotNull() & m.isNotNull(), F.concat(y, F.lit("-"), m)))
 
 
 def current_period() -> Column:

@@ -238,16 +238,17 @@ PERIOD_TEXTS = """texts AS (
     f"WITH {PERIOD_TEXTS}, y AS (SELECT o_orderkey, t, nullif(regexp_extract(t, '(\\d{{4}})', 1), '') AS year FROM texts), "
     "m AS (SELECT *, coalesce(lpad(nullif(regexp_extract(CASE WHEN year IS NULL THEN t ELSE replace(t, year, '') END, "
     f"'(\\d{{1,2}})', 1), ''), 2, '0'), {_NAME_CASE}) AS m FROM y) "
-    f"SELECT o_orderkey, t AS period_text, year, m AS month_num, {_PT_CASE} AS month_name FROM m"))
+    f"SELECT o_orderkey, t AS period_text, year, m AS month_num, {_PT_CASE} AS month_name, "
+    "CASE WHEN year IS NOT NULL AND m IS NOT NULL THEN year || '-' || m END AS periodo FROM m"))
 def period_parse(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     texts = o.select("o_orderkey", F.concat(F.month("o_orderdate").cast("string"), F.lit("/"),
                                             F.year("o_orderdate").cast("string")).alias("period_text")).unionByName(
         o.select("o_orderkey", F.concat(F.lower(F.date_format("o_orderdate", "MMMM")), F.lit(" "),
                                         F.year("o_orderdate").cast("string")).alias("period_text")))
-    parsed = P.parse_period(F.col("period_text"))
-    return texts.select("o_orderkey", "period_text", parsed["year"].alias("year"),
-                        parsed["month_num"].alias("month_num"), parsed["month_name"].alias("month_name"))
+    parsed = texts.select("o_orderkey", "period_text", P.parse_period(F.col("period_text")).alias("p"))
+    return parsed.select("o_orderkey", "period_text", "p.year", "p.month_num", "p.month_name",
+                         P.period_from_parts("p.year", "p.month_num").alias("periodo"))
 
 
 @register("http_date_parse",
