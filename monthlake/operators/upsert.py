@@ -8,7 +8,8 @@ the result is written so that no reader ever sees a half-replaced table:
   readers open only the newest committed version. A failed job leaves no new version.
 * partitioned tables (the fact, by ``id_tempo``) are rewritten partition-wise: only the
   partitions the source touches are read, merged, written to a side path and then moved
-  into the table with dynamic partition overwrite.
+  into the table with dynamic partition overwrite. The move is logged in ``_moves``; a
+  move interrupted half-way is replayed from its side copy before the next load.
 """
 
 from __future__ import annotations
@@ -83,6 +84,36 @@ def write_version(df: DataFrame, path: str) -> int:
     return version
 
 
+def _moves(path: str) -> str:
+    return f"{path}/_moves"
+
+
+def _log_move(spark: SparkSession, path: str, side: str, state: str) -> None:
+    (spark.createDataFrame([(side, state, time.time_ns() // 1000)], "side string, state string, at long")
+          .coalesce(1).write.mode("append").parquet(_moves(path)))
+
+
+def _move_in(spark: SparkSession, path: str, side: str, partition: str, cols: Sequence[str]) -> None:
+    """Replace the partitions present in ``side`` inside ``path`` (dynamic overwrite).
+    Idempotent: replaying it after an interruption gives the same table."""
+    (spark.read.parquet(side).select(*cols).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+
+
+def recover_moves(spark: SparkSession, path: str, partition: str, cols: Sequence[str]) -> int:
+    """Finish partition moves that were started but not marked done (driver lost while
+    partitions were being swapped). Returns how many were replayed."""
+    log = try_read(spark, _moves(path))
+    if log is None:
+        return 0
+    pending = (log.groupBy("side").agg(F.count_if(F.col("state") == "done").alias("done"))
+                  .where(F.col("done") == 0).select("side").collect())  # few rows: one per interrupted load
+    for row in pending:
+        _move_in(spark, path, row.side, partition, cols)
+        _log_move(spark, path, row.side, "done")
+    return len(pending)
+
+
 def clustered_for_partitions(df: DataFrame, partition: str, keys: Sequence[str]) -> DataFrame:
     """Range-partition on (partition column, keys) before a ``partitionBy`` write.
 
@@ -107,16 +138,21 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         merged = clustered_for_partitions(merge_frames(None, source, keys, order, columns), partition, keys)
         merged.write.mode("overwrite").partitionBy(partition).parquet(path)
         return spark.read.parquet(path)
+    cols = list(columns or target.columns)
+    if recover_moves(spark, path, partition, cols):
+        target = spark.read.parquet(path)
     # The set of months a load touches is small (bounded by the calendar), so it is
     # fetched to plan a pruned read of exactly those partitions.
     touched = [r[0] for r in source.select(partition).distinct().collect()]
     if not touched:
         return target
-    cols = list(columns or target.columns)
     part_target = target.where(F.col(partition).isin(touched))
     merged = clustered_for_partitions(merge_frames(part_target, source, keys, order, cols), partition, keys)
     side = scratch_path(spark, "upsert-side")
     merged.write.mode("overwrite").partitionBy(partition).parquet(side)
-    (spark.read.parquet(side).select(*cols).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    # The side copy is complete before any target partition is touched; the move is
+    # logged so that an interrupted swap is finished from the side copy next time.
+    _log_move(spark, path, side, "start")
+    _move_in(spark, path, side, partition, cols)
+    _log_move(spark, path, side, "done")
     return spark.read.parquet(path)

@@ -54,3 +54,23 @@ def test_uncommitted_version_is_not_read(spark, tmp_table):
     # a version directory whose job never committed (no entry in the commit log)
     spark.createDataFrame([(9, "zz")], "k int, v string").write.parquet(f"{path}/version=99999999999999999")
     assert rows(read_current(spark, path)) == [(1, "a")]
+
+
+def test_interrupted_partition_move_is_replayed(spark, tmp_table):
+    import shutil
+
+    from monthlake.operators.upsert import _log_move
+    path = tmp_table("factmove")
+    first = spark.createDataFrame([("a", 202401, 1), ("b", 202402, 2)], "id string, id_tempo int, v int")
+    upsert_table(spark, path, first, ["id"], ["v"], partition="id_tempo")
+    # a load whose merged partitions reached the side copy, then the driver died after
+    # the old 202402 directory was removed but before the new one was moved in
+    side = tmp_table("side")
+    spark.createDataFrame([("b", 202402, 20), ("c", 202402, 3)], "id string, id_tempo int, v int") \
+        .write.partitionBy("id_tempo").parquet(side)
+    _log_move(spark, path, side, "start")
+    shutil.rmtree(path.replace("file:", "") + "/id_tempo=202402")
+    nxt = spark.createDataFrame([("d", 202403, 4)], "id string, id_tempo int, v int")
+    out = upsert_table(spark, path, nxt, ["id"], ["v"], columns=["id", "id_tempo", "v"], partition="id_tempo")
+    assert rows(out, "id", "id_tempo", "v") == [("a", 202401, 1), ("b", 202402, 20), ("c", 202402, 3),
+                                                 ("d", 202403, 4)]
