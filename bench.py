@@ -1,7 +1,8 @@
 """Headline-query benchmark. Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3). Raw and bronze layers are written once beforehand; each query
+BENCH_RUNS (default 3), BENCH_ONLY (comma list), BENCH_EVENT_LOG (directory for
+Spark's event log). Raw and bronze layers are written once beforehand; each query
 gets one warm-up and the median of BENCH_RUNS timed runs. Results are executed in
 full with the ``noop`` sink (or collected when they are a page / a suite result),
 so no time is spent moving rows into Python.
@@ -24,8 +25,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", max(8, cpus * 2), app="monthlake-bench",
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times without the UI
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = build_session(f"local[{cpus}]", max(8, cpus * 2), app="monthlake-bench", extra=extra)
 
     from monthlake import queries as Qs
     from monthlake.operators import quality as QC
