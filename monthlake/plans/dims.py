@@ -123,6 +123,8 @@ def dim_period_span(spark: SparkSession, months: DataFrame, col: str = "id_tempo
     Only the two bounds leave the scan (one aggregate row); the calendar is then
     generated by ``sequence``."""
     b = months.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    to_d = lambda k: F.make_date((F.col(k) / 100).cast("int"), F.col(k) % 100, F.lit(1))
-    cal = b.select(F.explode(F.sequence(to_d("lo"), to_d("hi"), F.expr("INTERVAL 1 MONTH"))).alias("d"))
+    def first_day(k: str):
+        return F.make_date((F.col(k) / 100).cast("int"), F.col(k) % 100, F.lit(1))
+
+    cal = b.select(F.explode(F.sequence(first_day("lo"), first_day("hi"), F.expr("INTERVAL 1 MONTH"))).alias("d"))
     return calendar_columns(cal, "d")

@@ -6,6 +6,7 @@ the shared folder), over whole tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -170,7 +171,7 @@ def skip_existing_periods(spark, sf_dir):
 def ctas_mart(spark, sf_dir):
     W.mart(spark, sf_dir)
     path = W.layer_path(spark, sf_dir, "mart")
-    name = "app_terceirizados_" + __import__("hashlib").md5(sf_dir.encode()).hexdigest()[:8]
+    name = "app_terceirizados_" + hashlib.md5(sf_dir.encode()).hexdigest()[:8]
     spark.sql(f"DROP TABLE IF EXISTS gold.{name}")
     return I.register_table(spark, path, name, "gold", db_location=f"{shared_root(spark)}/monthlake/gold.db")
 
