@@ -53,17 +53,24 @@ def _commits(path: str) -> str:
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    """Newest committed version number of a versioned table (one value to the driver)."""
+    """Newest committed version number of a versioned table.
+
+    Each commit is its own ``_commits/version=<n>`` entry, so the file listing alone
+    (``inputFiles``, no job) names every committed version."""
     log = try_read(spark, _commits(path))
-    return None if log is None else log.agg(F.max(VERSION_COL)).first()[0]
+    if log is None:
+        return None
+    marker = f"/{VERSION_COL}="
+    versions = [int(f.rsplit(marker, 1)[1].split("/", 1)[0]) for f in log.inputFiles() if marker in f]
+    return max(versions) if versions else None
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     """Newest committed version of a versioned table; only that directory is listed.
 
-    A version counts once its number is in the table's ``_commits`` log, which is
-    appended only after the data job committed, so a write that died half-way (even
-    during its commit) is never read. Tables without a log are read as plain Parquet."""
+    A version counts once its entry exists in the table's ``_commits`` log, written only
+    after the data job committed, so a write that died half-way (even during its commit)
+    is never read. Tables without a log are read as plain Parquet."""
     version = current_version(spark, path)
     if version is None:
         return try_read(spark, path)
@@ -79,8 +86,8 @@ def write_version(df: DataFrame, path: str) -> int:
     version = time.time_ns() // 1000
     df.write.mode("errorifexists").parquet(f"{path}/{VERSION_COL}={version}")
     spark = df.sparkSession
-    (spark.createDataFrame([(version,)], f"{VERSION_COL} long")
-          .coalesce(1).write.mode("append").parquet(_commits(path)))
+    (spark.createDataFrame([(version,)], "committed long").coalesce(1)
+          .write.mode("errorifexists").parquet(f"{_commits(path)}/{VERSION_COL}={version}"))
     return version
 
 
