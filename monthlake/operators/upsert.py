@@ -4,8 +4,8 @@ Parquet has no MERGE, so a merge is ``target anti-join source-keys UNION source`
 the result is written so that no reader ever sees a half-replaced table:
 
 * unpartitioned tables (dimensions) are versioned: each upsert writes a complete new
-  ``version=<n>`` directory and then appends ``n`` to the table's ``_commits`` log;
-  readers open only the newest committed version. A failed job leaves no new version.
+  ``version=<n>`` directory and then a ``_commits/version=<n>`` entry; readers open only
+  the newest committed version. A failed job leaves no new version.
 * partitioned tables (the fact, by ``id_tempo``) are rewritten partition-wise: only the
   partitions the source touches are read, merged, written to a side path and then moved
   into the table with dynamic partition overwrite. The move is logged in ``_moves``; a
@@ -82,7 +82,7 @@ def write_version(df: DataFrame, path: str) -> int:
 
     The data goes straight into its own directory (a ``partitionBy`` on a constant
     column would make every task sort its rows for nothing); the version becomes
-    current when its number is appended to ``<path>/_commits`` afterwards."""
+    current when its entry ``<path>/_commits/version=<n>`` is written afterwards."""
     version = time.time_ns() // 1000
     df.write.mode("errorifexists").parquet(f"{path}/{VERSION_COL}={version}")
     spark = df.sparkSession
