@@ -76,7 +76,8 @@ def main() -> None:
         assert first and env
 
     def q_dq():
-        QC.run_suite(Qs.warehouse_tables(spark, sf_dir), WAREHOUSE_CHECKS).collect()
+        rows = QC.run_checks(Qs.warehouse_tables(spark, sf_dir), WAREHOUSE_CHECKS, threads=cpus)
+        assert len(rows) == len(WAREHOUSE_CHECKS)
 
     def q_pipeline():
         PL.run(spark, scratch_path(spark, "bench-run"), "*", run_ts=W.FIXED_RUN_TS, raw=raw_dir).count()

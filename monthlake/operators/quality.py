@@ -8,6 +8,7 @@ All not_null checks of a table are computed in a single scan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -54,6 +55,19 @@ def _failures(df: DataFrame) -> DataFrame:
 
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """All checks as one DataFrame ``(table_name, check_name, columns, failures)``."""
+    return reduce(DataFrame.unionByName, _check_frames(tables, checks))
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], threads: int = 8) -> list:
+    """Execute the suite as independent jobs submitted side by side (a test runner's
+    threads); returns the summary rows (one per check, at most a few dozen)."""
+    frames = _check_frames(tables, checks)
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        results = list(pool.map(lambda f: f.collect(), frames))
+    return [r for rows in results for r in rows]
+
+
+def _check_frames(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> list[DataFrame]:
     parts: list[DataFrame] = []
     nn: dict[str, list[str]] = {}
     for ck in checks:
@@ -78,12 +92,14 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
         parts.append(_failures(bad).select(
             F.lit(ck.table).alias("table_name"), F.lit(ck.kind).alias("check_name"),
             F.lit(",".join(ck.columns)).alias("columns"), "failures"))
-    return reduce(DataFrame.unionByName, parts)
+    return parts
 
 
-def assert_suite(result: DataFrame) -> DataFrame:
-    """Raise ``AssertionError`` listing every failing check; return the result otherwise."""
-    bad = result.where(F.col("failures") > 0).collect()
+def assert_suite(result) -> object:
+    """Raise ``AssertionError`` listing every failing check; return the result otherwise.
+    Accepts the suite DataFrame or the rows from ``run_checks``."""
+    rows = result.where(F.col("failures") > 0).collect() if isinstance(result, DataFrame) else result
+    bad = [r for r in rows if r.failures > 0]
     if bad:
         lines = [f"{r.table_name}.{r.check_name}({r.columns}): {r.failures}" for r in bad]
         raise AssertionError("data-quality checks failed:\n" + "\n".join(lines))

@@ -93,3 +93,10 @@ def test_quality_checks_fail_on_seeded_bad_rows(spark):
     with pytest.raises(AssertionError):
         assert_suite(run_suite(t, WAREHOUSE_CHECKS))
     assert check_relationship(orphan, t["dim_orgaos_superiores"], "id_orgao_superior", "id_orgao_superior").count() == 1
+
+
+def test_concurrent_runner_matches_suite(spark):
+    from monthlake.operators.quality import run_checks
+    t = warehouse_tables(spark, SF_SMALL)
+    lazy = sorted(tuple(r) for r in run_suite(t, WAREHOUSE_CHECKS).collect())
+    assert sorted(tuple(r) for r in run_checks(t, WAREHOUSE_CHECKS)) == lazy
