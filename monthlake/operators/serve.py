@@ -94,5 +94,5 @@ def lookup(df: DataFrame, key: str, value, b_start=0, limit=DEFAULT_LIMIT,
 
 
 def row_json(df: DataFrame, col: str = "json") -> DataFrame:
-    """Each row as one JSON object (column names as fields)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias(col))
+    """Each row as one JSON object (column names as fields; NULL values kept as ``null``)."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias(col))

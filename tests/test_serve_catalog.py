@@ -79,3 +79,9 @@ def test_positional_page_matches_top_k(spark):
         assert got == want, (b, n)
     deep = page(df, "o_custkey", 12_000, 100, driver_rows=1_000)
     assert "TakeOrderedAndProject" not in plan_text(deep)
+
+
+def test_row_json_keeps_nulls(spark):
+    from monthlake.operators.serve import row_json
+    df = spark.createDataFrame([(1, None)], "id int, cnpj string")
+    assert row_json(df).first()[0] == '{"id":1,"cnpj":null}'
