@@ -50,19 +50,22 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
         src, key, order = dim_source(bronze, name)
         upsert_table(spark, p[name], schemas.describe(src), [key], order, columns=DIM_COLUMNS[name])
 
-    # The dimension upserts are independent jobs over the same bronze; submitting them
-    # from threads lets the scheduler run their stages side by side.
-    dims = [n for n in sorted(DIM_COLUMNS) if only in (None, n)]
-    with ThreadPoolExecutor(max_workers=max(1, len(dims))) as pool:
-        for f in [pool.submit(upsert_dim, n) for n in dims]:
-            f.result()
-    if only in (None, "dim_periodo"):
-        write_version(schemas.describe(dim_period(spark)), p["dim_periodo"])
-    if only in (None, FACT_TABLE):
+    def load_fact() -> None:
         target = try_read(spark, p[FACT_TABLE])
         src = schemas.describe(incremental_slice(fact_rows(bronze), target, backfill=backfill))
         upsert_table(spark, p[FACT_TABLE], src, list(FACT_KEY), fact_order(),
                      columns=schemas.FACT, partition="id_tempo")
+
+    # Dimensions, calendar and fact all read only bronze: they are independent jobs and
+    # are submitted side by side; the mart waits for all of them.
+    steps = [(lambda n=n: upsert_dim(n)) for n in sorted(DIM_COLUMNS) if only in (None, n)]
+    if only in (None, "dim_periodo"):
+        steps.append(lambda: write_version(schemas.describe(dim_period(spark)), p["dim_periodo"]))
+    if only in (None, FACT_TABLE):
+        steps.append(load_fact)
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        for f in [pool.submit(step) for step in steps]:
+            f.result()
     if only in (None, MART_TABLE):
         fact = spark.read.parquet(p[FACT_TABLE])
         mart = build_mart(fact, read_current(spark, p["dim_terceirizados"]),
