@@ -40,4 +40,5 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["id_terceirizado", "cnpj", "cpf", "orgao_superior_sigla"]
-    assert df.count() > 0
+    rows = sorted(tuple(r) for r in df.collect())
+    assert rows and rows == sorted(tuple(r) for r in E.queries()["mart_latest"](spark, SF_SMALL).collect())
