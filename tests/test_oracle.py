@@ -5,7 +5,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 
 sys.path.insert(0, "tools")
 from check_oracle import TABLES, digest  # noqa: E402
@@ -24,6 +24,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    plan = plan_text(df)
+    assert "EvalPython" not in plan and "PythonUDF" not in plan  # everything stays JVM-side
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
