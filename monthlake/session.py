@@ -40,12 +40,15 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir);
-    set a local one only when neither is configured (tests on one machine).
+    set a local one only when neither is configured and Spark itself runs in this process
+    (tests); on a cluster a missing shared folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[", 1)[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="monthlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -11,6 +11,7 @@ sys.path.insert(0, "tools")
 from check_oracle import TABLES, digest  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
+from monthlake.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = plan_text(df)
