@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthlake.llm import exact_dedup, mixing, quality
+from monthlake.llm import bpe, exact_dedup, mixing, quality, simhash
 from monthlake.llm.common import table, write_shared
+from monthlake.llm.queries import vocab_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,11 +17,20 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.dedup_rows(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup_rows(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_rows(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_copies), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(docs, vocab_path())
+
+
+STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies),
+          ("mixing", mix), ("bpe_encoding", encode)]
 ORACLE_SQL = None
 
 

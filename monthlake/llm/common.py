@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +53,31 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def driver_file(name: str) -> str:
+    """A path on the driver, kept until it exits: Spark's file server serves added files from
+    there whenever an executor asks, also one that joins late."""
+    d = tempfile.mkdtemp(prefix="monthlake-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    return os.path.join(d, name)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    out = driver_file(f"{package.name}-{uuid.uuid4().hex[:12]}.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 # --- one-hash bit filter of fixed size ---------------------------------------------------
 
 FILTER_BITS = 1 << 25  # 4 MB in all, in rows of 4 KB: the broadcast below never grows past it

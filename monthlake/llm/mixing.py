@@ -8,9 +8,10 @@ the fractional part when the middle of its span in the prefix sum lies inside th
 source misses its target by half a document at most.
 
 The prefix sum never sorts a source in one task: keys are binned by a monotone function into
-``KEY_BINS`` bins, bin sums (partially aggregated before the shuffle) locate the one bin per
-source that crosses the budget, and only that bin is sorted. The outcome per source is a
-cutoff (bin, key); taking a document is then a row-local comparison.
+``KEY_BINS`` bins of ``KEY_BINS`` bins each. Bin sums (partially aggregated before the shuffle)
+locate the bin of a source that crosses its budget, then the one inside it, and only that one
+is sorted. The outcome per source is a cutoff (bin, key); taking a document is then a
+row-local comparison.
 
 Defined cases: a null or blank text has size 0 and takes nothing; a null source is a source of
 its own, ordered last; null ids are allowed; rows equal in id and text share one key and are
@@ -29,7 +30,7 @@ from monthlake.llm.common import quoted, whole_row, word_count, write_shared
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-KEY_BINS = 16384
+KEY_BINS = 1024  # on each of two levels
 SYMBOLS = "#*$%&|<>"
 
 
@@ -52,8 +53,8 @@ def _sized(docs: DataFrame, *keep: Column) -> DataFrame:
                     F.col("text").alias("__text"), word_count(F.col("text")).alias("__size"))
     key = sample_key(F.col("__id"), F.col("__text"), quality_weight(F.col("__text"), F.col("__size")))
     d = d.withColumn("__key", key).drop("__text")
-    return d.withColumn("__bin", F.least(F.floor((1 - F.exp(-F.col("__key"))) * KEY_BINS),
-                                         F.lit(KEY_BINS - 1)).cast("int"))
+    return d.withColumn("__bin", F.least(F.floor((1 - F.exp(-F.col("__key"))) * KEY_BINS**2),
+                                         F.lit(KEY_BINS**2 - 1)).cast("int"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -84,18 +85,17 @@ def source_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs:
 
     ``sized`` has ``(source, size, key, bin)`` per document. Everything after the first
     aggregation is one row per source, or at most ``KEY_BINS`` rows per source."""
-    bins = sized.groupBy("source", "bin").agg(F.sum("size").alias("size"))
+    bins = sized.groupBy("source", _coarse("bin").alias("bin")).agg(F.sum("size").alias("size"))
     plan = source_targets(bins.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = plan.withColumn("epochs", epochs.cast("long"))
     plan = write_shared(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-targets")
 
-    upto = F.sum("size").over(Window.partitionBy("source").orderBy("bin"))
-    cum = bins.select("source", "bin", "size", upto.alias("upto"))
-    crossing = _with_source(cum, plan.select("source", "rest")).where(
-        (F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("size") < F.col("rest")))
-    crossing = write_shared(crossing.select("source", F.col("bin").alias("cut_bin"),
-                                            (F.col("upto") - F.col("size")).alias("before"), "rest"), "mix-crossing")
+    zero = F.lit(0).cast("long")
+    coarse = _crossing(bins, plan.select("source", "rest", zero.alias("start")), "mix-coarse")
+    inner = _with_source(sized, coarse).where(_coarse("bin") == F.col("cut_bin"))
+    inner = inner.groupBy("source", "bin").agg(F.sum("size").alias("size"))
+    crossing = _crossing(inner, coarse.select("source", "rest", F.col("before").alias("start")), "mix-fine")
 
     edge = _with_source(sized, crossing).where(F.col("bin") == F.col("cut_bin"))
     edge = edge.groupBy("source", "before", "rest", "key").agg(F.sum("size").alias("size"))
@@ -106,6 +106,19 @@ def source_plan(sized: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs:
     return _with_source(plan, cuts, "left").select("source", "source_size", "target", "epochs", "cut_bin", "cut_key")
 
 
+def _coarse(bin_: str) -> Column:
+    return F.floor(F.col(bin_) / KEY_BINS).cast("int")
+
+
+def _crossing(bins: DataFrame, budgets: DataFrame, name: str) -> DataFrame:
+    """Per source the bin whose prefix sum from ``start`` on reaches ``rest``, and the sum before it."""
+    upto = F.col("start") + F.sum("size").over(Window.partitionBy("source").orderBy("bin"))
+    cum = _with_source(bins, budgets).select("source", "bin", "size", "rest", upto.alias("upto"))
+    cum = cum.where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("size") < F.col("rest")))
+    return write_shared(cum.select("source", F.col("bin").alias("cut_bin"),
+                                   (F.col("upto") - F.col("size")).alias("before"), "rest"), name)
+
+
 def _with_source(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     """Join two frames on ``source``, null sources included."""
     b = b.withColumnRenamed("source", "__b_source")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthlake.llm import exact_dedup, mixing, quality
+from monthlake.llm import bpe, exact_dedup, mixing, quality, simhash
 from monthlake.llm.common import table
 
 
@@ -20,7 +20,21 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_exact_dedup)}
+def vocab_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), vocab_path())
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_exact_dedup, op9_bpe, op10_simhash)}
 
 OP1_SQL = r"""
 WITH sized AS (
