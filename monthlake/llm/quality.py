@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import quoted, whole_row, words
+from monthlake.llm.common import SPACES, let, words
 
 N_BUCKETS = 1 << 14
 MAX_TRUSTED = 20_000
@@ -46,9 +46,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS,
     """``ln(target / raw)`` per bucket, add-one smoothed. One pass over the texts."""
     ids = trusted.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
     ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(max_trusted).withColumn("__trusted", F.lit(1))
-    d = docs.select("doc_id", words(F.col("text")).alias("w"))
+    d = docs.select("doc_id", "text")
     d = d.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left")
-    grams = d.select(F.coalesce("__trusted", F.lit(0)).alias("t"), F.explode(buckets(F.col("w"), n_buckets)).alias("b"))
+    grams = d.select(F.coalesce("__trusted", F.lit(0)).alias("t"),
+                   F.explode(let(words(F.col("text")), lambda w: buckets(w, n_buckets))).alias("b"))
     rows = grams.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()  # <= n_buckets rows
     raw, target = [0] * n_buckets, [0] * n_buckets
     for r in rows:
@@ -90,31 +91,29 @@ def _repeat_words(w: Column) -> Column:
     return let(grams, lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(covered(g)))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _measure(text: Column, ratios: list[float], min_ratio: float) -> Column:
+    """All counts and verdicts of one text as a struct. Every intermediate is bound by ``let``: a
+    filter on the verdict is then never unfolded into expressions that split the text again."""
+    text = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(SPACES)) != "")
+    symbols = F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", ""))
 
+    def of_words(w: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.concat_ws("", w)).cast("long").alias("word_chars"),
+            symbols.cast("long").alias("n_symbols"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            _repeat_words(w).cast("long").alias("n_repeat_words"),
+            mean_ratio(w, ratios).alias("log_ratio"))
 
-def _measured(docs: DataFrame, *keep: Column) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select(*keep, text.alias("__text"), words(text).alias("__w"))
-    lines = F.filter(F.split(F.col("__text"), "\n"), lambda x: F.trim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
-    return d.select(
-        *[c for c in d.columns if c not in ("__text", "__w")], "__w",
-        F.size("__w").cast("long").alias("n_words"),
-        F.length(F.concat_ws("", "__w")).cast("long").alias("word_chars"),
-        (F.length("__text") - F.length(F.regexp_replace("__text", "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("__w")).cast("long").alias("n_repeat_words"))
+    def with_verdict(m: Column) -> Column:
+        failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ratio")
+        return F.struct(*[m[c].alias(c) for c in names], failed.alias("base_failed"),
+                        (~failed & (m["log_ratio"] >= min_ratio)).alias("kept"))
 
-
-def _judged(docs: DataFrame, trusted: DataFrame, min_ratio: float, *keep: Column) -> DataFrame:
-    ratios = log_ratios(docs, trusted)
-    d = _measured(docs, *keep)
-    d = d.select(*[c for c in d.columns if c != "__w"], mean_ratio(F.col("__w"), ratios).alias("log_ratio"))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    d = d.withColumn("base_failed", failed)
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= min_ratio))
+    return let(let(words(text), of_words), with_verdict)
 
 
 def trusted_of(labels: DataFrame) -> DataFrame:
@@ -123,12 +122,12 @@ def trusted_of(labels: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, trusted: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """One row per document: its counts, log-ratio, ``base_failed`` and ``kept``."""
-    return _judged(docs, trusted, min_ratio, F.col("doc_id")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "log_ratio")
+    m = _measure(F.col("text"), log_ratios(docs, trusted), min_ratio).alias("m")
+    return docs.select("doc_id", m).select(
+        "doc_id", *[f"m.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                       "base_failed", "kept", "log_ratio")])
 
 
 def quality_rows(docs: DataFrame, trusted: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    d = _judged(docs, trusted, min_ratio, whole_row(docs).alias("__row")).where("kept")
-    return d.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
+    return docs.where(_measure(F.col("text"), log_ratios(docs, trusted), min_ratio)["kept"])
