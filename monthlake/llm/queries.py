@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthlake.llm import bpe, exact_dedup, mixing, quality, simhash
+from monthlake.llm import bpe, classifier, exact_dedup, html_extract, mixing, quality, simhash, url_filter, warc
 from monthlake.llm.common import table
 
 
@@ -26,6 +26,22 @@ def vocab_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocab_path())
 
@@ -34,7 +50,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_exact_dedup, op9_bpe, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_exact_dedup, op4_url_filter, op5_html_extract, op6_warc, op8_classifier,
+                                   op9_bpe, op10_simhash)}
 
 OP1_SQL = r"""
 WITH sized AS (
@@ -71,4 +88,33 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
 FROM documents
 """
 
-ORACLE = {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL}
+OP4_SQL = r"""
+WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+judged AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule,
+    nullif(regexp_extract(host || path, '(?:^|[^A-Za-z0-9])(casino|poker|porn|viagra|xxx)(?:[^A-Za-z0-9]|$)', 1), '') AS word
+  FROM parts)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR word IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NULL THEN word END AS pattern
+FROM judged
+"""
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+g AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS best FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> best THEN best END AS refers_to
+FROM g
+"""
+
+ORACLE = {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op4_url_filter": OP4_SQL, "op6_warc": OP6_SQL}
