@@ -32,10 +32,10 @@ from monthlake.llm.common import let, ship_code, words
 N_BUCKETS = 1 << 18
 MAX_TRAIN = 20_000
 SHARDS = 4
-EPOCHS = 4
-SCALE = 16.0
+EPOCHS = 8
+SCALE = 64.0
 CUTOFF = 0.3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.05, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.01, 0.01
 FOLDS = 5
 END, AGAIN = "\n", "\n="  # no word holds them
 
