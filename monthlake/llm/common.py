@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterable
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,15 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain_scan(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have a place in a file; else a written copy, whose rows do."""
+    try:
+        docs.select("_metadata.file_path")
+        return docs
+    except AnalysisException:
+        return write_shared(docs, "content")
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -20,11 +20,10 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import bit_filter, quoted, whole_row, with_maybe, write_shared
+from monthlake.llm.common import bit_filter, plain_scan, quoted, whole_row, with_maybe, write_shared
 from monthlake.session import scratch_path
 
 Digest = Callable[[Column], Column]
@@ -44,11 +43,8 @@ def sha256_hex(text: Column) -> Column:
 def _located(docs: DataFrame) -> DataFrame:
     """``docs`` with ``__file, __row``; a frame that is no plain file scan is written first."""
     at = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
-    try:
-        return docs.select(*quoted(docs.columns), *at)
-    except AnalysisException:
-        written = write_shared(docs, "dedup-content")
-        return written.select(*quoted(written.columns), *at)
+    docs = plain_scan(docs)
+    return docs.select(*quoted(docs.columns), *at)
 
 
 @contextlib.contextmanager
@@ -156,9 +152,6 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def dedup_rows(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    try:
-        docs.select("_metadata.file_path")
-    except AnalysisException:
-        docs = write_shared(docs, "dedup-content")
+    docs = plain_scan(docs)
     dropped = write_shared(decisions(docs).where(~F.col("kept")).select(*LOCATOR), "dedup-dropped")
     return drop_rows(docs, dropped)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthlake.llm import bpe, classifier, exact_dedup, html_extract, mixing, quality, simhash, url_filter, warc
+from monthlake.llm import bpe, classifier, exact_dedup, html_extract, mixing, paragraphs, quality, simhash, url_filter, warc
 from monthlake.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("file", "row")
+
+
 def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,8 +54,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_exact_dedup, op4_url_filter, op5_html_extract, op6_warc, op8_classifier,
-                                   op9_bpe, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_exact_dedup, op4_url_filter, op5_html_extract, op6_warc, op7_substring_dedup,
+                                   op8_classifier, op9_bpe, op10_simhash)}
 
 OP1_SQL = r"""
 WITH sized AS (

@@ -32,11 +32,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import ship_code, write_shared
+from monthlake.llm.common import plain_scan, ship_code, write_shared
 from monthlake.llm.components import connected_components
 from monthlake.llm.exact_dedup import LOCATOR, _located, drop_rows
 
@@ -222,9 +221,6 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 def near_dedup_rows(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns."""
-    try:
-        docs.select("_metadata.file_path")
-    except AnalysisException:
-        docs = write_shared(docs, "simhash-content")
+    docs = plain_scan(docs)
     dropped = write_shared(decisions(docs).where("NOT kept").select(*LOCATOR), "simhash-dropped")
     return drop_rows(docs, dropped)
