@@ -26,7 +26,7 @@ from monthlake.llm.common import SPACES, let, words
 
 N_BUCKETS = 1 << 14
 MAX_TRUSTED = 20_000
-MIN_RATIO = -0.06
+MIN_RATIO = -0.1
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SMOOTHING = 1.0
