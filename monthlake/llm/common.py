@@ -35,7 +35,7 @@ def words(text: Column) -> Column:
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
 def word_count(text: Column) -> Column:

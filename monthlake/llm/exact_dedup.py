@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import bit_filter, plain_scan, quoted, whole_row, with_maybe, write_shared
+from monthlake.llm.common import bit_filter, plain_scan, whole_row, with_maybe, write_shared
 from monthlake.session import scratch_path
 
 Digest = Callable[[Column], Column]
@@ -40,11 +40,11 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def _located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__file, __row``; a frame that is no plain file scan is written first."""
-    at = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
-    docs = plain_scan(docs)
-    return docs.select(*quoted(docs.columns), *at)
+def located(docs: DataFrame, *keep: Column) -> DataFrame:
+    """``keep`` and the place of every row, ``__file, __row``; a frame that is no plain file scan
+    is written first."""
+    return plain_scan(docs).select(*keep, F.col("_metadata.file_path").alias("__file"),
+                                   F.col("_metadata.row_index").alias("__row"))
 
 
 @contextlib.contextmanager
@@ -85,8 +85,8 @@ def decisions(docs: DataFrame, digest: Digest = sha256_hex) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, digest, file, row``."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    source = _located(docs).select("doc_id", text.alias("text"), F.col("__file").alias("file"),
-                                   F.col("__row").alias("row"))
+    source = located(docs, F.col("doc_id"), text.alias("text")).select(
+        "doc_id", "text", F.col("__file").alias("file"), F.col("__row").alias("row"))
     keyed = source.withColumn("digest", digest(F.col("text"))).withColumn("n_bytes", F.octet_length("text"))
     base = scratch_path(spark, "llm-dedup")
     content = keyed.select("digest", "n_bytes", "doc_id", *LOCATOR)
@@ -136,12 +136,12 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 
 
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (as located by ``_located``) whose locator is not in ``dropped``.
+    """Rows of ``docs`` (a plain file scan) whose locator is not in ``dropped``.
 
     Rows that the bit filter clears never leave their task; only the others are joined."""
     columns = docs.columns
     at = F.concat_ws(":", F.col("__file"), F.col("__row"))
-    d = _located(docs).select(whole_row(docs).alias("__doc"), "__file", "__row")
+    d = located(docs, whole_row(docs).alias("__doc"))
     d = with_maybe(d, bit_filter(dropped, F.concat_ws(":", "file", "row")), at, "__maybe")
     x = dropped.select(F.col("file").alias("__x_file"), F.col("row").alias("__x_row"))
     stay = d.where("__maybe").join(x, (F.col("__file") == F.col("__x_file")) & (F.col("__row") == F.col("__x_row")),

@@ -29,9 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import bit_filter, plain_scan, quoted, ship_code, with_maybe, write_shared
+from monthlake.llm.common import bit_filter, plain_scan, ship_code, whole_row, with_maybe, write_shared
 from monthlake.llm.components import connected_components
-from monthlake.llm.exact_dedup import LOCATOR, _located
+from monthlake.llm.exact_dedup import LOCATOR, located
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -229,7 +229,7 @@ def repeated_paragraphs(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Every paragraph that has a copy or near copy: ``doc_id, line, start, n_chars, n_words,
     cluster_doc, cluster_line, cluster_size, removed`` and its document's ``file, row``."""
     ship_code(docs.sparkSession)
-    source = _located(docs.select("doc_id", "text")).select(
+    source = located(docs, F.col("doc_id"), F.col("text")).select(
         "doc_id", "text", F.col("__file").alias("file"), F.col("__row").alias("row"))
     p = write_shared(_each_paragraph(source), "para-all")
     classes = p.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)])
@@ -264,7 +264,9 @@ def cleaned_rows(docs: DataFrame) -> DataFrame:
     columns, docs = docs.columns, plain_scan(docs)
     gone = repeated_paragraphs(docs).where("removed").groupBy(*LOCATOR).agg(F.collect_set("line").alias("__gone"))
     gone = gone.select(F.col("file").alias("__f"), F.col("row").alias("__r"), "__gone")
-    j = _located(docs).join(gone, (F.col("__file") == F.col("__f")) & (F.col("__row") == F.col("__r")), "left")
-    lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("__gone"), i.cast("bigint")))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", lines))
-    return j.withColumn("text", text).select(*quoted(columns))
+    d = located(docs, whole_row(docs).alias("__doc"))
+    j = d.join(gone, (F.col("__file") == F.col("__f")) & (F.col("__row") == F.col("__r")), "left")
+    text = F.col("__doc.text")
+    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("__gone"), i.cast("bigint")))
+    text = F.when(F.col("__gone").isNull(), text).otherwise(F.concat_ws("\n", lines))
+    return j.select(*[text.alias(c) if c == "text" else F.col("__doc").getField(c).alias(c) for c in columns])

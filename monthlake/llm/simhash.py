@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from monthlake.llm.common import plain_scan, ship_code, write_shared
 from monthlake.llm.components import connected_components
-from monthlake.llm.exact_dedup import LOCATOR, _located, drop_rows
+from monthlake.llm.exact_dedup import LOCATOR, drop_rows, located
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -66,7 +66,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, file, row, fp`` (fp signed) per document, the texts read once."""
     ship_code(docs.sparkSession)
-    d = _located(docs).select("doc_id", "text", F.col("__file").alias("file"), F.col("__row").alias("row"))
+    d = located(docs, F.col("doc_id"), F.col("text")).select(
+        "doc_id", "text", F.col("__file").alias("file"), F.col("__row").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
