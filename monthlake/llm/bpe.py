@@ -37,8 +37,11 @@ from pyspark.sql import functions as F
 from monthlake.llm.common import driver_file, ship_code, write_shared
 
 LEXICON_WORDS = 100_000
-MEMO_PIECES = 300_000
+MEMO_PIECES = 600_000
 ROWS_AT_ONCE = 64
+NO_MERGE = 1 << 62
+ID = (1 << 32) - 1
+ONE = [bytes([b]) for b in range(256)]
 # The white space of the vocabulary's patterns, and its word pattern.
 WHITE = regex.compile("[\t-\r \x85\xa0  -     　]+")
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -66,29 +69,33 @@ class Merges:
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + end] for s in symbols]
-        self.pairs = {}
+        # A pair of ids and its merge (rank, new id) are one number each, so ranks compare as numbers.
+        self.pairs: dict[int, int] = {}
         for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
-            self.pairs[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.pairs[vocab[a] << 32 | vocab[b]] = rank << 32 | vocab[a + b]
 
     def merge(self, word: str) -> list[int]:
         """Ids of one normalised word: of all pairs the lowest rank merges first, leftmost first."""
         raw = word.encode("utf-8")
         ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
-        if len(ids) > 32:
+        if len(ids) > 64:
             return self._merge_long(ids)
         get = self.pairs.get
-        while len(ids) > 1:
-            ranked = [(p[0], i, p[1]) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if (p := get(pair))]
-            if not ranked:
-                break
-            _, i, new = min(ranked)
-            ids[i:i + 2] = [new]
+        ranks = [get(a << 32 | b, NO_MERGE) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != NO_MERGE:
+            i = ranks.index(best)
+            ids[i] = new = best & ID
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(new << 32 | ids[i + 1], NO_MERGE)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 32 | new, NO_MERGE)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         get, n = self.pairs.get, len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(p[0], i, ids[i], ids[i + 1], p[1]) for i in range(n - 1) if (p := get((ids[i], ids[i + 1])))]
+        heap = [(p >> 32, i, ids[i], ids[i + 1], p & ID) for i in range(n - 1) if (p := get(ids[i] << 32 | ids[i + 1]))]
         heapq.heapify(heap)
         while heap:
             _, i, a, b, new = heapq.heappop(heap)
@@ -99,10 +106,10 @@ class Merges:
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if p := get((new, ids[k])):
-                    heapq.heappush(heap, (p[0], i, new, ids[k], p[1]))
-            if (h := before[i]) >= 0 and (p := get((ids[h], new))):
-                heapq.heappush(heap, (p[0], h, ids[h], new, p[1]))
+                if p := get(new << 32 | ids[k]):
+                    heapq.heappush(heap, (p >> 32, i, new, ids[k], p & ID))
+            if (h := before[i]) >= 0 and (p := get(ids[h] << 32 | new)):
+                heapq.heappush(heap, (p >> 32, h, ids[h], new, p & ID))
         return [x for x in ids if x >= 0]
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -111,7 +118,8 @@ class Merges:
 
 # --- the automaton ------------------------------------------------------------------------
 # File: counts (states, edges, words, ids) as 4 uint32; per state: first edge, is-final; per edge:
-# byte, target, words passed before it; per word: first id; ids. All uint32, little-endian.
+# target, words passed before it; per word: first id; ids. All uint32, little-endian; then one
+# byte per edge.
 
 
 def compile_lexicon(words: dict[str, list[int]]) -> bytes:
@@ -165,8 +173,8 @@ def compile_lexicon(words: dict[str, list[int]]) -> bytes:
     for _, seq in coded:
         ids += seq
         at.append(len(ids))
-    flat = [len(order), len(byte), len(coded), len(ids), *first, *is_final, *byte, *target, *passed, *at, *ids]
-    return struct.pack(f"<{len(flat)}I", *flat)
+    flat = [len(order), len(byte), len(coded), len(ids), *first, *is_final, *target, *passed, *at, *ids]
+    return struct.pack(f"<{len(flat)}I", *flat) + bytes(byte)
 
 
 class Lexicon:
@@ -175,26 +183,28 @@ class Lexicon:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        u = memoryview(self.map).cast("I")
-        n, e, w, _ = u[:4]
+        u = memoryview(self.map)
+        n, e, w, i = u[:16].cast("I")
+        u = u[:4 * (4 + 2 * n + 1 + 2 * e + w + 1 + i)].cast("I")
         cuts, at = [], 4
-        for size in (n + 1, n, e, e, e, w + 1):
+        for size in (n + 1, n, e, e, w + 1, i):
             cuts.append(u[at:at + size])
             at += size
-        self.first, self.final, self.byte, self.target, self.passed, self.at = cuts
-        self.ids = u[at:]
-
-    def get(self, word: bytes) -> list[int] | None:
-        first, byte, state, index = self.first, self.byte, 0, 0
+        self.first, self.final, self.target, self.passed, self.at, _ = cuts
+        self.ids_at = 4 * (at - i)
+        self.bytes_at = 4 * at  # the edges' bytes come last, so that a state's are searched in place
+
+    def get(self, word: bytes) -> bytes | None:
+        """The word's ids as they stand in the file."""
+        find, base, first, target, passed = self.map.find, self.bytes_at, self.first, self.target, self.passed
+        state = index = 0
         for b in word:
-            for e in range(first[state], first[state + 1]):
-                if byte[e] == b:
-                    index += self.passed[e]
-                    state = self.target[e]
-                    break
-            else:
+            e = find(ONE[b], base + first[state], base + first[state + 1]) - base
+            if e < 0:
                 return None
-        return self.ids[self.at[index]:self.at[index + 1]].tolist() if self.final[state] else None
+            index += passed[e]
+            state = target[e]
+        return self.map[self.ids_at + 4 * self.at[index]:self.ids_at + 4 * self.at[index + 1]] if self.final[state] else None
 
 
 class Encoder(dict):
@@ -202,27 +212,45 @@ class Encoder(dict):
 
     def __init__(self, merges: Merges, lexicon: Lexicon):
         self.merges, self.lexicon = merges, lexicon
+        self.words: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        out = self.lexicon.get(word.encode("utf-8"))
+        if out is None:
+            ids = self.merges.merge(word)
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self.words) >= MEMO_PIECES:
+            self.words.clear()
+        if len(word) <= 64:
+            self.words[word] = out
+        return out
 
     def __missing__(self, piece: str) -> bytes:
-        ids: list[int] = []
-        special = self.merges.special
-        parts = self.merges.special_at.split(piece) if special and any(s in piece for s in special) else [piece]
-        for part in parts:
-            if part in special:
-                ids.append(special[part])
-                continue
-            # Letter by letter, as the vocabulary's normaliser does: no final form of sigma.
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for word in WORD.findall(part):
-                known = self.lexicon.get(word.encode("utf-8"))
-                ids += self.merges.merge(word) if known is None else known
-        out = struct.pack(f"<{len(ids)}I", *ids)
+        if piece.isascii() and piece.isalpha():  # most pieces are one plain word
+            word = piece.lower()
+            out = self.words.get(word) or self.word(word)
+        else:
+            out = self.parts(piece)
         if len(self) >= MEMO_PIECES:
             self.clear()
         if len(piece) <= 64:
             self[piece] = out
         return out
 
+    def parts(self, piece: str) -> bytes:
+        special, out = self.merges.special, b""
+        parts = self.merges.special_at.split(piece) if special and any(s in piece for s in special) else (piece,)
+        for part in parts:
+            if part in special:
+                out += struct.pack("<I", special[part])
+                continue
+            if not part.isascii():
+                # Letter by letter, as the vocabulary's normaliser does: no final form of sigma.
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            for word in WORD.findall(part.lower()):
+                out += self.words.get(word) or self.word(word)
+        return out
+
     def encode(self, text: str) -> bytes:
         pieces = WHITE.split(text) if NOT_SPLIT.search(text) else text.split()
         return b"".join(map(self.__getitem__, pieces))
