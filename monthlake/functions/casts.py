@@ -25,12 +25,17 @@ def nullify_tokens(c, tokens=NULL_TOKENS) -> Column:
 def to_int(c) -> Column:
     """Text -> int the way the warehouse's SQL engine casts: surrounding blanks ignored,
     ``'123.0'`` -> 123, halves round away from zero (``'123.5'`` -> 124); empty or
-    non-numeric text is an error under ANSI mode (as in the reference), NULL stays NULL.
+    non-numeric text, or a number outside the range, is an error whatever the session's ANSI
+    setting; NULL stays NULL.
 
     Plain integers take the direct cast; only text that is not one goes through the
-    exact decimal rounding (whose cast also raises the error for garbage)."""
+    exact decimal rounding."""
     c = _col(c)
-    return F.coalesce(c.try_cast("int"), F.round(c.cast("decimal(38,10)"), 0).cast("int"))
+    rounded = F.round(c.try_cast("decimal(38,10)"), 0)
+    inside = rounded.between(-(2 ** 31), 2 ** 31 - 1)
+    wrong = F.raise_error(F.concat(F.lit("not an integer: "), c)).cast("int")
+    return F.coalesce(c.try_cast("int"), F.when(c.isNull(), F.lit(None).cast("int"))
+                      .when(inside, rounded.try_cast("int")).otherwise(wrong))
 
 
 def to_money(c, decimal_comma: bool = False) -> Column:

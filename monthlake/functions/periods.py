@@ -76,8 +76,8 @@ def current_period() -> Column:
 
 
 def normalize_period(c) -> Column:
-    """Validate and normalise ``yyyy-MM`` text (error on anything else under ANSI)."""
-    return F.date_format(F.to_date(_col(c), "yyyy-MM"), "yyyy-MM")
+    """Validate and normalise ``yyyy-MM`` text (``2024-3`` too; error on anything else under ANSI)."""
+    return F.date_format(F.to_date(_col(c), "yyyy-M"), "yyyy-MM")
 
 
 def format_http_date(c) -> Column:

@@ -1,4 +1,4 @@
-"""First-row-per-key and checked broadcast."""
+"""First row per key."""
 
 from __future__ import annotations
 
@@ -24,12 +24,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataF
     rn = "__rn"
     return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The proof is a bounded job (``limit(max_rows + 1).count()``); past the bound the
-    frame is returned as is and the planner/AQE picks a shuffle join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -15,8 +15,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.operators.dedup import bounded_broadcast
-
 
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULL counts per column, one pass: ``(column_name, failures)``."""
@@ -35,16 +33,13 @@ def check_unique_combination(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count("*").alias("n_records")).where(F.col("n_records") > 1)
 
 
-def check_relationship(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,
-                       broadcast_rows: int = 5_000_000) -> DataFrame:
+def check_relationship(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row (anti-join).
 
-    The parent keys (a dimension) are broadcast once their count is proven under
-    ``broadcast_rows``, so a child key holding much of the table never lands in one
-    join task; past the bound the planner shuffles (AQE splits skewed partitions)."""
-    keys = bounded_broadcast(parent.select(F.col(parent_col).alias("__k")).distinct(), broadcast_rows)
-    c = child.where(F.col(child_col).isNotNull())
-    return c.join(keys, c[child_col] == keys["__k"], "left_anti")
+    The planner picks the join by the parent's size in bytes; in a shuffle join AQE splits the
+    partition of a key that holds much of the child table."""
+    keys = parent.select(F.col(parent_col).alias("__k"))
+    return child.where(F.col(child_col).isNotNull()).join(keys, F.col(child_col) == F.col("__k"), "left_anti")
 
 
 @dataclass(frozen=True)

@@ -1,27 +1,28 @@
-"""Serving: ordered pages, id lookups and the page envelope, as DataFrames.
+"""Serving: ordered pages, id lookups and the page envelope.
 
 ``b_start``/``limit`` follow the list endpoint: default 20 rows, at most 200;
 ``b_start < 0`` and ``limit < 0`` are errors, ``limit = 0`` is an empty page. Lookups
 also reject ``limit <= 0`` and raise ``LookupError`` when the id has no rows. Rows are
 ordered by the key, NULLs last, then by the remaining columns so pages never overlap.
-Shallow pages are planned as ``TakeOrderedAndProject(limit=b_start+limit, offset=b_start)``:
-each task keeps only its top ``b_start+limit`` rows and no full sort is shuffled. That
-costs tasks x (b_start+limit) rows at the driver, so deep pages switch to a positional
-plan instead: range-partition and sort, count rows per range (one small row per
-range), turn counts into starting offsets, and keep only the rows whose global
-position falls in the page.
+
+A serving table is written once in that order (range-partitioned and sorted) together with an
+index of its files: rows, first and last key, and the position of the first row. A page at any
+depth opens the files that hold its positions and takes its rows by their number in the file:
+nothing is sorted, and the driver gets the page only. A lookup finds its id's first position the
+same way; its equality filter skips the row groups of all other ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from monthlake.operators.upsert import VERSION_COL, _commit, _new_version, current
+
 DEFAULT_LIMIT = 20
 MAX_LIMIT = 200
-# Top-k ships (input partitions) x (b_start + limit) rows to the driver; past this
-# budget a page uses the positional plan.
-TOPK_DRIVER_ROWS = 4_000_000
 
 
 def clamp(b_start, limit, max_limit: int = MAX_LIMIT, allow_zero: bool = True) -> tuple[int, int]:
@@ -36,40 +37,61 @@ def clamp(b_start, limit, max_limit: int = MAX_LIMIT, allow_zero: bool = True) -
     return b, min(n, max_limit)
 
 
-def _ordered(df: DataFrame, key: str) -> list:
-    return [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in df.columns if c != key]
-
-
-def page(df: DataFrame, key: str, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX_LIMIT,
-         driver_rows: int = TOPK_DRIVER_ROWS) -> DataFrame:
-    """Rows ``b_start .. b_start+limit-1`` in key order.
-
-    The plan is chosen by the driver-side cost of top-k: ``partitions x (b_start+limit)``
-    rows. Counting partitions plans the input (for a table scan: its file splits)."""
+def page_order(columns: list[str], key: str) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in (key, *[c for c in columns if c != key])]
+
+
+def write_serving(df: DataFrame, path: str, key: str) -> int:
+    """Write a table version in page order, its file index, and then its commit entry."""
+    spark, order = df.sparkSession, page_order(df.columns, key)
+    version = _new_version(current(spark, path))
+    folder = f"{VERSION_COL}={version}"
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(f"{path}/data/{folder}")
+    rows = spark.read.schema(df.schema).parquet(f"{path}/data/{folder}")
+    name = F.col("_metadata.file_name")
+    files = rows.select(name.alias("file"), F.col(key).alias("k")).groupBy("file").agg(
+        F.count("*").alias("rows"), F.min("k").alias("first_key"), F.max("k").alias("last_key"),
+        F.count_if(F.col("k").isNull()).alias("null_keys"))
+    # Tasks are numbered in range order; one row per file of the table.
+    part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    upto = F.sum("rows").over(Window.orderBy(part, "file"))
+    files.withColumn("start", upto - F.col("rows")).write.parquet(f"{path}/_index/{folder}")
+    _commit(spark, path, version, [(None, folder)])
+    return version
+
+
+def _open(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
+    """The newest version's directory and its file index."""
+    c = current(spark, path)
+    if c is None:
+        raise LookupError(f"no table at {path}")
+    folder = f"{VERSION_COL}={c.version}"
+    return f"{path}/data/{folder}", spark.read.parquet(f"{path}/_index/{folder}")
+
+
+def total_rows(spark: SparkSession, path: str) -> int:
+    return _open(spark, path)[1].agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
+def _positions(spark: SparkSession, path: str, key: str, lo: int, hi: int) -> DataFrame:
+    """Rows at positions ``[lo, hi)`` in page order."""
+    data, index = _open(spark, path)
+    # A file holds a row at least, so at most hi - lo files hold a page.
+    files = index.where((F.col("start") < hi) & (F.col("start") + F.col("rows") > lo)).collect() if hi > lo else []
+    if not files:
+        return spark.read.parquet(data).limit(0)
+    df = spark.read.parquet(*[f"{data}/{f.file}" for f in files])
+    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    wanted = reduce(lambda a, b: a | b, [
+        (name == f.file) & (row >= lo - f.start) & (row < hi - f.start) for f in files])
+    return df.where(wanted).orderBy(*page_order(df.columns, key)).limit(hi - lo)
+
+
+def page(spark: SparkSession, path: str, key: str, b_start=0, limit=DEFAULT_LIMIT,
+         max_limit: int = MAX_LIMIT) -> DataFrame:
+    """Rows ``b_start .. b_start+limit-1`` of a serving table."""
     b, n = clamp(b_start, limit, max_limit)
-    order = _ordered(df, key)
-    if b + n <= MAX_LIMIT or (b + n) * df.rdd.getNumPartitions() <= driver_rows:
-        return df.orderBy(*order).offset(b).limit(n)
-    return positional_page(df, order, b, n)
-
-
-def positional_page(df: DataFrame, order: list, b: int, n: int) -> DataFrame:
-    """Rows at global positions ``[b, b+n)`` under ``order`` without a top-k of b+n rows.
-
-    The range exchange is shared by both branches (one shuffle); the per-range counts
-    are at most ``spark.sql.shuffle.partitions`` rows, so broadcasting them is bounded.
-    ``order`` must be a total order over distinct rows for stable pages."""
-    cols = df.columns
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    pid = F.spark_partition_id()
-    pos = ranged.select(*cols, pid.alias("__p"),
-                        (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias("__i"))
-    counts = pos.groupBy("__p").agg(F.count("*").alias("__n"))
-    starts = counts.select("__p", F.coalesce(F.sum("__n").over(
-        Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__s"))
-    g = F.col("__s") + F.col("__i")
-    hit = pos.join(F.broadcast(starts), "__p").where((g >= b) & (g < b + n))
-    return hit.orderBy(g).select(*cols)
+    return _positions(spark, path, key, b, b + n)
 
 
 def envelope(df: DataFrame, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX_LIMIT) -> DataFrame:
@@ -81,16 +103,22 @@ def envelope(df: DataFrame, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX
         F.when(F.lit(b + n) < total, F.lit(b + n)).alias("next"))
 
 
-def lookup(df: DataFrame, key: str, value, b_start=0, limit=DEFAULT_LIMIT,
-           max_limit: int = MAX_LIMIT, check_found: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(page of rows with ``key == value``, envelope with ``id``). The equality filter
-    reaches the parquet scan (row-group skipping). ``LookupError`` when nothing matches."""
+def lookup(spark: SparkSession, path: str, key: str, value, b_start=0, limit=DEFAULT_LIMIT,
+           max_limit: int = MAX_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """(page of rows with ``key == value``, envelope with the key) of a serving table.
+    ``LookupError`` when nothing matches."""
     b, n = clamp(b_start, limit, max_limit, allow_zero=False)
-    hit = df.where(F.col(key) == F.lit(value))
+    data, index = _open(spark, path)
+    hit = spark.read.parquet(data).where(F.col(key) == F.lit(value))
     env = envelope(hit, b, n, max_limit).select(F.lit(value).alias(key), "*")
-    if check_found and env.select("total").first()[0] == 0:
+    total = env.first()["total"]
+    if total == 0:
         raise LookupError(f"no rows for {key} = {value!r}")
-    return page(hit, key, b, n, max_limit), env
+    # The first file that holds the id, and the rows of smaller ids in it.
+    first = index.where((F.col("first_key") <= F.lit(value)) & (F.col("last_key") >= F.lit(value))).orderBy("start").first()
+    before = spark.read.parquet(f"{data}/{first.file}").where(F.col(key) < F.lit(value)).count()
+    lo = first.start + before + b
+    return _positions(spark, path, key, lo, min(lo + n, first.start + before + total)), env
 
 
 def row_json(df: DataFrame, col: str = "json") -> DataFrame:

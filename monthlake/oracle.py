@@ -173,25 +173,66 @@ DIM_PERIOD_SPAN = """dim_periodo AS (
         FROM (SELECT min(ano * 100 + mes_numero) AS lo, max(ano * 100 + mes_numero) AS hi FROM bronze))
 )"""
 
-SUITE_CTE = {"brutos_terceirizados": "bronze", "fact_contratos_terceirizados": "fact", "app_terceirizados": "mart"}
+# The declared checks, written out once more: table, kind, columns, parent table, parent column.
+SUITE = """
+bronze|brutos_terceirizados|unique_combination|id_terceirizado,mes_numero,ano
+bronze|brutos_terceirizados|not_null|id_terceirizado
+bronze|brutos_terceirizados|not_null|unidade_gestora_codigo
+bronze|brutos_terceirizados|not_null|cnpj
+bronze|brutos_terceirizados|not_null|cpf
+bronze|brutos_terceirizados|not_null|id_categoria_profissional
+bronze|brutos_terceirizados|not_null|mes_numero
+bronze|brutos_terceirizados|not_null|ano
+dim_categoria_profissional|dim_categoria_profissional|not_null|id_categoria_profissional
+dim_categoria_profissional|dim_categoria_profissional|not_null|categoria_profissional_nome
+dim_categoria_profissional|dim_categoria_profissional|unique|id_categoria_profissional
+dim_contratos|dim_contratos|unique|id_contrato
+dim_contratos|dim_contratos|not_null|id_contrato
+dim_contratos|dim_contratos|not_null|numero_contrato
+dim_orgaos|dim_orgaos|unique|id_orgao
+dim_orgaos|dim_orgaos|not_null|id_orgao
+dim_orgaos|dim_orgaos|not_null|id_orgao_superior
+dim_orgaos|dim_orgaos|not_null|orgao_nome
+dim_orgaos|dim_orgaos|relationships|id_orgao_superior|dim_orgaos_superiores|id_orgao_superior
+dim_orgaos_superiores|dim_orgaos_superiores|unique|id_orgao_superior
+dim_orgaos_superiores|dim_orgaos_superiores|not_null|id_orgao_superior
+dim_orgaos_superiores|dim_orgaos_superiores|not_null|unidade_gestora_codigo
+dim_orgaos_superiores|dim_orgaos_superiores|not_null|unidade_gestora_nome
+dim_periodo|dim_periodo|unique_combination|mes_numero,ano
+dim_periodo|dim_periodo|not_null|id_tempo
+dim_periodo|dim_periodo|not_null|mes_numero
+dim_periodo|dim_periodo|not_null|ano
+dim_periodo|dim_periodo|unique|id_tempo
+dim_terceirizados|dim_terceirizados|not_null|id_terceirizado
+dim_terceirizados|dim_terceirizados|not_null|cpf
+dim_terceirizados|dim_terceirizados|not_null|cnpj
+dim_terceirizados|dim_terceirizados|not_null|id_categoria_profissional
+dim_terceirizados|dim_terceirizados|unique|id_terceirizado
+fact|fact_contratos_terceirizados|unique_combination|id_terceirizado,id_contrato,id_orgao,id_tempo
+fact|fact_contratos_terceirizados|not_null|id_fato
+fact|fact_contratos_terceirizados|not_null|id_terceirizado
+fact|fact_contratos_terceirizados|not_null|id_tempo
+fact|fact_contratos_terceirizados|unique|id_fato
+mart|app_terceirizados|not_null|id_terceirizado
+mart|app_terceirizados|not_null|cnpj
+mart|app_terceirizados|not_null|cpf
+"""
 
 
-def suite_sql(checks) -> str:
+def suite_sql() -> str:
     """One SELECT per declared check, UNION ALL (what a test runner compiles them to)."""
     parts = []
-    for ck in checks:
-        t = SUITE_CTE.get(ck.table, ck.table)
-        head = f"SELECT '{ck.table}' AS table_name, '{ck.kind}' AS check_name, '{','.join(ck.columns)}' AS columns, "
-        cols = ", ".join(ck.columns)
-        if ck.kind == "not_null":
+    for line in SUITE.split():
+        t, name, kind, cols, *parent = line.split("|")
+        head = f"SELECT '{name}' AS table_name, '{kind}' AS check_name, '{cols}' AS columns, "
+        if kind == "not_null":
             parts.append(head + f"count(*) FILTER (WHERE {cols} IS NULL) AS failures FROM {t}")
-        elif ck.kind == "unique":
+        elif kind == "unique":
             parts.append(head + f"count(*) AS failures FROM (SELECT {cols} FROM {t} WHERE {cols} IS NOT NULL "
                                 f"GROUP BY {cols} HAVING count(*) > 1)")
-        elif ck.kind == "unique_combination":
+        elif kind == "unique_combination":
             parts.append(head + f"count(*) AS failures FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1)")
-        elif ck.kind == "relationships":
-            pt = SUITE_CTE.get(ck.to_table, ck.to_table)
+        else:
             parts.append(head + f"count(*) AS failures FROM {t} c WHERE c.{cols} IS NOT NULL AND NOT EXISTS "
-                                f"(SELECT 1 FROM {pt} p WHERE p.{ck.to_column} = c.{cols})")
+                                f"(SELECT 1 FROM {parent[0]} p WHERE p.{parent[1]} = c.{cols})")
     return "\nUNION ALL\n".join(parts)

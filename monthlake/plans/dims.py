@@ -7,97 +7,78 @@ attribute values (NULLs last), so results never depend on row order.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthlake import schemas
 from monthlake.functions.keys import period_key, surrogate_key
 from monthlake.operators.dedup import latest_per_key
 
-def latest_first() -> list:
-    """Newest month first."""
-    return [F.col("ano").desc_nulls_last(), F.col("mes_numero").desc_nulls_last()]
-
-
-def dedup_latest(rows: DataFrame, key: str, attrs) -> DataFrame:
-    """One row per ``key`` by month desc then ``attrs`` asc; drops the month columns."""
-    order = [*latest_first(), *attrs]
-    return latest_per_key(rows, [key], order).drop("ano", "mes_numero")
+MONTH_COL = "ref_tempo"  # stored beside a dimension's columns: the month that decided the row
 
 
-def category_rows(bronze: DataFrame) -> DataFrame:
-    return bronze.select("id_categoria_profissional", "categoria_profissional_nome", "ano", "mes_numero")
-
-
-def contract_rows(bronze: DataFrame) -> DataFrame:
-    return bronze.select("numero_contrato", surrogate_key("numero_contrato").alias("id_contrato"),
-                         "ano", "mes_numero")
+def latest_first() -> list:
+    """Newest month first."""
+    return [F.col(MONTH_COL).desc_nulls_last()]
 
 
-def agency_rows(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
-        "orgao_nome", "orgao_sigla", "orgao_codigo_siafi", "orgao_codigo_siape",
-        surrogate_key("orgao_nome", "orgao_sigla").alias("id_orgao"),
-        surrogate_key("unidade_gestora_nome", "unidade_gestora_codigo").alias("id_orgao_superior"),
-        "ano", "mes_numero")
+AGENCY = ("orgao_nome", "orgao_sigla")
+PARENT = ("unidade_gestora_nome", "unidade_gestora_codigo")
 
 
-def parent_agency_rows(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
-        "orgao_superior_sigla", "unidade_gestora_codigo", "unidade_gestora_nome",
-        surrogate_key("unidade_gestora_nome", "unidade_gestora_codigo").alias("id_orgao_superior"),
-        "ano", "mes_numero")
+@dataclass(frozen=True)
+class Dimension:
+    """How a dimension is cut from bronze: its natural key, the other columns in tie-break order,
+    and the surrogate keys that are added once one row per key is left."""
 
+    key: tuple[str, ...]
+    attributes: tuple[str, ...] = ()
+    hashed: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
-def worker_rows(bronze: DataFrame) -> DataFrame:
-    return bronze.select("id_terceirizado", "cpf", "cnpj", "terceirizado_nome", "razao_social",
-                         "id_categoria_profissional", "escolaridade", "ano", "mes_numero")
+    @property
+    def table_key(self) -> str:
+        return self.hashed[0][0] if self.hashed else self.key[0]
 
 
-# name -> (rows builder, unique key, tie-break attributes)
+# A surrogate key is injective in its columns, so dedup on these and hash the survivors.
 DIMENSIONS = {
-    "dim_categoria_profissional": (category_rows, "id_categoria_profissional",
-                                   ("categoria_profissional_nome",)),
-    "dim_contratos": (contract_rows, "id_contrato", ("numero_contrato",)),
-    "dim_orgaos": (agency_rows, "id_orgao",
-                   ("orgao_nome", "orgao_sigla", "orgao_codigo_siafi", "orgao_codigo_siape",
-                    "id_orgao_superior")),
-    "dim_orgaos_superiores": (parent_agency_rows, "id_orgao_superior",
-                              ("orgao_superior_sigla", "unidade_gestora_codigo", "unidade_gestora_nome")),
-    "dim_terceirizados": (worker_rows, "id_terceirizado",
-                          ("cpf", "cnpj", "terceirizado_nome", "razao_social",
-                           "id_categoria_profissional", "escolaridade")),
+    "dim_categoria_profissional": Dimension(("id_categoria_profissional",), ("categoria_profissional_nome",)),
+    "dim_contratos": Dimension(("numero_contrato",), (), (("id_contrato", ("numero_contrato",)),)),
+    "dim_orgaos": Dimension(AGENCY, ("orgao_codigo_siafi", "orgao_codigo_siape", *PARENT),
+                            (("id_orgao", AGENCY), ("id_orgao_superior", PARENT))),
+    "dim_orgaos_superiores": Dimension(PARENT, ("orgao_superior_sigla",), (("id_orgao_superior", PARENT),)),
+    "dim_terceirizados": Dimension(("id_terceirizado",), ("cpf", "cnpj", "terceirizado_nome", "razao_social",
+                                                          "id_categoria_profissional", "escolaridade")),
 }
 
 
 def dim_source(bronze: DataFrame, name: str) -> tuple[DataFrame, str, list]:
-    """(candidate rows with month columns, key, full dedup order) for an upsert."""
-    rows, key, attrs = DIMENSIONS[name]
-    return rows(bronze), key, [*latest_first(), *attrs]
+    """(one row per key with its deciding month, key, order) for an upsert."""
+    d = DIMENSIONS[name]
+    rows = bronze.select(*d.key, *d.attributes, period_key("ano", "mes_numero").alias(MONTH_COL))
+    ties: list = [c for c in d.attributes if c not in PARENT]
+    if name == "dim_orgaos":  # its last tie-break is the parent agency's key
+        ties.append(surrogate_key(*PARENT).asc_nulls_last())
+    one = latest_per_key(rows, d.key, [*latest_first(), *ties])
+    for column, parts in d.hashed:
+        one = one.withColumn(column, surrogate_key(*parts))
+    return one, d.table_key, [*latest_first(), *[c for c in one.columns if c not in (d.table_key, MONTH_COL)]]
 
 
 def build_dim(bronze: DataFrame, name: str) -> DataFrame:
-    rows, key, attrs = DIMENSIONS[name]
-    return dedup_latest(rows(bronze), key, attrs)
+    """One row per key: the newest month wins, ties go to the smallest attributes."""
+    return dim_source(bronze, name)[0].select(*COLUMNS[name])
 
 
-def dim_category(bronze: DataFrame) -> DataFrame:
-    return build_dim(bronze, "dim_categoria_profissional")
-
-
-def dim_contract(bronze: DataFrame) -> DataFrame:
-    return build_dim(bronze, "dim_contratos")
-
-
-def dim_agency(bronze: DataFrame) -> DataFrame:
-    return build_dim(bronze, "dim_orgaos")
-
-
-def dim_parent_agency(bronze: DataFrame) -> DataFrame:
-    return build_dim(bronze, "dim_orgaos_superiores")
-
-
-def dim_worker(bronze: DataFrame) -> DataFrame:
-    return build_dim(bronze, "dim_terceirizados")
+COLUMNS = {
+    "dim_categoria_profissional": schemas.DIM_CATEGORY,
+    "dim_contratos": schemas.DIM_CONTRACT,
+    "dim_orgaos": schemas.DIM_AGENCY,
+    "dim_orgaos_superiores": schemas.DIM_PARENT_AGENCY,
+    "dim_terceirizados": schemas.DIM_WORKER,
+}
 
 
 def dim_period(spark: SparkSession, start: str = "2020-01-01", end: str = "2030-12-01") -> DataFrame:

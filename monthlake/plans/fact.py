@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from monthlake.functions.keys import period_key, surrogate_key
 from monthlake.operators.dedup import latest_per_key
+from monthlake.operators.upsert import Commit
 
 FACT_KEY = ("id_fato",)
 # Several bronze rows can share a grain; keep the highest salary, then cost, then the
@@ -17,38 +18,59 @@ def fact_order() -> list:
             F.col("id_orgao_superior").asc_nulls_last()]
 
 
-def fact_rows(bronze: DataFrame) -> DataFrame:
-    """Bronze -> fact columns with surrogate keys (not yet one row per grain)."""
-    cols = [
-        "id_terceirizado",
-        period_key("ano", "mes_numero").alias("id_tempo"),
-        "salario_mensal_valor",
-        "custo_mensal_valor",
-    ]
+# The columns behind ``id_fato``: both its md5 parts and the key itself are injective in them.
+GRAIN = ("id_terceirizado", "numero_contrato", "orgao_nome", "orgao_sigla", "id_tempo")
+
+
+def grain_rows(bronze: DataFrame) -> DataFrame:
+    """Bronze -> the fact's natural columns, one row per bronze row, nothing hashed yet."""
+    cols = ["id_terceirizado", period_key("ano", "mes_numero").alias("id_tempo"),
+            "salario_mensal_valor", "custo_mensal_valor"]
     if "data_processamento" in bronze.columns:
         cols.append("data_processamento")
-    cols += [
+    return bronze.select(*cols, "numero_contrato", "orgao_nome", "orgao_sigla", "unidade_gestora_nome",
+                         "unidade_gestora_codigo")
+
+
+def grain_order() -> list:
+    """``fact_order`` before hashing: the parent agency's key is needed for its ties."""
+    return [F.col("salario_mensal_valor").desc_nulls_last(), F.col("custo_mensal_valor").desc_nulls_last(),
+            surrogate_key("unidade_gestora_nome", "unidade_gestora_codigo").asc_nulls_last()]
+
+
+def with_keys(grain: DataFrame) -> DataFrame:
+    """Replace the natural columns by their surrogate keys."""
+    out = grain.select(
+        *[c for c in grain.columns if c in ("id_terceirizado", "id_tempo", "salario_mensal_valor",
+                                            "custo_mensal_valor", "data_processamento")],
         surrogate_key("numero_contrato").alias("id_contrato"),
         surrogate_key("orgao_nome", "orgao_sigla").alias("id_orgao"),
-        surrogate_key("unidade_gestora_nome", "unidade_gestora_codigo").alias("id_orgao_superior"),
-    ]
-    src = bronze.select(*cols)
-    return src.withColumn("id_fato", surrogate_key("id_terceirizado", "id_contrato", "id_orgao", "id_tempo"))
+        surrogate_key("unidade_gestora_nome", "unidade_gestora_codigo").alias("id_orgao_superior"))
+    return out.withColumn("id_fato", surrogate_key("id_terceirizado", "id_contrato", "id_orgao", "id_tempo"))
+
+
+def fact_rows(bronze: DataFrame) -> DataFrame:
+    """Bronze -> fact columns with surrogate keys (not yet one row per grain)."""
+    return with_keys(grain_rows(bronze))
 
 
 def build_fact(bronze: DataFrame) -> DataFrame:
-    """Full build: keyed rows deduplicated to one row per ``id_fato``."""
-    return latest_per_key(fact_rows(bronze), FACT_KEY, fact_order())
+    """Full build: one row per grain, then the keys of the survivors only."""
+    return with_keys(latest_per_key(grain_rows(bronze), GRAIN, grain_order()))
 
 
-def incremental_slice(fact_src: DataFrame, target: DataFrame | None, backfill: bool = False) -> DataFrame:
-    """High-watermark filter: keep source months ``>=`` the newest month already loaded.
+def incremental_slice(fact_src: DataFrame, newest: int | None, backfill: bool = False) -> DataFrame:
+    """High-watermark filter: keep source months ``>=`` the newest month already loaded
+    (``newest``, from the target's commit log: no data file is opened for it).
 
-    Months older than the watermark are dropped unless ``backfill``. An absent or empty
-    target has no watermark and loads everything. The watermark is an uncorrelated
-    scalar subquery over the target's partition column, run once.
-    """
-    if target is None or backfill:
+    Months older than the watermark are dropped unless ``backfill``. A target without a
+    month has no watermark and loads everything."""
+    if newest is None or backfill:
         return fact_src
-    mark = target.select(F.max("id_tempo")).scalar()
-    return fact_src.where(F.col("id_tempo") >= F.coalesce(mark, F.lit(-(2 ** 31))))
+    return fact_src.where(F.col("id_tempo") >= F.lit(newest))
+
+
+def newest_month(commit: Commit | None) -> int | None:
+    """The newest month of a committed fact, or None."""
+    months = [int(v) for v in commit.values if v.lstrip("-").isdigit()] if commit else []
+    return max(months, default=None)

@@ -1,9 +1,13 @@
 """One warehouse run: raw period files -> bronze -> silver dims + fact -> gold mart.
 
 Layout under ``base``: ``raw/periodo=YYYY-MM/`` (all-text), ``bronze/``, ``silver/<table>/``,
-``gold/app_terceirizados/``. Every layer is written before the next one reads it.
-Dimensions and bronze/gold are versioned (a run appends a complete new version), the
-fact is partitioned by ``id_tempo`` and rewritten partition-wise behind its watermark.
+``gold/app_terceirizados/``. Every layer is written before the next one reads it, through the
+one commit mechanism of ``operators.upsert``. The fact is partitioned by ``id_tempo``; its
+watermark and the mart's month come from its commit log. Gold is written in page order.
+
+One rule decides between loads: of a dimension's row the newest month wins, and a month that is
+loaded again replaces what it gave before. A load always holds whole months, so the tables do
+not depend on the order in which months arrive.
 """
 
 from __future__ import annotations
@@ -12,22 +16,19 @@ import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from monthlake import schemas
-from monthlake.operators.upsert import read_current, try_read, upsert_table, write_version
-from monthlake.plans.dims import DIMENSIONS, dim_period, dim_source
-from monthlake.plans.fact import FACT_KEY, fact_order, fact_rows, incremental_slice
+from monthlake.functions.periods import current_period, normalize_period
+from monthlake.operators.serve import write_serving
+from monthlake.operators.upsert import current, read_commit, read_current, upsert_table, write_version
+from monthlake.plans.dims import COLUMNS as DIM_COLUMNS
+from monthlake.plans.dims import MONTH_COL, dim_period, dim_source, latest_first
+from monthlake.plans.fact import FACT_KEY, build_fact, incremental_slice, newest_month
 from monthlake.plans.mart import build_mart
 from monthlake.plans.staging import run_timestamp, stage
 from monthlake.sources.ingest import read_periods
 
-DIM_COLUMNS = {
-    "dim_categoria_profissional": schemas.DIM_CATEGORY,
-    "dim_contratos": schemas.DIM_CONTRACT,
-    "dim_orgaos": schemas.DIM_AGENCY,
-    "dim_orgaos_superiores": schemas.DIM_PARENT_AGENCY,
-    "dim_terceirizados": schemas.DIM_WORKER,
-}
 FACT_TABLE = "fact_contratos_terceirizados"
 MART_TABLE = "app_terceirizados"
 STEPS = ("bronze", *sorted(DIM_COLUMNS), "dim_periodo", FACT_TABLE, MART_TABLE)
@@ -47,14 +48,14 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
     p = paths(base)
 
     def upsert_dim(name: str) -> None:
-        src, key, order = dim_source(bronze, name)
-        upsert_table(spark, p[name], schemas.describe(src), [key], order, columns=DIM_COLUMNS[name])
+        src, key, _ = dim_source(bronze, name)
+        upsert_table(spark, p[name], schemas.describe(src), [key], None,
+                     columns=[*DIM_COLUMNS[name], MONTH_COL], rank=latest_first())
 
     def load_fact() -> None:
-        target = try_read(spark, p[FACT_TABLE])
-        src = schemas.describe(incremental_slice(fact_rows(bronze), target, backfill=backfill))
-        upsert_table(spark, p[FACT_TABLE], src, list(FACT_KEY), fact_order(),
-                     columns=schemas.FACT, partition="id_tempo")
+        newest = newest_month(current(spark, p[FACT_TABLE]))
+        src = schemas.describe(incremental_slice(build_fact(bronze), newest, backfill=backfill))
+        upsert_table(spark, p[FACT_TABLE], src, list(FACT_KEY), None, columns=schemas.FACT, partition="id_tempo")
 
     # Dimensions, calendar and fact all read only bronze: they are independent jobs and
     # are submitted side by side; the mart waits for all of them.
@@ -67,28 +68,43 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
         for f in [pool.submit(step) for step in steps]:
             f.result()
     if only in (None, MART_TABLE):
-        fact = spark.read.parquet(p[FACT_TABLE])
-        mart = build_mart(fact, read_current(spark, p["dim_terceirizados"]),
-                          read_current(spark, p["dim_orgaos_superiores"]))
-        write_version(schemas.describe(mart), p[MART_TABLE])
+        commit = current(spark, p[FACT_TABLE])
+        newest = newest_month(commit)
+        if newest is None:
+            raise ValueError("the fact holds no month yet")
+        mart = build_mart(read_commit(spark, p[FACT_TABLE], commit, [str(newest)]), read_layer(spark, base, "dim_terceirizados"),
+                          read_layer(spark, base, "dim_orgaos_superiores"), newest)
+        write_serving(schemas.describe(mart), p[MART_TABLE], "id_terceirizado")
 
 
-def run(spark: SparkSession, base: str, period: str = "*", only: str | None = None,
+def run(spark: SparkSession, base: str, period: str | None = None, only: str | None = None,
         run_ts: _dt.datetime | None = None, backfill: bool = False, raw: str | None = None) -> DataFrame:
-    """Run every layer for one period (``'YYYY-MM'``) or all (``'*'``); ``only`` runs one
-    step (``STEPS``) from the layers already written; ``raw`` overrides where the raw
-    period files live (default ``<base>/raw``). Returns the gold mart."""
+    """Run every layer for one period (``'YYYY-MM'``; default: the current month) or all
+    (``'*'``); ``only`` runs one step (``STEPS``) from the layers already written; ``raw``
+    overrides where the raw period files live (default ``<base>/raw``). A period that has not
+    landed is an error. Returns the gold mart."""
     if only is not None and only not in STEPS:
         raise ValueError(f"unknown step {only!r}; one of {STEPS}")
     p = paths(base, raw)
     if only in (None, "bronze"):
-        raw = read_periods(spark, p["raw"], schema=schemas.RAW, period=period)
-        write_version(stage(raw, run_ts or run_timestamp()), p["bronze"])
+        wanted = "*" if period == "*" else one_period(spark, period)
+        raw = read_periods(spark, p["raw"], schema=schemas.RAW, period=wanted)
+        write_version(schemas.describe(stage(raw, run_ts or run_timestamp())), p["bronze"])
     if only != "bronze":
         load_silver_gold(spark, base, read_current(spark, p["bronze"]), only=only, backfill=backfill)
     return read_current(spark, p[MART_TABLE])
 
 
-def read_layer(spark: SparkSession, base: str, table: str) -> DataFrame:
-    p = paths(base)[table]
-    return spark.read.parquet(p) if table == FACT_TABLE else read_current(spark, p)
+def one_period(spark: SparkSession, period: str | None) -> str:
+    """A period as ``YYYY-MM`` (an error for anything else); None is the current month."""
+    value = current_period() if period is None else normalize_period(F.lit(period))
+    out = spark.range(1).select(value).first()[0]
+    if out is None:
+        raise ValueError(f"not a period: {period!r}")
+    return out
+
+
+def read_layer(spark: SparkSession, base: str, table: str) -> DataFrame | None:
+    """A silver or gold table with its contract columns."""
+    df = read_current(spark, paths(base)[table])
+    return df.drop(MONTH_COL) if df is not None and table in DIM_COLUMNS else df

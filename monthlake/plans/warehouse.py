@@ -62,6 +62,23 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         build_fact(bronze(spark, sf_dir)), "id_tempo", ["id_fato"]), partition="id_tempo")
 
 
+def serving(spark: SparkSession, sf_dir: str, name: str, key: str, build) -> str:
+    """Path of a serving table (page order and file index), written once."""
+    from monthlake.operators.serve import write_serving
+    at = (spark.sparkContext.applicationId, sf_dir, f"serving-{name}")
+    if at not in _written:
+        path = scratch_path(spark, f"serving-{name}")
+        write_serving(build(), path, key)
+        _written[at] = path
+    return _written[at]
+
+
+def newest(spark: SparkSession, sf_dir: str) -> int:
+    """Newest month of the fact, from its directories' names."""
+    files = fact(spark, sf_dir).inputFiles()
+    return max(int(f.rsplit("/id_tempo=", 1)[1].split("/", 1)[0]) for f in files)
+
+
 def dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in DIMENSIONS:
         raise KeyError(name)
@@ -72,4 +89,4 @@ def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     from monthlake.plans.mart import build_mart
     return _once(spark, sf_dir, "mart", lambda: build_mart(
         fact(spark, sf_dir), dim(spark, sf_dir, "dim_terceirizados"),
-        dim(spark, sf_dir, "dim_orgaos_superiores")))
+        dim(spark, sf_dir, "dim_orgaos_superiores"), newest(spark, sf_dir)))

@@ -97,6 +97,22 @@ COMMENTS = {
 }
 
 
+COMMENTS = {f.name: f.metadata["comment"] for f in BRONZE.fields} | COMMENTS | {"ref_tempo": "month that decided the row"}
+
+# Table descriptions, set when a table is registered.
+TABLE_COMMENTS = {
+    "brutos_terceirizados": "typed raw rows, one per published line",
+    "dim_categoria_profissional": "job categories",
+    "dim_contratos": "contracts",
+    "dim_orgaos": "agencies with their parent agency",
+    "dim_orgaos_superiores": "parent agencies and managing units",
+    "dim_periodo": "calendar of months",
+    "dim_terceirizados": "workers, newest known attributes",
+    "fact_contratos_terceirizados": "one row per worker, contract, agency and month",
+    "app_terceirizados": "workers of the newest month, one row each",
+}
+
+
 def describe(df):
     """Attach the column descriptions as metadata (kept in the written Parquet schema)."""
     from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 """Finding the newest file per period in crawled listing pages (as DataFrames).
 
-Pages are rows ``(page_id, url, html)``; links are pulled with a regular expression
-(no DOM parser), filtered like the catalog search, and one version per period is
+Pages are rows ``(page_id, url, html)``; entries and their first link are pulled with regular
+expressions (no DOM parser), filtered like the catalog search, and one version per period is
 chosen by its ``Last-Modified`` time.
 """
 
@@ -14,15 +14,20 @@ from pyspark.sql import functions as F
 
 from monthlake.operators.dedup import latest_per_key
 
-HREF_PATTERN = r"<a\s[^>]*href=\"([^\"]*)\""
+ENTRY_PATTERN = r"""(?is)<article\b[^>]*\bclass\s*=\s*["'][^"']*\bentry\b[^"']*["'][^>]*>(.*?)</article>"""
+HREF_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 FILE_EXTENSIONS = (".csv", ".xlsx")
 
 
-def extract_links(pages: DataFrame, pattern: str = HREF_PATTERN, html_col: str = "html",
-                  keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    """One row per link: ``keep`` columns, ``pos`` (0-based order in the page), ``href``."""
-    return pages.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(pattern), 1))
-                        .alias("pos", "href"))
+def extract_links(pages: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """The first link of every catalog entry (``article`` of class ``entry``): ``keep`` columns,
+    ``pos`` (0-based order of the entry in the page), ``href``. Entries without a link are left
+    out; both quote styles and any case are read."""
+    entries = pages.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(ENTRY_PATTERN), 1))
+                           .alias("pos", "entry"))
+    href = F.concat(F.regexp_extract("entry", HREF_PATTERN, 1), F.regexp_extract("entry", HREF_PATTERN, 2))
+    return entries.where(F.col("entry").rlike(HREF_PATTERN)).select(
+        *keep, "pos", F.replace(href, F.lit("&amp;"), F.lit("&")).alias("href"))
 
 
 def candidates(links: DataFrame, year: str | None, month_num: str | None, month_name: str | None,

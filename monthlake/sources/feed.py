@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.operators.dedup import bounded_broadcast
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,11 +23,9 @@ def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False) -> Dat
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     part = load(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
-    # Supplier x nation x region is small and joined once; nation and region are
-    # broadcast only behind a row-count bound.
-    nation = bounded_broadcast(load(spark, sf_dir, "nation").select(
-        "n_nationkey", "n_name", "n_regionkey"), 10_000)
-    region = bounded_broadcast(load(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)
+    # Supplier x nation x region is small and joined once.
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     supp = (load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
             .join(nation, s("s_nationkey") == s("n_nationkey"))
             .join(region, s("n_regionkey") == s("r_regionkey")))

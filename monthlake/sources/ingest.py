@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthlake.functions.casts import NULL_TOKENS, nullify_tokens
-from monthlake.operators.dedup import bounded_broadcast
+from monthlake.operators.upsert import current, directories, try_read
+from monthlake.schemas import RAW_COLUMNS
 
 PERIOD_COL = "periodo"
+NO_TEXT = "\x00"  # stands for an absent field while parsing, so that a quoted empty text stays a text
 
 
 def all_string(df: DataFrame) -> DataFrame:
@@ -44,26 +46,35 @@ def read_raw(spark: SparkSession, path: str | list[str], fmt: str | None = None,
     """Read one raw period file (or many) as all-text columns with missing tokens nulled.
 
     ``fmt`` defaults to the file extension: ``csv`` (semicolon / latin-1 by default,
-    header row, no type inference) or ``parquet``. Spreadsheets have no Spark source
+    header row, no type inference; quotes doubled inside quotes, a line break inside quotes is
+    text, which makes one task of a file) or ``parquet``. Several paths are read each by its own
+    header and united by column name. Spreadsheets have no Spark source
     and must be exported to CSV first; any other format is a ``ValueError``.
     """
-    first = path if isinstance(path, str) else path[0]
-    fmt = (fmt or detect_format(first)).lower()
-    if "csv" in fmt or fmt in ("txt", "text"):
-        df = (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
-              .option("inferSchema", False).option("mode", "FAILFAST").csv(path))
-    elif "parquet" in fmt:
-        df = all_string(spark.read.parquet(*([path] if isinstance(path, str) else path)))
-    elif "xlsx" in fmt:
-        raise ValueError("xlsx has no Spark source: export the sheet to CSV and read that")
-    else:
-        raise ValueError(f"unsupported raw file type: {fmt!r}")
+    paths = [path] if isinstance(path, str) else list(path)
+    frames = []
+    for one in paths:  # one at a time: the columns of each file go by their own header
+        kind = (fmt or detect_format(one)).lower()
+        if "csv" in kind or kind in ("txt", "text"):
+            frames.append(spark.read.options(header=header, sep=sep, encoding=encoding, quote='"', escape='"',
+                                             multiLine=True, inferSchema=False, mode="FAILFAST",
+                                             nullValue=NO_TEXT).csv(one))
+        elif "parquet" in kind:
+            frames.append(all_string(spark.read.parquet(one)))
+        elif "xlsx" in kind:
+            raise ValueError("xlsx has no Spark source: export the sheet to CSV and read that")
+        else:
+            raise ValueError(f"unsupported raw file type: {kind!r}")
+    df = union_files(frames)
     return null_tokens(df, tokens) if tokens else df
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> None:
-    (df.write.mode("overwrite").option("header", True).option("sep", sep)
-       .option("encoding", encoding).option("nullValue", "").csv(path))
+    """Delimited text that ``read_raw`` reads back as it was: quotes doubled, blanks kept, the
+    empty text quoted and NULL not."""
+    df.write.mode("overwrite").options(
+        header=True, sep=sep, encoding=encoding, quote='"', escape='"', escapeQuotes=True, nullValue="", emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -92,19 +103,41 @@ def write_period(df: DataFrame, path: str, period_col: str = PERIOD_COL, cluster
 
 
 def read_periods(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 period: str | None = None, period_col: str = PERIOD_COL) -> DataFrame:
-    """Scan one period (``'YYYY-MM'``) or all (``None`` / ``'*'``) of a period layout.
-
-    One period is a partition filter: only that directory is listed and read."""
-    reader = spark.read
+                 period: str | Sequence[str] | None = None, period_col: str = PERIOD_COL) -> DataFrame:
+    """Scan one period (``'YYYY-MM'``), several, or all (``None`` / ``'*'``) of a period layout.
+
+    Named periods are opened by their directories alone; one that has not landed raises
+    ``FileNotFoundError``. With ``schema``, a column that the files lack raises ``ValueError``."""
+    names = None if period in (None, "*") else [period] if isinstance(period, str) else list(period)
+    dirs = [path] if names is None else [f"{path}/{period_col}={p}" for p in names]
+    found = try_read(spark, path) if names is None else None
+    for p, d in zip(names or [], dirs):
+        if try_read(spark, d) is None:
+            raise FileNotFoundError(f"period {p} has not landed under {path}")
+    reader = spark.read.option("basePath", path)
     if schema is not None:
+        have = {c.lower() for c in (found.columns if found is not None else reader.parquet(*dirs).columns)}
+        if missing := [c for c in schema.fieldNames() if c.lower() not in have]:
+            raise ValueError(f"the files under {path} have no column {', '.join(missing)}")
         if period_col not in schema.fieldNames():
             schema = T.StructType(schema.fields + [T.StructField(period_col, T.StringType())])
         reader = reader.schema(schema)
-    df = reader.option("basePath", path).parquet(path)
-    if period not in (None, "*"):
-        df = df.where(F.col(period_col) == F.lit(period))
-    return df
+    return reader.parquet(*dirs).withColumn(period_col, F.col(period_col).cast("string"))
+
+
+def ingest_period(spark: SparkSession, files: str | Sequence[str], path: str, period: str,
+                  required: Sequence[str] = RAW_COLUMNS, fmt: str | None = None, **read) -> bool:
+    """One period's raw files -> all text -> missing tokens to NULL -> ``periodo=<period>``.
+
+    A period that has landed is left alone (returns False, no file is read). A file without a
+    required column (any case) is an error."""
+    if try_read(spark, f"{path}/{PERIOD_COL}={period}") is not None:
+        return False
+    df = all_string(read_raw(spark, files, fmt=fmt, **read))
+    if missing := [c for c in required if c.lower() not in {x.lower() for x in df.columns}]:
+        raise ValueError(f"{files}: no column {', '.join(missing)}")
+    write_period(df.withColumn(PERIOD_COL, F.lit(period)), path)
+    return True
 
 
 def union_files(frames: Sequence[DataFrame]) -> DataFrame:
@@ -114,21 +147,30 @@ def union_files(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def skip_existing(incoming: DataFrame, existing: DataFrame, key: str | Sequence[str] = PERIOD_COL,
-                  max_periods: int = 100_000) -> DataFrame:
+def skip_existing(incoming: DataFrame, existing: DataFrame, key: str | Sequence[str] = PERIOD_COL) -> DataFrame:
     """Rows of ``incoming`` whose period (key) is not loaded yet (left anti-join).
 
-    The loaded periods are few (one per month) and are broadcast once that bound is
-    proven, so a month holding most of the incoming rows never lands in one join task."""
+    The loaded periods are distinct (one per month), so the planner broadcasts them; past its
+    own size limit AQE splits a month that holds most of the incoming rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    loaded = bounded_broadcast(existing.select(*keys).distinct(), max_periods)
-    return incoming.join(loaded, keys, "left_anti")
+    return incoming.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
 def register_table(spark: SparkSession, path: str, name: str, database: str = "gold",
-                   db_location: str | None = None) -> DataFrame:
-    """Expose a written Parquet table as ``database.name`` (create-if-absent, no copy)."""
+                   db_location: str | None = None, comment: str | None = None) -> DataFrame:
+    """Expose a written Parquet table as ``database.name`` (create-if-absent, no copy).
+
+    A versioned table is exposed as its newest committed version; registering it again after a
+    commit moves the name on to that version."""
     loc = f" LOCATION '{db_location}'" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{path}'")
+    commit = current(spark, path)
+    if commit is not None:
+        if len(commit.parts) != 1:
+            raise ValueError("only an unpartitioned table can be registered")
+        path = directories(path, commit)[0]
+    text = f" COMMENT '{comment}'" if comment else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{path}'{text}")
+    spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(f"{database}.{name}")
     return spark.table(f"{database}.{name}")

@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 LAYERS = {"bronze": "bronze/", "prata": "silver/", "ouro": "gold/", "raw": "raw/"}
 
 
-def scan_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``(path, modificationTime, length)`` of every file under ``path``, recursively.
+def scan_manifest(spark: SparkSession, path: str, glob: str | None = None, time_col: str = "modified") -> DataFrame:
+    """``(path, <time_col>, length)`` of every file under ``path``, recursively; paths are
+    relative to it, as ``select_layers`` and ``diff_manifest`` take them.
 
     Only metadata is read: the ``content`` column is never selected, so files are not
     opened. Directory markers are skipped."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(path).select("path", "modificationTime", "length").where(~F.col("path").endswith("/"))
+    # Scheme and authority are the file system's; the base path is a suffix of what is before it.
+    base = "/" + path.split("://", 1)[-1].split(":", 1)[-1].strip("/") + "/"
+    relative = F.substring_index(F.col("path"), base, -1)
+    return r.load(path).where(~F.col("path").endswith("/")).select(
+        relative.alias("path"), F.col("modificationTime").alias(time_col), "length")
 
 
 def layer_of(path: Column, layers: Mapping[str, str] = LAYERS) -> Column:

@@ -4,8 +4,9 @@ The monthly "is this period already loaded?" check and the schedule become one
 Structured Streaming query over the raw period directory: the checkpoint remembers
 which files were processed, ``trigger(availableNow=True)`` processes whatever arrived
 since the last run and stops, and ``foreachBatch`` runs the layer upserts for each
-micro-batch. Upserts are idempotent, so a batch replayed after a failure gives the
-same tables.
+micro-batch. A batch names the periods that got files; these are loaded whole from the raw
+directory, so the tables are those of one batch run whatever the order of the files, also when
+a month comes in parts, and a batch replayed after a failure gives the same tables.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from monthlake import schemas
 from monthlake.operators.upsert import read_current, write_version
 from monthlake.plans.pipeline import load_silver_gold, paths
 from monthlake.plans.staging import run_timestamp, stage
+from monthlake.sources.ingest import read_periods
 
 
 def start_incremental(spark: SparkSession, base: str, checkpoint: str, backfill: bool = True,
@@ -37,7 +39,11 @@ def start_incremental(spark: SparkSession, base: str, checkpoint: str, backfill:
     stream = reader.parquet(p["raw"])
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        write_version(stage(df, run_ts or run_timestamp()), p["bronze"])
+        periods = sorted(r[0] for r in df.select("periodo").distinct().collect())  # at most a calendar of months
+        if not periods:
+            return
+        raw = read_periods(spark, p["raw"], schema=schemas.RAW, period=periods)
+        write_version(schemas.describe(stage(raw, run_ts or run_timestamp())), p["bronze"])
         load_silver_gold(spark, base, read_current(spark, p["bronze"]), backfill=backfill)
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

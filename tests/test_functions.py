@@ -92,3 +92,17 @@ def test_to_period(spark):
     assert [r[0] for r in df.select(to_period("v")).collect()] == ["2024-03", "2024-03", "2024-09", None]
     with pytest.raises(Exception):
         one_col(spark, ["13/2024"]).select(to_period("v")).collect()
+
+
+def test_to_int_raises_whatever_the_ansi_setting(spark):
+    from monthlake.functions.casts import to_int
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            good = spark.createDataFrame([("12",), (" 7.0 ",), (None,), ("-2147483648",)], "c string")
+            assert [r[0] for r in good.select(to_int("c")).collect()] == [12, 7, None, -2147483648]
+            for bad in ("abc", "", "3000000000"):
+                with pytest.raises(Exception):  # noqa: B017, PT011
+                    spark.createDataFrame([(bad,)], "c string").select(to_int("c")).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")

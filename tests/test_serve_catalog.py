@@ -1,9 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_text
-from monthlake.operators.serve import envelope, lookup, page
+from monthlake.operators.serve import envelope, lookup, page, total_rows, write_serving
 from monthlake.sources.catalog import candidates, extract_links, latest_version
 
 
@@ -12,33 +14,58 @@ def people(spark):
     return spark.createDataFrame([(i, f"n{i}") for i in range(1, 26)] + [(None, "nokey")], "id int, name string")
 
 
-def test_page_and_envelope(spark, people):
-    assert [r.id for r in page(people, "id", 0, 3).collect()] == [1, 2, 3]
-    last = page(people, "id", 24, 20).collect()
-    assert [r.id for r in last] == [25, None]  # NULL key sorts last
-    assert len(page(people, "id", 0, 500).collect()) == 26  # clamp to 200
-    assert page(people, "id", 0, 0).collect() == []
+@pytest.fixture()
+def people_path(people, tmp_table):
+    path = tmp_table("people")
+    write_serving(people, path, "id")
+    return path
+
+
+def test_page_and_envelope(spark, people, people_path):
+    turn = lambda *a: page(spark, people_path, "id", *a)
+    assert [r.id for r in turn(0, 3).collect()] == [1, 2, 3]
+    assert [r.id for r in turn(24, 20).collect()] == [25, None]  # NULL key sorts last
+    assert len(turn(0, 500).collect()) == 26  # clamp to 200
+    assert turn(0, 0).collect() == [] == turn(99, 5).collect()
     e = envelope(people, 0, 0).first()
-    assert (e.total, e.next) == (26, 0)
+    assert (e.total, e.next) == (26, 0) and total_rows(spark, people_path) == 26
     assert envelope(people, 20, 20).first().next is None
     assert envelope(people, 0, 500).first().limit == 200
     for b, n in ((-1, 20), (0, -1), ("x", 1)):
         with pytest.raises(ValueError):
-            page(people, "id", b, n)
+            turn(b, n)
 
 
-def test_lookup(spark, people):
-    rows, env = lookup(people, "id", 3, 0, 5)
+def test_lookup(spark, people_path):
+    rows, env = lookup(spark, people_path, "id", 3, 0, 5)
     assert [r.name for r in rows.collect()] == ["n3"]
     assert tuple(env.first()) == (3, 0, 5, 1, None)
     with pytest.raises(LookupError):
-        lookup(people, "id", 999)
+        lookup(spark, people_path, "id", 999)
     with pytest.raises(ValueError):
-        lookup(people, "id", 3, 0, 0)
+        lookup(spark, people_path, "id", 3, 0, 0)
+
+
+def test_pages_of_one_hot_id_over_many_files(spark, tmp_table):
+    df = spark.range(9000).select((F.col("id") % 3 * (F.col("id") % 7)).alias("k"), F.col("id").alias("v"))
+    path = tmp_table("hot")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_serving(df, path, "k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    everything = [tuple(r) for r in df.orderBy("k", "v").collect()]
+    assert len(spark.read.parquet(path + "/data").inputFiles()) > 1
+    for b, n in ((0, 20), (3990, 200), (8990, 20)):
+        assert [tuple(r) for r in page(spark, path, "k", b, n).collect()] == everything[b:b + n]
+    zeros = [r for r in everything if r[0] == 0]
+    for b in (0, 100, len(zeros) - 5):
+        rows, env = lookup(spark, path, "k", 0, b, 50)
+        assert [tuple(r) for r in rows.collect()] == zeros[b:b + 50]
+        assert env.first().total == len(zeros)
 
 
-def test_page_plan_is_top_k(spark, people):
-    assert "TakeOrderedAndProject" in plan_text(page(people, "id", 5, 5))
+def test_every_depth_has_one_plan(spark, people_path):
+    shape = lambda b: re.sub(r"\d+", "N", plan_text(page(spark, people_path, "id", b, 5)).split("\n\n")[0])
+    assert shape(0) == shape(12) and "Exchange" not in shape(0)
 
 
 LISTING = """<html><body>
@@ -51,11 +78,15 @@ LISTING = """<html><body>
 
 
 def test_candidates(spark):
-    pages = spark.createDataFrame([(1, "u", LISTING)], "page_id long, url string, html string")
+    extra = ('<nav><a href="/menu_202403.csv">m</a></nav><ARTICLE class="tile entry"><p><A id=1 HREF=\'/b_202403.csv?a=1&amp;b=2\'>'
+             '</A><a href="/second_202403.csv">s</a></ARTICLE><article class="entry">none</article><article class="entryway">'
+             '<a href="/not_202403.csv">n</a></article>')
+    pages = spark.createDataFrame([(1, "u", LISTING), (2, "u", extra), (3, "u", None)], "page_id long, url string, html string")
     links = extract_links(pages)
-    assert links.count() == 5
+    assert links.where("page_id = 1").count() == 5
+    assert [tuple(r) for r in links.where("page_id = 2").collect()] == [(2, 0, "/b_202403.csv?a=1&b=2")]
     got = sorted(r.href for r in candidates(links, "2024", "03", "marco").collect())
-    assert got == ["https://x.gov/arq/Terceirizados_202403.csv/view",
+    assert got == ["/b_202403.csv?a=1&b=2", "https://x.gov/arq/Terceirizados_202403.csv/view",
                    "https://x.gov/arq/terceirizados-marco-2024.XLSX/view"]
 
 
@@ -70,17 +101,6 @@ def test_latest_version(spark):
     assert got == {"p1": "c", "p2": "a", "p3": "a"}
 
 
-def test_positional_page_matches_top_k(spark):
-    from monthlake.operators.serve import _ordered, positional_page
-    df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
-    for b, n in ((0, 20), (7_777, 200), (14_950, 200), (20_000, 5)):
-        want = [tuple(r) for r in page(df, "o_custkey", b, n, driver_rows=10 ** 12).collect()]
-        got = [tuple(r) for r in positional_page(df, _ordered(df, "o_custkey"), b, n).collect()]
-        assert got == want, (b, n)
-    deep = page(df, "o_custkey", 12_000, 100, driver_rows=1_000)
-    assert "TakeOrderedAndProject" not in plan_text(deep)
-
-
 def test_row_json_keeps_nulls(spark):
     from monthlake.operators.serve import row_json
     df = spark.createDataFrame([(1, None)], "id int, cnpj string")

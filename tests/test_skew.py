@@ -35,14 +35,8 @@ def test_unique_check_hot_key(spark):
     assert "partial_count" in plan_text(check_unique(df, "k"))
 
 
-def test_bounded_broadcast_checks_size(spark):
-    from monthlake.operators.dedup import bounded_broadcast
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(50_000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in plan_text(big.join(bounded_broadcast(small, 100), "k"))
-        # past the bound no hint is given: the planner keeps a shuffle join
-        assert "BroadcastHashJoin" not in plan_text(small.join(bounded_broadcast(big, 100), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_relationship_check_hot_key(spark):
+    from monthlake.operators.quality import check_relationship
+    child = hot_frame(spark)
+    parent = spark.range(1, 1001).withColumnRenamed("id", "p")  # key 0 is missing
+    assert check_relationship(child, parent, "k", "p").count() == 10_000
