@@ -4,15 +4,22 @@ A paragraph is a line of at least ``MIN_WORDS`` words. Equal ones (equal word se
 class, collapsed by partial aggregation before anything else, so a passage that a third of all
 documents share is one row. Classes get a MinHash signature of their five-word shingles, cut
 into ``BANDS`` bands of ``ROWS`` values: at a Jaccard similarity of 0.8 two classes meet in some
-band with probability 1 - (1 - 0.8^ROWS)^BANDS (0.998). Classes that meet are verified by their
+band with probability 1 - (1 - 0.8^ROWS)^BANDS (0.993). Classes that meet are verified by their
 exact Jaccard similarity, and components of verified links are the clusters; of each cluster the
 first paragraph (smallest document, then position) stays and the others are removed.
 
 In a band's bucket only connectivity counts: a search drops every member that it reaches, so a
 bucket full of near copies gives fewer links than members and never all pairs. A bucket of more
 than ``BUCKET`` classes is dealt in blocks, each pair of blocks a group of its own, so no group
-holds more than two blocks and no pair is left out. Texts are read twice and never shuffled; only
-the shingles of classes that meet another one are.
+holds more than two blocks and no pair is left out. Texts are read again where they are needed
+and never shuffled; only the shingles of classes that meet another one are.
+
+A passage may also stand inside longer lines, or run over several short ones. For these every
+run of ``PASSAGE`` words is taken as a paragraph too: its MinHash, the smallest hash of its
+``GRAM``-word shingles, is one value, and runs over neighbouring words mostly share it, so a
+document has about one value per ``(PASSAGE - GRAM) / 2`` words. Two documents that share
+``PASSAGE`` words in a row share such a value for certain; the shared shingle is compared by 128
+bits (edit distance 0), and neighbouring shared shingles are joined to one span.
 
 Defined cases: null texts and short lines have no paragraphs; repeated rows are copies like any
 other; a null id sorts last, so its paragraph is removed first; texts are read whole at any
@@ -26,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthlake.llm.common import bit_filter, plain_scan, ship_code, whole_row, with_maybe, write_shared
@@ -36,7 +43,8 @@ from monthlake.llm.exact_dedup import LOCATOR, located
 SHINGLE = 5
 SIMILARITY = 0.8
 MIN_WORDS = 20
-BANDS, ROWS = 12, 4
+BANDS, ROWS = 7, 3
+PASSAGE, GRAM = 50, 20
 BUCKET = 4096
 SEED = 7
 KEY = ("h1", "h2")
@@ -75,21 +83,92 @@ def shingles(w: list[bytes]) -> np.ndarray:
     return np.unique(out)
 
 
-def bands(s: np.ndarray) -> np.ndarray:
-    """One number per band of a shingle set's MinHash signature."""
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(32))
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+class Words:
+    """Where a text's words stand (in bytes) and a hash of each, computed for all at once."""
+
+    def __init__(self, raw: bytes):
+        self.bytes = b = np.frombuffer(raw, dtype=np.uint8)
+        gap = np.ones(len(b) + 2, dtype=np.int8)
+        gap[1:-1] = (b == 32) | ((b >= 9) & (b <= 13))
+        step = np.diff(gap)
+        self.start, self.end = np.flatnonzero(step == -1), np.flatnonzero(step == 1)
+        self.hash = np.zeros(len(self.start), dtype=np.uint64)
+        i = 0
+        while i < len(self.start):  # in pieces of about a megabyte
+            j = max(i + 1, int(np.searchsorted(self.start, self.start[i] + (1 << 20))))
+            self.hash[i:j] = self._hashes(self.start[i:j], self.end[i:j])
+            i = j
+
+    def _hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        size = end - start
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        letters = self.bytes[np.repeat(start, size) + place].astype(np.uint64) + np.uint64(1)
+        return _mix(np.add.reduceat(letters * _powers(BASES[0], int(size.max()))[place], np.cumsum(size) - size))
+
+    def lines(self) -> tuple[np.ndarray, np.ndarray]:
+        """First word of every line, and the line starts in bytes."""
+        at = np.concatenate([[0], np.flatnonzero(self.bytes == 10) + 1])
+        return np.concatenate([np.searchsorted(self.start, at), [len(self.start)]]), at
+
+    def grams(self, n: int, base: int) -> np.ndarray:
+        """A hash of every run of ``n`` words, from prefix sums of a polynomial."""
+        up, down = _powers(base, len(self.hash)), _powers(pow(base, -1, 1 << 64), len(self.hash))
+        total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(self.hash * up[:len(self.hash)])])
+        runs = max(0, len(self.hash) - n + 1)
+        return _mix((total[n:n + runs] - total[:runs]) * down[:runs])
+
+
+# Fixed odd numbers: bases of the polynomial hashes.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(1024, 1 << (n - 1).bit_length()), base, dtype=np.uint64)
+        have[0] = 1
+        have = _POWERS[base] = np.cumprod(have, dtype=np.uint64)
+    return have
+
+
+def signatures(words: Words, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """One row of band values per word range ``[first, last)``, from its shingles' MinHash."""
     a, b = _MULTIPLIERS
-    low = np.full(len(a), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(s), 4096):
-        h = s[i:i + 4096, None] * a + b
-        h ^= h >> np.uint64(32)
-        low = np.minimum(low, (h * np.uint64(0xD6E8FEB86659FD93)).min(axis=0))
-    out = np.zeros(BANDS, dtype=np.uint64)
+    g = words.grams(SHINGLE, BASES[0])
+    low = np.empty((len(first), len(a)), dtype=np.uint64)
+    for k, (i, j) in enumerate(zip(first, np.maximum(last - SHINGLE + 1, first + 1), strict=True)):
+        for at in range(i, j, 8192):
+            h = g[at:min(at + 8192, j), None] * a + b
+            m = (h ^ (h >> np.uint64(29))).min(axis=0)
+            low[k] = m if at == i else np.minimum(low[k], m)
+    out = np.zeros((len(first), BANDS), dtype=np.uint64)
     for r in range(ROWS):
-        out = (out ^ low[r::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(31)
+        out = _mix((out ^ low[:, r::ROWS]) * np.uint64(0x9E3779B97F4A7C15))
     return out
 
 
+def passages(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(position, hash, second hash)`` of the shingle with the smallest hash in every run of
+    ``PASSAGE`` words."""
+    f = words.grams(GRAM, BASES[0])
+    width = PASSAGE - GRAM + 1
+    if len(f) < width:
+        return np.zeros(0, dtype=np.int64), f[:0], f[:0]
+    at = []
+    for i in range(0, len(f) - width + 1, 1 << 16):
+        v = np.lib.stride_tricks.sliding_window_view(f[i:i + (1 << 16) + width - 1], width)
+        at.append(np.unique(v.argmin(axis=1) + np.arange(len(v))) + i)
+    at = np.unique(np.concatenate(at))
+    return at, f[at], words.grams(GRAM, BASES[1])[at]
+
+
 _MULTIPLIERS = _multipliers()
 
 
@@ -101,22 +180,80 @@ def _each_paragraph(docs: DataFrame) -> DataFrame:
         for b in batches:
             at, rows, keys, hashes = [], [], [], []
             for i, t in enumerate(b.column("text")):
-                for n, start, length, w in paragraphs(t.as_py()):
+                text = t.as_py() or ""
+                found = list(paragraphs(text))
+                if not found:
+                    continue
+                words = Words(text.encode("utf-8"))
+                first, _ = words.lines()
+                n = np.array([x[0] for x in found])
+                hashes.append(signatures(words, first[n], first[n + 1]))
+                for line, start, length, w in found:
                     at.append(i)
-                    rows.append((n, start, length, len(w)))
+                    rows.append((line, start, length, len(w)))
                     keys.append(class_key(w))
-                    hashes.append(bands(shingles(w)))
             if not at:
                 continue
             ids = b.select(["doc_id", "file", "row"]).take(pa.array(at))
             columns = [*ids.columns, *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)),
                        *(pa.array(c, pa.int64()) for c in zip(*keys, strict=True)),
-                       *(pa.array(c) for c in np.array(hashes).view(np.int64).T.copy())]
+                       *(pa.array(c) for c in np.concatenate(hashes).view(np.int64).T.copy())]
             yield pa.RecordBatch.from_arrays(columns, NAMES)
 
     return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, " + ", ".join(f"{n} bigint" for n in NAMES[3:]))
 
 
+def _each_passage(docs: DataFrame) -> DataFrame:
+    """``doc_id, file, row, h1, h2, word, start, stop`` per selected shingle (start and stop in
+    characters)."""
+    kind = dict(docs.dtypes)["doc_id"]
+    names = ["doc_id", "file", "row", "h1", "h2", "word", "start", "stop"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, columns = [], []
+            for i, t in enumerate(b.column("text")):
+                words = Words((t.as_py() or "").encode("utf-8"))
+                p, h1, h2 = passages(words)
+                if not len(p):
+                    continue
+                # Bytes to characters: all but the continuation bytes before it.
+                chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
+                at.append(np.full(len(p), i))
+                columns.append(np.stack([h1.view(np.int64), h2.view(np.int64), p, chars[words.start[p]],
+                                         chars[words.end[p + GRAM - 1]]]))
+            if at:
+                ids = b.select(names[:3]).take(pa.array(np.concatenate(at)))
+                yield pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(c) for c in np.concatenate(columns, axis=1))],
+                                                 names)
+
+    return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, h1 bigint, h2 bigint, word bigint, "
+                                "start bigint, stop bigint")
+
+
+def shared_passages(source: DataFrame) -> DataFrame:
+    """Spans of words that another document holds too: ``doc_id, file, row, start, n_chars,
+    n_words, cluster_doc, cluster_size, removed``."""
+    who = F.xxhash64("file", "row")
+    p = _each_passage(source).select("doc_id", *LOCATOR, *KEY, "word", "start", "stop")
+    shared = p.groupBy(*KEY).agg(F.min(who).alias("lo"), F.max(who).alias("hi"), F.min("doc_id").alias("first_doc"),
+                                 F.count("*").alias("n")).where("lo != hi").drop("lo", "hi")
+    shared = write_shared(shared, "para-shared")
+    key = F.struct(*KEY)
+    hits = with_maybe(p, bit_filter(shared, key), key, "maybe").where("maybe").drop("maybe").join(shared, list(KEY))
+    hits = hits.select("doc_id", *LOCATOR, "word", "start", "stop", "first_doc", "n")
+    # Shingles of one document, in order: a new span begins where none of the run's length came before.
+    w = Window.partitionBy(*LOCATOR).orderBy("word")
+    new = F.coalesce(F.col("word") - F.lag("word").over(w) > PASSAGE - GRAM + 1, F.lit(True)).cast("int")
+    hits = hits.withColumn("span", new).withColumn("span", F.sum("span").over(w))
+    spans = hits.groupBy(*LOCATOR, "span").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("stop").alias("stop"),
+        (F.max("word") - F.min("word") + GRAM).alias("n_words"), F.min("first_doc").alias("cluster_doc"),
+        F.max("n").alias("cluster_size"))
+    return spans.select("doc_id", *LOCATOR, "start", (F.col("stop") - F.col("start")).alias("n_chars"), "n_words",
+                        "cluster_doc", "cluster_size", (~F.col("doc_id").eqNullSafe(F.col("cluster_doc"))).alias("removed"))
+
+
 NAMES = ["doc_id", "file", "row", "line", "start", "n_chars", "n_words", *KEY, *(f"b{i}" for i in range(BANDS))]
 
 
@@ -225,12 +362,16 @@ def class_links(meetings: DataFrame, sets: DataFrame, bucket: int = BUCKET) -> D
     return write_shared(m.mapInArrow(run, "a string, b string").distinct(), "para-links")
 
 
+def _source(docs: DataFrame) -> DataFrame:
+    ship_code(docs.sparkSession)
+    return located(docs, F.col("doc_id"), F.col("text")).select(
+        "doc_id", "text", F.col("__file").alias("file"), F.col("__row").alias("row"))
+
+
 def repeated_paragraphs(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Every paragraph that has a copy or near copy: ``doc_id, line, start, n_chars, n_words,
     cluster_doc, cluster_line, cluster_size, removed`` and its document's ``file, row``."""
-    ship_code(docs.sparkSession)
-    source = located(docs, F.col("doc_id"), F.col("text")).select(
-        "doc_id", "text", F.col("__file").alias("file"), F.col("__row").alias("row"))
+    source = _source(docs)
     p = write_shared(_each_paragraph(source), "para-all")
     classes = p.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)])
     classes = write_shared(classes, "para-classes")
@@ -253,6 +394,17 @@ def repeated_paragraphs(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
                       "cluster_size", (F.col("at") != F.col("first")).alias("removed"))
 
 
+def repeated_text(docs: DataFrame) -> DataFrame:
+    """Repeated paragraphs and shared passages together: ``kind`` tells which; start and length
+    are in characters of the text."""
+    docs = plain_scan(docs)
+    p = repeated_paragraphs(docs).withColumn("kind", F.lit("paragraph"))
+    s = shared_passages(_source(docs)).withColumn("kind", F.lit("passage"))
+    out = p.unionByName(s, allowMissingColumns=True)
+    return out.select("doc_id", "kind", "line", "start", "n_chars", "n_words", "cluster_doc", "cluster_line",
+                      "cluster_size", "removed")
+
+
 def _hex(column: str):
     """As Python's ``format(x, "x")`` writes a signed number."""
     c = F.col(column)

@@ -39,7 +39,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("file", "row")
+    return paragraphs.repeated_text(table(spark, sf_dir, "documents"))
 
 
 def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -323,6 +323,45 @@ def test_paragraph_clusters(spark, docs, texts):
         assert all(texts[r.doc_id][r.start:r.start + r.n_chars] == texts[r.doc_id].split("\n")[r.line] for r in got)
 
 
+def test_word_ranges_agree_with_paragraphs():
+    text = "\n".join([" ".join(f"w{i}é" for i in range(n)) + "\t" * (n % 3) for n in (25, 3, 0, 40, 20)]) + "\n"
+    words = paragraphs.Words(text.encode())
+    assert [text.encode()[a:b].decode() for a, b in zip(words.start, words.end, strict=True)] == text.split()
+    first, _ = words.lines()
+    for n, _, _, w in paragraphs.paragraphs(text):
+        assert [x.decode() for x in w] == text.split()[first[n]:first[n + 1]]
+    assert len({int(h): w for h, w in zip(words.hash, text.split(), strict=True)}) == len(set(text.split()))
+    g = paragraphs.Words(b"a b c d e f a b c d e f").grams(3, paragraphs.BASES[0])
+    assert g[0] == g[6] and g[1] == g[7] and len(set(g.tolist())) == 6
+
+
+def test_passages_inside_longer_lines(spark):
+    rng = np.random.default_rng(9)
+    prose = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 10**9, size=n))
+    inside = prose(60)
+    over_lines = "\n".join(prose(12) for _ in range(6))
+    rows = [(i, f"{prose(70)} {inside} {prose(80)}\n{prose(30)}") for i in range(1, 5)]
+    rows += [(i, f"é {prose(9)}\n{over_lines}\n{prose(15)}") for i in range(5, 8)] + [(i, prose(200)) for i in range(8, 30)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = paragraphs.repeated_text(d).collect()
+    assert {r.doc_id for r in got} == set(range(1, 8))  # all of them, and no clean one
+    text = dict(rows)
+    for r in got:
+        assert r.kind == "passage" and r.removed == (r.doc_id not in (1, 5))
+        assert text[r.doc_id][r.start:r.start + r.n_chars] in (inside if r.doc_id < 5 else over_lines)
+        assert r.n_words >= 20
+
+
+def test_any_fifty_shared_words_share_a_shingle():
+    rng = np.random.default_rng(2)
+    prose = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 10**9, size=n))
+    for _ in range(200):
+        shared = prose(50)
+        a, b = (paragraphs.Words(f"{prose(rng.integers(0, 60))} {shared} {prose(rng.integers(0, 60))}".encode()) for _ in "ab")
+        x, y = (set(zip(*(h.tolist() for h in paragraphs.passages(w)[1:]), strict=True)) for w in (a, b))
+        assert x & y
+
+
 def test_cleaned_rows_drop_later_copies(spark):
     long = " ".join(f"w{i}" for i in range(60))
     near = long.replace("w30", "x30")
