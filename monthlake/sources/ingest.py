@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthlake.functions.casts import NULL_TOKENS, nullify_tokens
-from monthlake.operators.upsert import current, directories, try_read
+from monthlake.operators.upsert import ABSENT, current, directories, try_read
 from monthlake.schemas import RAW_COLUMNS
 
 PERIOD_COL = "periodo"
@@ -110,19 +111,21 @@ def read_periods(spark: SparkSession, path: str, schema: T.StructType | None = N
     ``FileNotFoundError``. With ``schema``, a column that the files lack raises ``ValueError``."""
     names = None if period in (None, "*") else [period] if isinstance(period, str) else list(period)
     dirs = [path] if names is None else [f"{path}/{period_col}={p}" for p in names]
-    found = try_read(spark, path) if names is None else None
-    for p, d in zip(names or [], dirs):
-        if try_read(spark, d) is None:
-            raise FileNotFoundError(f"period {p} has not landed under {path}")
     reader = spark.read.option("basePath", path)
+    try:
+        found = reader.parquet(*dirs)
+    except AnalysisException as e:
+        if names is not None and e.getCondition() in ABSENT:
+            raise FileNotFoundError(f"a period of {names} has not landed under {path}") from e
+        raise
     if schema is not None:
-        have = {c.lower() for c in (found.columns if found is not None else reader.parquet(*dirs).columns)}
+        have = {c.lower() for c in found.columns}
         if missing := [c for c in schema.fieldNames() if c.lower() not in have]:
             raise ValueError(f"the files under {path} have no column {', '.join(missing)}")
         if period_col not in schema.fieldNames():
             schema = T.StructType(schema.fields + [T.StructField(period_col, T.StringType())])
-        reader = reader.schema(schema)
-    return reader.parquet(*dirs).withColumn(period_col, F.col(period_col).cast("string"))
+        found = reader.schema(schema).parquet(*dirs)
+    return found.withColumn(period_col, F.col(period_col).cast("string"))
 
 
 def ingest_period(spark: SparkSession, files: str | Sequence[str], path: str, period: str,

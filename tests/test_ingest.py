@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import types as T

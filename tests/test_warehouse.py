@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from conftest import plan_text
 from monthlake.operators.quality import assert_suite, check_relationship, run_suite
-from monthlake.plans import warehouse as W
 from monthlake.plans.checks import WAREHOUSE_CHECKS
 from monthlake.plans.dims import dim_period
 from monthlake.plans.mart import build_mart
