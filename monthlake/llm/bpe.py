@@ -5,8 +5,8 @@ Word counts cover all documents. Words above a count chosen from the counts' his
 automaton: words share prefixes and suffixes, and the number of words passed on the way through
 it is a word's index into a table of id sequences (its output). The automaton is one flat file;
 Spark ships it to every executor (also to one that joins later), where it is memory-mapped.
-Any other word is merged exactly. Per task, finished pieces of text are remembered in a bounded
-table, which is emptied when full.
+Any other word is merged exactly. Finished pieces of text and words are remembered in bounded
+tables of two generations: a full one becomes the older, what is used again moves back.
 
 The vocabulary file is a parameter: BPE with a word-end suffix over byte symbols, normalised by
 NFC, white space runs to one space and lower case; special tokens are found in the raw text.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from monthlake.llm.common import driver_file, ship_code, write_shared
 
 LEXICON_WORDS = 100_000
-MEMO_PIECES = 600_000
+MEMO_PIECES, MEMO_WORDS = 200_000, 50_000
 ROWS_AT_ONCE = 64
 NO_MERGE = 1 << 62
 ID = (1 << 32) - 1
@@ -212,26 +212,31 @@ class Encoder(dict):
 
     def __init__(self, merges: Merges, lexicon: Lexicon):
         self.merges, self.lexicon = merges, lexicon
+        self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        out = self.lexicon.get(word.encode("utf-8"))
+        out = self.older_words.get(word) or self.lexicon.get(word.encode("utf-8"))
         if out is None:
             ids = self.merges.merge(word)
             out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self.words) >= MEMO_PIECES:
-            self.words.clear()
+        if len(self.words) >= MEMO_WORDS:
+            self.older_words, self.words = self.words, {}
         if len(word) <= 64:
             self.words[word] = out
         return out
 
     def __missing__(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isalpha():  # most pieces are one plain word
-            word = piece.lower()
-            out = self.words.get(word) or self.word(word)
-        else:
-            out = self.parts(piece)
+        out = self.older.get(piece)
+        if out is None:
+            if piece.isascii() and piece.isalpha():  # most pieces are one plain word
+                word = piece.lower()
+                out = self.words.get(word) or self.word(word)
+            else:
+                out = self.parts(piece)
         if len(self) >= MEMO_PIECES:
+            self.older = dict(self)
             self.clear()
         if len(piece) <= 64:
             self[piece] = out
