@@ -172,70 +172,56 @@ def passages(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _MULTIPLIERS = _multipliers()
 
 
-def _each_paragraph(docs: DataFrame) -> DataFrame:
-    """``doc_id, file, row, line, start, n_chars, n_words, h1, h2, b0..`` per paragraph."""
+NAMES = ["doc_id", "file", "row", "passage", "at", "start", "n_chars", "n_words", *KEY, *(f"b{i}" for i in range(BANDS))]
+
+
+def _units(docs: DataFrame) -> DataFrame:
+    """One row per paragraph (``at`` is its line) and per selected shingle of a run of words
+    (``passage``; ``at`` is its first word); the texts are read once for both."""
     kind = dict(docs.dtypes)["doc_id"]
 
+    def rows(b: pa.RecordBatch, owner: list[np.ndarray], columns: list[np.ndarray], bands: list[np.ndarray] | None):
+        ids = b.select(["doc_id", "file", "row"]).take(pa.array(np.concatenate(owner)))
+        n = ids.num_rows
+        of = [pa.array(c) for c in np.concatenate(bands).T.copy()] if bands else [pa.nulls(n, pa.int64())] * BANDS
+        return pa.RecordBatch.from_arrays(
+            [*ids.columns, pa.array(np.full(n, bands is None)), *(pa.array(c) for c in np.concatenate(columns, axis=1)), *of],
+            NAMES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, rows, keys, hashes = [], [], [], []
+            owner, lines, bands, p_owner, spans = [], [], [], [], []
             for i, t in enumerate(b.column("text")):
                 text = t.as_py() or ""
-                found = list(paragraphs(text))
-                if not found:
-                    continue
                 words = Words(text.encode("utf-8"))
-                first, _ = words.lines()
-                n = np.array([x[0] for x in found])
-                hashes.append(signatures(words, first[n], first[n + 1]))
-                for line, start, length, w in found:
-                    at.append(i)
-                    rows.append((line, start, length, len(w)))
-                    keys.append(class_key(w))
-            if not at:
-                continue
-            ids = b.select(["doc_id", "file", "row"]).take(pa.array(at))
-            columns = [*ids.columns, *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)),
-                       *(pa.array(c, pa.int64()) for c in zip(*keys, strict=True)),
-                       *(pa.array(c) for c in np.concatenate(hashes).view(np.int64).T.copy())]
-            yield pa.RecordBatch.from_arrays(columns, NAMES)
-
-    return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, " + ", ".join(f"{n} bigint" for n in NAMES[3:]))
-
-
-def _each_passage(docs: DataFrame) -> DataFrame:
-    """``doc_id, file, row, h1, h2, word, start, stop`` per selected shingle (start and stop in
-    characters)."""
-    kind = dict(docs.dtypes)["doc_id"]
-    names = ["doc_id", "file", "row", "h1", "h2", "word", "start", "stop"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, columns = [], []
-            for i, t in enumerate(b.column("text")):
-                words = Words((t.as_py() or "").encode("utf-8"))
-                p, h1, h2 = passages(words)
-                if not len(p):
-                    continue
-                # Bytes to characters: all but the continuation bytes before it.
-                chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
-                at.append(np.full(len(p), i))
-                columns.append(np.stack([h1.view(np.int64), h2.view(np.int64), p, chars[words.start[p]],
-                                         chars[words.end[p + GRAM - 1]]]))
-            if at:
-                ids = b.select(names[:3]).take(pa.array(np.concatenate(at)))
-                yield pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(c) for c in np.concatenate(columns, axis=1))],
-                                                 names)
-
-    return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, h1 bigint, h2 bigint, word bigint, "
-                                "start bigint, stop bigint")
-
-
-def shared_passages(source: DataFrame) -> DataFrame:
+                if found := list(paragraphs(text)):
+                    n = np.array([x[0] for x in found])
+                    first, _ = words.lines()
+                    bands.append(signatures(words, first[n], first[n + 1]).view(np.int64))
+                    owner.append(np.full(len(found), i))
+                    lines.append(np.array([(*x[:3], len(x[3]), *class_key(x[3])) for x in found], dtype=np.int64).T)
+                at, h1, h2 = passages(words)
+                if len(at):
+                    # Bytes to characters: all but the continuation bytes before it.
+                    chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
+                    start, stop = chars[words.start[at]], chars[words.end[at + GRAM - 1]]
+                    p_owner.append(np.full(len(at), i))
+                    spans.append(np.stack([at, start, stop - start, np.full(len(at), GRAM), h1.view(np.int64), h2.view(np.int64)]))
+            if owner:
+                yield rows(b, owner, lines, bands)
+            if p_owner:
+                yield rows(b, p_owner, spans, None)
+
+    return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, passage boolean, "
+                                + ", ".join(f"{n} bigint" for n in NAMES[4:]))
+
+
+def shared_passages(units: DataFrame) -> DataFrame:
     """Spans of words that another document holds too: ``doc_id, file, row, start, n_chars,
     n_words, cluster_doc, cluster_size, removed``."""
+    p = units.where("passage").select("doc_id", *LOCATOR, *KEY, F.col("at").alias("word"), "start",
+                                      (F.col("start") + F.col("n_chars")).alias("stop"))
     who = F.xxhash64("file", "row")
-    p = _each_passage(source).select("doc_id", *LOCATOR, *KEY, "word", "start", "stop")
     shared = p.groupBy(*KEY).agg(F.min(who).alias("lo"), F.max(who).alias("hi"), F.min("doc_id").alias("first_doc"),
                                  F.count("*").alias("n")).where("lo != hi").drop("lo", "hi")
     shared = write_shared(shared, "para-shared")
@@ -254,9 +240,6 @@ def shared_passages(source: DataFrame) -> DataFrame:
                         "cluster_doc", "cluster_size", (~F.col("doc_id").eqNullSafe(F.col("cluster_doc"))).alias("removed"))
 
 
-NAMES = ["doc_id", "file", "row", "line", "start", "n_chars", "n_words", *KEY, *(f"b{i}" for i in range(BANDS))]
-
-
 def _meetings(classes: DataFrame) -> DataFrame:
     """``band, cell, h1, h2, size`` of the classes that share a bucket with another class."""
     each = F.explode(F.arrays_zip(F.array(*[F.lit(i) for i in range(BANDS)]).alias("band"),
@@ -372,7 +355,11 @@ def repeated_paragraphs(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Every paragraph that has a copy or near copy: ``doc_id, line, start, n_chars, n_words,
     cluster_doc, cluster_line, cluster_size, removed`` and its document's ``file, row``."""
     source = _source(docs)
-    p = write_shared(_each_paragraph(source), "para-all")
+    return _repeated(source, write_shared(_units(source), "para-units"), bucket)
+
+
+def _repeated(source: DataFrame, units: DataFrame, bucket: int) -> DataFrame:
+    p = units.where("NOT passage").withColumnRenamed("at", "line")
     classes = p.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)])
     classes = write_shared(classes, "para-classes")
     meetings = _meetings(classes)
@@ -397,9 +384,10 @@ def repeated_paragraphs(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def repeated_text(docs: DataFrame) -> DataFrame:
     """Repeated paragraphs and shared passages together: ``kind`` tells which; start and length
     are in characters of the text."""
-    docs = plain_scan(docs)
-    p = repeated_paragraphs(docs).withColumn("kind", F.lit("paragraph"))
-    s = shared_passages(_source(docs)).withColumn("kind", F.lit("passage"))
+    source = _source(docs)
+    units = write_shared(_units(source), "para-units")
+    p = _repeated(source, units, BUCKET).withColumn("kind", F.lit("paragraph"))
+    s = shared_passages(units).withColumn("kind", F.lit("passage"))
     out = p.unionByName(s, allowMissingColumns=True)
     return out.select("doc_id", "kind", "line", "start", "n_chars", "n_words", "cluster_doc", "cluster_line",
                       "cluster_size", "removed")
