@@ -26,12 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import quoted, whole_row, word_count, write_shared
+from monthlake.llm.common import whole_row, word_count, write_shared
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 KEY_BINS = 1024  # on each of two levels
-SYMBOLS = "#*$%&|<>"
 
 
 def quality_weight(text: Column, size: Column) -> Column:

@@ -7,8 +7,8 @@ when that mean is at least ``MIN_RATIO``. Counting aggregates partially in each
 shuffle carries at most tasks x buckets rows; scoring is row-local (the table of N_BUCKETS
 numbers is a literal), so texts are never shuffled. DataFrame functions only.
 
-The trusted side is fitted on at most ``MAX_TRUSTED`` labelled documents (those with the
-smallest id hashes), which bounds the broadcast of their ids; the raw side counts every
+The trusted side is fitted on at most ``MAX_TRUSTED`` labelled documents (chosen by id
+hash), which bounds the broadcast of their ids; the raw side counts every
 document.
 
 Defined cases: null and blank texts have no words (all counts 0, ratio 0, base_failed); null
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import SPACES, let, words
+from monthlake.llm.common import SPACES, bounded_sample, let, words
 
 N_BUCKETS = 1 << 14
 MAX_TRUSTED = 20_000
@@ -45,7 +45,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS,
                max_trusted: int = MAX_TRUSTED) -> list[float]:
     """``ln(target / raw)`` per bucket, add-one smoothed. One pass over the texts."""
     ids = trusted.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
-    ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(max_trusted).withColumn("__trusted", F.lit(1))
+    ids = bounded_sample(ids, F.col("__id"), max_trusted).withColumn("__trusted", F.lit(1))
     d = docs.select("doc_id", "text")
     d = d.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left")
     grams = d.select(F.coalesce("__trusted", F.lit(0)).alias("t"),
