@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from monthlake.llm.common import driver_file, ship_code, write_shared
 
 LEXICON_WORDS = 100_000
-MEMO_PIECES, MEMO_WORDS = 200_000, 50_000
+MEMO_PIECES, MEMO_WORDS = 300_000, 100_000
 ROWS_AT_ONCE = 64
 NO_MERGE = 1 << 62
 ID = (1 << 32) - 1
