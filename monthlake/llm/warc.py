@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import ship_code, write_shared
+from monthlake.llm.common import bounded_sample, ship_code, write_shared
 from monthlake.session import scratch_path
 
 MIN_REVISIT = 1000
@@ -151,7 +151,7 @@ def write_archive_head(dictionary: bytes | None) -> bytes:
 def fit_dictionary(pages: DataFrame, at_most: int = DICTIONARY_PAGES) -> bytes | None:
     """A dictionary from a bounded sample of payloads; None where they are too few."""
     sample = pages.where(F.octet_length("html").between(1, 1 << 16)).select(F.encode("html", "UTF-8").alias("b"))
-    sample = sample.orderBy(F.xxhash64("b")).limit(at_most).collect()
+    sample = sorted(bounded_sample(sample, F.col("b"), at_most).collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(r.b) for r in sample]).as_bytes()
     except (zstandard.ZstdError, ValueError):
