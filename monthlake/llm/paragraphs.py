@@ -47,6 +47,7 @@ BANDS, ROWS = 7, 3
 PASSAGE, GRAM = 50, 20
 BUCKET = 4096
 SEED = 7
+ROWS_AT_ONCE = 256  # documents whose rows are gathered before they go back to Spark
 KEY = ("h1", "h2")
 
 
@@ -189,7 +190,7 @@ def _units(docs: DataFrame) -> DataFrame:
             NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             owner, lines, bands, p_owner, spans = [], [], [], [], []
             for i, t in enumerate(b.column("text")):
                 text = t.as_py() or ""
