@@ -8,9 +8,9 @@ are inside than outside. Menus, headers, adverts and the like (by element name,
 or role) count nothing and are left out wherever they stand, so one amid an article does not end
 it. Block elements separate the blocks of the result.
 
-Fitting counts a bounded sample of labelled pages (``FIT_PAGES``, those with the smallest url
-hashes) and brings back one row per kind of token; kinds come from fixed lists. Extraction is
-row-local: pages are never shuffled.
+Fitting counts a bounded sample of labelled pages (``FIT_PAGES``, chosen by url hash) and brings
+back one row per kind of token; kinds come from fixed lists. Extraction is row-local: pages are
+never shuffled.
 
 Defined cases: null and blank html give an empty text; a page without words outside left-out
 elements gives an empty text; broken html is read as far as it goes (an unfinished tag at the
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import ship_code
+from monthlake.llm.common import bounded_sample, ship_code
 
 FIT_PAGES = 2000
 PLAIN = "text"
@@ -187,7 +187,7 @@ def fit_weights(pages: DataFrame, at_most: int = FIT_PAGES) -> dict[str, float]:
     """Weights from labelled pages (those with an ``article`` element)."""
     ship_code(pages.sparkSession)
     p = pages.select("url", "html").where(F.lower("html").contains("<article"))
-    p = p.orderBy(F.xxhash64("url"), "url").limit(at_most).select("html")
+    p = bounded_sample(p, F.coalesce("url", F.lit("")), at_most).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
