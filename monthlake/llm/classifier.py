@@ -3,7 +3,7 @@
 Features are the hashed words and word pairs of the whole text (case kept; a word that repeats
 the one before it gives one common pair, so repetition itself is a feature), each with its share
 of the text times ``SCALE``. The training rows are labelled documents of the training folds, at
-most ``MAX_TRAIN`` of them (those with the smallest id hashes); they are dealt into ``SHARDS``
+most ``MAX_TRAIN`` of them (chosen by id hash); they are dealt into ``SHARDS``
 parts, each part runs follow-the-regularised-leader updates over its documents, and the parts'
 weights are averaged. A score is the logistic function of a sparse dot product.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import let, ship_code, words
+from monthlake.llm.common import bounded_sample, let, ship_code, words
 
 N_BUCKETS = 1 << 18
 MAX_TRAIN = 20_000
@@ -86,7 +86,7 @@ def train(docs: DataFrame, labels: DataFrame, n_buckets: int = N_BUCKETS, max_tr
     ship_code(docs.sparkSession)
     y = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y"))
     y = y.where("__y IS NOT NULL").where(fold(F.col("__id")) != 0).groupBy("__id").agg(F.max("__y").alias("__y"))
-    y = y.orderBy(F.xxhash64("__id"), "__id").limit(max_train)
+    y = bounded_sample(y, F.col("__id"), max_train)
     d = docs.select("doc_id", "text").join(F.broadcast(y), F.col("doc_id") == F.col("__id"))
     d = d.select("doc_id", F.col("__y").alias("y"), features(F.col("text"), n_buckets).alias("f"),
                  F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).alias("shard"))
