@@ -7,9 +7,9 @@ when that mean is at least ``MIN_RATIO``. Counting aggregates partially in each
 shuffle carries at most tasks x buckets rows; scoring is row-local (the table of N_BUCKETS
 numbers is a literal), so texts are never shuffled. DataFrame functions only.
 
-The trusted side is fitted on at most ``MAX_TRUSTED`` labelled documents (chosen by id
-hash), which bounds the broadcast of their ids; the raw side counts every
-document.
+Both sides count every row: a bit filter of fixed size over the trusted ids marks the documents
+that may be trusted at the scan, and only those are joined to the ids (the planner broadcasts
+them while they are small); the others go to the counts directly.
 
 Defined cases: null and blank texts have no words (all counts 0, ratio 0, base_failed); null
 ids are never trusted; repeated rows are judged alike; without any trusted row every ratio is
@@ -22,10 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import SPACES, bounded_sample, let, words
+from monthlake.llm.common import SPACES, bit_filter, let, with_maybe, words, write_shared
 
 N_BUCKETS = 1 << 14
-MAX_TRUSTED = 20_000
 MIN_RATIO = -0.1
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -41,15 +40,16 @@ def buckets(w: Column, n_buckets: int = N_BUCKETS) -> Column:
     return F.concat(uni, bi)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS,
-               max_trusted: int = MAX_TRUSTED) -> list[float]:
-    """``ln(target / raw)`` per bucket, add-one smoothed. One pass over the texts."""
+def log_ratios(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKETS) -> list[float]:
+    """``ln(target / raw)`` per bucket, add-one smoothed. Every text is cut into words once."""
     ids = trusted.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
-    ids = bounded_sample(ids, F.col("__id"), max_trusted).withColumn("__trusted", F.lit(1))
-    d = docs.select("doc_id", "text")
-    d = d.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left")
-    grams = d.select(F.coalesce("__trusted", F.lit(0)).alias("t"),
-                   F.explode(let(words(F.col("text")), lambda w: buckets(w, n_buckets))).alias("b"))
+    ids = write_shared(ids, "trusted-ids")  # the planner then knows their size
+    bits = bit_filter(ids, F.col("__id").cast("string"))  # as strings, 5 of any integer type hashes alike
+    d = with_maybe(docs.select("doc_id", "text"), bits, F.col("doc_id").cast("string"), "__maybe")
+    some = d.where("__maybe").join(ids.withColumn("t", F.lit(1)), F.col("doc_id") == F.col("__id"), "left")
+    d = d.where("NOT __maybe").select("text", F.lit(0).alias("t")).unionAll(
+        some.select("text", F.coalesce("t", F.lit(0)).alias("t")))
+    grams = d.select("t", F.explode(let(words(F.col("text")), lambda w: buckets(w, n_buckets))).alias("b"))
     rows = grams.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()  # <= n_buckets rows
     raw, target = [0] * n_buckets, [0] * n_buckets
     for r in rows:

@@ -144,6 +144,28 @@ def test_quality_counts_and_ratio(spark, docs, texts):
         assert r.log_ratio == pytest.approx(sum(by_hand[k] for k in x) / len(x) if x else 0, abs=1e-5)
 
 
+def test_quality_counts_every_trusted_row(spark):
+    n = 21_000
+    docs = spark.range(n + 1000).select(F.col("id").alias("doc_id"), F.concat(
+        F.when(F.col("id") < n, F.lit("good ")).otherwise(F.lit("raw ")), F.col("id").cast("string")).alias("text"))
+    every = docs.select("doc_id")
+    assert set(quality.log_ratios(docs, every)) == {0.0}  # both sides count the same rows
+    for threshold in ("-1", "10m"):  # joined by a shuffle, or by a broadcast of the ids
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = quality.log_ratios(docs, every.where(f"doc_id < {n}"), 1 << 10)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        raw, target = [0] * (1 << 10), [0] * (1 << 10)
+        for r in docs.select("doc_id", quality.buckets(quality.words(F.col("text")), 1 << 10).alias("b")).collect():
+            for b in r.b:
+                raw[b] += 1
+                target[b] += r.doc_id < n
+        a, b = sum(target) + (1 << 10), sum(raw) + (1 << 10)
+        assert got == pytest.approx([np.log((t + 1) / a / ((r + 1) / b)) for t, r in zip(target, raw, strict=True)], abs=2e-6)
+
+
 def test_quality_keeps_clean_and_drops_junk(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op2_quality_rules(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
