@@ -18,8 +18,11 @@ A passage may also stand inside longer lines, or run over several short ones. Fo
 run of ``PASSAGE`` words is taken as a paragraph too: its MinHash, the smallest hash of its
 ``GRAM``-word shingles, is one value, and runs over neighbouring words mostly share it, so a
 document has about one value per ``(PASSAGE - GRAM) / 2`` words. Two documents that share
-``PASSAGE`` words in a row share such a value for certain; the shared shingle is compared by 128
-bits (edit distance 0), and neighbouring shared shingles are joined to one span.
+``PASSAGE`` words in a row share such a value for certain, but a shared value may stand in less;
+so it only names candidates: every run whose value is shared is compared as a whole, by 128 bits
+(edit distance 0). A run that two documents hold is kept in its first one. Neighbouring runs with
+one first holder are a span, so a span has at least ``PASSAGE`` words and reaches as far as the
+documents agree.
 
 Defined cases: null texts and short lines have no paragraphs; repeated rows are copies like any
 other; a null id sorts last, so its paragraph is removed first; texts are read whole at any
@@ -36,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import bit_filter, plain_scan, ship_code, whole_row, with_maybe, write_shared
+from monthlake.llm.common import FILTER_BITS, bit_filter, plain_scan, ship_code, whole_row, with_maybe, write_shared
 from monthlake.llm.components import connected_components
 from monthlake.llm.exact_dedup import LOCATOR, located
 
@@ -159,15 +162,18 @@ def passages(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(position, hash, second hash)`` of the shingle with the smallest hash in every run of
     ``PASSAGE`` words."""
     f = words.grams(GRAM, BASES[0])
+    at = np.unique(selected(f))
+    return at, f[at], words.grams(GRAM, BASES[1])[at]
+
+
+def selected(f: np.ndarray) -> np.ndarray:
+    """For every run of ``PASSAGE`` words the position of its shingle with the smallest hash."""
     width = PASSAGE - GRAM + 1
-    if len(f) < width:
-        return np.zeros(0, dtype=np.int64), f[:0], f[:0]
-    at = []
+    at = [np.zeros(0, dtype=np.int64)]
     for i in range(0, len(f) - width + 1, 1 << 16):
         v = np.lib.stride_tricks.sliding_window_view(f[i:i + (1 << 16) + width - 1], width)
-        at.append(np.unique(v.argmin(axis=1) + np.arange(len(v))) + i)
-    at = np.unique(np.concatenate(at))
-    return at, f[at], words.grams(GRAM, BASES[1])[at]
+        at.append(v.argmin(axis=1) + np.arange(len(v)) + i)
+    return np.concatenate(at)
 
 
 _MULTIPLIERS = _multipliers()
@@ -217,28 +223,83 @@ def _units(docs: DataFrame) -> DataFrame:
                                 + ", ".join(f"{n} bigint" for n in NAMES[4:]))
 
 
-def shared_passages(units: DataFrame) -> DataFrame:
-    """Spans of words that another document holds too: ``doc_id, file, row, start, n_chars,
-    n_words, cluster_doc, cluster_size, removed``."""
-    p = units.where("passage").select("doc_id", *LOCATOR, *KEY, F.col("at").alias("word"), "start",
-                                      (F.col("start") + F.col("n_chars")).alias("stop"))
-    who = F.xxhash64("file", "row")
-    shared = p.groupBy(*KEY).agg(F.min(who).alias("lo"), F.max(who).alias("hi"), F.min("doc_id").alias("first_doc"),
-                                 F.count("*").alias("n")).where("lo != hi").drop("lo", "hi")
-    shared = write_shared(shared, "para-shared")
-    key = F.struct(*KEY)
-    hits = with_maybe(p, bit_filter(shared, key), key, "maybe").where("maybe").drop("maybe").join(shared, list(KEY))
-    hits = hits.select("doc_id", *LOCATOR, "word", "start", "stop", "first_doc", "n")
-    # Shingles of one document, in order: a new span begins where none of the run's length came before.
+def _bits_of(shared: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits (4 MB) of the first hashes in ``shared``, at the driver."""
+    b = shared.select((F.pmod("h1", F.lit(FILTER_BITS)) + 1).alias("b"))  # from 1: buckets then begin at 1
+    rows = b.groupBy(F.bitmap_bucket_number("b").alias("k")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("v")).collect()
+    out = np.zeros((FILTER_BITS // 32768, 4096), dtype=np.uint8)
+    for r in rows:
+        out[r.k - 1, :len(r.v)] = np.frombuffer(r.v, dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def _runs(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """One row per run of ``PASSAGE`` words whose selected shingle may be shared."""
+    kind = dict(docs.dtypes)["doc_id"]
+    names = ["doc_id", "file", "row", "word", "line", "start", "stop", *KEY]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(b: pa.RecordBatch, owner: list[np.ndarray], columns: list[np.ndarray]) -> pa.RecordBatch:
+            ids = b.select(["doc_id", "file", "row"]).take(pa.array(np.concatenate(owner)))
+            return pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(c) for c in np.concatenate(columns, axis=1))], names)
+
+        for b in batches:
+            owner, columns, n = [], [], 0
+            for i, t in enumerate(b.column("text")):
+                words = Words((t.as_py() or "").encode("utf-8"))
+                f = words.grams(GRAM, BASES[0])
+                v = (f & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                word = np.flatnonzero((bits[v >> 3] >> (v & 7).astype(np.uint8) & 1)[selected(f)])
+                if not len(word):
+                    continue
+                chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
+                first, last = words.start[word], words.end[word + PASSAGE - 1]
+                line = np.searchsorted(np.flatnonzero(words.bytes == 10), first)
+                h1, h2 = (words.grams(PASSAGE, x)[word].view(np.int64) for x in BASES)
+                found = np.stack([word, line, chars[first], chars[last], h1, h2])
+                for k in range(0, len(word), 1 << 16):
+                    part = found[:, k:k + (1 << 16)]
+                    owner.append(np.full(part.shape[1], i))
+                    columns.append(part)
+                    n += part.shape[1]
+                    if n >= 1 << 16:
+                        yield rows(b, owner, columns)
+                        owner, columns, n = [], [], 0
+            if n:
+                yield rows(b, owner, columns)
+
+    return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, " + ", ".join(f"{n} bigint" for n in names[3:]))
+
+
+def shared_passages(source: DataFrame, units: DataFrame) -> DataFrame:
+    """Spans of at least ``PASSAGE`` words that another document holds too: ``doc_id, file, row,
+    start, n_chars, n_words, cluster_doc, cluster_size, removed``; ``cluster_doc`` is the first
+    holder of every run in the span, which keeps it."""
+    p = units.where("passage").select(*LOCATOR, *KEY)
+    who = F.xxhash64(*LOCATOR)
+    twice = [F.min(who).alias("lo"), F.max(who).alias("hi")]
+    seeds = write_shared(p.groupBy(*KEY).agg(*twice).where("lo != hi").select(*KEY), "para-seeds")
+    key, place = F.struct(*KEY), F.struct(*LOCATOR)
+    hit = with_maybe(p, bit_filter(seeds, key), key, "maybe").where("maybe")
+    docs = with_maybe(source, bit_filter(hit, place), place, "maybe").where("maybe").drop("maybe")
+    runs = write_shared(_runs(docs, _bits_of(seeds)), "para-runs")
+    # First as paragraphs are: by document, then line; a null id comes last.
+    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", who.alias("who"))
+    shared = runs.groupBy(*KEY).agg(*twice, F.min(at).alias("first"), F.count("*").alias("n"))
+    shared = shared.where("lo != hi").select(*KEY, F.col("first.doc_id").alias("first_doc"),
+                                             F.col("first.who").alias("first_who"), "n")
+    hits = runs.drop("line").join(write_shared(shared, "para-shared"), list(KEY)).drop(*KEY)
+    # Runs of one document, in order: a new span begins after a gap and where the first holder changes.
     w = Window.partitionBy(*LOCATOR).orderBy("word")
-    new = F.coalesce(F.col("word") - F.lag("word").over(w) > PASSAGE - GRAM + 1, F.lit(True)).cast("int")
-    hits = hits.withColumn("span", new).withColumn("span", F.sum("span").over(w))
+    same = (F.col("word") - F.lag("word").over(w) == 1) & (F.col("first_who") == F.lag("first_who").over(w))
+    hits = hits.withColumn("span", F.when(same, 0).otherwise(1)).withColumn("span", F.sum("span").over(w))
     spans = hits.groupBy(*LOCATOR, "span").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("stop").alias("stop"),
-        (F.max("word") - F.min("word") + GRAM).alias("n_words"), F.min("first_doc").alias("cluster_doc"),
-        F.max("n").alias("cluster_size"))
+        (F.max("word") - F.min("word") + PASSAGE).alias("n_words"), F.first("first_doc").alias("cluster_doc"),
+        F.first("first_who").alias("first_who"), F.max("n").alias("cluster_size"))
     return spans.select("doc_id", *LOCATOR, "start", (F.col("stop") - F.col("start")).alias("n_chars"), "n_words",
-                        "cluster_doc", "cluster_size", (~F.col("doc_id").eqNullSafe(F.col("cluster_doc"))).alias("removed"))
+                        "cluster_doc", "cluster_size", (who != F.col("first_who")).alias("removed"))
 
 
 def _meetings(classes: DataFrame) -> DataFrame:
@@ -388,7 +449,7 @@ def repeated_text(docs: DataFrame) -> DataFrame:
     source = _source(docs)
     units = write_shared(_units(source), "para-units")
     p = _repeated(source, units, BUCKET).withColumn("kind", F.lit("paragraph"))
-    s = shared_passages(units).withColumn("kind", F.lit("passage"))
+    s = shared_passages(source, units).withColumn("kind", F.lit("passage"))
     out = p.unionByName(s, allowMissingColumns=True)
     return out.select("doc_id", "kind", "line", "start", "n_chars", "n_words", "cluster_doc", "cluster_line",
                       "cluster_size", "removed")

@@ -374,6 +374,22 @@ def test_passages_inside_longer_lines(spark):
         assert r.n_words >= 20
 
 
+def test_passages_are_verified_and_reach_as_far_as_the_texts_agree(spark):
+    rng = np.random.default_rng(19)
+    prose = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 10**9, size=n))
+    fifty, long, quote, a, b = prose(50), prose(140), prose(49), prose(70), prose(70)
+    # 11 holds a (first in 10) next to b (its own, copied in 12); a quotation of 49 words is no passage.
+    rows = [(1, f"{prose(40)} {fifty} {prose(31)}"), (2, f"{prose(7)} {fifty} {prose(90)}"),
+            (3, f"{prose(25)} {long} {prose(25)}"), (4, f"{prose(60)} {long} {prose(33)}"),
+            *[(i, f"{prose(30)} {quote} {prose(30)}") for i in range(5, 9)],
+            (10, f"{prose(33)} {a} {prose(20)}"), (11, f"{prose(12)} {a} {b} {prose(45)}"), (12, f"{prose(28)} {b} {prose(21)}")]
+    d, text = spark.createDataFrame(rows, "doc_id long, text string"), dict(rows)
+    got = {(r.doc_id, text[r.doc_id][r.start:r.start + r.n_chars], r.n_words, r.cluster_doc, r.removed)
+           for r in paragraphs.repeated_text(d).collect()}
+    assert got == {(1, fifty, 50, 1, False), (2, fifty, 50, 1, True), (3, long, 140, 3, False), (4, long, 140, 3, True),
+                   (10, a, 70, 10, False), (11, a, 70, 10, True), (11, b, 70, 11, False), (12, b, 70, 11, True)}
+
+
 def test_any_fifty_shared_words_share_a_shingle():
     rng = np.random.default_rng(2)
     prose = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 10**9, size=n))
