@@ -461,14 +461,41 @@ def _hex(column: str):
     return F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), F.lower(F.hex(F.abs(c))))
 
 
+def cut_text(text: str | None, gone: list[int] | None, spans: list | None) -> str | None:
+    """``text`` without the lines ``gone`` and the removed spans ``(start, n_chars, removed)``; what
+    a span that stays covers is not cut from it, so the first copy of a passage stays whole."""
+    if text is None or not (gone or spans):
+        return text
+    cut = np.zeros(len(text), dtype=bool)
+    for keep in (False, True):
+        for start, n, removed in spans or ():
+            if removed != keep:
+                cut[start:start + n] = not keep
+    out, at, gone = [], 0, set(gone or ())
+    for i, line in enumerate(text.split("\n")):
+        c = cut[at:at + len(line)]
+        at += len(line) + 1
+        if i in gone:
+            continue
+        if c.any():
+            line = "".join(x for x, y in zip(line, c.tolist(), strict=True) if not y)
+            if not line.strip():
+                continue
+        out.append(line)
+    return "\n".join(out)
+
+
 def cleaned_rows(docs: DataFrame) -> DataFrame:
-    """The documents without their removed paragraphs, with all their columns."""
+    """The documents without their removed paragraphs and passages, with all their columns."""
     columns, docs = docs.columns, plain_scan(docs)
-    gone = repeated_paragraphs(docs).where("removed").groupBy(*LOCATOR).agg(F.collect_set("line").alias("__gone"))
-    gone = gone.select(F.col("file").alias("__f"), F.col("row").alias("__r"), "__gone")
+    source = _source(docs)
+    units = write_shared(_units(source), "para-units")
+    p = _repeated(source, units, BUCKET).where("removed").select(*LOCATOR, "line", F.lit(None).alias("span"))
+    s = shared_passages(source, units).select(*LOCATOR, F.lit(None).cast("bigint").alias("line"),
+                                              F.struct("start", "n_chars", "removed").alias("span"))
+    gone = p.unionByName(s).groupBy(F.col("file").alias("__f"), F.col("row").alias("__r")).agg(
+        F.collect_set("line").alias("__gone"), F.collect_list("span").alias("__spans"))
     d = located(docs, whole_row(docs).alias("__doc"))
     j = d.join(gone, (F.col("__file") == F.col("__f")) & (F.col("__row") == F.col("__r")), "left")
-    text = F.col("__doc.text")
-    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("__gone"), i.cast("bigint")))
-    text = F.when(F.col("__gone").isNull(), text).otherwise(F.concat_ws("\n", lines))
+    text = F.udf(cut_text, "string")(F.col("__doc.text"), "__gone", "__spans")
     return j.select(*[text.alias(c) if c == "text" else F.col("__doc").getField(c).alias(c) for c in columns])

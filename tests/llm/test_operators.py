@@ -388,6 +388,14 @@ def test_passages_are_verified_and_reach_as_far_as_the_texts_agree(spark):
            for r in paragraphs.repeated_text(d).collect()}
     assert got == {(1, fifty, 50, 1, False), (2, fifty, 50, 1, True), (3, long, 140, 3, False), (4, long, 140, 3, True),
                    (10, a, 70, 10, False), (11, a, 70, 10, True), (11, b, 70, 11, False), (12, b, 70, 11, True)}
+    clean = {r.doc_id: r.text.split() for r in paragraphs.cleaned_rows(d).collect()}
+    cut = {2: fifty, 4: long, 11: a, 12: b}
+    assert clean == {i: t.replace(cut.get(i, "-"), "").split() for i, t in rows}
+
+
+def test_a_passage_that_stays_is_not_cut():
+    assert paragraphs.cut_text("ab cd ef\ngh", [], [(0, 5, True), (3, 5, False)]) == "cd ef\ngh"
+    assert paragraphs.cut_text("ab\ncd\nef", [2], [(0, 5, True)]) == "" and paragraphs.cut_text(None, None, None) is None
 
 
 def test_any_fifty_shared_words_share_a_shingle():
