@@ -44,6 +44,18 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "span strike strong sub sup time tt u var wbr label input ruby rt rp".split())
 BLOCK = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption h1 h2 h3 "
                   "h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
+# What an opening tag closes that was left open, and the elements that it does not reach out of.
+SCOPE = frozenset("table td th caption html object template button".split())
+P_CLOSERS = frozenset("address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure "
+                      "footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table ul".split())
+ITEMS = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
+         "option": frozenset(["option"])}
+PARTS = frozenset("thead tbody tfoot".split())
+CELLS = {"td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "tr": frozenset(["td", "th", "tr"]),
+         **{x: PARTS | {"td", "th", "tr"} for x in PARTS}}
+# An end tag of these does not reach out of such elements.
+_END_WALLS = {"p": SCOPE, "li": SCOPE | {"ul", "ol", "menu"}, "dt": SCOPE | {"dl"}, "dd": SCOPE | {"dl"},
+              **{x: frozenset(["table"]) for x in CELLS}}
 KNOWN = RAW | VOID | LEFT_OUT | OPTIONAL_END | INLINE | BLOCK
 ROLE = re.compile(
     r"(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|login|menu|modal|"
@@ -67,6 +79,38 @@ def _is_left_out(name: str, attributes: str) -> str | None:
     return None
 
 
+def _open_at(stack: list[tuple[str, str | None]], names: frozenset[str], walls: frozenset[str]) -> int | None:
+    """Where the outermost open element among ``names`` stands that no wall parts from the top."""
+    at = None
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i][0] in names:
+            at = i
+        elif stack[i][0] in walls:
+            break
+    return at
+
+
+def _close_implied(stack: list[tuple[str, str | None]], name: str) -> None:
+    """Close what an opening ``name`` ends: paragraphs, and siblings of the same kind."""
+    if name in ITEMS:
+        # As browsers do: out of paragraphs, div and inline elements, not out of another list or block.
+        at = None
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in ITEMS[name]:
+                at = i
+                break
+            if stack[i][0] not in INLINE and stack[i][0] not in ("p", "div", "address"):
+                break
+        if at is not None:
+            del stack[at:]
+    elif name in CELLS:
+        walls = frozenset(["table", "tr"]) if name in ("td", "th") else frozenset(["table"])
+        if (at := _open_at(stack, CELLS[name], walls)) is not None:
+            del stack[at:]
+    if name in P_CLOSERS and (at := _open_at(stack, frozenset(["p"]), SCOPE)) is not None:
+        del stack[at:]
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
     """``(kind, text or tag name, surroundings, inside article)`` in page order.
 
@@ -91,12 +135,17 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
         name = m["name"].lower()
         if m["close"]:
             around, article = state()
-            if any(n == name for n, _ in stack):
-                while (last := stack.pop())[0] != name:
-                    pass
-                around = last[1] or PLAIN
+            i = len(stack) - 1
+            walls = _END_WALLS.get(name, ())
+            while i >= 0 and stack[i][0] != name and stack[i][0] not in walls:
+                i -= 1
+            if i >= 0 and stack[i][0] == name:
+                around = stack[i][1] or PLAIN
+                del stack[i:]
             yield "close", name, around, article
             continue
+        if stack and (name in OPTIONAL_END or name in P_CLOSERS):
+            _close_implied(stack, name)
         held = stack[-1][1] if stack else None
         role = held or _is_left_out(name, m["attributes"])
         yield "open", name, role or PLAIN, state()[1]
@@ -107,7 +156,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
                 yield "text", page[at:stop], role or name, state()[1]
             at = after
             yield "close", name, role or PLAIN, state()[1]
-        elif name not in VOID and name not in OPTIONAL_END and not m["attributes"].endswith("/"):
+        elif name not in VOID and not m["attributes"].endswith("/"):
             if name not in INLINE or role:
                 stack.append((name, role))
 

@@ -262,6 +262,17 @@ def test_html_leaves_out_boilerplate():
     assert html_extract.extract(None, {}) == "" and html_extract.extract("<p>a b <br", {}) == "a b"
 
 
+def test_html_leaves_out_elements_without_end_tags():
+    w = {"word": 1.0}
+    cut = lambda body: html_extract.extract(f"<div>{body}</div>", w).split()
+    assert cut('<p>one two<p class="advert">buy<p>three four') == ["one", "two", "three", "four"]
+    assert cut('<ul><li>a b c<li class="comment">no<p>no<li>d e f</ul>g h') == ["a", "b", "c", "d", "e", "f", "g", "h"]
+    assert cut('<ul><li class="comment">no<ul><li>no</li></ul>no</li><li>a b c</li></ul>') == ["a", "b", "c"]
+    assert cut('<ul><li>a b c<p class="notice">no</li><li>d e f</ul>') == ["a", "b", "c", "d", "e", "f"]
+    assert cut('<table><tr><td class="sidebar">no<td>a b c<tr><td>d e f</table>') == ["a", "b", "c", "d", "e", "f"]
+    assert cut('<p class="advert">no<div>a b c d</div>') == ["a", "b", "c", "d"]
+
+
 def test_best_region_is_the_largest_sum():
     rng = np.random.default_rng(0)
     for _ in range(200):
