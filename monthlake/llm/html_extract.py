@@ -36,13 +36,17 @@ from monthlake.llm.common import bounded_sample, ship_code
 FIT_PAGES = 2000
 PLAIN = "text"
 # Element names by their role.
-RAW = frozenset("script style noscript template textarea title svg math iframe object canvas select".split())
+RAW = frozenset("script style noscript template textarea title svg iframe object canvas select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LEFT_OUT = RAW | frozenset("nav header footer aside form button menu dialog figure head".split())
+LEFT_OUT = RAW | frozenset("nav header footer aside form button menu head".split())
 OPTIONAL_END = frozenset("p li dt dd option tr td th thead tbody tfoot".split())
+# A formula stands in its paragraph; its parts are no markup that speaks against content.
+MATH = frozenset("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts "
+                 "mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics "
+                 "annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small "
-                   "span strike strong sub sup time tt u var wbr label input ruby rt rp".split())
-BLOCK = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption h1 h2 h3 "
+                   "span strike strong sub sup time tt u var wbr label input ruby rt rp".split()) | MATH
+BLOCK = frozenset("address article blockquote body caption center dd details dialog div dl dt fieldset figcaption figure h1 h2 h3 "
                   "h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 # What an opening tag closes that was left open, and the elements that it does not reach out of.
 SCOPE = frozenset("table td th caption html object template button".split())
@@ -61,6 +65,10 @@ ROLE = re.compile(
     r"(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|login|menu|modal|"
     r"nav|navbar|navigation|newsletter|notice|pagination|popup|promo\w*|related|replies|share|sharing|sidebar|social|"
     r"sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+# Words that also name parts of an article: on a heading, paragraph or cell they are no role there.
+PART = re.compile(r"(?:header|footer|related|share|sharing|widget)\Z", re.I)
+HEADING = frozenset("h1 h2 h3 h4 h5 h6 caption figcaption blockquote pre summary code".split())
+TABLE_PART = frozenset("td th tr thead tbody tfoot".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)"
     r"(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(?:/?[a-zA-Z][^>]*)(?:>|\Z)", re.S)
@@ -68,14 +76,18 @@ CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 SPACE = re.compile(r"\s+")
 
 
-def _is_left_out(name: str, attributes: str) -> str | None:
+def _is_left_out(name: str, attributes: str, article: bool) -> str | None:
     """The role for which an element is left out, or None."""
     if name in LEFT_OUT:
         return name
     if attributes and name not in ("html", "body", "article", "main"):
+        part = name in TABLE_PART or (article and (name in HEADING or name in OPTIONAL_END))
         for m in CLASS.finditer(attributes):
-            if ROLE.search(m[1] or m[2] or m[3] or ""):
-                return "role"
+            value, at = m[1] or m[2] or m[3] or "", 0
+            while r := ROLE.search(value, at):
+                if not (part and PART.match(r[1])):
+                    return "role"
+                at = r.end(1)  # the separator after it may begin the next word
     return None
 
 
@@ -147,7 +159,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if stack and (name in OPTIONAL_END or name in P_CLOSERS):
             _close_implied(stack, name)
         held = stack[-1][1] if stack else None
-        role = held or _is_left_out(name, m["attributes"])
+        role = held or _is_left_out(name, m["attributes"], state()[1])
         yield "open", name, role or PLAIN, state()[1]
         if name in RAW and not m["attributes"].endswith("/"):
             close = re.compile(rf"</{name}\s*(?:>|\Z)", re.I).search(page, at)
@@ -198,6 +210,8 @@ def score(kind: str, value: str, around: str, weights: dict[str, float]) -> floa
         return 0.0
     if kind == "text":
         return n_words(value) * weights.get("word", 1.0)
+    if value in MATH:
+        return 0.0
     return weights.get(token_kind(kind, value), -0.5)
 
 

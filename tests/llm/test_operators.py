@@ -273,6 +273,17 @@ def test_html_leaves_out_elements_without_end_tags():
     assert cut('<p class="advert">no<div>a b c d</div>') == ["a", "b", "c", "d"]
 
 
+def test_html_keeps_figures_formulas_and_headings():
+    w = {"word": 1.0}
+    page = ('<article><h2 class="section-header">One title here</h2><p>Some words <math><mi>x</mi><mo>=</mo><mn>2</mn></math> more '
+            'words</p><figure><pre>code in it</pre><figcaption>A caption here</figcaption></figure><dialog>a spoken line</dialog>'
+            '<table><tr class="header"><th>name of it</th></tr></table><h3 class="header advert">no</h3>'
+            '<div class="related">no</div><p>last words of it</p></article>')
+    assert html_extract.extract(page, w).split("\n\n") == [
+        "One title here", "Some words x=2 more words", "code in it", "A caption here", "a spoken line", "name of it",
+        "last words of it"]
+
+
 def test_best_region_is_the_largest_sum():
     rng = np.random.default_rng(0)
     for _ in range(200):
