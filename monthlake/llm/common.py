@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterable
 from pathlib import Path
 
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +105,25 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send a copy of a driver's file to every executor; returns its name for ``SparkFiles.get``."""
+    out = driver_file(f"{uuid.uuid4().hex[:12]}-{os.path.basename(path)}")
+    shutil.copyfile(path, out)
+    spark.sparkContext.addFile(out)
+    return os.path.basename(out)
+
+
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder in Hadoop's notation, and its path there. ``s3a`` and ``s3n`` are
+    Hadoop's names of ``s3``; a local folder may come without a scheme or with one slash."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), uri
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else uri)
+
+
 # --- one-hash bit filter of fixed size ---------------------------------------------------
 
 FILTER_BITS = 1 << 25  # 4 MB in all, in rows of 4 KB: the broadcast below never grows past it

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthlake.llm import bpe, classifier, exact_dedup, html_extract, mixing, paragraphs, quality, simhash, url_filter, warc
+from monthlake.llm import (
+    bpe,
+    classifier,
+    dialogue,
+    exact_dedup,
+    html_extract,
+    importance,
+    mixing,
+    paragraphs,
+    quality,
+    simhash,
+    token_codes,
+    url_filter,
+    warc,
+)
 from monthlake.llm.common import table
 
 
@@ -54,8 +68,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def byte_vocab_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_codes.round_trip(table(spark, sf_dir, "documents"), byte_vocab_path())
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return dialogue.repair_report(dialogue.damage(conversations), conversations)
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_exact_dedup, op4_url_filter, op5_html_extract, op6_warc, op7_substring_dedup,
-                                   op8_classifier, op9_bpe, op10_simhash)}
+                                   op8_classifier, op9_bpe, op10_simhash, op11_token_codes, op12_importance, op13_dialogue)}
 
 OP1_SQL = r"""
 WITH sized AS (
