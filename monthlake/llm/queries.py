@@ -154,4 +154,34 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
 FROM g
 """
 
-ORACLE = {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op4_url_filter": OP4_SQL, "op6_warc": OP6_SQL}
+# The CRC-32 of every distinct feature is folded over its bytes with a table made from the polynomial.
+OP12_SQL = r"""
+WITH RECURSIVE
+table0 AS (SELECT i, i::UBIGINT AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM table0 WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM table0 WHERE k = 8),
+low AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+goal AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+docf AS MATERIALIZED (SELECT r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM low),
+goalf AS MATERIALIZED (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM goal),
+names AS (SELECT f FROM docf UNION SELECT f FROM goalf),
+hashed AS MATERIALIZED (SELECT f, xor(list_reduce(list_transform(string_split(regexp_replace(hex(encode(f)), '(..)', '\1 ', 'g'), ' ')[:-2],
+    lambda h: ('0x' || h)::UBIGINT), lambda c, b: xor(t[(xor(c, b) & 255)::INT + 1], c >> 8), 4294967295::UBIGINT), 4294967295::UBIGINT) % 10000 AS b
+  FROM names, crc),
+s AS (SELECT b, count(*) AS n FROM docf JOIN hashed USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM goalf JOIN hashed USING (f) GROUP BY b),
+gain AS (SELECT s.b, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+  / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS g FROM s LEFT JOIN t USING (b)),
+weights AS (SELECT r, count(*) AS n, sum(g)::BIGINT AS g FROM docf JOIN hashed USING (f) JOIN gain USING (b) GROUP BY r),
+scored AS (SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN (g - ((g % n) + n) % n) // n ELSE 0 END AS weight,
+  floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296.0)))::BIGINT AS noise
+  FROM low LEFT JOIN weights USING (r)),
+ranked AS (SELECT *, weight + noise AS score, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words >= 20 ORDER BY weight + noise DESC, doc_id) END AS k,
+  count(*) FILTER (WHERE words >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN k <= 25 * n // 100 THEN k END AS rank FROM ranked
+"""
+
+ORACLE = {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op4_url_filter": OP4_SQL, "op6_warc": OP6_SQL,
+          "op12_importance": OP12_SQL}
