@@ -8,6 +8,7 @@ and catalog registration.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from monthlake.functions.casts import NULL_TOKENS, nullify_tokens
 from monthlake.operators.upsert import ABSENT, current, directories, try_read
 from monthlake.schemas import RAW_COLUMNS
+from monthlake.sources.quoted import read_quoted
 
 PERIOD_COL = "periodo"
 NO_TEXT = "\x00"  # stands for an absent field while parsing, so that a quoted empty text stays a text
@@ -48,24 +50,29 @@ def read_raw(spark: SparkSession, path: str | list[str], fmt: str | None = None,
 
     ``fmt`` defaults to the file extension: ``csv`` (semicolon / latin-1 by default,
     header row, no type inference; quotes doubled inside quotes, a line break inside quotes is
-    text, which makes one task of a file) or ``parquet``. Several paths are read each by its own
-    header and united by column name. Spreadsheets have no Spark source
-    and must be exported to CSV first; any other format is a ``ValueError``.
+    text) or ``parquet``. A text file is read by as many tasks as it has ranges of
+    ``quoted.RANGE_BYTES``; files of one header, or of one Parquet schema, are one scan. All are
+    united by column name. Spreadsheets have no Spark source and must be exported to CSV first;
+    any other format is a ``ValueError``.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    frames = []
-    for one in paths:  # one at a time: the columns of each file go by their own header
+    text, tables = [], []
+    for one in paths:
         kind = (fmt or detect_format(one)).lower()
         if "csv" in kind or kind in ("txt", "text"):
-            frames.append(spark.read.options(header=header, sep=sep, encoding=encoding, quote='"', escape='"',
-                                             multiLine=True, inferSchema=False, mode="FAILFAST",
-                                             nullValue=NO_TEXT).csv(one))
+            text.append(one)
         elif "parquet" in kind:
-            frames.append(all_string(spark.read.parquet(one)))
+            tables.append(one)
         elif "xlsx" in kind:
             raise ValueError("xlsx has no Spark source: export the sheet to CSV and read that")
         else:
             raise ValueError(f"unsupported raw file type: {kind!r}")
+    frames = read_quoted(spark, text, sep, encoding, header, NO_TEXT) if text else []
+    schemas: dict[str, list[str]] = {}
+    for one in tables:
+        schemas.setdefault(spark.read.parquet(one).schema.json(), []).append(one)
+    for schema, those in schemas.items():
+        frames.append(all_string(spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*those)))
     df = union_files(frames)
     return null_tokens(df, tokens) if tokens else df
 
