@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,21 @@ def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(cols), "column_name", "failures")
 
 
+def observe_not_null(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``df`` with the NULLs of ``cols`` counted by whatever job writes it: no scan of its own.
+
+    Watch the frame that is written, after its last shuffle, so that each partition counts once
+    however often a stage before it runs."""
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(f"n{k}") for k, c in enumerate(cols)]), seen
+
+
+def observed_not_null(spark: SparkSession, seen: Observation, cols: Sequence[str]) -> DataFrame:
+    """``check_not_null`` of a frame that has been written; waits for the write."""
+    found = seen.get
+    return spark.createDataFrame([(c, found.get(f"n{k}", 0)) for k, c in enumerate(cols)], "column_name string, failures bigint")
+
+
 def check_unique(df: DataFrame, col: str) -> DataFrame:
     """Values (NULLs ignored) occurring more than once: ``(col, n_records)``."""
     return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n_records"))

@@ -8,15 +8,17 @@ ordered by the key, NULLs last, then by the remaining columns so pages never ove
 A serving table is written once in that order (range-partitioned and sorted) together with an
 index of its files: rows, first and last key, and the position of the first row. A page at any
 depth opens the files that hold its positions and takes its rows by their number in the file:
-nothing is sorted, and the driver gets the page only. A lookup finds its id's first position the
-same way; its equality filter skips the row groups of all other ids.
+nothing is sorted, and the driver gets the page only. The row count is taken while the table is written, so the envelope
+of a list page opens no data file. A lookup picks files by their first and last key before it opens
+any: those inside an id's run are counted by the index, the ones at its ends (at most three) are
+opened, and there the key's Bloom filters skip row groups that cannot hold the id.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthlake.operators.upsert import VERSION_COL, _commit, _new_version, current
@@ -42,11 +44,15 @@ def page_order(columns: list[str], key: str) -> list[Column]:
 
 
 def write_serving(df: DataFrame, path: str, key: str) -> int:
-    """Write a table version in page order, its file index, and then its commit entry."""
+    """Write a table version in page order, its file index and row count, and then its commit entry."""
     spark, order = df.sparkSession, page_order(df.columns, key)
     version = _new_version(current(spark, path))
     folder = f"{VERSION_COL}={version}"
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(f"{path}/data/{folder}")
+    written = Observation()
+    pages = df.repartitionByRange(*order).sortWithinPartitions(*order).observe(written, F.count(F.lit(1)).alias("rows"))
+    (pages.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true")
+          .option("parquet.bloom.filter.adaptive.enabled", "true").parquet(f"{path}/data/{folder}"))
+    total = written.get.get("rows", 0)
     rows = spark.read.schema(df.schema).parquet(f"{path}/data/{folder}")
     name = F.col("_metadata.file_name")
     files = rows.select(name.alias("file"), F.col(key).alias("k")).groupBy("file").agg(
@@ -56,6 +62,7 @@ def write_serving(df: DataFrame, path: str, key: str) -> int:
     part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
     upto = F.sum("rows").over(Window.orderBy(part, "file"))
     files.withColumn("start", upto - F.col("rows")).write.parquet(f"{path}/_index/{folder}")
+    spark.range(1).select(F.lit(total).cast("long").alias("total")).write.parquet(f"{path}/_totals/{folder}")
     _commit(spark, path, version, [(None, folder)])
     return version
 
@@ -69,8 +76,16 @@ def _open(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
     return f"{path}/data/{folder}", spark.read.parquet(f"{path}/_index/{folder}")
 
 
+def totals(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``total`` of the newest version, as counted by the job that wrote it."""
+    c = current(spark, path)
+    if c is None:
+        raise LookupError(f"no table at {path}")
+    return spark.read.schema("total bigint").parquet(f"{path}/_totals/{VERSION_COL}={c.version}")
+
+
 def total_rows(spark: SparkSession, path: str) -> int:
-    return _open(spark, path)[1].agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    return totals(spark, path).first()[0]
 
 
 def _positions(spark: SparkSession, path: str, key: str, lo: int, hi: int) -> DataFrame:
@@ -103,22 +118,46 @@ def envelope(df: DataFrame, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX
         F.when(F.lit(b + n) < total, F.lit(b + n)).alias("next"))
 
 
+def serving_envelope(spark: SparkSession, path: str, b_start=0, limit=DEFAULT_LIMIT, max_limit: int = MAX_LIMIT) -> DataFrame:
+    """``envelope`` of a serving table, from its written row count: no data file is opened."""
+    b, n = clamp(b_start, limit, max_limit)
+    return _envelope_row(totals(spark, path), b, n)
+
+
+def _envelope_row(total: DataFrame, b: int, n: int) -> DataFrame:
+    return total.select(F.lit(b).alias("b_start"), F.lit(n).alias("limit"), "total",
+                        F.when(F.lit(b + n) < F.col("total"), F.lit(b + n)).alias("next"))
+
+
+def key_files(spark: SparkSession, path: str, value) -> tuple[list[Row], int, int | None]:
+    """Where rows of key ``value`` can be, by the index alone: the files at the ends of its run, which
+    may hold other keys too (at most three), and the rows and first position of those between."""
+    _, index = _open(spark, path)
+    v = F.lit(value)
+    can = index.where((F.col("first_key") <= v) & (F.col("last_key") >= v))
+    end = (F.col("first_key") < v) | (F.col("last_key") > v) | (F.col("null_keys") > 0)
+    inner = can.where(~end).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.min("start").alias("start")).first()
+    return can.where(end).orderBy("start").collect(), inner.rows, inner.start
+
+
 def lookup(spark: SparkSession, path: str, key: str, value, b_start=0, limit=DEFAULT_LIMIT,
            max_limit: int = MAX_LIMIT) -> tuple[DataFrame, DataFrame]:
     """(page of rows with ``key == value``, envelope with the key) of a serving table.
-    ``LookupError`` when nothing matches."""
+    ``LookupError`` when nothing matches; no file is opened where the index knows that."""
     b, n = clamp(b_start, limit, max_limit, allow_zero=False)
-    data, index = _open(spark, path)
-    hit = spark.read.parquet(data).where(F.col(key) == F.lit(value))
-    env = envelope(hit, b, n, max_limit).select(F.lit(value).alias(key), "*")
-    total = env.first()["total"]
+    data, _ = _open(spark, path)
+    ends, total, start = key_files(spark, path, value)
+    is_key, smaller = F.col(key) == F.lit(value), F.col(key) < F.lit(value)
+    for f in ends:
+        one = spark.read.parquet(f"{data}/{f.file}")
+        hits = one.where(is_key).count()
+        if hits and (start is None or f.start < start):
+            start = f.start + (one.where(smaller).count() if f.first_key < value else 0)
+        total += hits
     if total == 0:
         raise LookupError(f"no rows for {key} = {value!r}")
-    # The first file that holds the id, and the rows of smaller ids in it.
-    first = index.where((F.col("first_key") <= F.lit(value)) & (F.col("last_key") >= F.lit(value))).orderBy("start").first()
-    before = spark.read.parquet(f"{data}/{first.file}").where(F.col(key) < F.lit(value)).count()
-    lo = first.start + before + b
-    return _positions(spark, path, key, lo, min(lo + n, first.start + before + total)), env
+    env = _envelope_row(spark.range(1).select(F.lit(total).cast("long").alias("total")), b, n).select(F.lit(value).alias(key), "*")
+    return _positions(spark, path, key, start + b, min(start + b + n, start + total)), env
 
 
 def row_json(df: DataFrame, col: str = "json") -> DataFrame:

@@ -236,3 +236,78 @@ def suite_sql() -> str:
             parts.append(head + f"count(*) AS failures FROM {t} c WHERE c.{cols} IS NOT NULL AND NOT EXISTS "
                                 f"(SELECT 1 FROM {parent[0]} p WHERE p.{parent[1]} = c.{cols})")
     return "\nUNION ALL\n".join(parts)
+
+
+# The descriptions of the registered tables' columns.
+_DESCRIBED = """
+app_terceirizados|cnpj|company tax id
+app_terceirizados|cpf|worker tax id, pre-masked
+app_terceirizados|id_terceirizado|worker id
+app_terceirizados|orgao_superior_sigla|parent agency acronym
+brutos_terceirizados|ano|year
+brutos_terceirizados|categoria_profissional_nome|job category name
+brutos_terceirizados|cnpj|company tax id
+brutos_terceirizados|cpf|worker tax id, pre-masked
+brutos_terceirizados|custo_mensal_valor|monthly cost
+brutos_terceirizados|data_processamento|processing time, one value per run
+brutos_terceirizados|escolaridade|schooling level
+brutos_terceirizados|id_categoria_profissional|job category code
+brutos_terceirizados|id_terceirizado|worker id
+brutos_terceirizados|jornada_horas|weekly hours
+brutos_terceirizados|mes_nome|month name
+brutos_terceirizados|mes_numero|month number
+brutos_terceirizados|numero_contrato|contract number
+brutos_terceirizados|orgao_codigo_siafi|agency code (SIAFI)
+brutos_terceirizados|orgao_codigo_siape|agency code (SIAPE)
+brutos_terceirizados|orgao_nome|agency name
+brutos_terceirizados|orgao_sigla|agency acronym
+brutos_terceirizados|orgao_superior_sigla|parent agency acronym
+brutos_terceirizados|razao_social|company legal name
+brutos_terceirizados|salario_mensal_valor|monthly salary
+brutos_terceirizados|terceirizado_nome|worker name
+brutos_terceirizados|unidade_gestora_codigo|managing unit code
+brutos_terceirizados|unidade_gestora_nome|managing unit name
+brutos_terceirizados|unidade_gestora_sigla|managing unit acronym
+brutos_terceirizados|unidade_prestacao|unit where the service is provided
+dim_categoria_profissional|categoria_profissional_nome|job category name
+dim_categoria_profissional|id_categoria_profissional|job category code
+dim_categoria_profissional|ref_tempo|month that decided the row
+dim_contratos|id_contrato|contract key (md5 of the contract number)
+dim_contratos|numero_contrato|contract number
+dim_contratos|ref_tempo|month that decided the row
+dim_orgaos|id_orgao|agency key (md5 of name, acronym)
+dim_orgaos|id_orgao_superior|parent agency key (md5 of managing unit name, code)
+dim_orgaos|orgao_codigo_siafi|agency code (SIAFI)
+dim_orgaos|orgao_codigo_siape|agency code (SIAPE)
+dim_orgaos|orgao_nome|agency name
+dim_orgaos|orgao_sigla|agency acronym
+dim_orgaos|ref_tempo|month that decided the row
+dim_orgaos_superiores|id_orgao_superior|parent agency key (md5 of managing unit name, code)
+dim_orgaos_superiores|orgao_superior_sigla|parent agency acronym
+dim_orgaos_superiores|ref_tempo|month that decided the row
+dim_orgaos_superiores|unidade_gestora_codigo|managing unit code
+dim_orgaos_superiores|unidade_gestora_nome|managing unit name
+dim_periodo|ano|year
+dim_periodo|id_tempo|period key yyyymm
+dim_periodo|mes_nome|month name
+dim_periodo|mes_numero|month number
+dim_terceirizados|cnpj|company tax id
+dim_terceirizados|cpf|worker tax id, pre-masked
+dim_terceirizados|escolaridade|schooling level
+dim_terceirizados|id_categoria_profissional|job category code
+dim_terceirizados|id_terceirizado|worker id
+dim_terceirizados|razao_social|company legal name
+dim_terceirizados|ref_tempo|month that decided the row
+dim_terceirizados|terceirizado_nome|worker name
+fact_contratos_terceirizados|custo_mensal_valor|monthly cost
+fact_contratos_terceirizados|data_processamento|processing time, one value per run
+fact_contratos_terceirizados|id_contrato|contract key (md5 of the contract number)
+fact_contratos_terceirizados|id_fato|fact key (md5 of worker, contract, agency, period)
+fact_contratos_terceirizados|id_orgao|agency key (md5 of name, acronym)
+fact_contratos_terceirizados|id_orgao_superior|parent agency key (md5 of managing unit name, code)
+fact_contratos_terceirizados|id_tempo|period key yyyymm
+fact_contratos_terceirizados|id_terceirizado|worker id
+fact_contratos_terceirizados|salario_mensal_valor|monthly salary
+"""
+DESCRIPTIONS = "SELECT * FROM (VALUES " + ", ".join(
+    "('" + "', '".join(line.split("|")) + "')" for line in _DESCRIBED.strip().split("\n")) + ") t(table_name, col_name, comment)"

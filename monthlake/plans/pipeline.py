@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from monthlake import schemas
 from monthlake.functions.periods import current_period, normalize_period
+from monthlake.operators.bucketed import upsert_bucketed
 from monthlake.operators.serve import write_serving
 from monthlake.operators.upsert import current, read_commit, read_current, upsert_table, write_version
 from monthlake.plans.dims import COLUMNS as DIM_COLUMNS
-from monthlake.plans.dims import MONTH_COL, dim_period, dim_source, latest_first
+from monthlake.plans.dims import MONTH_COL, dim_period, dim_source
 from monthlake.plans.fact import FACT_KEY, build_fact, incremental_slice, newest_month
 from monthlake.plans.mart import build_mart
 from monthlake.plans.staging import run_timestamp, stage
@@ -49,8 +50,7 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
 
     def upsert_dim(name: str) -> None:
         src, key, _ = dim_source(bronze, name)
-        upsert_table(spark, p[name], schemas.describe(src), [key], None,
-                     columns=[*DIM_COLUMNS[name], MONTH_COL], rank=latest_first())
+        upsert_bucketed(spark, p[name], schemas.describe(src), key, [*DIM_COLUMNS[name], MONTH_COL], rank=MONTH_COL)
 
     def load_fact() -> None:
         newest = newest_month(current(spark, p[FACT_TABLE]))

@@ -16,7 +16,7 @@ from monthlake import oracle as O
 from monthlake.plans import warehouse as W
 from monthlake.plans.dims import build_dim
 from monthlake.plans.fact import build_fact
-from monthlake.plans.mart import build_mart
+from monthlake.plans.mart import build_mart, latest_period
 from monthlake.plans.staging import stage
 from monthlake.sources.feed import raw_feed
 from monthlake.sources import ingest as I
@@ -28,10 +28,11 @@ from monthlake.sources import catalog as CAT
 from monthlake.sources import manifest as MAN
 from monthlake import schemas as S
 from monthlake.functions.keys import period_key as _pk
-from monthlake.operators.upsert import current, upsert_table
-from monthlake.plans.dims import MONTH_COL, dim_period_span, dim_source, latest_first
+from monthlake.operators.bucketed import upsert_bucketed
+from monthlake.operators.upsert import current, upsert_table, write_version
+from monthlake.plans.dims import MONTH_COL, dim_period_span, dim_source
 from monthlake.plans.fact import FACT_KEY, incremental_slice, newest_month
-from monthlake.plans.pipeline import MART_TABLE, read_layer, run
+from monthlake.plans.pipeline import FACT_TABLE, MART_TABLE, read_layer, run
 from monthlake.plans.pipeline import paths as pipeline_paths
 from monthlake.streaming.incremental import start_incremental
 from monthlake.operators import serve as SV
@@ -41,6 +42,7 @@ from monthlake.plans.checks import WAREHOUSE_CHECKS
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+BRONZE_TABLE = "brutos_terceirizados"
 
 
 def register(name: str, sql: str | None = None):
@@ -237,6 +239,46 @@ def ctas_mart(spark, sf_dir):
     return I.register_table(spark, path, name, "gold", db_location=gold)
 
 
+@register("fact_registered", O.with_(O.FEED, O.BRONZE, O.FACT, body=f"SELECT {', '.join(FACT_COLS)} FROM fact"))
+def fact_registered(spark, sf_dir):
+    """The month-partitioned fact registered after its first month, then once more after a load of all."""
+    base = scratch_path(spark, "warehouse-fact")
+    raw = W.raw(spark, sf_dir) and W.layer_path(spark, sf_dir, "raw")
+    months = sorted(f.rsplit("/periodo=", 1)[1].split("/", 1)[0] for f in W.raw(spark, sf_dir).inputFiles())
+    name = "fact_" + hashlib.md5(base.encode()).hexdigest()[:8]
+    for period in (months[0], "*"):
+        for step in ("bronze", FACT_TABLE):
+            run(spark, base, period, only=step, run_ts=W.FIXED_RUN_TS, raw=raw)
+        fact = I.register_table(spark, pipeline_paths(base)[FACT_TABLE], name, "gold", db_location=f"{shared_root(spark)}/monthlake/gold.db",
+                                comment=S.TABLE_COMMENTS[FACT_TABLE])
+    return fact.select(*FACT_COLS)
+
+
+@register("write_if_absent", "SELECT * FROM customer WHERE c_custkey % 2 = 0")
+def write_if_absent(spark, sf_dir):
+    """A cache written from every second customer, then offered all: what is there stays."""
+    path, customers = scratch_path(spark, "cache"), _t(spark, sf_dir, "customer")
+    I.write_if_absent(customers.where("c_custkey % 2 = 0"), path)
+    I.write_if_absent(customers, path)
+    return spark.read.parquet(path)
+
+
+@register("table_descriptions", O.DESCRIPTIONS)
+def table_descriptions(spark, sf_dir):
+    """What ``DESCRIBE TABLE`` says of the registered silver and gold tables' columns."""
+    base = scratch_path(spark, "warehouse-described")
+    raw = W.raw(spark, sf_dir) and W.layer_path(spark, sf_dir, "raw")
+    run(spark, base, "*", run_ts=W.FIXED_RUN_TS, raw=raw)
+    tag, out = hashlib.md5(base.encode()).hexdigest()[:8], None
+    for table in S.TABLE_COMMENTS:
+        I.register_table(spark, pipeline_paths(base)["bronze" if table == BRONZE_TABLE else table], f"{table}_{tag}", "gold",
+                         db_location=f"{shared_root(spark)}/monthlake/gold.db", comment=S.TABLE_COMMENTS[table])
+        rows = spark.sql(f"DESCRIBE TABLE gold.{table}_{tag}").where("comment IS NOT NULL AND comment <> ''").select(
+            F.lit(table).alias("table_name"), "col_name", "comment")
+        out = rows if out is None else out.unionByName(rows)
+    return out.distinct()
+
+
 # --- scalar functions ---------------------------------------------------------------
 
 
@@ -459,7 +501,7 @@ def upsert_scd1(spark, sf_dir):
     path = scratch_path(spark, "dim-worker-upsert")
     for part in (b.where(pk < newest), b.where(pk == newest)):
         src, key, _ = dim_source(part, "dim_terceirizados")
-        out = upsert_table(spark, path, src, [key], None, columns=[*S.DIM_WORKER, MONTH_COL], rank=latest_first())
+        out = upsert_bucketed(spark, path, src, key, [*S.DIM_WORKER, MONTH_COL], rank=MONTH_COL)
     return out.drop(MONTH_COL)
 
 
@@ -488,9 +530,8 @@ def fact_incremental(spark, sf_dir):
           "SELECT * FROM orders WHERE CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) = "
           "(SELECT max(CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER)) FROM orders)")
 def latest_period_filter(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders")
-    pk = _pk(F.year("o_orderdate"), F.month("o_orderdate"))
-    return o.where(pk == o.select(F.max(pk)).scalar())
+    o = _t(spark, sf_dir, "orders").withColumn("id_tempo", _pk(F.year("o_orderdate"), F.month("o_orderdate")))
+    return latest_period(o).drop("id_tempo")
 
 
 @register("latest_per_key",
@@ -574,7 +615,11 @@ def page_deep(spark, sf_dir):
 @register("page_envelope", "SELECT 1000 AS b_start, 200 AS \"limit\", count(*) AS total, "
                            "CASE WHEN 1200 < count(*) THEN 1200 END AS next FROM customer")
 def page_envelope(spark, sf_dir):
-    return SV.envelope(_t(spark, sf_dir, "customer"), 1000, 500)
+    """A serving table loaded twice, the second time with all customers; its envelope opens no data file."""
+    path, customers = scratch_path(spark, "serving-envelope"), _t(spark, sf_dir, "customer")
+    for rows in (customers.where("c_custkey % 2 = 0"), customers):
+        SV.write_serving(rows, path, "c_custkey")
+    return SV.serving_envelope(spark, path, 1000, 500)
 
 
 @register("page_by_id", O.with_(O.FEED, O.BRONZE, body=(
@@ -617,6 +662,16 @@ def dq_not_null(spark, sf_dir):
     return Q.check_not_null(li, LINEITEM_COLS)
 
 
+@register("dq_not_null_written", ORACLE["dq_not_null"])
+def dq_not_null_written(spark, sf_dir):
+    """The same NULL counts, taken by the job that writes the table."""
+    li = _t(spark, sf_dir, "lineitem").withColumns({
+        "l_linenumber": F.nullif(F.col("l_linenumber"), F.lit(1)), "l_returnflag": F.nullif(F.col("l_returnflag"), F.lit("R"))})
+    watched, seen = Q.observe_not_null(li, LINEITEM_COLS)
+    write_version(watched, scratch_path(spark, "lineitem-checked"))
+    return Q.observed_not_null(spark, seen, LINEITEM_COLS)
+
+
 @register("dq_unique", "SELECT l_orderkey, count(*) AS n_records FROM lineitem WHERE l_orderkey IS NOT NULL "
                        "GROUP BY l_orderkey HAVING count(*) > 1")
 def dq_unique(spark, sf_dir):

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthlake.functions.casts import NULL_TOKENS, nullify_tokens
-from monthlake.operators.upsert import ABSENT, current, directories, try_read
-from monthlake.schemas import RAW_COLUMNS
+from monthlake.operators.upsert import ABSENT, Commit, current, directories, read_commit, try_read
+from monthlake.schemas import COMMENTS, RAW_COLUMNS
 from monthlake.sources.quoted import read_quoted
 
 PERIOD_COL = "periodo"
@@ -171,16 +171,49 @@ def register_table(spark: SparkSession, path: str, name: str, database: str = "g
     """Expose a written Parquet table as ``database.name`` (create-if-absent, no copy).
 
     A versioned table is exposed as its newest committed version; registering it again after a
-    commit moves the name on to that version."""
+    commit moves the name on to that version. A partitioned one becomes a view over a table whose
+    catalog partitions are the commit's directories, so a query opens the partitions it names."""
     loc = f" LOCATION '{db_location}'" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
     commit = current(spark, path)
+    if commit is not None and commit.values:
+        return _register_parts(spark, path, commit, name, database, comment)
     if commit is not None:
-        if len(commit.parts) != 1:
-            raise ValueError("only an unpartitioned table can be registered")
         path = directories(path, commit)[0]
-    text = f" COMMENT '{comment}'" if comment else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{path}'{text}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{path}'{_comment(comment)}")
     spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(f"{database}.{name}")
     return spark.table(f"{database}.{name}")
+
+
+PARTS_AT_ONCE = 200  # partitions in one statement
+LOAD_DIR = "load_dir"
+
+
+def _comment(text: str | None) -> str:
+    return "" if not text else " COMMENT '" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _register_parts(spark: SparkSession, path: str, commit: Commit, name: str, database: str, comment: str | None) -> DataFrame:
+    """One partition of a value may lie in several directories (a load's new rows and the rows it
+    kept), so the table behind the view is partitioned by value and directory. The view is replaced
+    when all partitions of the new version are in, then the table of the version before goes."""
+    column = commit.parts[0][1].rsplit("/", 1)[1].split("=", 1)[0]
+    fields = read_commit(spark, path, commit).schema.fields
+    said = {f.name: _comment(f.metadata.get("comment") or COMMENTS.get(f.name)) for f in fields}  # a directory's name has none
+    ddl = {f.name: f"`{f.name}` {f.dataType.simpleString()}{said[f.name]}" for f in fields}
+    table = f"{name}__v{commit.version}"
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        rows = ", ".join(d for n, d in ddl.items() if n != column)
+        spark.sql(f"CREATE TABLE {database}.{table} ({rows}, {ddl[column]}, {LOAD_DIR} string) USING parquet "
+                  f"PARTITIONED BY ({column}, {LOAD_DIR}) LOCATION '{path}/data'")
+        parts = [f"PARTITION ({column}='{v}', {LOAD_DIR}='{d.split('/', 1)[0]}') LOCATION '{path}/data/{d}'" for v, d in commit.parts]
+        for at in range(0, len(parts), PARTS_AT_ONCE):
+            spark.sql(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS {' '.join(parts[at:at + PARTS_AT_ONCE])}")
+    columns = ", ".join(f"`{n}`{c}" for n, c in said.items())
+    names = ", ".join(f"`{n}`" for n in said)
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} ({columns}){_comment(comment)} AS SELECT {names} FROM {database}.{table}")
+    for r in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__v*'").collect():
+        if r.tableName != table:
+            spark.sql(f"DROP TABLE {database}.{r.tableName}")  # external: its directories stay
+    return spark.table(f"{database}.{name}")

@@ -23,6 +23,13 @@ def matches(spark, name) -> bool:
 
 
 BROKEN = {
+    "write_if_absent": (Q.I, "write_if_absent", lambda df, path: df.write.mode("overwrite").parquet(path)),
+    "latest_period_filter": (Q, "latest_period", lambda fact, newest=None: fact),
+    "table_descriptions": (Q.S, "describe", lambda df: df),
+    "dq_not_null_written": (Q.Q, "observed_not_null", lambda spark, seen, cols: spark.createDataFrame(
+        [(c, 0) for c in cols], "column_name string, failures bigint")),
+    "upsert_scd1": (Q, "upsert_bucketed", lambda spark, path, src, key, columns, rank: src.select(*columns)),
+    "page_envelope": (Q.SV, "serving_envelope", lambda spark, path, b, n: Q.SV.envelope(spark.range(3), b, n)),
     "fact_incremental": (Q, "incremental_slice", lambda src, newest, backfill=False: src),
     "null_tokens": (Q.I, "null_tokens", lambda df, *a, **k: df),
     "raw_ingest_text": (Q.I, "null_tokens", lambda df, *a, **k: df),

@@ -68,6 +68,60 @@ def test_every_depth_has_one_plan(spark, people_path):
     assert shape(0) == shape(12) and "Exchange" not in shape(0)
 
 
+def test_lookup_opens_only_files_that_can_hold_the_id(spark, tmp_table):
+    from monthlake.operators.serve import key_files
+    df = spark.range(9000).select((F.col("id") % 3000 * 2).cast("int").alias("k"), F.col("id").alias("v"))
+    hot = spark.range(5000).select(F.lit(3000).alias("k"), (F.col("id") + 10_000).alias("v"))
+    path = tmp_table("files")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_serving(df.unionByName(hot), path, "k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    index = spark.read.parquet(f"{path}/_index").orderBy("start").collect()
+    data = f"{path}/data/version={spark.read.parquet(f'{path}/_index').first().version}"
+    assert len(index) >= 6
+    ends, inner, start = key_files(spark, path, 3000)
+    assert len(ends) <= 3 and inner > 0 and start is not None  # files of the hot id alone are counted by the index
+    ends, inner, start = key_files(spark, path, 10)
+    assert [f.file for f in ends] == [index[0].file] and (inner, start) == (0, None)
+    # every other file is unreadable: the lookup does not notice
+    import os
+    for f in index[1:]:
+        with open(f"{data}/{f.file}".removeprefix("file:"), "wb") as out:
+            out.write(b"gone")
+        crc = f"{data}/.{f.file}.crc"
+        if os.path.exists(crc):
+            os.remove(crc)
+    rows, env = lookup(spark, path, "k", 10, 0, 20)
+    assert [r.v for r in rows.collect()] == [5, 3005, 6005] and env.first().total == 3
+    with pytest.raises(LookupError):
+        lookup(spark, path, "k", 11)  # within the first file's keys, but not there
+    with pytest.raises(LookupError):
+        lookup(spark, path, "k", 10**6)  # beyond all files: none is opened
+
+
+def test_serving_envelope_opens_no_data_file(spark, people, people_path):
+    from monthlake.operators.serve import serving_envelope
+    got = serving_envelope(spark, people_path, 20, 4)
+    assert tuple(got.first()) == (20, 4, 26, 24) and tuple(envelope(people, 20, 4).first()) == (20, 4, 26, 24)
+    assert got.dtypes == envelope(people, 20, 4).dtypes
+    assert all("/_totals/" in f for f in got.inputFiles()) and "/data/" not in plan_text(got)
+    write_serving(people.limit(7), people_path, "id")
+    assert serving_envelope(spark, people_path, 0, 5).first().total == 7
+    write_serving(people.limit(0), people_path, "id")
+    assert tuple(serving_envelope(spark, people_path, 0, 5).first()) == (0, 5, 0, None)
+
+
+def test_bloom_filter_of_the_key_is_written(spark, people_path):
+    jvm = spark._jvm
+    file = next(f for f in page(spark, people_path, "id", 0, 5).inputFiles())
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    conf = spark._jsc.hadoopConfiguration()
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+    columns = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in reader.getFooter().getBlocks().get(0).getColumns()}
+    reader.close()
+    assert columns["id"] > 0 and columns["name"] <= 0
+
+
 LISTING = """<html><body>
 <article class="entry"><a href="https://x.gov/arq/Terceirizados_202403.csv/view">mar</a></article>
 <article class="entry"><a href="https://x.gov/arq/terceirizados-marco-2024.XLSX/view">mar</a></article>
