@@ -19,10 +19,12 @@ run of ``PASSAGE`` words is taken as a paragraph too: its MinHash, the smallest
 ``GRAM``-word shingles, is one value, and runs over neighbouring words mostly share it, so a
 document has about one value per ``(PASSAGE - GRAM) / 2`` words. Two documents that share
 ``PASSAGE`` words in a row share such a value for certain, but a shared value may stand in less;
-so it only names candidates: every run whose value is shared is compared as a whole, by 128 bits
-(edit distance 0). A run that two documents hold is kept in its first one. Neighbouring runs with
-one first holder are a span, so a span has at least ``PASSAGE`` words and reaches as far as the
-documents agree.
+so it only names candidates: every run whose value is shared is compared as a whole, by two 64-bit
+hashes of the words' hashes (edit distance 0). The runs that select one shingle travel as one row, and
+rows equal in all their words are one before their runs are compared. A run that stands twice, in
+two documents or in one, is kept at its first place. Neighbouring runs with one first holder are a
+span, so a span has at least ``PASSAGE`` words and reaches as far as the documents agree. What
+stands in repeated paragraphs only is theirs: a run whose shingle lies in them alone is no candidate.
 
 Defined cases: null texts and short lines have no paragraphs; repeated rows are copies like any
 other; a null id sorts last, so its paragraph is removed first; texts are read whole at any
@@ -121,11 +123,15 @@ class Words:
         return np.concatenate([np.searchsorted(self.start, at), [len(self.start)]]), at
 
     def grams(self, n: int, base: int) -> np.ndarray:
-        """A hash of every run of ``n`` words, from prefix sums of a polynomial."""
+        """A hash of every run of ``n`` words."""
+        first = np.arange(max(0, len(self.hash) - n + 1))
+        return self.ranges(first, first + n, base)
+
+    def ranges(self, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
+        """A hash of the words ``[first, last)`` each, from prefix sums of a polynomial."""
         up, down = _powers(base, len(self.hash)), _powers(pow(base, -1, 1 << 64), len(self.hash))
         total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(self.hash * up[:len(self.hash)])])
-        runs = max(0, len(self.hash) - n + 1)
-        return _mix((total[n:n + runs] - total[:runs]) * down[:runs])
+        return _mix((total[last] - total[first]) * down[first])
 
 
 # Fixed odd numbers: bases of the polynomial hashes.
@@ -184,13 +190,15 @@ NAMES = ["doc_id", "file", "row", "passage", "at", "start", "n_chars", "n_words"
 
 def _units(docs: DataFrame) -> DataFrame:
     """One row per paragraph (``at`` is its line) and per selected shingle of a run of words
-    (``passage``; ``at`` is its first word); the texts are read once for both."""
+    (``passage``; ``at`` is its first word, ``b0`` and ``b1`` its first and last line); the texts are
+    read once for both."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def rows(b: pa.RecordBatch, owner: list[np.ndarray], columns: list[np.ndarray], bands: list[np.ndarray] | None):
         ids = b.select(["doc_id", "file", "row"]).take(pa.array(np.concatenate(owner)))
         n = ids.num_rows
-        of = [pa.array(c) for c in np.concatenate(bands).T.copy()] if bands else [pa.nulls(n, pa.int64())] * BANDS
+        of = [pa.array(c) for c in np.concatenate(bands).T.copy()] if bands else []
+        of += [pa.nulls(n, pa.int64())] * (len(NAMES) - 4 - len(columns[0]) - len(of))
         return pa.RecordBatch.from_arrays(
             [*ids.columns, pa.array(np.full(n, bands is None)), *(pa.array(c) for c in np.concatenate(columns, axis=1)), *of],
             NAMES)
@@ -212,8 +220,10 @@ def _units(docs: DataFrame) -> DataFrame:
                     # Bytes to characters: all but the continuation bytes before it.
                     chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
                     start, stop = chars[words.start[at]], chars[words.end[at + GRAM - 1]]
+                    breaks = np.flatnonzero(words.bytes == 10)
+                    line = [np.searchsorted(breaks, words.start[x]) for x in (at, at + GRAM - 1)]
                     p_owner.append(np.full(len(at), i))
-                    spans.append(np.stack([at, start, stop - start, np.full(len(at), GRAM), h1.view(np.int64), h2.view(np.int64)]))
+                    spans.append(np.stack([at, start, stop - start, np.full(len(at), GRAM), h1.view(np.int64), h2.view(np.int64), *line]))
             if owner:
                 yield rows(b, owner, lines, bands)
             if p_owner:
@@ -234,72 +244,120 @@ def _bits_of(shared: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _runs(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """One row per run of ``PASSAGE`` words whose selected shingle may be shared."""
+def _groups(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """One row per selected shingle that may be shared: the runs of ``PASSAGE`` words that select it follow
+    one another from ``word`` on. ``u1, u2`` hash all their words; ``w1, w2`` each run, ``starts`` and
+    ``stops`` are the runs' characters."""
     kind = dict(docs.dtypes)["doc_id"]
-    names = ["doc_id", "file", "row", "word", "line", "start", "stop", *KEY]
+    names = ["doc_id", "file", "row", "word", "runs", "u1", "u2", "w1", "w2", "starts", "stops"]
+
+    def found(text: str) -> tuple[list[np.ndarray], list[np.ndarray]] | None:
+        """Per group: word, runs, u1, u2; per run of all groups: w1, w2, start, stop."""
+        words = Words(text.encode("utf-8"))
+        f = words.grams(GRAM, BASES[0])
+        v = (f & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+        of = selected(f)
+        word = np.flatnonzero((bits[v >> 3] >> (v & 7).astype(np.uint8) & 1)[of])
+        if not len(word):
+            return None
+        at = np.flatnonzero(np.diff(of[word], prepend=-1) != 0)  # a shingle's runs follow one another
+        n = np.diff(np.append(at, len(word)))
+        chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
+        u = [words.ranges(word[at], word[at] + n - 1 + PASSAGE, x).view(np.int64) for x in BASES]
+        w = [words.ranges(word, word + PASSAGE, x).view(np.int64) for x in BASES]
+        return [word[at], n, *u], [*w, chars[words.start[word]], chars[words.end[word + PASSAGE - 1]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(b: pa.RecordBatch, owner: list[np.ndarray], columns: list[np.ndarray]) -> pa.RecordBatch:
+        for b in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+            owner, groups, runs = [], [], []
+            for i, t in enumerate(b.column("text")):
+                if (one := found(t.as_py() or "")) is not None:
+                    owner.append(np.full(len(one[0][0]), i))
+                    groups.append(one[0])
+                    runs.append(one[1])
+            if not owner:
+                continue
             ids = b.select(["doc_id", "file", "row"]).take(pa.array(np.concatenate(owner)))
-            return pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(c) for c in np.concatenate(columns, axis=1))], names)
+            columns = [np.concatenate(c) for c in zip(*groups, strict=True)]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(columns[1])]), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c), pa.int64())) for c in zip(*runs, strict=True)]
+            yield pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(c, pa.int64()) for c in columns), *lists], names)
 
-        for b in batches:
-            owner, columns, n = [], [], 0
-            for i, t in enumerate(b.column("text")):
-                words = Words((t.as_py() or "").encode("utf-8"))
-                f = words.grams(GRAM, BASES[0])
-                v = (f & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                word = np.flatnonzero((bits[v >> 3] >> (v & 7).astype(np.uint8) & 1)[selected(f)])
-                if not len(word):
-                    continue
-                chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
-                first, last = words.start[word], words.end[word + PASSAGE - 1]
-                line = np.searchsorted(np.flatnonzero(words.bytes == 10), first)
-                h1, h2 = (words.grams(PASSAGE, x)[word].view(np.int64) for x in BASES)
-                found = np.stack([word, line, chars[first], chars[last], h1, h2])
-                for k in range(0, len(word), 1 << 16):
-                    part = found[:, k:k + (1 << 16)]
-                    owner.append(np.full(part.shape[1], i))
-                    columns.append(part)
-                    n += part.shape[1]
-                    if n >= 1 << 16:
-                        yield rows(b, owner, columns)
-                        owner, columns, n = [], [], 0
-            if n:
-                yield rows(b, owner, columns)
-
-    return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, " + ", ".join(f"{n} bigint" for n in names[3:]))
-
-
-def shared_passages(source: DataFrame, units: DataFrame) -> DataFrame:
-    """Spans of at least ``PASSAGE`` words that another document holds too: ``doc_id, file, row,
-    start, n_chars, n_words, cluster_doc, cluster_size, removed``; ``cluster_doc`` is the first
-    holder of every run in the span, which keeps it."""
-    p = units.where("passage").select(*LOCATOR, *KEY)
-    who = F.xxhash64(*LOCATOR)
-    twice = [F.min(who).alias("lo"), F.max(who).alias("hi")]
-    seeds = write_shared(p.groupBy(*KEY).agg(*twice).where("lo != hi").select(*KEY), "para-seeds")
+    return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, word bigint, runs bigint, u1 bigint, u2 bigint, "
+                                + ", ".join(f"{n} array<bigint>" for n in names[7:]))
+
+
+def _outside(hits: DataFrame, lines: DataFrame) -> DataFrame:
+    """The keys of ``hits`` that stand somewhere not wholly inside the repeated ``lines(file, row, line)``."""
+    each = hits.select(*LOCATOR, *KEY, F.explode(F.sequence("b0", "b1")).alias("line"))  # a shingle's few lines
+    known = lines.select(*LOCATOR, "line").distinct().withColumn("known", F.lit(1))
+    return each.join(known, [*LOCATOR, "line"], "left").where("known IS NULL").select(*KEY).distinct()
+
+
+def shared_passages(source: DataFrame, units: DataFrame, lines: DataFrame) -> DataFrame:
+    """Spans of at least ``PASSAGE`` words that stand elsewhere too, in another document or in the same
+    one: ``doc_id, file, row, start, n_chars, n_words, cluster_doc, cluster_size, removed``;
+    ``cluster_doc`` is the first holder of every run in the span, which keeps it at its first place.
+
+    ``lines`` are the repeated paragraphs: what stands only in these is theirs, and their words
+    do not count for a passage."""
+    p = units.where("passage").select(*LOCATOR, *KEY, "b0", "b1")
+    seeds = write_shared(p.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select(*KEY), "para-seeds")
     key, place = F.struct(*KEY), F.struct(*LOCATOR)
-    hit = with_maybe(p, bit_filter(seeds, key), key, "maybe").where("maybe")
+    hit = with_maybe(p, bit_filter(seeds, key), key, "maybe").where("maybe").drop("maybe").join(seeds, list(KEY))
+    hit = write_shared(hit, "para-hits")
+    seeds = write_shared(_outside(hit, lines), "para-outside")
+    hit = with_maybe(hit, bit_filter(seeds, key), key, "maybe").where("maybe")
     docs = with_maybe(source, bit_filter(hit, place), place, "maybe").where("maybe").drop("maybe")
-    runs = write_shared(_runs(docs, _bits_of(seeds)), "para-runs")
-    # First as paragraphs are: by document, then line; a null id comes last.
-    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", who.alias("who"))
-    shared = runs.groupBy(*KEY).agg(*twice, F.min(at).alias("first"), F.count("*").alias("n"))
-    shared = shared.where("lo != hi").select(*KEY, F.col("first.doc_id").alias("first_doc"),
-                                             F.col("first.who").alias("first_who"), "n")
-    hits = runs.drop("line").join(write_shared(shared, "para-shared"), list(KEY)).drop(*KEY)
-    # Runs of one document, in order: a new span begins after a gap and where the first holder changes.
+    groups = write_shared(_groups(docs, _bits_of(seeds)), "para-groups")
+    first_run = _first_runs(groups)
+    out = groups.select("doc_id", *LOCATOR, *GROUP, "word", "starts", "stops").join(first_run, list(GROUP))
+    # The runs of a group from number k to l have their first place in one row.
+    who = F.xxhash64(*LOCATOR)
+    out = out.select("doc_id", *LOCATOR, (F.col("word") + F.col("k")).alias("word"), (F.col("word") + F.col("l")).alias("last"),
+                     F.get("starts", F.col("k")).alias("start"), F.get("stops", F.col("l")).alias("stop"),
+                     "first_doc", "first_who", "n",
+                     ((who == F.col("first_who")) & (F.col("word") + F.col("k") == F.col("first_word"))).alias("kept"))
+    # A document's runs in order: a new span begins after a gap, where the first holder changes, and
+    # between a run's first place and a later one.
     w = Window.partitionBy(*LOCATOR).orderBy("word")
-    same = (F.col("word") - F.lag("word").over(w) == 1) & (F.col("first_who") == F.lag("first_who").over(w))
-    hits = hits.withColumn("span", F.when(same, 0).otherwise(1)).withColumn("span", F.sum("span").over(w))
-    spans = hits.groupBy(*LOCATOR, "span").agg(
+    same = (F.col("word") - F.lag("last").over(w) == 1) & (F.col("first_who") == F.lag("first_who").over(w)) & (
+        F.col("kept") == F.lag("kept").over(w))
+    out = out.withColumn("span", F.when(same, 0).otherwise(1)).withColumn("span", F.sum("span").over(w))
+    spans = out.groupBy(*LOCATOR, "span").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("stop").alias("stop"),
-        (F.max("word") - F.min("word") + PASSAGE).alias("n_words"), F.first("first_doc").alias("cluster_doc"),
-        F.first("first_who").alias("first_who"), F.max("n").alias("cluster_size"))
+        (F.max("last") - F.min("word") + PASSAGE).alias("n_words"), F.first("first_doc").alias("cluster_doc"),
+        F.max("n").alias("cluster_size"), F.first("kept").alias("kept"))
     return spans.select("doc_id", *LOCATOR, "start", (F.col("stop") - F.col("start")).alias("n_chars"), "n_words",
-                        "cluster_doc", "cluster_size", (who != F.col("first_who")).alias("removed"))
+                        "cluster_doc", "cluster_size", (~F.col("kept")).alias("removed"))
+
+
+GROUP = ("u1", "u2", "runs")
+
+
+def _first_runs(groups: DataFrame) -> DataFrame:
+    """Per distinct group (equal in all its words) the stretches ``k`` to ``l`` of its runs that stand more
+    than once, with the first place of the run ``k`` and the largest number of copies ``n``.
+
+    Equal groups are one row before their runs are compared with those of other groups, so a passage
+    with many copies costs one row a group, not one a copy and run."""
+    # First as paragraphs are: by document, then place; a null id comes last.
+    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(*LOCATOR).alias("who"), "word")
+    distinct = write_shared(groups.groupBy(*GROUP).agg(
+        F.min(at).alias("at"), F.count("*").alias("n"), F.first("w1").alias("w1"), F.first("w2").alias("w2")), "para-distinct")
+    each = distinct.select(*GROUP, "at", "n", F.posexplode(F.arrays_zip("w1", "w2")).alias("k", "w")).select(
+        *GROUP, "n", "k", "w.w1", "w.w2",
+        F.struct("at.no_id", "at.doc_id", "at.who", (F.col("at.word") + F.col("k")).alias("word")).alias("at"))
+    shared = each.groupBy("w1", "w2").agg(F.min("at").alias("first"), F.sum("n").alias("copies")).where("copies > 1")
+    each = each.drop("at", "n").join(write_shared(shared, "para-shared"), ["w1", "w2"])
+    w = Window.partitionBy(*GROUP).orderBy("k")
+    same = (F.col("k") - F.lag("k").over(w) == 1) & (F.col("first.who") == F.lag("first.who").over(w)) & (
+        F.col("first.word") - F.lag("first.word").over(w) == 1)
+    each = each.withColumn("part", F.when(same, 0).otherwise(1)).withColumn("part", F.sum("part").over(w))
+    out = each.groupBy(*GROUP, "part").agg(F.min("k").alias("k"), F.max("k").alias("l"), F.min("first").alias("first"),
+                                           F.max("copies").alias("n"))
+    return write_shared(out.select(*GROUP, "k", "l", F.col("first.doc_id").alias("first_doc"), F.col("first.who").alias("first_who"),
+                                   F.col("first.word").alias("first_word"), "n"), "para-first-runs")
 
 
 def _meetings(classes: DataFrame) -> DataFrame:
@@ -448,8 +506,8 @@ def repeated_text(docs: DataFrame) -> DataFrame:
     are in characters of the text."""
     source = _source(docs)
     units = write_shared(_units(source), "para-units")
-    p = _repeated(source, units, BUCKET).withColumn("kind", F.lit("paragraph"))
-    s = shared_passages(source, units).withColumn("kind", F.lit("passage"))
+    p = write_shared(_repeated(source, units, BUCKET), "para-repeated").withColumn("kind", F.lit("paragraph"))
+    s = shared_passages(source, units, p).withColumn("kind", F.lit("passage"))
     out = p.unionByName(s, allowMissingColumns=True)
     return out.select("doc_id", "kind", "line", "start", "n_chars", "n_words", "cluster_doc", "cluster_line",
                       "cluster_size", "removed")
@@ -490,8 +548,10 @@ def cleaned_rows(docs: DataFrame) -> DataFrame:
     columns, docs = docs.columns, plain_scan(docs)
     source = _source(docs)
     units = write_shared(_units(source), "para-units")
-    p = _repeated(source, units, BUCKET).where("removed").select(*LOCATOR, "line", F.lit(None).alias("span"))
-    s = shared_passages(source, units).select(*LOCATOR, F.lit(None).cast("bigint").alias("line"),
+    p = write_shared(_repeated(source, units, BUCKET), "para-repeated")
+    s = shared_passages(source, units, p)
+    p = p.where("removed").select(*LOCATOR, "line", F.lit(None).alias("span"))
+    s = s.select(*LOCATOR, F.lit(None).cast("bigint").alias("line"),
                                               F.struct("start", "n_chars", "removed").alias("span"))
     gone = p.unionByName(s).groupBy(F.col("file").alias("__f"), F.col("row").alias("__r")).agg(
         F.collect_set("line").alias("__gone"), F.collect_list("span").alias("__spans"))

@@ -415,6 +415,62 @@ def test_passages_are_verified_and_reach_as_far_as_the_texts_agree(spark):
     assert clean == {i: t.replace(cut.get(i, "-"), "").split() for i, t in rows}
 
 
+def brute_passages(texts, lines):
+    """Words of every run of 50 that stand again, but for runs whose words all are in repeated lines:
+    ``must`` those whose words are outside repeated lines, ``may`` all."""
+    at = defaultdict(list)
+    words, outside = {}, {}
+    for i, t in texts.items():
+        words[i], outside[i] = [], []
+        for n, line in enumerate((t or "").split("\n")):
+            w = re.findall("[^ \\t-\\r]+", line)
+            words[i] += w
+            outside[i] += [(i, n) not in lines] * len(w)
+        for k in range(len(words[i]) - 49):
+            at[tuple(words[i][k:k + 50])].append((i, k))
+    must, may = set(), set()
+    for holders in at.values():
+        if len(holders) > 1:
+            for i, k in sorted(holders)[1:]:
+                may |= {(i, x) for x in range(k, k + 50)}
+                if any(all(outside[j][q:q + 50]) for j, q in holders):
+                    must |= {(i, x) for x in range(k, k + 50)}
+    return words, must, may
+
+
+def test_repeated_text_of_the_documents(spark, texts):
+    """The registered query against brute force: every run that stands again is removed in all places
+    but the first, and nothing else is."""
+    got = queries.op7_substring_dedup(spark, SF_SMALL).collect()
+    lines = {(r.doc_id, r.line) for r in got if r.kind == "paragraph"}
+    assert lines == set(brute_paragraphs(texts))
+    words, must, may = brute_passages(texts, lines)
+    removed = set()
+    for r in got:
+        if r.kind == "passage":
+            before = len(re.findall("[^ \\t-\\r]+", texts[r.doc_id][:r.start]))
+            span = re.findall("[^ \\t-\\r]+", texts[r.doc_id][r.start:r.start + r.n_chars])
+            assert span == words[r.doc_id][before:before + r.n_words] and r.n_words >= 50
+            if r.removed:
+                removed |= {(r.doc_id, x) for x in range(before, before + r.n_words)}
+    assert must <= removed <= may and must
+
+
+def test_passages_within_one_document(spark):
+    rng = np.random.default_rng(29)
+    prose = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 10**9, size=n))
+    twice = prose(60)
+    rows = [(1, f"{prose(30)} {twice} {prose(40)} {twice} {prose(9)}"), (2, f"{prose(5)} {twice} {prose(70)}"), (3, "x " * 300), (4, prose(300))]
+    d, text = spark.createDataFrame(rows, "doc_id long, text string"), dict(rows)
+    got = sorted((r.doc_id, r.start, r.n_words, r.cluster_doc, r.removed) for r in paragraphs.repeated_text(d).collect())
+    first = text[1].index(twice)
+    assert got == [(1, first, 60, 1, False), (1, text[1].index(twice, first + 1), 60, 1, True), (2, text[2].index(twice), 60, 1, True),
+                   (3, 0, 50, 3, False), (3, 2, 299, 3, True)]
+    clean = {r.doc_id: r.text.split() for r in paragraphs.cleaned_rows(d).collect()}
+    assert clean[1] == text[1].replace(twice, "@", 1).replace(twice, "").replace("@", twice).split()
+    assert clean[2] == text[2].replace(twice, "").split() and clean[3] == ["x"] * 50 and clean[4] == text[4].split()
+
+
 def test_a_passage_that_stays_is_not_cut():
     assert paragraphs.cut_text("ab cd ef\ngh", [], [(0, 5, True), (3, 5, False)]) == "cd ef\ngh"
     assert paragraphs.cut_text("ab\ncd\nef", [2], [(0, 5, True)]) == "" and paragraphs.cut_text(None, None, None) is None
