@@ -164,12 +164,11 @@ def signatures(words: Words, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return out
 
 
-def passages(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(position, hash, second hash)`` of the shingle with the smallest hash in every run of
-    ``PASSAGE`` words."""
+def passages(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """``(position, hash)`` of the shingle with the smallest hash in every run of ``PASSAGE`` words."""
     f = words.grams(GRAM, BASES[0])
     at = np.unique(selected(f))
-    return at, f[at], words.grams(GRAM, BASES[1])[at]
+    return at, f[at]
 
 
 def selected(f: np.ndarray) -> np.ndarray:
@@ -190,18 +189,18 @@ NAMES = ["doc_id", "file", "row", "passage", "at", "start", "n_chars", "n_words"
 
 def _units(docs: DataFrame) -> DataFrame:
     """One row per paragraph (``at`` is its line) and per selected shingle of a run of words
-    (``passage``; ``at`` is its first word, ``b0`` and ``b1`` its first and last line); the texts are
-    read once for both."""
+    (``passage``; ``at`` is its first word, ``b0`` and ``b1`` its first and last line, ``h1`` its hash); the
+    texts are read once for both."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def rows(b: pa.RecordBatch, owner: list[np.ndarray], columns: list[np.ndarray], bands: list[np.ndarray] | None):
         ids = b.select(["doc_id", "file", "row"]).take(pa.array(np.concatenate(owner)))
         n = ids.num_rows
-        of = [pa.array(c) for c in np.concatenate(bands).T.copy()] if bands else []
-        of += [pa.nulls(n, pa.int64())] * (len(NAMES) - 4 - len(columns[0]) - len(of))
+        of = [pa.array(c) for c in np.concatenate(columns, axis=1)]
+        of += [pa.array(c) for c in np.concatenate(bands).T.copy()] if bands else []
+        named = dict(zip(NAMES[4:] if bands else ("at", "b0", "b1", "h1"), of, strict=True))
         return pa.RecordBatch.from_arrays(
-            [*ids.columns, pa.array(np.full(n, bands is None)), *(pa.array(c) for c in np.concatenate(columns, axis=1)), *of],
-            NAMES)
+            [*ids.columns, pa.array(np.full(n, bands is None)), *(named.get(c, pa.nulls(n, pa.int64())) for c in NAMES[4:])], NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
@@ -215,15 +214,12 @@ def _units(docs: DataFrame) -> DataFrame:
                     bands.append(signatures(words, first[n], first[n + 1]).view(np.int64))
                     owner.append(np.full(len(found), i))
                     lines.append(np.array([(*x[:3], len(x[3]), *class_key(x[3])) for x in found], dtype=np.int64).T)
-                at, h1, h2 = passages(words)
+                at, h1 = passages(words)
                 if len(at):
-                    # Bytes to characters: all but the continuation bytes before it.
-                    chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
-                    start, stop = chars[words.start[at]], chars[words.end[at + GRAM - 1]]
                     breaks = np.flatnonzero(words.bytes == 10)
-                    line = [np.searchsorted(breaks, words.start[x]) for x in (at, at + GRAM - 1)]
+                    first, last = (np.searchsorted(breaks, words.start[x]) for x in (at, at + GRAM - 1))
                     p_owner.append(np.full(len(at), i))
-                    spans.append(np.stack([at, start, stop - start, np.full(len(at), GRAM), h1.view(np.int64), h2.view(np.int64), *line]))
+                    spans.append(np.stack([at, first, last, h1.view(np.int64)]))
             if owner:
                 yield rows(b, owner, lines, bands)
             if p_owner:
@@ -288,10 +284,11 @@ def _groups(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def _outside(hits: DataFrame, lines: DataFrame) -> DataFrame:
-    """The keys of ``hits`` that stand somewhere not wholly inside the repeated ``lines(file, row, line)``."""
-    each = hits.select(*LOCATOR, *KEY, F.explode(F.sequence("b0", "b1")).alias("line"))  # a shingle's few lines
-    known = lines.select(*LOCATOR, "line").distinct().withColumn("known", F.lit(1))
-    return each.join(known, [*LOCATOR, "line"], "left").where("known IS NULL").select(*KEY).distinct()
+    """The hashes of ``hits`` that stand somewhere not wholly inside the repeated ``lines(file, row, line)``."""
+    at = [F.xxhash64("file").alias("file"), "row"]  # a number stands for a file's name
+    each = hits.select(*at, "h1", F.explode(F.sequence("b0", "b1")).alias("line"))  # a shingle's few lines
+    known = lines.select(*at, "line").distinct().withColumn("known", F.lit(1))
+    return each.join(known, ["file", "row", "line"], "left").where("known IS NULL").select("h1").distinct()
 
 
 def shared_passages(source: DataFrame, units: DataFrame, lines: DataFrame) -> DataFrame:
@@ -301,11 +298,11 @@ def shared_passages(source: DataFrame, units: DataFrame, lines: DataFrame) -> Da
 
     ``lines`` are the repeated paragraphs: what stands only in these is theirs, and their words
     do not count for a passage."""
-    p = units.where("passage").select(*LOCATOR, *KEY, "b0", "b1")
-    seeds = write_shared(p.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select(*KEY), "para-seeds")
-    key, place = F.struct(*KEY), F.struct(*LOCATOR)
-    hit = with_maybe(p, bit_filter(seeds, key), key, "maybe").where("maybe").drop("maybe").join(seeds, list(KEY))
-    hit = write_shared(hit, "para-hits")
+    p = units.where("passage").select(*LOCATOR, "h1", "b0", "b1")
+    seeds = write_shared(p.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "para-seeds")
+    key, place = F.col("h1"), F.struct(*LOCATOR)
+    # A shingle that a filter lets through by chance is one more candidate: runs are compared in the end.
+    hit = write_shared(with_maybe(p, bit_filter(seeds, key), key, "maybe").where("maybe").drop("maybe"), "para-hits")
     seeds = write_shared(_outside(hit, lines), "para-outside")
     hit = with_maybe(hit, bit_filter(seeds, key), key, "maybe").where("maybe")
     docs = with_maybe(source, bit_filter(hit, place), place, "maybe").where("maybe").drop("maybe")
@@ -371,13 +368,17 @@ def _meetings(classes: DataFrame) -> DataFrame:
 
 def _shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``h1, h2, shingles`` of the wanted classes, from a second reading of the texts."""
+    bits = _bits_of(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = {}
             for t in b.column(0):
                 for _, _, _, w in paragraphs(t.as_py()):
-                    found.setdefault(class_key(w), w)
+                    k = class_key(w)
+                    v = k[0] & FILTER_BITS - 1
+                    if bits[v >> 3] >> (v & 7) & 1:
+                        found.setdefault(k, w)
             rows = list(found.items())
             for i in range(0, len(rows), 2048):
                 part = rows[i:i + 2048]
@@ -391,9 +392,7 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.list_(pa.int64()))],
                                              ["h1", "h2", "shingles"])
 
-    key = F.struct(*KEY)
     p = docs.select("text").mapInArrow(run, "h1 bigint, h2 bigint, words binary")
-    p = with_maybe(p, bit_filter(wanted, key), key, "maybe").where("maybe").drop("maybe")
     p = p.join(wanted, list(KEY), "left_semi").groupBy(*KEY).agg(F.min("words").alias("words"))
     return write_shared(p.mapInArrow(cut, "h1 bigint, h2 bigint, shingles array<bigint>"), "para-shingles")
 
