@@ -29,11 +29,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import bounded_sample, ship_code, write_shared
+from monthlake.llm.common import bit_filter, bounded_sample, open_store, ship_code, with_maybe, write_shared
 from monthlake.session import scratch_path
 
 MIN_REVISIT = 1000
@@ -169,14 +168,19 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     groups = p.select("page_id", key.alias("k")).where("k IS NOT NULL").groupBy("k").agg(
         F.count("*").alias("n"), F.max("page_id").alias("first")).where("n > 1").select("k", "first")
     groups = write_shared(groups, "warc-groups")
-    p = p.join(groups, key == F.col("k"), "left").select("page_id", "url", "payload", "first")
+    # Only pages that the groups' bit filter marks are joined; short and single ones never leave their task.
+    p = with_maybe(p.withColumn("key", key), bit_filter(groups, F.col("k")), F.col("key"), "maybe")
+    copied = F.col("maybe") & F.col("key").isNotNull()
+    first = dict(groups.dtypes)["first"]
+    p = p.where(copied).join(groups, F.col("key") == F.col("k"), "left").select("page_id", "url", "payload", "first").unionByName(
+        p.where(~copied).select("page_id", "url", "payload", F.lit(None).cast(first).alias("first")))
     dictionary = fit_dictionary(pages.select("html"))
     head = write_archive_head(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         pack = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, **({"dict_data": known} if known else {}))
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = open_store(folder)
         out, path, records = None, "", 0
 
         def manifest() -> pa.RecordBatch:
@@ -200,7 +204,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             yield manifest()
 
-    store, root = fs.FileSystem.from_uri(folder)
+    store, root = open_store(folder)
     store.create_dir(root, recursive=True)
     return write_shared(p.mapInArrow(run, "path string, records bigint, bytes bigint"), "warc-manifest")
 

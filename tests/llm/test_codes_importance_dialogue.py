@@ -394,3 +394,12 @@ def test_long_conversation_in_blocks(spark):
     rows = [(1, k, ("user", "assistant", "user", "system")[k * k % 4], f"text {k % 97}{'.' if k % 5 else ''}") for k in range(3000)]
     d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert {tuple(r) for r in dialogue.repair_report(d, d).collect()} == {(1, *brute_repair(rows))}
+
+
+@pytest.mark.parametrize(("uri", "name", "root"), [("/a/b", "local", "/a/b"), ("file:/a/b", "local", "/a/b"), ("file:///a/b", "local", "/a/b"),
+                                                   ("s3a://bucket/x/y?region=us-east-1", "s3", "bucket/x/y")])
+def test_stores_by_their_hadoop_names(uri, name, root, monkeypatch):
+    monkeypatch.setenv("AWS_EC2_METADATA_DISABLED", "true")
+    monkeypatch.setenv("AWS_REGION", "us-east-1")
+    store, path = open_store(uri)
+    assert (store.type_name, path) == (name, root)
