@@ -101,8 +101,9 @@ def upsert_bucketed(spark: SparkSession, path: str, source: DataFrame, key: str,
         plain = read_commit(spark, path, last).select(*columns)
         with bucket_table(plain, f"{path}/data/{folder}", key, held) if held else contextlib.nullcontext(plain.repartition(n, key)) as target:
             write(merged_keys(target, src, key, rank).unionByName(merged_null(target, src, key, rank)))
-    if try_read(spark, f"{path}/data/{new}") is None:  # no row, so no file that could tell the columns
+    back = try_read(spark, f"{path}/data/{new}")
+    if back is None:  # no row, so no file that could tell the columns
         write_version(src.limit(0), path)
-    else:
-        _commit(spark, path, version, [(None, new)])
-    return read_current(spark, path)
+        return read_current(spark, path)
+    _commit(spark, path, version, [(None, new)])
+    return back
