@@ -6,9 +6,12 @@
    never expires; it holds the copies' number and the kept row (largest id) with its locator.
    Each micro-batch aggregates partially before the shuffle, so a group of copies sends one row
    per task however large it is.
-3. Hits (digests seen more than once) are compared byte for byte with the kept row's text. Only
-   texts that may be hits are shuffled: a bit filter of fixed size drops the others at the scan.
+3. Hits (digests seen more than once) are compared by their full bytes: distinct texts per digest,
+   aggregated in every task before the shuffle, so a group of copies sends one text per task. Only
+   texts that may be hits take part: a bit filter of fixed size drops the others at the scan.
 4. Should two different texts share a digest, their rows are grouped by the text itself.
+5. Rows of groups that hold a ``HOT``-th of the table or more (at most ``HOT`` groups, hence
+   broadcast) get their decision where they are scanned; the others by a join on the digest.
 
 All of it is DataFrame operations. Defined cases: null text counts as empty; null ids sort
 below all others; rows repeated in full form one group, of which one row stays; an empty table
@@ -34,6 +37,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores
 }
 LOCATOR = ("file", "row")
+HOT = 1000
 
 
 def sha256_hex(text: Column) -> Column:
@@ -98,34 +102,31 @@ def decisions(docs: DataFrame, digest: Digest = sha256_hex) -> DataFrame:
     groups = keyed_state(spark, f"{base}/content", content.schema, base).where("n > 1")
     groups = write_shared(groups, "dedup-groups")
 
-    # Full bytes of every hit against the kept row's.
-    key = F.concat_ws(":", "digest", "n_bytes")
+    # Full bytes: a group whose hits hold more than one distinct text.
+    group = ["digest", "n_bytes"]
+    key = F.concat_ws(":", *group)
     hits = with_maybe(keyed, bit_filter(groups, key), key, "maybe").where("maybe").drop("maybe")
-    g = groups.select(F.col("digest").alias("g_digest"), F.col("n_bytes").alias("g_bytes"), "kept")
-    same_key = (F.col("digest") == F.col("g_digest")) & (F.col("n_bytes") == F.col("g_bytes"))
-    hits = write_shared(hits.join(g, same_key).select("digest", "n_bytes", "doc_id", *LOCATOR, "kept", "text"),
-                        "dedup-hits")
-    first = hits.where((F.col("file") == F.col("kept.file")) & (F.col("row") == F.col("kept.row")))
-    first = first.select(F.col("digest").alias("g_digest"), F.col("n_bytes").alias("g_bytes"),
-                         F.col("text").alias("g_text"))
-    differ = hits.join(first, same_key).where(F.col("text") != F.col("g_text")).select("digest", "n_bytes")
-    differ = write_shared(differ.distinct(), "dedup-differ")
-
-    joined = content.join(groups.select("digest", "n_bytes", "n", "kept"), ["digest", "n_bytes"], "left")
-    plain = joined
-    if not differ.isEmpty():
-        plain = joined.join(differ, ["digest", "n_bytes"], "left_anti")
+    differ = hits.select(*group, "text").distinct().groupBy(*group).agg(F.count("*").alias("texts"))
+    differ = write_shared(differ.where("texts > 1").select(*group), "dedup-differ")
+
+    clashes = not differ.isEmpty()
+    if clashes:
+        content, groups = (d.join(differ, group, "left_anti") for d in (content, groups))
+    hot = groups.where(F.col("n") * HOT >= content.count())
+    marked = content.join(F.broadcast(hot), group, "left")
+    cold = marked.where(F.col("n").isNull()).drop("n", "kept").join(groups.join(F.broadcast(hot), group, "left_anti"),
+                                                                    group, "left")
+    joined = marked.where(F.col("n").isNotNull()).unionByName(cold)
     kept = F.coalesce(F.col("kept"), F.struct("doc_id", *LOCATOR))
-    out = plain.select("doc_id", kept["doc_id"].alias("keep_id"), F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
-                       ((F.col("file") == kept["file"]) & (F.col("row") == kept["row"])).alias("kept"),
-                       "digest", *LOCATOR)
-    if differ.isEmpty():
+    out = joined.select("doc_id", kept["doc_id"].alias("keep_id"), F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
+                        ((F.col("file") == kept["file"]) & (F.col("row") == kept["row"])).alias("kept"),
+                        "digest", *LOCATOR)
+    if not clashes:
         return out
     # Different texts under one digest: group by the bytes themselves.
-    clash = hits.join(differ, ["digest", "n_bytes"], "left_semi")
+    clash = hits.join(differ, group, "left_semi")
     by_text = clash.groupBy("text").agg(F.count("*").alias("group_size"), F.max(F.struct("doc_id", *LOCATOR)).alias("k"))
-    split = clash.drop("kept").join(by_text, "text")
-    return out.unionByName(split.select(
+    return out.unionByName(clash.join(by_text, "text").select(
         "doc_id", F.col("k.doc_id").alias("keep_id"), "group_size",
         ((F.col("file") == F.col("k.file")) & (F.col("row") == F.col("k.row"))).alias("kept"), "digest", *LOCATOR))
 

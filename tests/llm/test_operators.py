@@ -189,6 +189,15 @@ def test_exact_dedup_compares_bytes(spark):
     assert sorted(r.doc_id for r in kept) == [3, 5, 6, 7]
 
 
+def test_exact_dedup_hot_and_small_groups(spark):
+    # One group of 1,500 copies (decided at the scan), 700 pairs (by the join), 1,000 single texts.
+    texts = ["hot"] * 1500 + [f"pair {i // 2}" for i in range(1400)] + [f"single {i}" for i in range(1000)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    last, size = {t: i for i, t in enumerate(texts)}, Counter(texts)
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.decisions(d).collect()}
+    assert got == {i: (last[t], size[t], last[t] == i) for i, t in enumerate(texts)}
+
+
 def test_state_goes_on_after_new_content(spark, tmp_path):
     base = str(tmp_path)
     schema = "digest string, n_bytes int, doc_id long, file string, row long"
@@ -567,6 +576,21 @@ def test_frequent_words_count_all_documents(spark, docs, texts):
     assert set(got) == {w for w, n in counts.items() if n >= floor}
 
 
+def test_frequent_words_of_a_crowded_count(spark):
+    frame = lambda *texts: spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    three = frame("aa bb cc aa bb cc dd", "aa bb cc")
+    assert len(bpe.frequent_words(three, 2)) == 2 and set(bpe.frequent_words(three, 2)) < {"aa", "bb", "cc"}
+    assert bpe.frequent_words(three, 2) == bpe.frequent_words(three, 2)
+    assert sorted(bpe.frequent_words(three, 3)) == ["aa", "bb", "cc"]
+    # Counts past 65,536 are told apart.
+    often = frame("xx " * 70_000 + "yy " * 70_001 + "zz " * 3)
+    assert bpe.frequent_words(often, 1) == ["yy"]
+    assert sorted(bpe.frequent_words(often, 2)) == ["xx", "yy"]
+    assert bpe.frequent_words(frame(None, "", "aa bb"), 5) == []
+    long = "a" * (bpe.WORD_CHARS + 1)
+    assert bpe.frequent_words(frame(f"{long} {long} bb bb"), 5) == ["bb"]
+
+
 # --- 10 SimHash ----------------------------------------------------------------------------
 
 
