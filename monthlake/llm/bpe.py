@@ -1,10 +1,11 @@
 """BPE encoding and decoding with a lexicon of frequent words.
 
-Word counts cover all documents. Words above a count chosen from the counts' histogram, at most
-``LEXICON_WORDS`` of them, are merged once on the driver and compiled into a minimal acyclic
-automaton: words share prefixes and suffixes, and the number of words passed on the way through
-it is a word's index into a table of id sequences (its output). The automaton is one flat file;
-Spark ships it to every executor (also to one that joins later), where it is memory-mapped.
+Word counts cover all documents. The most frequent words, at most ``LEXICON_WORDS`` of at most
+``WORD_CHARS`` characters, are found by radix selection on the counts, merged once on the driver
+and compiled into a minimal acyclic automaton: words share prefixes and suffixes, and the number of words passed on the way through
+it is a word's index into a table of id sequences (its output). The automaton is one flat file in
+the shared folder; Spark ships it to every executor (also to one that joins later), where it is
+memory-mapped.
 Any other word is merged exactly. Finished pieces of text and words are remembered in bounded
 tables of two generations: a full one becomes the older, what is used again moves back.
 
@@ -34,9 +35,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import driver_file, ship_code, write_shared
+from monthlake.llm.common import open_store, ship_code, write_shared
+from monthlake.session import scratch_path
 
 LEXICON_WORDS = 100_000
+WORD_CHARS = 64
+DIGIT = 16  # bits of the key that one round of the selection decides
 MEMO_PIECES, MEMO_WORDS = 300_000, 100_000
 ROWS_AT_ONCE = 64
 NO_MERGE = 1 << 62
@@ -274,28 +278,46 @@ def _encoder(vocab_file: str, lexicon_file: str) -> Encoder:
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[str]:
-    """The words (runs of letters, lower case) of all documents above a count that leaves at most
-    ``most`` of them. The count comes from the histogram of counts."""
+    """At most ``most`` of the words (runs of letters, lower case) that all documents hold more than
+    once: those above a count, or, should the highest count alone be shared by more, as many of
+    its words as fit, by their hash.
+
+    A word's key is its count, downwards, before 32 bits of its hash. Each round counts the keys
+    under every value of their next ``DIGIT`` bits, takes the values that fit whole and goes on
+    inside the first that does not, so the driver sees at most 2**DIGIT counts a round."""
     w = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("\\p{L}+"), F.lit(0))).alias("word"))
-    counts = write_shared(w.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "bpe-words")
-    # Counts above 65,536 share a bin, so the histogram has a bounded number of rows.
-    bins = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).count().orderBy(F.desc("n")).collect()
-    floor, held = None, 0
-    for n, words in bins:
-        if held + words > most:
+    counts = w.where(F.length("word") <= WORD_CHARS).groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    top = (1 << 31) - 1
+    key = F.shiftleft(F.lit(top) - F.least("n", F.lit(top)), 32) + F.pmod(F.xxhash64("word"), F.lit(1 << 32))
+    keys = write_shared(counts.select("word", key.alias("key")), "bpe-words")
+    bound, held = 0, 0  # the keys below the bound are taken
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        rest = keys.where(F.col("key") >= bound)
+        if shift + DIGIT < 64:
+            rest = rest.where(F.shiftright("key", shift + DIGIT) == bound >> (shift + DIGIT))
+        for digit, n in rest.groupBy(F.shiftright("key", shift).alias("digit")).count().orderBy("digit").collect():
+            if held + n > most:
+                bound = digit << shift
+                break
+            held += n
+        else:
+            # Every value fits: only in the first round, where no key lies past them.
+            return [r.word for r in keys.select("word").collect()]
+        if shift == 32 and held:  # the counts are decided
             break
-        floor, held = n, held + words
-    if floor is None:
-        return []
-    return [r.word for r in counts.where(F.col("n") >= floor).select("word").collect()]
+    return [r.word for r in keys.where(F.col("key") < bound).select("word").collect()]
 
 
 def _ship(spark: SparkSession, content: bytes, kind: str) -> str:
+    """Write ``content`` in the shared folder and have Spark hand it to every executor; returns its
+    name for ``SparkFiles.get``."""
     name = f"{kind}-{uuid.uuid4().hex[:12]}"
-    path = driver_file(name)
-    with open(path, "wb") as f:
+    folder = scratch_path(spark, f"llm-{kind}")
+    store, path = open_store(folder)
+    store.create_dir(path)
+    with store.open_output_stream(f"{path}/{name}") as f:
         f.write(content)
-    spark.sparkContext.addFile(path)
+    spark.sparkContext.addFile(f"{folder}/{name}")
     return name
 
 
