@@ -34,6 +34,7 @@ from monthlake.plans.dims import MONTH_COL, dim_period_span, dim_source
 from monthlake.plans.fact import FACT_KEY, incremental_slice, newest_month
 from monthlake.plans.pipeline import FACT_TABLE, MART_TABLE, read_layer, run
 from monthlake.plans.pipeline import paths as pipeline_paths
+from monthlake.streaming import completeness as MC
 from monthlake.streaming.incremental import start_incremental
 from monthlake.operators import serve as SV
 from monthlake.operators import quality as Q
@@ -574,6 +575,27 @@ def incremental_stream(spark, sf_dir):
     return read_layer(spark, base, MART_TABLE)
 
 
+@register("month_completeness", O.with_(O.FEED, O.BRONZE, O.FACT, body="""
+SELECT 1 AS drain, id_tempo, count(*) AS n_rows FROM fact WHERE id_tempo < (SELECT max(id_tempo) FROM fact) GROUP BY id_tempo
+UNION ALL SELECT 2 AS drain, id_tempo, count(*) AS n_rows FROM fact GROUP BY id_tempo"""))
+def month_completeness(spark, sf_dir):
+    """The fact's rows per month after each of two deliveries: the first holds every month, but only
+    one of two announced parts of the newest; the second the other part."""
+    feed, base = W.raw(spark, sf_dir), scratch_path(spark, "warehouse-parts")
+    newest = F.col("periodo") == max(f.rsplit("/periodo=", 1)[1].split("/", 1)[0] for f in feed.inputFiles())
+    half = F.xxhash64("nr_contrato", "id_terc") % 2 == 0
+    seen = []
+    for part, drop in ((1, feed.where(~newest | half)), (2, feed.where(newest & ~half))):
+        drop.repartitionByRange("periodo", "nr_contrato").write.mode("append").partitionBy("periodo").parquet(f"{base}/raw")
+        MC.write_receipts(drop.select("periodo").distinct().select(
+            "periodo", F.lit(part).alias("part"), F.when(newest, 2).otherwise(1).alias("parts")), base)
+        q = MC.start_complete_months(spark, base, checkpoint=f"{base}/_parts_checkpoint", run_ts=W.FIXED_RUN_TS)
+        q.awaitTermination()
+        seen.append(read_layer(spark, base, FACT_TABLE).groupBy("id_tempo").agg(F.count("*").alias("n_rows"))
+                    .select(F.lit(part).alias("drain"), "id_tempo", "n_rows"))
+    return seen[0].unionByName(seen[1])
+
+
 @register("dim_period", O.with_(O.FEED, O.BRONZE, O.DIM_PERIOD_SPAN, body="SELECT * FROM dim_periodo"))
 def dim_period_q(spark, sf_dir):
     """Calendar spanning the months present in the fact (the fixed 2020-2030 calendar of

@@ -12,6 +12,7 @@ a month comes in parts, and a batch replayed after a failure gives the same tabl
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,6 +25,17 @@ from monthlake.plans.staging import run_timestamp, stage
 from monthlake.sources.ingest import read_periods
 
 
+def load_periods(spark: SparkSession, base: str, periods: Sequence[str], run_ts: _dt.datetime | None = None,
+                 backfill: bool = True) -> None:
+    """Load whole periods from the raw directory through every layer; none: nothing happens."""
+    if not periods:
+        return
+    p = paths(base)
+    raw = read_periods(spark, p["raw"], schema=schemas.RAW, period=periods)
+    write_version(schemas.describe(stage(raw, run_ts or run_timestamp())), p["bronze"])
+    load_silver_gold(spark, base, read_current(spark, p["bronze"]), backfill=backfill)
+
+
 def start_incremental(spark: SparkSession, base: str, checkpoint: str, backfill: bool = True,
                       max_files_per_trigger: int | None = None, available_now: bool = True,
                       run_ts: _dt.datetime | None = None) -> StreamingQuery:
@@ -40,11 +52,7 @@ def start_incremental(spark: SparkSession, base: str, checkpoint: str, backfill:
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         periods = sorted(r[0] for r in df.select("periodo").distinct().collect())  # at most a calendar of months
-        if not periods:
-            return
-        raw = read_periods(spark, p["raw"], schema=schemas.RAW, period=periods)
-        write_version(schemas.describe(stage(raw, run_ts or run_timestamp())), p["bronze"])
-        load_silver_gold(spark, base, read_current(spark, p["bronze"]), backfill=backfill)
+        load_periods(spark, base, periods, run_ts=run_ts, backfill=backfill)
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
