@@ -6,7 +6,14 @@ labelled pages, those that mark their content with an ``article`` element: a tag
 the less of its occurrences lie inside the content, and a word scores by how much likelier words
 are inside than outside. Menus, headers, adverts and the like (by element name, or by class, id
 or role) count nothing and are left out wherever they stand, so one amid an article does not end
-it. Block elements separate the blocks of the result.
+it. Block elements separate the blocks of the result; left-out scripts, buttons and the like
+inside a line, and unknown elements, do not. Inside an article a class names a role by any of its
+parts on containers, but only by its last part (``cookie-notice``, not ``comment-style``) on
+headings, paragraphs, items and cells; an id only by its last part, and never on those and on
+sections. A ``header`` element is left out in an article too, as the page's own is.
+
+Reading is linear in a page's tokens: open elements are looked up by name, so unclosed ones cost
+nothing.
 
 Fitting counts a bounded sample of labelled pages (``FIT_PAGES``, chosen by url hash) and brings
 back one row per kind of token; kinds come from fixed lists. Extraction is row-local: pages are
@@ -21,6 +28,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -60,11 +68,17 @@ CELLS = {"td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "tr": fro
 # An end tag of these does not reach out of such elements.
 _END_WALLS = {"p": SCOPE, "li": SCOPE | {"ul", "ol", "menu"}, "dt": SCOPE | {"dl"}, "dd": SCOPE | {"dl"},
               **{x: frozenset(["table"]) for x in CELLS}}
+_CELL_WALLS, _TABLE, _PARAGRAPH = frozenset(["table", "tr"]), frozenset(["table"]), frozenset(["p"])
 KNOWN = RAW | VOID | LEFT_OUT | OPTIONAL_END | INLINE | BLOCK
-ROLE = re.compile(
-    r"(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|login|menu|modal|"
-    r"nav|navbar|navigation|newsletter|notice|pagination|popup|promo\w*|related|replies|share|sharing|sidebar|social|"
-    r"sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+# What separates blocks, beside the block elements: left-out ones that stand in lines of their own.
+CUTS = BLOCK | frozenset("article nav header footer aside form menu dir hgroup head title search legend".split())
+# Left-out elements that stand in a line of text; nothing inside them separates blocks.
+IN_LINE = (RAW - {"title"}) | {"button"}
+ROLES = (r"(ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|login|menu|modal|"
+         r"nav|navbar|navigation|newsletter|notice|pagination|popup|promo\w*|related|replies|share|sharing|sidebar|social|"
+         r"sponsor\w*|subscribe|toolbar|widget)")
+ROLE = re.compile(rf"(?:^|[\s_-]){ROLES}(?:$|[\s_-])", re.I)
+LAST_ROLE = re.compile(rf"(?:^|[\s_-]){ROLES}(?:$|\s)", re.I)
 # Words that also name parts of an article: on a heading, paragraph or cell they are no role there.
 PART = re.compile(r"(?:header|footer|related|share|sharing|widget)\Z", re.I)
 HEADING = frozenset("h1 h2 h3 h4 h5 h6 caption figcaption blockquote pre summary code".split())
@@ -72,7 +86,7 @@ TABLE_PART = frozenset("td th tr thead tbody tfoot".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)"
     r"(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(?:/?[a-zA-Z][^>]*)(?:>|\Z)", re.S)
-CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+CLASS = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"\s+")
 
 
@@ -80,47 +94,86 @@ def _is_left_out(name: str, attributes: str, article: bool) -> str | None:
     """The role for which an element is left out, or None."""
     if name in LEFT_OUT:
         return name
-    if attributes and name not in ("html", "body", "article", "main"):
-        part = name in TABLE_PART or (article and (name in HEADING or name in OPTIONAL_END))
-        for m in CLASS.finditer(attributes):
-            value, at = m[1] or m[2] or m[3] or "", 0
-            while r := ROLE.search(value, at):
-                if not (part and PART.match(r[1])):
-                    return "role"
-                at = r.end(1)  # the separator after it may begin the next word
+    if not attributes or name in ("html", "body", "article", "main"):
+        return None
+    text = name in HEADING or name in OPTIONAL_END
+    part = name in TABLE_PART or (article and text)
+    for m in CLASS.finditer(attributes):
+        is_id = m[1].lower() == "id"
+        if article and is_id and (text or name == "section"):
+            continue
+        found = LAST_ROLE if article and (is_id or text) else ROLE
+        value, at = m[2] or m[3] or m[4] or "", 0
+        while r := found.search(value, at):
+            if not (part and PART.match(r[1])):
+                return "role"
+            at = r.end(1)  # the separator after it may begin the next word
     return None
 
 
-def _open_at(stack: list[tuple[str, str | None]], names: frozenset[str], walls: frozenset[str]) -> int | None:
-    """Where the outermost open element among ``names`` stands that no wall parts from the top."""
-    at = None
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in names:
-            at = i
-        elif stack[i][0] in walls:
-            break
-    return at
-
-
-def _close_implied(stack: list[tuple[str, str | None]], name: str) -> None:
-    """Close what an opening ``name`` ends: paragraphs, and siblings of the same kind."""
-    if name in ITEMS:
-        # As browsers do: out of paragraphs, div and inline elements, not out of another list or block.
+class _Open:
+    """The open elements: name and left-out role that holds, from the outside in.
+
+    Their places are kept by name, so that none is walked over."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str | None]] = []
+        self.places: dict[str, list[int]] = {}
+        self.walls: list[int] = []  # what a list item does not reach out of, items themselves included
+
+    def push(self, name: str, role: str | None) -> None:
+        if name not in INLINE and name not in ("p", "div", "address"):
+            self.walls.append(len(self.stack))
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, role))
+
+    def cut(self, at: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.stack) > at:
+            name, _ = self.stack.pop()
+            self.places[name].pop()
+            if self.walls and self.walls[-1] == len(self.stack):
+                self.walls.pop()
+
+    def last(self, names: frozenset[str]) -> int:
+        """Place of the innermost open element among ``names``, or -1."""
+        return max((p[-1] for n in names if (p := self.places.get(n))), default=-1)
+
+    def first_within(self, names: frozenset[str], walls: frozenset[str]) -> int | None:
+        """Place of the outermost one among ``names`` that no wall parts from the top."""
+        wall, at = self.last(walls), None
+        for n in names:
+            places = self.places.get(n)
+            if places and places[-1] > wall:
+                place = places[bisect.bisect_right(places, wall)]
+                at = place if at is None else min(at, place)
+        return at
+
+    def state(self) -> tuple[str, bool]:
+        return (self.stack[-1][1] if self.stack else None) or PLAIN, bool(self.places.get("article"))
+
+    def close(self, name: str) -> str | None:
+        """Close by an end tag; the surroundings of the element it ends, if it ends one."""
+        places = self.places.get(name)
+        if not places or places[-1] < self.last(_END_WALLS.get(name, frozenset())):
+            return None
+        around = self.stack[places[-1]][1] or PLAIN
+        self.cut(places[-1])
+        return around
+
+    def close_implied(self, name: str) -> None:
+        """Close what an opening ``name`` ends: paragraphs, and siblings of the same kind."""
         at = None
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in ITEMS[name]:
-                at = i
-                break
-            if stack[i][0] not in INLINE and stack[i][0] not in ("p", "div", "address"):
-                break
+        if name in ITEMS:
+            # As browsers do: out of paragraphs, div and inline elements, not out of another list or block.
+            if self.walls and self.stack[self.walls[-1]][0] in ITEMS[name]:
+                at = self.walls[-1]
+        elif name in CELLS:
+            at = self.first_within(CELLS[name], _CELL_WALLS if name in ("td", "th") else _TABLE)
         if at is not None:
-            del stack[at:]
-    elif name in CELLS:
-        walls = frozenset(["table", "tr"]) if name in ("td", "th") else frozenset(["table"])
-        if (at := _open_at(stack, CELLS[name], walls)) is not None:
-            del stack[at:]
-    if name in P_CLOSERS and (at := _open_at(stack, frozenset(["p"]), SCOPE)) is not None:
-        del stack[at:]
+            self.cut(at)
+        if name in P_CLOSERS and (at := self.first_within(_PARAGRAPH, SCOPE)) is not None:
+            self.cut(at)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
@@ -128,12 +181,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
 
     ``kind`` is "text", "open" or "close"; the surroundings are the left-out element that holds
     the token (or that the tag itself opens or closes), else PLAIN."""
-    stack: list[tuple[str, str | None]] = []  # open elements: name, and the left-out role that holds
+    opened = _Open()
+    state = opened.state
     at, end = 0, len(page)
 
-    def state() -> tuple[str, bool]:
-        return (stack[-1][1] if stack else None) or PLAIN, any(n == "article" for n, _ in stack)
-
     while at < end:
         m = TOKEN.search(page, at)
         if m is None:
@@ -147,30 +198,23 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
         name = m["name"].lower()
         if m["close"]:
             around, article = state()
-            i = len(stack) - 1
-            walls = _END_WALLS.get(name, ())
-            while i >= 0 and stack[i][0] != name and stack[i][0] not in walls:
-                i -= 1
-            if i >= 0 and stack[i][0] == name:
-                around = stack[i][1] or PLAIN
-                del stack[i:]
-            yield "close", name, around, article
+            yield "close", name, opened.close(name) or around, article
             continue
-        if stack and (name in OPTIONAL_END or name in P_CLOSERS):
-            _close_implied(stack, name)
-        held = stack[-1][1] if stack else None
-        role = held or _is_left_out(name, m["attributes"], state()[1])
-        yield "open", name, role or PLAIN, state()[1]
+        if name in OPTIONAL_END or name in P_CLOSERS:
+            opened.close_implied(name)
+        held, article = state()
+        role = held if held != PLAIN else _is_left_out(name, m["attributes"], article)
+        yield "open", name, role or PLAIN, article
         if name in RAW and not m["attributes"].endswith("/"):
             close = re.compile(rf"</{name}\s*(?:>|\Z)", re.I).search(page, at)
             stop, after = (close.start(), close.end()) if close else (end, end)
             if stop > at:
-                yield "text", page[at:stop], role or name, state()[1]
+                yield "text", page[at:stop], role or name, article
             at = after
-            yield "close", name, role or PLAIN, state()[1]
+            yield "close", name, role or PLAIN, article
         elif name not in VOID and not m["attributes"].endswith("/"):
             if name not in INLINE or role:
-                stack.append((name, role))
+                opened.push(name, role)
 
 
 def n_words(text: str) -> int:
@@ -238,7 +282,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
                 run.append(value)
         elif value == "br":
             run.append(" ")
-        elif value not in INLINE:
+        elif value in CUTS and around not in IN_LINE:
             blocks.append("".join(run))
             run = []
     blocks.append("".join(run))

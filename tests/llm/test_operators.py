@@ -293,6 +293,38 @@ def test_html_keeps_figures_formulas_and_headings():
         "last words of it"]
 
 
+def test_html_blocks_are_not_cut_by_elements_in_a_line():
+    w = {"word": 1.0}
+    blocks = lambda body: html_extract.extract(f"<div>{body}</div>", w).split("\n\n")
+    assert blocks("<p>Hello big <script>x()</script>wide world</p>") == ["Hello big wide world"]
+    assert blocks("<p>Hello big <noscript><p>no</p></noscript>wide world</p>") == ["Hello big wide world"]
+    assert blocks("<p>Hello big <button><div>no</div></button>wide world</p>") == ["Hello big wide world"]
+    assert blocks("<p>Hello <nobr>big wide</nobr> world</p>") == ["Hello big wide world"]
+    assert blocks("Hello big <aside>no</aside> wide world <nav>no</nav> again") == ["Hello big", "wide world", "again"]
+
+
+def test_html_keeps_article_parts_that_only_look_like_page_parts():
+    w = {"word": 1.0}
+    page = ('<article><p class="comment-style">one two three</p><h2 id="cookies">How cookies work</h2>'
+            '<section id="social">social history of it</section><section id="related-work">other work here</section>'
+            '<div id="menu-design">design of menus</div><p data-id="notice">four five six</p>{}<p>the end of it</p></article>')
+    want = ["one two three", "How cookies work", "social history of it", "other work here", "design of menus", "four five six",
+            "the end of it"]
+    for no in ('<p class="cookie-notice">no</p>', '<div class="share-buttons">no</div>', '<section class="comments-area">no</section>',
+               '<div id="comments">no</div>', '<ol class="comment-list"><li>no</li></ol>', '<p class="x advert">no</p>'):
+        assert html_extract.extract(page.format(no), w).split("\n\n") == want
+
+
+def test_html_reads_deep_nesting_in_linear_time():
+    import time
+    began = time.perf_counter()
+    n = 40_000
+    assert html_extract.extract("<div>" * n + "a b c", {}) == "a b c"
+    assert len(html_extract.extract("<div>" * n + "<p>a b<li>c</x>" * n, {"word": 1.0, "tag:div": 0.0}).split()) == 3 * n
+    assert html_extract.extract("<table><tr><td>" * n + "a b c" + "</p></li>" * n, {}) == "a b c"
+    assert time.perf_counter() - began < 10
+
+
 def test_best_region_is_the_largest_sum():
     rng = np.random.default_rng(0)
     for _ in range(200):
