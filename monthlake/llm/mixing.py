@@ -7,10 +7,11 @@ the documents with the smallest keys, by a prefix sum of their sizes. A document
 the fractional part when the middle of its span in the prefix sum lies inside the rest, so a
 source misses its target by half a document at most.
 
-The prefix sum never sorts a source in one task: keys are binned by a monotone function into
+The prefix sum never sorts a source in one task: keys are binned by their logarithm into
 ``KEY_BINS`` bins of ``KEY_BINS`` bins each. Bin sums (partially aggregated before the shuffle)
 locate the bin of a source that crosses its budget, then the one inside it, and only that one
-is sorted. The outcome per source is a cutoff (bin, key); taking a document is then a
+is sorted. A logarithm of an exponential key is nowhere denser than 1/e a unit, whatever the
+weight, so a bin holds about 1 in 65,000 documents of a source at most. The outcome per source is a cutoff (bin, key); taking a document is then a
 row-local comparison.
 
 Defined cases: a null or blank text has size 0 and takes nothing; a null source is a source of
@@ -31,6 +32,8 @@ from monthlake.llm.common import whole_row, word_count, write_shared
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 KEY_BINS = 1024  # on each of two levels
+# Logarithms of all keys: ``u`` lies between 2^-53 and 1 - 2^-53, a weight between 0.1 and 1.
+LOG_KEYS = (-37.0, 6.0)
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -52,8 +55,14 @@ def _sized(docs: DataFrame, *keep: Column) -> DataFrame:
                     F.col("text").alias("__text"), word_count(F.col("text")).alias("__size"))
     key = sample_key(F.col("__id"), F.col("__text"), quality_weight(F.col("__text"), F.col("__size")))
     d = d.withColumn("__key", key).drop("__text")
-    return d.withColumn("__bin", F.least(F.floor((1 - F.exp(-F.col("__key"))) * KEY_BINS**2),
-                                         F.lit(KEY_BINS**2 - 1)).cast("int"))
+    return d.withColumn("__bin", key_bin(F.col("__key")))
+
+
+def key_bin(key: Column) -> Column:
+    """The fine bin of a key; grows with the key."""
+    low, high = LOG_KEYS
+    bin_ = F.floor((F.log(key) - low) * (KEY_BINS**2 / (high - low)))
+    return F.greatest(F.lit(0), F.least(bin_, F.lit(KEY_BINS**2 - 1))).cast("int")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:

@@ -14,6 +14,7 @@ import numpy as np
 import pytest
 import xxhash
 from conftest import SF_SMALL
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, "tools")
@@ -91,6 +92,17 @@ def test_mixing_targets_reshare_excess(spark):
     assert got["b"] == pytest.approx(1880 * 2 / 3) and got["c"] == pytest.approx(1880 / 3)
 
 
+def test_mixing_bins_hold_few_keys_at_any_weight(spark):
+    n = 200_000
+    for weight in (0.1, 0.5, 1.0):
+        key = mixing.sample_key(F.col("id"), F.lit("same text"), F.lit(weight))
+        k = spark.range(n).select(key.alias("key")).withColumn("bin", mixing.key_bin(F.col("key")))
+        assert k.groupBy("bin").count().agg(F.max("count")).first()[0] < 25  # three in expectation
+        by_bin = k.groupBy("bin").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+        before = F.max("hi").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+        assert by_bin.select((before >= F.col("lo")).alias("bad")).where("bad").count() == 0
+
+
 def test_mix_rows_repeat_as_taken(spark, docs):
     taken = {r.doc_id: (r.taken, r.size) for r in mixing.mix_sizes(docs).collect()}
     rows = mixing.mix_rows(docs)
