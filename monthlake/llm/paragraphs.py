@@ -52,7 +52,8 @@ BANDS, ROWS = 7, 3
 PASSAGE, GRAM = 50, 20
 BUCKET = 4096
 SEED = 7
-ROWS_AT_ONCE = 256  # documents whose rows are gathered before they go back to Spark
+AT_ONCE = 4096  # shingles hashed together
+BYTES_AT_ONCE = 1 << 20  # texts that are hashed together; a longer one stands alone
 KEY = ("h1", "h2")
 
 
@@ -72,11 +73,6 @@ def paragraphs(text: str | None) -> Iterator[tuple[int, int, int, list[bytes]]]:
         start += len(line) + 1
 
 
-def class_key(w: list[bytes]) -> tuple[int, int]:
-    """128 bits of a word sequence as two signed numbers."""
-    return tuple(np.frombuffer(xxhash.xxh3_128_digest(b" ".join(w)), dtype="<i8").tolist())
-
-
 def shingles(w: list[bytes]) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the five-word shingles."""
     digest = xxhash.xxh3_64_intdigest
@@ -112,10 +108,12 @@ class Words:
             i = j
 
     def _hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        size = end - start
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        letters = self.bytes[np.repeat(start, size) + place].astype(np.uint64) + np.uint64(1)
-        return _mix(np.add.reduceat(letters * _powers(BASES[0], int(size.max()))[place], np.cumsum(size) - size))
+        """A polynomial of each word's bytes, from prefix sums over the piece."""
+        low, n = int(start[0]), int(end[-1] - start[0])
+        up, down = _powers(BASES[0], n), _powers(pow(BASES[0], -1, 1 << 64), n)
+        total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((self.bytes[low:low + n].astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+        return _mix((total[end - low] - total[start - low]) * down[start - low])
 
     def lines(self) -> tuple[np.ndarray, np.ndarray]:
         """First word of every line, and the line starts in bytes."""
@@ -134,6 +132,59 @@ class Words:
         return _mix((total[last] - total[first]) * down[first])
 
 
+class Texts(Words):
+    """Several texts, each from a line of its own, so that their words are hashed together."""
+
+    def __init__(self, raws: list[bytes]):
+        self.raw = b"\n".join(raws)
+        super().__init__(self.raw)
+        self.text_at = np.cumsum([0, *(len(r) + 1 for r in raws)])[:-1]  # first byte of every text
+        self.first_word = np.searchsorted(self.start, self.text_at)
+        self.text_of = np.searchsorted(self.first_word, np.arange(len(self.start)), "right") - 1
+        self.chars = np.concatenate([[0], np.cumsum((self.bytes & 0xC0) != 0x80)])  # characters before a byte
+        self.breaks = np.flatnonzero(self.bytes == 10)
+        self.first_line = np.searchsorted(self.breaks, self.text_at)
+
+    def within(self, at: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """The character of its text that stands at a byte."""
+        return self.chars[at] - self.chars[self.text_at[text]]
+
+    def paragraphs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The lines of at least ``MIN_WORDS`` words: text; number, start, length, words and key (as rows);
+        first word and the word behind the last (as rows)."""
+        first, at = self.lines()
+        line = np.flatnonzero(np.diff(first) >= MIN_WORDS)
+        end = np.append(at[1:] - 1, len(self.bytes))[line]
+        text = np.searchsorted(self.text_at, at[line], "right") - 1
+        digest = xxhash.xxh3_128_digest
+        key = b"".join(digest(b" ".join(self.raw[i:j].split())) for i, j in zip(at[line].tolist(), end.tolist(), strict=True))
+        columns = [line - self.first_line[text], self.within(at[line], text), self.chars[end] - self.chars[at[line]],
+                   np.diff(first)[line], *np.frombuffer(key, dtype="<i8").reshape(-1, 2).T]
+        return text, np.stack(columns), np.stack([first[line], first[line + 1]])
+
+    def selected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The hashes of all shingles; the first word of every run of ``PASSAGE`` words of one text, and the
+        position of the shingle that it selects."""
+        f = self.grams(GRAM, BASES[0])
+        at = selected(f)
+        run = np.flatnonzero(self.text_of[:len(at)] == self.text_of[PASSAGE - 1:])
+        return f, run, at[run]
+
+
+def together(texts: pa.Array) -> Iterator[tuple[int, Texts]]:
+    """The texts of a column in turn, as many at once as make ``BYTES_AT_ONCE``, with the number of the first."""
+    raws, size, at = [], 0, 0
+    for i, t in enumerate(texts):
+        raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+        if raws and size + len(raw) > BYTES_AT_ONCE:
+            yield at, Texts(raws)
+            raws, size, at = [], 0, i
+        raws.append(raw)
+        size += len(raw)
+    if raws:
+        yield at, Texts(raws)
+
+
 # Fixed odd numbers: bases of the polynomial hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _POWERS: dict[int, np.ndarray] = {}
@@ -150,17 +201,27 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def signatures(words: Words, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """One row of band values per word range ``[first, last)``, from its shingles' MinHash."""
-    a, b = _MULTIPLIERS
+    a, b = (x[:, None] for x in _MULTIPLIERS)
     g = words.grams(SHINGLE, BASES[0])
-    low = np.empty((len(first), len(a)), dtype=np.uint64)
-    for k, (i, j) in enumerate(zip(first, np.maximum(last - SHINGLE + 1, first + 1), strict=True)):
-        for at in range(i, j, 8192):
-            h = g[at:min(at + 8192, j), None] * a + b
-            m = (h ^ (h >> np.uint64(29))).min(axis=0)
-            low[k] = m if at == i else np.minimum(low[k], m)
+    last = np.maximum(last - SHINGLE + 1, first + 1)
+    low = np.full((len(a), len(first)), ~np.uint64(0))
+    k = 0
+    while k < len(first):  # ranges of about AT_ONCE shingles together; a longer range by itself in pieces
+        to = max(k + 1, int(np.searchsorted(last, first[k] + AT_ONCE, "right")))
+        for at in range(int(first[k]), int(last[to - 1]), AT_ONCE):
+            stop = min(at + AT_ONCE, int(last[to - 1]))
+            h = g[at:stop] * a + b
+            h ^= h >> np.uint64(29)
+            if to > k + 1:
+                ends = np.minimum(np.stack([first[k:to], last[k:to]], axis=1).reshape(-1) - at, h.shape[1])
+                h = np.minimum.reduceat(h, ends[:-1], axis=1)[:, ::2]
+                low[:, k:to] = h
+            else:
+                low[:, k] = np.minimum(low[:, k], h.min(axis=1))
+        k = to
     out = np.zeros((len(first), BANDS), dtype=np.uint64)
     for r in range(ROWS):
-        out = _mix((out ^ low[:, r::ROWS]) * np.uint64(0x9E3779B97F4A7C15))
+        out = _mix((out ^ low[r::ROWS].T) * np.uint64(0x9E3779B97F4A7C15))
     return out
 
 
@@ -172,13 +233,16 @@ def passages(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def selected(f: np.ndarray) -> np.ndarray:
-    """For every run of ``PASSAGE`` words the position of its shingle with the smallest hash."""
+    """For every run of ``PASSAGE`` words the position of its shingle with the smallest hash (the first of equals)."""
     width = PASSAGE - GRAM + 1
-    at = [np.zeros(0, dtype=np.int64)]
-    for i in range(0, len(f) - width + 1, 1 << 16):
-        v = np.lib.stride_tricks.sliding_window_view(f[i:i + (1 << 16) + width - 1], width)
-        at.append(v.argmin(axis=1) + np.arange(len(v)) + i)
-    return np.concatenate(at)
+    best, at, have = f, np.arange(len(f)), 1
+    while have < width:  # the best of twice as many shingles, the last step overlapping
+        step = min(have, width - have)
+        n = max(0, len(best) - step)
+        left = best[:n] <= best[step:]
+        best, at = np.where(left, best[:n], best[step:]), np.where(left, at[:n], at[step:])
+        have += step
+    return at
 
 
 _MULTIPLIERS = _multipliers()
@@ -193,37 +257,27 @@ def _units(docs: DataFrame) -> DataFrame:
     texts are read once for both."""
     kind = dict(docs.dtypes)["doc_id"]
 
-    def rows(b: pa.RecordBatch, owner: list[np.ndarray], columns: list[np.ndarray], bands: list[np.ndarray] | None):
-        ids = b.select(["doc_id", "file", "row"]).take(pa.array(np.concatenate(owner)))
-        n = ids.num_rows
-        of = [pa.array(c) for c in np.concatenate(columns, axis=1)]
-        of += [pa.array(c) for c in np.concatenate(bands).T.copy()] if bands else []
-        named = dict(zip(NAMES[4:] if bands else ("at", "b0", "b1", "h1"), of, strict=True))
+    def rows(b: pa.RecordBatch, owner: np.ndarray, columns: np.ndarray, bands: np.ndarray | None):
+        ids = b.select(["doc_id", "file", "row"]).take(pa.array(owner))
+        of = [pa.array(c) for c in columns]
+        of += [pa.array(c) for c in bands.view(np.int64).T.copy()] if bands is not None else []
+        named = dict(zip(("at", "b0", "b1", "h1") if bands is None else NAMES[4:], of, strict=True))
         return pa.RecordBatch.from_arrays(
-            [*ids.columns, pa.array(np.full(n, bands is None)), *(named.get(c, pa.nulls(n, pa.int64())) for c in NAMES[4:])], NAMES)
+            [*ids.columns, pa.array(np.full(len(owner), bands is None)),
+             *(named.get(c, pa.nulls(len(owner), pa.int64())) for c in NAMES[4:])], NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
-            owner, lines, bands, p_owner, spans = [], [], [], [], []
-            for i, t in enumerate(b.column("text")):
-                text = t.as_py() or ""
-                words = Words(text.encode("utf-8"))
-                if found := list(paragraphs(text)):
-                    n = np.array([x[0] for x in found])
-                    first, _ = words.lines()
-                    bands.append(signatures(words, first[n], first[n + 1]).view(np.int64))
-                    owner.append(np.full(len(found), i))
-                    lines.append(np.array([(*x[:3], len(x[3]), *class_key(x[3])) for x in found], dtype=np.int64).T)
-                at, h1 = passages(words)
+        for b in batches:
+            for i, texts in together(b.column("text")):
+                text, lines, (first, last) = texts.paragraphs()
+                if len(text):
+                    yield rows(b, text + i, lines, signatures(texts, first, last))
+                f, _, at = texts.selected()
+                at = at[np.diff(at, prepend=-1) != 0]
                 if len(at):
-                    breaks = np.flatnonzero(words.bytes == 10)
-                    first, last = (np.searchsorted(breaks, words.start[x]) for x in (at, at + GRAM - 1))
-                    p_owner.append(np.full(len(at), i))
-                    spans.append(np.stack([at, first, last, h1.view(np.int64)]))
-            if owner:
-                yield rows(b, owner, lines, bands)
-            if p_owner:
-                yield rows(b, p_owner, spans, None)
+                    text = texts.text_of[at]
+                    b0, b1 = (np.searchsorted(texts.breaks, texts.start[x]) - texts.first_line[text] for x in (at, at + GRAM - 1))
+                    yield rows(b, text + i, np.stack([at - texts.first_word[text], b0, b1, f[at].view(np.int64)]), None)
 
     return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, passage boolean, "
                                 + ", ".join(f"{n} bigint" for n in NAMES[4:]))
@@ -247,37 +301,26 @@ def _groups(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     names = ["doc_id", "file", "row", "word", "runs", "u1", "u2", "w1", "w2", "starts", "stops"]
 
-    def found(text: str) -> tuple[list[np.ndarray], list[np.ndarray]] | None:
-        """Per group: word, runs, u1, u2; per run of all groups: w1, w2, start, stop."""
-        words = Words(text.encode("utf-8"))
-        f = words.grams(GRAM, BASES[0])
-        v = (f & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-        of = selected(f)
-        word = np.flatnonzero((bits[v >> 3] >> (v & 7).astype(np.uint8) & 1)[of])
-        if not len(word):
-            return None
-        at = np.flatnonzero(np.diff(of[word], prepend=-1) != 0)  # a shingle's runs follow one another
-        n = np.diff(np.append(at, len(word)))
-        chars = np.concatenate([[0], np.cumsum((words.bytes & 0xC0) != 0x80)])
-        u = [words.ranges(word[at], word[at] + n - 1 + PASSAGE, x).view(np.int64) for x in BASES]
-        w = [words.ranges(word, word + PASSAGE, x).view(np.int64) for x in BASES]
-        return [word[at], n, *u], [*w, chars[words.start[word]], chars[words.end[word + PASSAGE - 1]]]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
-            owner, groups, runs = [], [], []
-            for i, t in enumerate(b.column("text")):
-                if (one := found(t.as_py() or "")) is not None:
-                    owner.append(np.full(len(one[0][0]), i))
-                    groups.append(one[0])
-                    runs.append(one[1])
-            if not owner:
-                continue
-            ids = b.select(["doc_id", "file", "row"]).take(pa.array(np.concatenate(owner)))
-            columns = [np.concatenate(c) for c in zip(*groups, strict=True)]
-            offsets = pa.array(np.concatenate([[0], np.cumsum(columns[1])]), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c), pa.int64())) for c in zip(*runs, strict=True)]
-            yield pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(c, pa.int64()) for c in columns), *lists], names)
+        for b in batches:
+            for i, texts in together(b.column("text")):
+                f, word, of = texts.selected()
+                v = (f & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                hit = (bits[v >> 3] >> (v & 7).astype(np.uint8) & 1).astype(bool)[of]
+                word, of = word[hit], of[hit]
+                if not len(word):
+                    continue
+                at = np.flatnonzero(np.diff(of, prepend=-1) != 0)  # a shingle's runs follow one another
+                n = np.diff(np.append(at, len(word)))
+                text = texts.text_of[word]
+                u = [texts.ranges(word[at], word[at] + n - 1 + PASSAGE, x).view(np.int64) for x in BASES]
+                runs = [*(texts.ranges(word, word + PASSAGE, x).view(np.int64) for x in BASES),
+                        texts.within(texts.start[word], text), texts.within(texts.end[word + PASSAGE - 1], text)]
+                ids = b.select(["doc_id", "file", "row"]).take(pa.array(text[at] + i))
+                columns = [word[at] - texts.first_word[text[at]], n, *u]
+                offsets = pa.array(np.append(at, len(word)), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(c, pa.int64())) for c in runs]
+                yield pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(c, pa.int64()) for c in columns), *lists], names)
 
     return docs.mapInArrow(run, f"doc_id {kind}, file string, row bigint, word bigint, runs bigint, u1 bigint, u2 bigint, "
                                 + ", ".join(f"{n} array<bigint>" for n in names[7:]))
@@ -373,12 +416,12 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = {}
-            for t in b.column(0):
-                for _, _, _, w in paragraphs(t.as_py()):
-                    k = class_key(w)
-                    v = k[0] & FILTER_BITS - 1
-                    if bits[v >> 3] >> (v & 7) & 1:
-                        found.setdefault(k, w)
+            for _, texts in together(b.column(0)):
+                _, lines, (first, last) = texts.paragraphs()
+                v = lines[4] & FILTER_BITS - 1
+                for i in np.flatnonzero(bits[v >> 3] >> (v & 7).astype(np.uint8) & 1).tolist():
+                    raw = texts.raw[texts.start[first[i]]:texts.end[last[i] - 1]]
+                    found.setdefault((int(lines[4, i]), int(lines[5, i])), raw.split())
             rows = list(found.items())
             for i in range(0, len(rows), 2048):
                 part = rows[i:i + 2048]
