@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from monthlake.operators.dedup import latest_per_key
 from monthlake.operators.upsert import (
+    CODEC,
     LOAD_COL,
     VERSION_COL,
     _commit,
@@ -92,7 +93,7 @@ def upsert_bucketed(spark: SparkSession, path: str, source: DataFrame, key: str,
     def write(rows: DataFrame) -> None:
         said = [F.col(c).alias(c, metadata=src.schema[c].metadata) for c in columns]  # column descriptions
         out, name = f"{path}/data/{new}", _name(f"{path}/data/{new}")
-        rows.select(*said).write.format("parquet").mode("errorifexists").bucketBy(n, key).sortBy(key).option("path", out).saveAsTable(name)
+        rows.select(*said).write.format("parquet").mode("errorifexists").bucketBy(n, key).sortBy(key).options(path=out, compression=CODEC).saveAsTable(name)
         spark.sql(f"DROP TABLE {name}")
 
     if last is None:

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from monthlake.operators.upsert import VERSION_COL, _commit, _new_version, current
+from monthlake.operators.upsert import CODEC, VERSION_COL, _commit, _new_version, current
 
 DEFAULT_LIMIT = 20
 MAX_LIMIT = 200
@@ -50,7 +50,7 @@ def write_serving(df: DataFrame, path: str, key: str) -> int:
     folder = f"{VERSION_COL}={version}"
     written = Observation()
     pages = df.repartitionByRange(*order).sortWithinPartitions(*order).observe(written, F.count(F.lit(1)).alias("rows"))
-    (pages.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true")
+    (pages.write.mode("errorifexists").option("compression", CODEC).option(f"parquet.bloom.filter.enabled#{key}", "true")
           .option("parquet.bloom.filter.adaptive.enabled", "true").parquet(f"{path}/data/{folder}"))
     total = written.get.get("rows", 0)
     rows = spark.read.schema(df.schema).parquet(f"{path}/data/{folder}")

@@ -28,6 +28,7 @@ from monthlake.operators.dedup import latest_per_key
 VERSION_COL = "version"
 LOAD_COL = "__load"
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+CODEC = "zstd"  # of table files: written once, so smaller files are worth a little more work
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,7 @@ def write_version(df: DataFrame, path: str) -> int:
     """Replace an unpartitioned table: write the data, then its entry."""
     spark = df.sparkSession
     version = _new_version(current(spark, path))
-    df.write.mode("errorifexists").parquet(f"{path}/data/{VERSION_COL}={version}")
+    df.write.mode("errorifexists").option("compression", CODEC).parquet(f"{path}/data/{VERSION_COL}={version}")
     _commit(spark, path, version, [(None, f"{VERSION_COL}={version}")])
     return version
 
@@ -141,9 +142,12 @@ def clustered_for_partitions(df: DataFrame, partition: str, keys: Sequence[str])
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  order: Sequence | None, columns: Sequence[str] | None = None, partition: str | None = None,
-                 rank: Sequence | None = None) -> DataFrame:
+                 rank: Sequence | None = None, clustered: bool = False) -> DataFrame:
     """Upsert ``source`` into the table at ``path`` and return the table as read back.
 
+    ``clustered``: the source comes in ranges of the partition column and is written as it is.
+    With the partition column among ``keys``, only months that the target holds are compared.
+
     ``order`` picks one source row per key (None: it has one already). A matched target row is replaced; with ``rank``
     (descending columns that the table stores) only by a source row that ranks at least as high,
     so that loads may come in any order."""
@@ -163,14 +167,16 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     version = _new_version(last)
     src = source if order is None else latest_per_key(source, keys, order)
     cols = list(columns or src.columns)
-    written = _write_parts(clustered_for_partitions(src.select(*cols), partition, keys), path, partition, version)
+    rows = src.select(*cols)
+    written = _write_parts(rows if clustered else clustered_for_partitions(rows, partition, keys), path, partition, version)
     if not written and last is not None:
         return read_commit(spark, path, last)
     touched = sorted({p for p, _ in written})
     kept: list = []
     target = None if last is None else read_commit(spark, path, last, touched)
     if target is not None:
-        fresh = _read_dirs(spark, path, [d for _, d in written])
+        held = set(last.values)
+        fresh = _read_dirs(spark, path, [d for p, d in written if partition not in keys or p in held])
         rest = kept_rows(target, fresh, keys, cols)
         kept = _write_parts(clustered_for_partitions(rest, partition, keys), path, partition, version, "kept")
     others = [(p, d) for p, d in last.parts if p not in touched] if last else []
@@ -188,7 +194,7 @@ def _write_parts(df: DataFrame, path: str, partition: str, version: int, kind: s
     (value, directory) pairs, from the listing of what was written."""
     spark = df.sparkSession
     folder = f"{VERSION_COL}={version}-{kind}"
-    df.write.mode("errorifexists").partitionBy(partition).parquet(f"{path}/data/{folder}")
+    df.write.mode("errorifexists").option("compression", CODEC).partitionBy(partition).parquet(f"{path}/data/{folder}")
     back = try_read(spark, f"{path}/data/{folder}")
     marker = f"/{partition}="
     files = [] if back is None else back.inputFiles()

@@ -9,7 +9,7 @@ from monthlake.functions.keys import period_key, surrogate_key
 from monthlake.operators.dedup import latest_per_key
 from monthlake.operators.upsert import Commit
 
-FACT_KEY = ("id_fato",)
+FACT_KEY = ("id_tempo", "id_fato")  # the month is part of the hashed key and spares a merge the other months
 # Several bronze rows can share a grain; keep the highest salary, then cost, then the
 # smallest parent-agency key — together these decide every remaining column.
 def fact_order() -> list:
@@ -19,7 +19,7 @@ def fact_order() -> list:
 
 
 # The columns behind ``id_fato``: both its md5 parts and the key itself are injective in them.
-GRAIN = ("id_terceirizado", "numero_contrato", "orgao_nome", "orgao_sigla", "id_tempo")
+GRAIN = ("id_tempo", "id_terceirizado", "numero_contrato", "orgao_nome", "orgao_sigla")
 
 
 def grain_rows(bronze: DataFrame) -> DataFrame:
@@ -59,6 +59,15 @@ def build_fact(bronze: DataFrame) -> DataFrame:
     return with_keys(latest_per_key(grain_rows(bronze), GRAIN, grain_order()))
 
 
+def fact_to_write(bronze: DataFrame) -> DataFrame:
+    """``build_fact`` in ranges of months, for a table with one directory per month.
+
+    The ranges are cut by the grain, so one shuffle of the natural columns both brings the rows of
+    a grain together and lays the table out; the keys, three times as wide, are made after it. The
+    rows of one grain meet in one task, where they stream past its first row."""
+    return with_keys(latest_per_key(grain_rows(bronze).repartitionByRange(*GRAIN), GRAIN, grain_order()))
+
+
 def incremental_slice(fact_src: DataFrame, newest: int | None, backfill: bool = False) -> DataFrame:
     """High-watermark filter: keep source months ``>=`` the newest month already loaded
     (``newest``, from the target's commit log: no data file is opened for it).

@@ -25,7 +25,7 @@ from monthlake.operators.serve import write_serving
 from monthlake.operators.upsert import current, read_commit, read_current, upsert_table, write_version
 from monthlake.plans.dims import COLUMNS as DIM_COLUMNS
 from monthlake.plans.dims import MONTH_COL, dim_period, dim_source
-from monthlake.plans.fact import FACT_KEY, build_fact, incremental_slice, newest_month
+from monthlake.plans.fact import FACT_KEY, fact_to_write, incremental_slice, newest_month
 from monthlake.plans.mart import build_mart
 from monthlake.plans.staging import run_timestamp, stage
 from monthlake.sources.ingest import read_periods
@@ -54,8 +54,8 @@ def load_silver_gold(spark: SparkSession, base: str, bronze: DataFrame, only: st
 
     def load_fact() -> None:
         newest = newest_month(current(spark, p[FACT_TABLE]))
-        src = schemas.describe(incremental_slice(build_fact(bronze), newest, backfill=backfill))
-        upsert_table(spark, p[FACT_TABLE], src, list(FACT_KEY), None, columns=schemas.FACT, partition="id_tempo")
+        src = schemas.describe(incremental_slice(fact_to_write(bronze), newest, backfill=backfill))
+        upsert_table(spark, p[FACT_TABLE], src, list(FACT_KEY), None, columns=schemas.FACT, partition="id_tempo", clustered=True)
 
     # Dimensions, calendar and fact all read only bronze: they are independent jobs and
     # are submitted side by side; the mart waits for all of them.

@@ -13,8 +13,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthlake.operators.upsert import CODEC
 from monthlake.plans.dims import DIMENSIONS, build_dim
-from monthlake.plans.fact import build_fact
+from monthlake.plans.fact import fact_to_write
 from monthlake.plans.staging import stage
 from monthlake.session import scratch_path
 from monthlake.sources.feed import raw_feed
@@ -34,7 +35,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build, partition: str | N
     path = _written.get(key)
     if path is None:
         path = scratch_path(spark, name)
-        w = build().write.mode("overwrite")
+        w = build().write.mode("overwrite").option("compression", CODEC)
         if partition:
             w = w.partitionBy(partition)
         w.parquet(path)
@@ -44,10 +45,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build, partition: str | N
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed landed as monthly period files (``periodo=YYYY-MM``), all text."""
-    def build():
-        feed = raw_feed(spark, sf_dir, with_period=True)
-        return feed.repartitionByRange(F.col("periodo"), F.xxhash64(*[F.col(c) for c in feed.columns]))
-    return _once(spark, sf_dir, "raw", build, partition="periodo")
+    return _once(spark, sf_dir, "raw", lambda: raw_feed(spark, sf_dir, with_period=True, clustered=True), partition="periodo")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +55,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact stored partitioned by month, the layout the mart's pruning relies on."""
-    from monthlake.operators.upsert import clustered_for_partitions
-    return _once(spark, sf_dir, "fact", lambda: clustered_for_partitions(
-        build_fact(bronze(spark, sf_dir)), "id_tempo", ["id_fato"]), partition="id_tempo")
+    return _once(spark, sf_dir, "fact", lambda: fact_to_write(bronze(spark, sf_dir)), partition="id_tempo")
 
 
 def serving(spark: SparkSession, sf_dir: str, name: str, key: str, build) -> str:

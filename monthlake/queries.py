@@ -29,9 +29,9 @@ from monthlake.sources import manifest as MAN
 from monthlake import schemas as S
 from monthlake.functions.keys import period_key as _pk
 from monthlake.operators.bucketed import upsert_bucketed
-from monthlake.operators.upsert import current, upsert_table, write_version
+from monthlake.operators.upsert import CODEC, current, upsert_table, write_version
 from monthlake.plans.dims import MONTH_COL, dim_period_span, dim_source
-from monthlake.plans.fact import FACT_KEY, incremental_slice, newest_month
+from monthlake.plans.fact import FACT_KEY, fact_to_write, incremental_slice, newest_month
 from monthlake.plans.pipeline import FACT_TABLE, MART_TABLE, read_layer, run
 from monthlake.plans.pipeline import paths as pipeline_paths
 from monthlake.streaming import completeness as MC
@@ -515,15 +515,16 @@ def fact_incremental(spark, sf_dir):
     newest; then the whole source is offered. The watermark keeps months from the newest loaded
     one on: that month's rows are replaced, the newest comes in, the older gap stays."""
     b = W.bronze(spark, sf_dir)
-    src = build_fact(b)
+    src = fact_to_write(b)
     months = sorted(r[0] for r in b.select(_pk("ano", "mes_numero")).distinct().collect())[::-1]  # a calendar of months
     path = scratch_path(spark, "fact-incremental")
     first = src.where((F.col("id_tempo") <= months[1]) & (F.col("id_tempo") != months[3]))
     for c in ("salario_mensal_valor", "custo_mensal_valor"):
         first = first.withColumn(c, F.when(F.col("id_tempo") != months[1], F.col(c)))
-    upsert_table(spark, path, first, list(FACT_KEY), None, columns=S.FACT, partition="id_tempo")
+    upsert_table(spark, path, first, list(FACT_KEY), None, columns=S.FACT, partition="id_tempo", clustered=True)
     newest = newest_month(current(spark, path))
-    out = upsert_table(spark, path, incremental_slice(src, newest), list(FACT_KEY), None, columns=S.FACT, partition="id_tempo")
+    out = upsert_table(spark, path, incremental_slice(src, newest), list(FACT_KEY), None, columns=S.FACT, partition="id_tempo",
+                       clustered=True)
     return out.select(*FACT_COLS)
 
 
@@ -546,7 +547,7 @@ def latest_per_key_q(spark, sf_dir):
 
 def _land_raw(spark, sf_dir) -> str:
     base = scratch_path(spark, "warehouse")
-    I.write_period(raw_feed(spark, sf_dir, with_period=True), f"{base}/raw", cluster=True)
+    I.write_period(raw_feed(spark, sf_dir, with_period=True, clustered=True), f"{base}/raw")
     return base
 
 
@@ -556,6 +557,12 @@ def pipeline_end_to_end(spark, sf_dir):
     return run(spark, base, "*", run_ts=W.FIXED_RUN_TS)
 
 
+def _deliver(drop, base: str) -> None:
+    """Add rows of the landed feed to a raw directory: they lie by month already, so a scan's task
+    writes the months of its own files and nothing is shuffled."""
+    drop.write.mode("append").option("compression", CODEC).partitionBy("periodo").parquet(f"{base}/raw")
+
+
 @register("incremental_stream", O.with_(*O.WAREHOUSE, body="SELECT * FROM mart"))
 def incremental_stream(spark, sf_dir):
     """Three drops, newest months first; one month comes half in the first, half in the last."""
@@ -567,7 +574,7 @@ def incremental_stream(spark, sf_dir):
     is_split = F.col("periodo") == split
     for drop in (feed.where((F.col("periodo") >= cut) & (~is_split | half)), feed.where(F.col("periodo") < cut),
                  feed.where(is_split & ~half)):
-        (drop.repartitionByRange("periodo", "nr_contrato").write.mode("append").partitionBy("periodo").parquet(f"{base}/raw"))
+        _deliver(drop, base)
         q = start_incremental(spark, base, checkpoint=f"{base}/_stream_checkpoint", run_ts=W.FIXED_RUN_TS)
         q.awaitTermination()
         if q.exception() is not None:
@@ -586,7 +593,7 @@ def month_completeness(spark, sf_dir):
     half = F.xxhash64("nr_contrato", "id_terc") % 2 == 0
     seen = []
     for part, drop in ((1, feed.where(~newest | half)), (2, feed.where(newest & ~half))):
-        drop.repartitionByRange("periodo", "nr_contrato").write.mode("append").partitionBy("periodo").parquet(f"{base}/raw")
+        _deliver(drop, base)
         MC.write_receipts(drop.select("periodo").distinct().select(
             "periodo", F.lit(part).alias("part"), F.when(newest, 2).otherwise(1).alias("parts")), base)
         q = MC.start_complete_months(spark, base, checkpoint=f"{base}/_parts_checkpoint", run_ts=W.FIXED_RUN_TS)

@@ -16,29 +16,40 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False) -> DataFrame:
+def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed's rows as typed columns, nothing of it text yet: what a shuffle has to move."""
     s = F.col
+    # Money and months are narrower than the doubles and timestamps they come from.
     li = load(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", s("l_extendedprice").cast("decimal(18,2)").alias("price"),
+        F.trunc("l_shipdate", "month").alias("month"))
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     part = load(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
-    # Supplier x nation x region is small and joined once.
-    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    supp = (load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-            .join(nation, s("s_nationkey") == s("n_nationkey"))
-            .join(region, s("n_regionkey") == s("r_regionkey")))
+    supp = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
 
     # Orders meet customers before lineitem: that join shuffles orders (a quarter of
     # lineitem's rows) on the customer key instead of the lineitem-sized join result.
-    order_cust = orders.join(cust, s("o_custkey") == s("c_custkey"))
-    j = (li.join(order_cust, s("l_orderkey") == s("o_orderkey"))
-         .join(part, s("l_partkey") == s("p_partkey"))
-         .join(supp, s("l_suppkey") == s("s_suppkey")))
+    order_cust = orders.join(cust, s("o_custkey") == s("c_custkey")).drop("o_custkey")
+    return (li.join(order_cust, s("l_orderkey") == s("o_orderkey")).drop("l_orderkey")
+            .join(part, s("l_partkey") == s("p_partkey")).drop("l_partkey", "p_partkey")
+            .join(supp, s("l_suppkey") == s("s_suppkey")).drop("l_suppkey"))
+
+
+def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False, clustered: bool = False) -> DataFrame:
+    """``clustered``: in ranges of months, for a write of one directory per month. The rows are
+    dealt out as ``feed_rows`` and become text afterwards: the texts repeat each other and take
+    more than twice the bytes. Equal months are spread over several tasks by the rows' other columns."""
+    s = F.col
+    rows = feed_rows(spark, sf_dir)
+    if clustered:
+        rows = rows.repartitionByRange("month", "c_custkey", "o_orderkey", "s_suppkey", "price", "l_quantity", "p_type")
+    # Nations and regions are a few rows each and met last.
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    j = rows.join(nation.join(region, s("n_regionkey") == s("r_regionkey")), s("s_nationkey") == s("n_nationkey"))
 
     txt = lambda c: c.cast("string")
-    price = s("l_extendedprice").cast("decimal(18,2)")
     cols = [
         txt(s("c_custkey")).alias("id_terc"),
         s("r_name").alias("sg_orgao_sup_tabela_ug"),
@@ -46,7 +57,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False) -> Dat
         s("n_name").alias("nm_ug_tabela_ug"),
         F.concat(F.lit("UG"), txt(s("n_nationkey"))).alias("sg_ug_gestora"),
         F.concat(F.lit("CT"), txt(s("o_orderkey"))).alias("nr_contrato"),
-        F.lpad(txt(s("l_suppkey")), 14, "0").alias("nr_cnpj"),
+        F.lpad(txt(s("s_suppkey")), 14, "0").alias("nr_cnpj"),
         s("s_name").alias("nm_razao_social"),
         F.concat(F.lit("***."), F.lpad(txt(s("c_custkey") % 1000), 3, "0"), F.lit(".***-**")).alias("nr_cpf"),
         s("c_name").alias("nm_terceirizado"),
@@ -54,16 +65,16 @@ def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False) -> Dat
         s("c_mktsegment").alias("nm_escolaridade"),
         txt(s("l_quantity").cast("int")).alias("nr_jornada"),
         s("o_orderpriority").alias("nm_unidade_prestacao"),
-        txt(price).alias("vl_mensal_salario"),
-        txt((price + s("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)")).alias("vl_mensal_custo"),
-        txt(F.month("l_shipdate")).alias("num_mes_carga"),
-        F.lower(F.date_format("l_shipdate", "MMMM")).alias("mes_carga"),
-        txt(F.year("l_shipdate")).alias("ano_carga"),
+        txt(s("price")).alias("vl_mensal_salario"),
+        txt((s("price") + s("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)")).alias("vl_mensal_custo"),
+        txt(F.month("month")).alias("num_mes_carga"),
+        F.lower(F.date_format("month", "MMMM")).alias("mes_carga"),
+        txt(F.year("month")).alias("ano_carga"),
         F.concat(F.lit("S"), txt(s("s_suppkey"))).alias("sg_orgao"),
         s("s_name").alias("nm_orgao"),
         txt(s("s_suppkey")).alias("cd_orgao_siafi"),
         txt(s("s_suppkey") + 100000).alias("cd_orgao_siape"),
     ]
-    if with_period:
-        cols.append(F.date_format("l_shipdate", "yyyy-MM").alias("periodo"))
+    if with_period or clustered:
+        cols.append(F.date_format("month", "yyyy-MM").alias("periodo"))
     return j.select(*cols)
