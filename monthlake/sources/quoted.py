@@ -204,8 +204,8 @@ def read_quoted(spark: SparkSession, paths: Sequence[str], sep: str, encoding: s
     for names in headers:
         if len(set(names)) < len(names):
             raise ValueError(f"a column stands twice in the header {names}")
-    lines.mapInArrow(cut_records(inside, groups, header, sep, encoding), RECORDS + ", group int").write.partitionBy("group").parquet(
-        f"{base}/records")
+    records = lines.mapInArrow(cut_records(inside, groups, header, sep, encoding), RECORDS + ", group int")
+    records.write.option("compression", "zstd").partitionBy("group").parquet(f"{base}/records")
     options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST", "nullValue": null_value}
     frames = []
     for k, names in enumerate(headers):
