@@ -29,13 +29,18 @@ def to_int(c) -> Column:
     setting; NULL stays NULL.
 
     Plain integers take the direct cast; only text that is not one goes through the
-    exact decimal rounding."""
+    exact decimal rounding. That path is a lambda: written out for each column it makes the
+    stage's method so large that the JVM leaves it interpreted."""
     c = _col(c)
-    rounded = F.round(c.try_cast("decimal(38,10)"), 0)
-    inside = rounded.between(-(2 ** 31), 2 ** 31 - 1)
-    wrong = F.raise_error(F.concat(F.lit("not an integer: "), c)).cast("int")
-    return F.coalesce(c.try_cast("int"), F.when(c.isNull(), F.lit(None).cast("int"))
-                      .when(inside, rounded.try_cast("int")).otherwise(wrong))
+
+    def by_decimal(text: Column) -> Column:
+        rounded = F.round(text.try_cast("decimal(38,10)"), 0)
+        inside = rounded.between(-(2 ** 31), 2 ** 31 - 1)
+        wrong = F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("int")
+        return (F.when(text.isNull(), F.lit(None).cast("int"))
+                .when(inside, rounded.try_cast("int")).otherwise(wrong))
+
+    return F.coalesce(c.try_cast("int"), F.transform(F.array(c), by_decimal)[0])
 
 
 def to_money(c, decimal_comma: bool = False) -> Column:

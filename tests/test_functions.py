@@ -106,3 +106,21 @@ def test_to_int_raises_whatever_the_ansi_setting(spark):
                     spark.createDataFrame([(bad,)], "c string").select(to_int("c")).collect()
         finally:
             spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_typing_stays_small_enough_to_be_compiled(spark):
+    import contextlib
+    import io
+    import re
+    from conftest import SF_SMALL
+    from monthlake.plans.staging import stage
+    from monthlake.sources.feed import raw_feed
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            stage(raw_feed(spark, SF_SMALL), with_timestamp=False).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", buf.getvalue())]
+    assert sizes and max(sizes) <= 8000  # the JVM leaves larger methods interpreted
