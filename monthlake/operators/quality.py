@@ -14,6 +14,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegralType, StringType
+
+from monthlake.session import scratch_path
+
+MOST_HASHES = 1_000_000  # repeated key hashes that are broadcast: 8 MB
 
 
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -37,15 +42,36 @@ def observed_not_null(spark: SparkSession, seen: Observation, cols: Sequence[str
     return spark.createDataFrame([(c, found.get(f"n{k}", 0)) for k, c in enumerate(cols)], "column_name string, failures bigint")
 
 
+def _repeat_suspects(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The key columns of the rows whose key may occur more than once: for a key with texts, of those
+    whose 64-bit hash does.
+
+    The hashes, a fraction of the texts' bytes, are shuffled and the repeated ones written to the
+    shared folder; the rows found by them are still to be compared whole. Where too many repeat to
+    be broadcast, and for keys of numbers, which are as narrow as a hash, it is every row."""
+    kinds = [df.schema[c].dataType for c in cols]
+    keys = df.select(*cols)
+    if StringType() not in kinds or not all(k == StringType() or isinstance(k, (IntegralType, DateType)) for k in kinds):
+        return keys
+    spark = df.sparkSession
+    hashed = keys.withColumn("__h", F.xxhash64(*cols))
+    path = scratch_path(spark, "repeated-hashes")
+    hashed.groupBy("__h").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("__h").write.parquet(path)
+    repeated = spark.read.parquet(path)
+    if repeated.count() > MOST_HASHES:
+        return keys
+    return hashed.join(F.broadcast(repeated), "__h", "left_semi").drop("__h")
+
+
 def check_unique(df: DataFrame, col: str) -> DataFrame:
     """Values (NULLs ignored) occurring more than once: ``(col, n_records)``."""
-    return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n_records"))
+    return (_repeat_suspects(df.where(F.col(col).isNotNull()), [col]).groupBy(col).agg(F.count("*").alias("n_records"))
               .where(F.col("n_records") > 1))
 
 
 def check_unique_combination(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Column combinations occurring more than once (NULL counts as a value)."""
-    return df.groupBy(*cols).agg(F.count("*").alias("n_records")).where(F.col("n_records") > 1)
+    return _repeat_suspects(df, cols).groupBy(*cols).agg(F.count("*").alias("n_records")).where(F.col("n_records") > 1)
 
 
 def check_relationship(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # Spark's own directory name for a NULL partition value
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,7 +41,10 @@ def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False, clustered: bool = False) -> DataFrame:
     """``clustered``: in ranges of months, for a write of one directory per month. The rows are
     dealt out as ``feed_rows`` and become text afterwards: the texts repeat each other and take
-    more than twice the bytes. Equal months are spread over several tasks by the rows' other columns."""
+    more than twice the bytes. Equal months are spread over several tasks by the rows' other columns.
+    They are sorted by month as typed rows too, so that the write sorts no texts and files lie in
+    the order of worker and contract. Spark's writer takes that order only from a column without
+    NULLs: rows without a month get the name of the directory where it puts NULLs anyway."""
     s = F.col
     rows = feed_rows(spark, sf_dir)
     if clustered:
@@ -48,6 +53,9 @@ def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False, cluste
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = rows.join(nation.join(region, s("n_regionkey") == s("r_regionkey")), s("s_nationkey") == s("n_nationkey"))
+    if clustered:
+        j = (j.withColumn("periodo", F.coalesce(F.date_format("month", "yyyy-MM"), F.lit(NO_MONTH)))
+             .sortWithinPartitions("periodo", "c_custkey", "o_orderkey"))
 
     txt = lambda c: c.cast("string")
     cols = [
@@ -75,6 +83,8 @@ def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False, cluste
         txt(s("s_suppkey")).alias("cd_orgao_siafi"),
         txt(s("s_suppkey") + 100000).alias("cd_orgao_siape"),
     ]
-    if with_period or clustered:
+    if clustered:
+        cols.append(s("periodo"))
+    elif with_period:
         cols.append(F.date_format("month", "yyyy-MM").alias("periodo"))
     return j.select(*cols)

@@ -38,6 +38,27 @@ def test_fact_is_shuffled_once_and_without_its_keys(spark):
     assert len(moved) == 1 and "id_fato" not in moved[0] and "id_contrato" not in moved[0]
 
 
+def test_landed_files_lie_in_order_of_worker_and_contract(spark, tmp_table):
+    path = tmp_table("landed")
+    feed = raw_feed(spark, SF_SMALL, clustered=True)
+    feed.write.partitionBy("periodo").parquet(path)
+    files = spark.read.parquet(path).inputFiles()
+    landed = [[(int(r.id_terc), int(r.nr_contrato[2:])) for r in spark.read.parquet(f).collect()] for f in files[:20]]
+    assert all(f == sorted(f) for f in landed) and max(map(len, landed)) > 1
+
+
+def test_rows_without_a_month_land_in_the_directory_of_nulls(spark, tmp_table):
+    src, path = tmp_table("tables"), tmp_table("landed")
+    for name in ("orders", "customer", "part", "supplier", "nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{src}/{name}.parquet")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(40)
+    li.withColumn("l_shipdate", F.when(F.col("l_orderkey") % 2 == 0, F.col("l_shipdate"))).write.parquet(f"{src}/lineitem.parquet")
+    raw_feed(spark, src, clustered=True).write.partitionBy("periodo").parquet(path)
+    plain = raw_feed(spark, src, with_period=True)
+    assert rows(spark.read.parquet(path).select(*plain.columns)) == rows(plain)
+    assert plain.where("periodo IS NULL").count() > 0
+
+
 def test_merge_with_the_month_in_its_key_reads_held_months_only(spark, tmp_table):
     path = tmp_table("held")
     load = lambda r: upsert_table(spark, path, spark.createDataFrame(r, "id string, id_tempo int, v int"), ["id_tempo", "id"],

@@ -35,6 +35,25 @@ def test_unique_check_hot_key(spark):
     assert "partial_count" in plan_text(check_unique(df, "k"))
 
 
+def test_unique_check_of_texts_compares_rows_of_repeated_hashes_only(spark, monkeypatch):
+    from pyspark.sql import Row
+    from monthlake.operators import quality as Q
+    one = [("a", "x", 1)] * 3 + [("b", None, 1), (None, "b", 1), (None, None, None), (None, None, None), ("c", "x", 2), ("c", "x", 3)]
+    df = spark.createDataFrame(one, "k string, l string, n int")
+    want = [Row(k="a", n_records=3), Row(k="c", n_records=2)]
+    pairs = {("a", "x", 1): 3, (None, None, None): 2}
+    for most, same_hash in ((1_000_000, False), (1_000_000, True), (0, False)):
+        monkeypatch.setattr(Q, "MOST_HASHES", most)
+        if same_hash:  # all keys collide
+            monkeypatch.setattr(Q.F, "xxhash64", lambda *cols: F.lit(7).cast("bigint"))
+        single, both = check_unique(df, "k"), Q.check_unique_combination(df, ["k", "l", "n"])
+        assert sorted(single.collect()) == want and single.columns == ["k", "n_records"]
+        assert {(r.k, r.l, r.n): r.n_records for r in both.collect()} == pairs
+        assert ("LeftSemi" in plan_text(single)) == ("LeftSemi" in plan_text(both)) == (most > 0)
+        monkeypatch.undo()
+    assert check_unique(spark.range(5).select(F.col("id").cast("string").alias("k")), "k").count() == 0
+
+
 def test_relationship_check_hot_key(spark):
     from monthlake.operators.quality import check_relationship
     child = hot_frame(spark)
