@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Iterable
 from pathlib import Path
@@ -16,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.session import scratch_path
+from monthlake.session import remove_scratch, scratch_path
 
 # A word is a run of characters outside [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
@@ -63,12 +64,23 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*quoted(df.columns))
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
+_SHARED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def write_shared(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage (a lost
     executor recomputes nothing above it) and gives the planner real sizes for its joins."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", codec).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _SHARED[out] = path
+    return out
+
+
+def drop_shared(*tables: DataFrame) -> None:
+    """Remove tables of ``write_shared`` that no later step reads: what was made of them is written."""
+    for t in tables:
+        remove_scratch(t.sparkSession, _SHARED.pop(t))
 
 
 def plain_scan(docs: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ length; an empty table gives no rows; extra columns are ignored (``cleaned_rows`
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthlake.llm.common import FILTER_BITS, bit_filter, plain_scan, ship_code, whole_row, with_maybe, write_shared
+from monthlake.llm import common
+from monthlake.llm.common import FILTER_BITS, bit_filter, drop_shared, plain_scan, ship_code, whole_row, with_maybe
 from monthlake.llm.components import connected_components
 from monthlake.llm.exact_dedup import LOCATOR, located
 
@@ -55,6 +57,7 @@ SEED = 7
 AT_ONCE = 4096  # shingles hashed together
 BYTES_AT_ONCE = 1 << 20  # texts that are hashed together; a longer one stands alone
 KEY = ("h1", "h2")
+write_shared = partial(common.write_shared, codec="zstd")  # tables that are written once and read once or twice
 
 
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -340,16 +343,18 @@ def shared_passages(source: DataFrame, units: DataFrame, lines: DataFrame) -> Da
     ``cluster_doc`` is the first holder of every run in the span, which keeps it at its first place.
 
     ``lines`` are the repeated paragraphs: what stands only in these is theirs, and their words
-    do not count for a passage."""
+    do not count for a passage. ``units`` are used up."""
     p = units.where("passage").select(*LOCATOR, "h1", "b0", "b1")
     seeds = write_shared(p.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "para-seeds")
     key, place = F.col("h1"), F.struct(*LOCATOR)
     # A shingle that a filter lets through by chance is one more candidate: runs are compared in the end.
-    hit = write_shared(with_maybe(p, bit_filter(seeds, key), key, "maybe").where("maybe").drop("maybe"), "para-hits")
-    seeds = write_shared(_outside(hit, lines), "para-outside")
-    hit = with_maybe(hit, bit_filter(seeds, key), key, "maybe").where("maybe")
+    hits = write_shared(with_maybe(p, bit_filter(seeds, key), key, "maybe").where("maybe").drop("maybe"), "para-hits")
+    drop_shared(units, seeds)
+    seeds = write_shared(_outside(hits, lines), "para-outside")
+    hit = with_maybe(hits, bit_filter(seeds, key), key, "maybe").where("maybe")
     docs = with_maybe(source, bit_filter(hit, place), place, "maybe").where("maybe").drop("maybe")
     groups = write_shared(_groups(docs, _bits_of(seeds)), "para-groups")
+    drop_shared(hits, seeds)
     first_run = _first_runs(groups)
     out = groups.select("doc_id", *LOCATOR, *GROUP, "word", "starts", "stops").join(first_run, list(GROUP))
     # The runs of a group from number k to l have their first place in one row.
@@ -389,15 +394,18 @@ def _first_runs(groups: DataFrame) -> DataFrame:
         *GROUP, "n", "k", "w.w1", "w.w2",
         F.struct("at.no_id", "at.doc_id", "at.who", (F.col("at.word") + F.col("k")).alias("word")).alias("at"))
     shared = each.groupBy("w1", "w2").agg(F.min("at").alias("first"), F.sum("n").alias("copies")).where("copies > 1")
-    each = each.drop("at", "n").join(write_shared(shared, "para-shared"), ["w1", "w2"])
+    shared = write_shared(shared, "para-shared")
+    each = each.drop("at", "n").join(shared, ["w1", "w2"])
     w = Window.partitionBy(*GROUP).orderBy("k")
     same = (F.col("k") - F.lag("k").over(w) == 1) & (F.col("first.who") == F.lag("first.who").over(w)) & (
         F.col("first.word") - F.lag("first.word").over(w) == 1)
     each = each.withColumn("part", F.when(same, 0).otherwise(1)).withColumn("part", F.sum("part").over(w))
     out = each.groupBy(*GROUP, "part").agg(F.min("k").alias("k"), F.max("k").alias("l"), F.min("first").alias("first"),
                                            F.max("copies").alias("n"))
-    return write_shared(out.select(*GROUP, "k", "l", F.col("first.doc_id").alias("first_doc"), F.col("first.who").alias("first_who"),
-                                   F.col("first.word").alias("first_word"), "n"), "para-first-runs")
+    out = write_shared(out.select(*GROUP, "k", "l", F.col("first.doc_id").alias("first_doc"), F.col("first.who").alias("first_who"),
+                                  F.col("first.word").alias("first_word"), "n"), "para-first-runs")
+    drop_shared(distinct, shared)
+    return out
 
 
 def _meetings(classes: DataFrame) -> DataFrame:
@@ -409,7 +417,9 @@ def _meetings(classes: DataFrame) -> DataFrame:
     crowded, cell = write_shared(crowded, "para-buckets"), F.col("cell")
     # Few classes meet another one: a filter leaves most rows out before the join moves them.
     m = with_maybe(m, bit_filter(crowded, cell), cell, "maybe").where("maybe").drop("maybe")
-    return write_shared(m.join(crowded, ["band", "cell"]), "para-meetings")
+    meetings = write_shared(m.join(crowded, ["band", "cell"]), "para-meetings")
+    drop_shared(crowded)
+    return meetings
 
 
 def _shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -520,40 +530,53 @@ def repeated_paragraphs(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Every paragraph that has a copy or near copy: ``doc_id, line, start, n_chars, n_words,
     cluster_doc, cluster_line, cluster_size, removed`` and its document's ``file, row``."""
     source = _source(docs)
-    return _repeated(source, write_shared(_units(source), "para-units"), bucket)
+    return _repeated(source, write_shared(_units(source), "para-units"), bucket)[0]
 
 
-def _repeated(source: DataFrame, units: DataFrame, bucket: int) -> DataFrame:
+def _repeated(source: DataFrame, units: DataFrame, bucket: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows, and the written tables that they are read from besides ``units``."""
     p = units.where("NOT passage").withColumnRenamed("at", "line")
     classes = p.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)])
     classes = write_shared(classes, "para-classes")
     meetings = _meetings(classes)
-    sets = _shingles_of(source, write_shared(meetings.select(*KEY).distinct(), "para-wanted"))
-    roots = connected_components(class_links(meetings, sets, bucket))
+    wanted = write_shared(meetings.select(*KEY).distinct(), "para-wanted")
+    sets = _shingles_of(source, wanted)
+    links = class_links(meetings, sets, bucket)
+    drop_shared(meetings, wanted, sets)
+    roots = connected_components(links)
 
     name = F.format_string("%s:%s", _hex("h1"), _hex("h2"))
     named = classes.select(*KEY, "n", name.alias("name")).join(roots.withColumnRenamed("node", "name"), "name", "left")
     again = named.where("n > 1 OR root IS NOT NULL").select(*KEY, F.coalesce("root", "name").alias("cluster"))
     again = write_shared(again, "para-again")
+    drop_shared(classes, links)
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", *LOCATOR)
     found = p.select("doc_id", *LOCATOR, "line", "start", "n_chars", "n_words", *KEY).join(again, list(KEY))
     found = write_shared(found.drop(*KEY).withColumn("at", at), "para-found")
+    drop_shared(again)
     first = write_shared(found.groupBy("cluster").agg(F.min("at").alias("first"), F.count("*").alias("cluster_size")),
                          "para-first")
     out = found.join(first, "cluster")
     return out.select("doc_id", *LOCATOR, "line", "start", "n_chars", "n_words",
                       F.col("first.doc_id").alias("cluster_doc"), F.col("first.line").alias("cluster_line"),
-                      "cluster_size", (F.col("at") != F.col("first")).alias("removed"))
+                      "cluster_size", (F.col("at") != F.col("first")).alias("removed")), [found, first]
+
+
+def _repeated_and_shared(source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The repeated paragraphs, written, and the shared passages. A table is dropped once the last
+    step that reads it has written its own."""
+    units = write_shared(_units(source), "para-units")
+    rows, read = _repeated(source, units, BUCKET)
+    p = write_shared(rows, "para-repeated")
+    drop_shared(*read)
+    return p, shared_passages(source, units, p)
 
 
 def repeated_text(docs: DataFrame) -> DataFrame:
     """Repeated paragraphs and shared passages together: ``kind`` tells which; start and length
     are in characters of the text."""
-    source = _source(docs)
-    units = write_shared(_units(source), "para-units")
-    p = write_shared(_repeated(source, units, BUCKET), "para-repeated").withColumn("kind", F.lit("paragraph"))
-    s = shared_passages(source, units, p).withColumn("kind", F.lit("passage"))
-    out = p.unionByName(s, allowMissingColumns=True)
+    p, s = _repeated_and_shared(_source(docs))
+    out = p.withColumn("kind", F.lit("paragraph")).unionByName(s.withColumn("kind", F.lit("passage")), allowMissingColumns=True)
     return out.select("doc_id", "kind", "line", "start", "n_chars", "n_words", "cluster_doc", "cluster_line",
                       "cluster_size", "removed")
 
@@ -591,10 +614,7 @@ def cut_text(text: str | None, gone: list[int] | None, spans: list | None) -> st
 def cleaned_rows(docs: DataFrame) -> DataFrame:
     """The documents without their removed paragraphs and passages, with all their columns."""
     columns, docs = docs.columns, plain_scan(docs)
-    source = _source(docs)
-    units = write_shared(_units(source), "para-units")
-    p = write_shared(_repeated(source, units, BUCKET), "para-repeated")
-    s = shared_passages(source, units, p)
+    p, s = _repeated_and_shared(_source(docs))
     p = p.where("removed").select(*LOCATOR, "line", F.lit(None).alias("span"))
     s = s.select(*LOCATOR, F.lit(None).cast("bigint").alias("line"),
                                               F.struct("start", "n_chars", "removed").alias("span"))

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+# An action's shuffle files go when it ends; else they stay until the driver happens to collect its garbage.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "monthlake",
@@ -41,8 +43,11 @@ def shared_root(spark: SparkSession) -> str:
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir);
     set a local one only when neither is configured and Spark itself runs in this process
-    (tests); on a cluster a missing shared folder is an error.
+    (tests); on a cluster a missing shared folder is an error. A session that does not say
+    what becomes of finished actions' shuffle files gets them removed (``FILE_CLEANUP``).
     """
+    if spark.conf.get(FILE_CLEANUP, None) is None:
+        spark.conf.set(FILE_CLEANUP, "true")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
@@ -59,3 +64,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared folder for one run of one job."""
     return f"{shared_root(spark)}/monthlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``scratch_path`` that no later step reads."""
+    if not path.startswith(f"{shared_root(spark)}/monthlake/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -723,3 +723,28 @@ def test_stages_return_document_columns(spark, docs):
 
 def test_shared_folder_is_used(spark):
     assert not [p for p in os.listdir(".") if p.endswith(".warc.zst")]
+
+
+def test_shuffle_files_and_used_up_tables_go_while_the_texts_are_searched(spark):
+    """What the disk holds at the end: the result's own tables, no shuffle file of a finished step."""
+    import os
+
+    from monthlake.session import FILE_CLEANUP, shared_root
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {f for x in folders for d, _, fs in os.walk(x) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+    root = f"{shared_root(spark)}/monthlake"
+    tables = lambda: {x for x in os.listdir(root) if x.startswith("llm-para-")}
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert spark.conf.get(FILE_CLEANUP) == "true"
+    had, moved = tables(), shuffled()
+    got = paragraphs.repeated_text(d)
+    kept = {x.rsplit("-", 1)[0] for x in tables() - had}
+    assert kept == {"llm-para-repeated", "llm-para-groups", "llm-para-first-runs"}
+    assert not shuffled() - moved
+    assert got.count() > 0
+    spark.conf.set(FILE_CLEANUP, "false")  # the files would be seen
+    try:
+        d.groupBy("doc_id").count().count()
+        assert shuffled() - moved
+    finally:
+        spark.conf.set(FILE_CLEANUP, "true")
