@@ -163,7 +163,7 @@ _RAW_TEXT = r"""feed2 AS (SELECT * REPLACE (
 
 @register("raw_ingest_text", O.with_(O.FEED, _RAW_TEXT, O.BRONZE.replace("FROM feed)", "FROM feed2)"), body="SELECT * FROM bronze"))
 def raw_ingest_text(spark, sf_dir):
-    """Text files to bronze: the feed as delimited files (one drop per year, columns of every
+    """Text files to bronze: the feed as compressed delimited files (one drop per year, columns of every
     second one in reverse), each ingested once and once more, then typed."""
     key = F.col("id_terc").cast("int")
     feed = W.raw(spark, sf_dir).withColumns({
@@ -175,7 +175,8 @@ def raw_ingest_text(spark, sf_dir):
     years = sorted(r[0] for r in feed.select(F.substring("periodo", 1, 4)).distinct().collect())
     for n, year in enumerate(years):
         columns = S.RAW_COLUMNS[::-1] if n % 2 else S.RAW_COLUMNS
-        I.write_csv(feed.where(F.col("periodo").startswith(year)).select(*columns), f"{drop}/{year}.csv")
+        I.write_csv(feed.where(F.col("periodo").startswith(year)).select(*columns), f"{drop}/{year}.csv",
+                    compression="gzip", rows_per_file=1 << 19)
         assert I.ingest_period(spark, f"{drop}/{year}.csv", path, f"{year}-01")
         assert not I.ingest_period(spark, f"{drop}/{year}.csv", path, f"{year}-01")  # landed: left alone
     return stage(I.read_periods(spark, path, schema=S.RAW), with_timestamp=False)

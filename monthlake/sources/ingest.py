@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthlake.functions.casts import NULL_TOKENS, nullify_tokens
-from monthlake.operators.upsert import ABSENT, Commit, current, directories, read_commit, try_read
+from monthlake.operators.upsert import ABSENT, CODEC, Commit, current, directories, read_commit, try_read
 from monthlake.schemas import COMMENTS, RAW_COLUMNS
+from monthlake.session import remove_scratch, scratch_path
 from monthlake.sources.quoted import read_quoted
 
 PERIOD_COL = "periodo"
@@ -45,7 +46,7 @@ def detect_format(path: str) -> str:
 
 def read_raw(spark: SparkSession, path: str | list[str], fmt: str | None = None, sep: str = ";",
              encoding: str = "ISO-8859-1", tokens: Sequence[str] | None = NULL_TOKENS,
-             header: bool = True) -> DataFrame:
+             header: bool = True, scratch: str | None = None) -> DataFrame:
     """Read one raw period file (or many) as all-text columns with missing tokens nulled.
 
     ``fmt`` defaults to the file extension: ``csv`` (semicolon / latin-1 by default,
@@ -53,7 +54,7 @@ def read_raw(spark: SparkSession, path: str | list[str], fmt: str | None = None,
     text) or ``parquet``. A text file is read by as many tasks as it has ranges of
     ``quoted.RANGE_BYTES``; files of one header, or of one Parquet schema, are one scan. All are
     united by column name. Spreadsheets have no Spark source and must be exported to CSV first;
-    any other format is a ``ValueError``.
+    any other format is a ``ValueError``. ``scratch`` takes the records of text files, which the frame reads.
     """
     paths = [path] if isinstance(path, str) else list(path)
     text, tables = [], []
@@ -67,7 +68,7 @@ def read_raw(spark: SparkSession, path: str | list[str], fmt: str | None = None,
             raise ValueError("xlsx has no Spark source: export the sheet to CSV and read that")
         else:
             raise ValueError(f"unsupported raw file type: {kind!r}")
-    frames = read_quoted(spark, text, sep, encoding, header, NO_TEXT) if text else []
+    frames = read_quoted(spark, text, sep, encoding, header, NO_TEXT, scratch=scratch) if text else []
     schemas: dict[str, list[str]] = {}
     for one in tables:
         schemas.setdefault(spark.read.parquet(one).schema.json(), []).append(one)
@@ -77,11 +78,13 @@ def read_raw(spark: SparkSession, path: str | list[str], fmt: str | None = None,
     return null_tokens(df, tokens) if tokens else df
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> None:
+def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1", compression: str = "none",
+              rows_per_file: int = 0) -> None:
     """Delimited text that ``read_raw`` reads back as it was: quotes doubled, blanks kept, the
-    empty text quoted and NULL not."""
-    df.write.mode("overwrite").options(
-        header=True, sep=sep, encoding=encoding, quote='"', escape='"', escapeQuotes=True, nullValue="", emptyValue='""',
+    empty text quoted and NULL not. A compressed file is read by one task, so ``rows_per_file`` (0: any)
+    bounds it."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).options(
+        compression=compression, header=True, sep=sep, encoding=encoding, quote='"', escape='"', escapeQuotes=True, nullValue="", emptyValue='""',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
@@ -107,7 +110,7 @@ def write_period(df: DataFrame, path: str, period_col: str = PERIOD_COL, cluster
     if cluster:
         df = df.repartitionByRange(F.col(period_col), F.xxhash64(*[F.col(c) for c in df.columns]))
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .option("compression", "snappy").partitionBy(period_col).parquet(path))
+       .option("compression", CODEC).partitionBy(period_col).parquet(path))
 
 
 def read_periods(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -140,13 +143,17 @@ def ingest_period(spark: SparkSession, files: str | Sequence[str], path: str, pe
     """One period's raw files -> all text -> missing tokens to NULL -> ``periodo=<period>``.
 
     A period that has landed is left alone (returns False, no file is read). A file without a
-    required column (any case) is an error."""
+    required column (any case) is an error. The records cut out of text go once they have landed."""
     if try_read(spark, f"{path}/{PERIOD_COL}={period}") is not None:
         return False
-    df = all_string(read_raw(spark, files, fmt=fmt, **read))
-    if missing := [c for c in required if c.lower() not in {x.lower() for x in df.columns}]:
-        raise ValueError(f"{files}: no column {', '.join(missing)}")
-    write_period(df.withColumn(PERIOD_COL, F.lit(period)), path)
+    scratch = scratch_path(spark, "text")
+    try:
+        df = all_string(read_raw(spark, files, fmt=fmt, scratch=scratch, **read))
+        if missing := [c for c in required if c.lower() not in {x.lower() for x in df.columns}]:
+            raise ValueError(f"{files}: no column {', '.join(missing)}")
+        write_period(df.withColumn(PERIOD_COL, F.lit(period)), path)
+    finally:
+        remove_scratch(spark, scratch)
     return True
 
 

@@ -179,8 +179,9 @@ def cut_records(inside: set[tuple[str, int]], groups: dict[str, int], header: bo
 
 
 def read_quoted(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str, header: bool, null_value: str,
-                range_bytes: int = RANGE_BYTES) -> list[DataFrame]:
-    """One frame of text columns per distinct header of the files under ``paths``.
+                range_bytes: int = RANGE_BYTES, scratch: str | None = None) -> list[DataFrame]:
+    """One frame of text columns per distinct header of the files under ``paths``, read from the records that
+    are written under ``scratch`` (the caller may remove it when it is through; default: a folder that stays).
 
     Blank lines are skipped; line breaks inside quotes stay as they are. A quote that is never closed, one inside a field without quotes that
     joins lines, or a record with more or fewer fields than its header is an error. ``encoding``
@@ -188,7 +189,7 @@ def read_quoted(spark: SparkSession, paths: Sequence[str], sep: str, encoding: s
     if encoding.upper().startswith(("UTF-16", "UTF16", "UTF-32", "UTF32")):
         raise ValueError(f"{encoding} text cannot be read in ranges of bytes")
     lines = _lines(spark, paths, range_bytes)
-    base = scratch_path(spark, "text")
+    base = scratch or scratch_path(spark, "text")
     lines.mapInArrow(measure_ranges(sep, encoding, header), "file string, at bigint, quotes bigint, names array<string>").write.parquet(
         f"{base}/ranges")
     before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)

@@ -118,3 +118,23 @@ def test_layer_columns_carry_descriptions(spark, tmp_table):
     bronze = read_layer(spark, base, "bronze")
     assert bronze.schema["cpf"].metadata.get("comment") == "worker tax id, pre-masked"
     assert all(f.metadata.get("comment") for f in read_layer(spark, base, "dim_orgaos").schema.fields)
+
+
+def test_compressed_text_lands_whole_and_leaves_no_records(spark, tmp_table):
+    import os
+
+    from monthlake.session import shared_root
+    from monthlake.sources.ingest import write_csv
+    rows = [(str(k), [None, "", 'q"q', "two\nlines; x", " é "][k % 5]) for k in range(1000)]
+    drop, path = tmp_table("drop"), tmp_table("landed")
+    write_csv(spark.createDataFrame(rows, "a string, b string").coalesce(1), drop, compression="gzip", rows_per_file=300)
+    files = [f for f in os.listdir(drop) if f.startswith("part-")]
+    assert len(files) == 4 and all(f.endswith(".csv.gz") for f in files)
+    root = f"{shared_root(spark)}/monthlake"
+    texts = lambda: {x for x in os.listdir(root) if x.startswith("text-")}
+    had = texts()
+    assert ingest_period(spark, drop, path, "2024-03", required=["a", "b"], fmt="csv", tokens=None)
+    assert sorted(tuple(r) for r in read_periods(spark, path).select("a", "b").collect()) == sorted(rows, key=lambda r: r[0])
+    with pytest.raises(ValueError):
+        ingest_period(spark, drop, path, "2024-04", required=["c"], fmt="csv")
+    assert texts() == had
