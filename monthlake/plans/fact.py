@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthlake.functions.keys import period_key, surrogate_key
+from monthlake.functions.packed import pack, unpack
 from monthlake.operators.dedup import latest_per_key
 from monthlake.operators.upsert import Commit
 
@@ -59,13 +60,27 @@ def build_fact(bronze: DataFrame) -> DataFrame:
     return with_keys(latest_per_key(grain_rows(bronze), GRAIN, grain_order()))
 
 
+PARENT = ("unidade_gestora_nome", "unidade_gestora_codigo")
+
+
 def fact_to_write(bronze: DataFrame) -> DataFrame:
     """``build_fact`` in ranges of months, for a table with one directory per month.
 
     The ranges are cut by the grain, so one shuffle of the natural columns both brings the rows of
     a grain together and lays the table out; the keys, three times as wide, are made after it. The
-    rows of one grain meet in one task, where they stream past its first row."""
-    return with_keys(latest_per_key(grain_rows(bronze).repartitionByRange(*GRAIN), GRAIN, grain_order()))
+    rows of one grain meet in one task, where they stream past its first row. The grain and the parent
+    agency travel as one text each; agencies come first in it, so a file holds each agency's key in a run."""
+    rows = grain_rows(bronze)
+    columns, types = rows.columns, dict(rows.dtypes)
+    texts = lambda names: pack(*[F.col(c).cast("string") for c in names])
+    grain, packed = GRAIN[3:] + GRAIN[1:3], {*GRAIN[1:], *PARENT}
+    rows = rows.select(*[c for c in rows.columns if c not in packed], texts(grain).alias("grain"), texts(PARENT).alias("parent"))
+    rows = rows.repartitionByRange("id_tempo", "grain")
+    order = [*grain_order()[:2], surrogate_key(*unpack("parent", len(PARENT))).asc_nulls_last()]
+    one = latest_per_key(rows, ("id_tempo", "grain"), order)
+    for names, text in ((grain, "grain"), (PARENT, "parent")):
+        one = one.withColumns({c: t.cast(types[c]) for c, t in zip(names, unpack(text, len(names)), strict=True)}).drop(text)
+    return with_keys(one.select(*columns))
 
 
 def incremental_slice(fact_src: DataFrame, newest: int | None, backfill: bool = False) -> DataFrame:

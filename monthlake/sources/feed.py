@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthlake.functions.packed import join_packs, pack, unpack
+
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # Spark's own directory name for a NULL partition value
 
 
@@ -18,8 +20,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed's rows as typed columns, nothing of it text yet: what a shuffle has to move."""
+TEXTS = ("o_orderpriority", "c_name", "c_mktsegment", "p_type", "s_name")
+
+
+def feed_rows(spark: SparkSession, sf_dir: str, packed: bool = False) -> DataFrame:
+    """The feed's rows as typed columns, nothing of it text yet: what a shuffle has to move.
+    ``packed``: with their texts (``TEXTS``) as one, ``texts``."""
     s = F.col
     # Money and months are narrower than the doubles and timestamps they come from.
     li = load(spark, sf_dir, "lineitem").select(
@@ -33,9 +39,15 @@ def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Orders meet customers before lineitem: that join shuffles orders (a quarter of
     # lineitem's rows) on the customer key instead of the lineitem-sized join result.
     order_cust = orders.join(cust, s("o_custkey") == s("c_custkey")).drop("o_custkey")
-    return (li.join(order_cust, s("l_orderkey") == s("o_orderkey")).drop("l_orderkey")
-            .join(part, s("l_partkey") == s("p_partkey")).drop("l_partkey", "p_partkey")
+    if packed:
+        order_cust = order_cust.select("o_orderkey", "c_custkey", pack(*TEXTS[:3]).alias("order_texts"))
+    # Parts come before orders: theirs are the fewest bytes that lineitem carries to its next shuffle.
+    rows = (li.join(part, s("l_partkey") == s("p_partkey")).drop("l_partkey", "p_partkey")
+            .join(order_cust, s("l_orderkey") == s("o_orderkey")).drop("l_orderkey")
             .join(supp, s("l_suppkey") == s("s_suppkey")).drop("l_suppkey"))
+    if packed:
+        rows = rows.withColumn("texts", join_packs("order_texts", pack(*TEXTS[3:]))).drop("order_texts", *TEXTS[3:])
+    return rows
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False, clustered: bool = False) -> DataFrame:
@@ -46,9 +58,9 @@ def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False, cluste
     the order of worker and contract. Spark's writer takes that order only from a column without
     NULLs: rows without a month get the name of the directory where it puts NULLs anyway."""
     s = F.col
-    rows = feed_rows(spark, sf_dir)
+    rows = feed_rows(spark, sf_dir, packed=clustered)
     if clustered:
-        rows = rows.repartitionByRange("month", "c_custkey", "o_orderkey", "s_suppkey", "price", "l_quantity", "p_type")
+        rows = rows.repartitionByRange("month", "c_custkey", "o_orderkey", "s_suppkey", "price", "l_quantity", "texts")
     # Nations and regions are a few rows each and met last.
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -56,6 +68,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, with_period: bool = False, cluste
     if clustered:
         j = (j.withColumn("periodo", F.coalesce(F.date_format("month", "yyyy-MM"), F.lit(NO_MONTH)))
              .sortWithinPartitions("periodo", "c_custkey", "o_orderkey"))
+        j = j.withColumns(dict(zip(TEXTS, unpack("texts", len(TEXTS)), strict=True)))
 
     txt = lambda c: c.cast("string")
     cols = [

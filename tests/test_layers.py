@@ -5,9 +5,11 @@ import re
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, plan_text
+from monthlake.functions.packed import join_packs, pack, unpack
 from monthlake.operators.upsert import current, read_current, upsert_table
 from monthlake.plans import warehouse as W
 from monthlake.plans.fact import build_fact, fact_to_write
+from monthlake.plans.staging import stage
 from monthlake.sources.feed import raw_feed
 
 
@@ -69,3 +71,43 @@ def test_merge_with_the_month_in_its_key_reads_held_months_only(spark, tmp_table
     assert rows(out.select("id", "id_tempo", "v")) == sorted(want, key=repr)
     assert rows(read_current(spark, path).select("id", "id_tempo", "v")) == sorted(want, key=repr)
     assert current(spark, path).values.count("202401") == 1
+
+
+def test_packed_texts_come_back(spark):
+    texts = [None, "", "a", "\x01", "\x02", "\x02n", "\x02e", "\x02m\x01", "\x01\x01", "é;\n", "n", "\x02\x02"]
+    pairs = [(a, b) for a in texts for b in texts]
+    df = spark.createDataFrame(pairs, "a string, b string").withColumn("p", pack("a", "b"))
+    df = df.withColumn("q", join_packs("p", pack(F.lit(None).cast("string"))))
+    assert df.select("p").distinct().count() == len(pairs) and df.where("p IS NULL").count() == 0
+    back = df.select("a", "b", *unpack("p", 2), *unpack("q", 3)).collect()
+    assert all(tuple(r) == (r[0], r[1], r[0], r[1], r[0], r[1], None) for r in back)
+
+
+def test_landed_feed_moves_its_texts_as_one(spark):
+    dealt = plan_text(raw_feed(spark, SF_SMALL, with_period=True, clustered=True))
+    moved = re.search(r"Input \[(\d+)\]: (.*)\nArguments: rangepartitioning\(month", dealt)
+    assert int(moved[1]) == 9 and not re.search("c_name|s_name|p_type|o_orderpriority|c_mktsegment", moved[2])
+
+
+def test_landed_feed_keeps_odd_texts(spark, tmp_table):
+    src = tmp_table("tables")
+    for name in ("lineitem", "orders", "customer", "part", "supplier", "nation", "region"):
+        df = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        for c in {"c_name", "s_name", "p_type", "o_orderpriority", "c_mktsegment"} & set(df.columns):
+            k = F.col(df.columns[0]) % 4
+            df = df.withColumn(c, F.when(k == 0, None).when(k == 1, F.lit("\x01\x02")).when(k == 2, F.lit("")).otherwise(F.col(c)))
+        df.write.parquet(f"{src}/{name}.parquet")
+    plain, dealt = raw_feed(spark, src, with_period=True), raw_feed(spark, src, with_period=True, clustered=True)
+    assert rows(dealt) == rows(plain) and plain.where("nm_terceirizado IS NULL").count() > 0
+    bronze = stage(plain, with_timestamp=False)
+    assert rows(fact_to_write(bronze)) == rows(build_fact(bronze))
+
+
+def test_written_layers_leave_no_shuffle_files(spark, tmp_table):
+    import os
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    moved = lambda: {f for x in folders for d, _, fs in os.walk(x) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+    had = moved()
+    raw_feed(spark, SF_SMALL, clustered=True).write.partitionBy("periodo").parquet(tmp_table("landed"))
+    fact_to_write(W.bronze(spark, SF_SMALL)).write.partitionBy("id_tempo").parquet(tmp_table("fact"))
+    assert not moved() - had
