@@ -21,10 +21,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from monthlake.functions.packed import pack, unpack
 from monthlake.operators.upsert import CODEC, VERSION_COL, _commit, _new_version, current
 
 DEFAULT_LIMIT = 20
 MAX_LIMIT = 200
+TEXTS = "__texts"
 
 
 def clamp(b_start, limit, max_limit: int = MAX_LIMIT, allow_zero: bool = True) -> tuple[int, int]:
@@ -43,13 +45,25 @@ def page_order(columns: list[str], key: str) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in (key, *[c for c in columns if c != key])]
 
 
+def _in_ranges(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in ranges of the page order; the columns of text travel as one."""
+    texts = [name for name, kind in df.dtypes if kind == "string" and name != key]
+    if len(texts) < 2:
+        return df.repartitionByRange(*page_order(df.columns, key))
+    rows = df.select(*[c for c in df.columns if c not in texts], pack(*texts).alias(TEXTS))
+    column = dict(zip(texts, unpack(TEXTS, len(texts)), strict=True))
+    at = [column.get(c, F.col(c)) for c in (key, *[c for c in df.columns if c != key])]
+    return rows.repartitionByRange(*[c.asc_nulls_last() for c in at]).select(
+        *[column[c].alias(c, metadata=df.schema[c].metadata) if c in column else F.col(c) for c in df.columns])
+
+
 def write_serving(df: DataFrame, path: str, key: str) -> int:
     """Write a table version in page order, its file index and row count, and then its commit entry."""
     spark, order = df.sparkSession, page_order(df.columns, key)
     version = _new_version(current(spark, path))
     folder = f"{VERSION_COL}={version}"
     written = Observation()
-    pages = df.repartitionByRange(*order).sortWithinPartitions(*order).observe(written, F.count(F.lit(1)).alias("rows"))
+    pages = _in_ranges(df, key).sortWithinPartitions(*order).observe(written, F.count(F.lit(1)).alias("rows"))
     (pages.write.mode("errorifexists").option("compression", CODEC).option(f"parquet.bloom.filter.enabled#{key}", "true")
           .option("parquet.bloom.filter.adaptive.enabled", "true").parquet(f"{path}/data/{folder}"))
     total = written.get.get("rows", 0)

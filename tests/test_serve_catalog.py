@@ -159,3 +159,19 @@ def test_row_json_keeps_nulls(spark):
     from monthlake.operators.serve import row_json
     df = spark.createDataFrame([(1, None)], "id int, cnpj string")
     assert row_json(df).first()[0] == '{"id":1,"cnpj":null}'
+
+
+def test_serving_rows_move_their_texts_as_one_and_come_in_page_order(spark, tmp_table):
+    import re
+
+    from monthlake.operators import serve
+    texts = [None, "", "\x01", "\x02n", "b", "a\x02", "é"]
+    rows = [(k % 3, a, 1.5 * k, b) for k, (a, b) in enumerate((a, b) for a in texts for b in texts)] * 2
+    df = spark.createDataFrame(rows, "k int, a string, d double, b string")
+    moved = re.findall(r"Exchange\nInput \[\d+\]: (.*)\nArguments: rangepartitioning", plan_text(serve._in_ranges(df, "k")))
+    assert len(moved) == 1 and moved[0].count("#") == 3
+    path = tmp_table("odd-pages")
+    serve.write_serving(df, path, "k")
+    assert [tuple(r) for r in serve.page(spark, path, "k", 0, 200).collect()] == [
+        tuple(r) for r in df.orderBy(*serve.page_order(df.columns, "k")).collect()]
+    assert serve.page(spark, path, "k", 30, 20).collect() == df.orderBy(*serve.page_order(df.columns, "k")).collect()[30:50]
