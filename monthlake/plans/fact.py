@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ def fact_order() -> list:
 
 # The columns behind ``id_fato``: both its md5 parts and the key itself are injective in them.
 GRAIN = ("id_tempo", "id_terceirizado", "numero_contrato", "orgao_nome", "orgao_sigla")
+PARENT = ("unidade_gestora_nome", "unidade_gestora_codigo")
 
 
 def grain_rows(bronze: DataFrame) -> DataFrame:
@@ -36,17 +39,19 @@ def grain_rows(bronze: DataFrame) -> DataFrame:
 def grain_order() -> list:
     """``fact_order`` before hashing: the parent agency's key is needed for its ties."""
     return [F.col("salario_mensal_valor").desc_nulls_last(), F.col("custo_mensal_valor").desc_nulls_last(),
-            surrogate_key("unidade_gestora_nome", "unidade_gestora_codigo").asc_nulls_last()]
+            surrogate_key(*PARENT).asc_nulls_last()]
 
 
 def with_keys(grain: DataFrame) -> DataFrame:
-    """Replace the natural columns by their surrogate keys."""
+    """Replace the natural columns by their surrogate keys (the parent agency's may be there already)."""
+    if "id_orgao_superior" not in grain.columns:
+        grain = grain.withColumn("id_orgao_superior", surrogate_key(*PARENT))
     out = grain.select(
         *[c for c in grain.columns if c in ("id_terceirizado", "id_tempo", "salario_mensal_valor",
                                             "custo_mensal_valor", "data_processamento")],
         surrogate_key("numero_contrato").alias("id_contrato"),
         surrogate_key("orgao_nome", "orgao_sigla").alias("id_orgao"),
-        surrogate_key("unidade_gestora_nome", "unidade_gestora_codigo").alias("id_orgao_superior"))
+        "id_orgao_superior")
     return out.withColumn("id_fato", surrogate_key("id_terceirizado", "id_contrato", "id_orgao", "id_tempo"))
 
 
@@ -55,12 +60,27 @@ def fact_rows(bronze: DataFrame) -> DataFrame:
     return with_keys(grain_rows(bronze))
 
 
-def build_fact(bronze: DataFrame) -> DataFrame:
-    """Full build: one row per grain, then the keys of the survivors only."""
-    return with_keys(latest_per_key(grain_rows(bronze), GRAIN, grain_order()))
+def _as_text(rows: DataFrame, names: Sequence[str], text: str) -> DataFrame:
+    """The columns ``names`` as one text, which is what a shuffle moves in the fewest bytes."""
+    return rows.withColumn(text, pack(*[F.col(c).cast("string") for c in names])).drop(*names)
 
 
-PARENT = ("unidade_gestora_nome", "unidade_gestora_codigo")
+def _as_columns(rows: DataFrame, names: Sequence[str], text: str, like: DataFrame) -> DataFrame:
+    types = dict(like.dtypes)
+    return rows.withColumns({c: t.cast(types[c]) for c, t in zip(names, unpack(text, len(names)), strict=True)}).drop(text)
+
+
+# Agencies come first in the grain's text, so a file in its order holds each agency's key in a run.
+GRAIN_TEXT = GRAIN[3:] + GRAIN[1:3]
+
+
+def build_fact(bronze: DataFrame) -> DataFrame:
+    """Full build: one row per grain, then the keys of the survivors only. The parent agency's key
+    decides ties, so it is made before and its texts stay behind."""
+    natural = grain_rows(bronze)
+    rows = natural.withColumn("id_orgao_superior", surrogate_key(*PARENT)).drop(*PARENT)
+    one = latest_per_key(_as_text(rows, GRAIN_TEXT, "grain"), ("id_tempo", "grain"), fact_order())
+    return with_keys(_as_columns(one, GRAIN_TEXT, "grain", natural).select(*rows.columns))
 
 
 def fact_to_write(bronze: DataFrame) -> DataFrame:
@@ -68,19 +88,12 @@ def fact_to_write(bronze: DataFrame) -> DataFrame:
 
     The ranges are cut by the grain, so one shuffle of the natural columns both brings the rows of
     a grain together and lays the table out; the keys, three times as wide, are made after it. The
-    rows of one grain meet in one task, where they stream past its first row. The grain and the parent
-    agency travel as one text each; agencies come first in it, so a file holds each agency's key in a run."""
-    rows = grain_rows(bronze)
-    columns, types = rows.columns, dict(rows.dtypes)
-    texts = lambda names: pack(*[F.col(c).cast("string") for c in names])
-    grain, packed = GRAIN[3:] + GRAIN[1:3], {*GRAIN[1:], *PARENT}
-    rows = rows.select(*[c for c in rows.columns if c not in packed], texts(grain).alias("grain"), texts(PARENT).alias("parent"))
-    rows = rows.repartitionByRange("id_tempo", "grain")
-    order = [*grain_order()[:2], surrogate_key(*unpack("parent", len(PARENT))).asc_nulls_last()]
-    one = latest_per_key(rows, ("id_tempo", "grain"), order)
-    for names, text in ((grain, "grain"), (PARENT, "parent")):
-        one = one.withColumns({c: t.cast(types[c]) for c, t in zip(names, unpack(text, len(names)), strict=True)}).drop(text)
-    return with_keys(one.select(*columns))
+    rows of one grain meet in one task, where they stream past its first row."""
+    natural = grain_rows(bronze)
+    rows = _as_text(_as_text(natural, GRAIN_TEXT, "grain"), PARENT, "parent").repartitionByRange("id_tempo", "grain")
+    rows = _as_columns(rows, PARENT, "parent", natural)
+    one = latest_per_key(rows, ("id_tempo", "grain"), grain_order())
+    return with_keys(_as_columns(one, GRAIN_TEXT, "grain", natural).select(*natural.columns))
 
 
 def incremental_slice(fact_src: DataFrame, newest: int | None, backfill: bool = False) -> DataFrame:

@@ -8,7 +8,8 @@ from conftest import SF_SMALL, plan_text
 from monthlake.functions.packed import join_packs, pack, unpack
 from monthlake.operators.upsert import current, read_current, upsert_table
 from monthlake.plans import warehouse as W
-from monthlake.plans.fact import build_fact, fact_to_write
+from monthlake.operators.dedup import latest_per_key
+from monthlake.plans.fact import GRAIN, build_fact, fact_to_write, grain_order, grain_rows, with_keys
 from monthlake.plans.staging import stage
 from monthlake.sources.feed import raw_feed
 
@@ -111,3 +112,15 @@ def test_written_layers_leave_no_shuffle_files(spark, tmp_table):
     raw_feed(spark, SF_SMALL, clustered=True).write.partitionBy("periodo").parquet(tmp_table("landed"))
     fact_to_write(W.bronze(spark, SF_SMALL)).write.partitionBy("id_tempo").parquet(tmp_table("fact"))
     assert not moved() - had
+
+
+def test_fact_build_moves_the_grain_as_one_text(spark):
+    bronze = W.bronze(spark, SF_SMALL)
+    moved = exchanges(build_fact(bronze))
+    assert len(moved) == 1 and not re.search("unidade_gestora|orgao_nome|numero_contrato", moved[0])
+    odd = bronze.limit(6).withColumns({"orgao_nome": F.lit("\x01\x02n"), "orgao_sigla": F.lit(None).cast("string"),
+                                       "unidade_gestora_codigo": F.lit(None).cast("int")})
+    both = bronze.unionByName(odd.withColumn("numero_contrato", F.lit(""))).unionByName(odd)
+    assert rows(build_fact(both)) == rows(fact_to_write(both)) and "WindowGroupLimit" in plan_text(build_fact(both))
+    key = latest_per_key(grain_rows(both), GRAIN, grain_order())
+    assert rows(build_fact(both)) == rows(with_keys(key))
